@@ -4,8 +4,9 @@ That memory starts with the first arrival and is not refreshed, so the arrivals
 form a chain: a start, its duplicates, the next start, and so on. The chain is found
 without gathering the arrivals of an id:
 
-1. copies are reduced to one row per (id, arrival ms) before the first shuffle;
-2. a pause longer than the memory always begins a new start, so the arrivals of an id fall
+1. copies are reduced to one row per (id, arrival ms) before the first shuffle, and an id
+   whose last arrival is within the memory of its first needs no more than that;
+2. for the other ids, a pause longer than the memory always begins a new start, so the arrivals of an id fall
    into independent runs; a run no longer than the memory has just its first arrival as start;
 3. in longer runs every arrival points at the first arrival beyond its own memory, and the
    starts are found by following these pointers in doubling steps (joins on id and arrival).
@@ -13,10 +14,11 @@ without gathering the arrivals of an id:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline import constants as K
+from meterline.operators.joins import salted_join
 from meterline.session import cut
 
 
@@ -61,59 +63,72 @@ def _pointers(long_arrivals: DataFrame, keys: list[str], memory_ms: int) -> Data
     )
 
 
-def duplicate_counts(deliveries: DataFrame, keys: tuple[str, ...] = ("message_id",), memory_ms: int = K.DUPLICATE_MEMORY_MS) -> DataFrame:
+def duplicate_counts(
+    deliveries: DataFrame, keys: tuple[str, ...] = ("message_id",), memory_ms: int = K.DUPLICATE_MEMORY_MS
+) -> DataFrame:
     """Per (id, arrival ms): copies delivered, and how many of them are duplicates.
 
     Copies of one id in one ms cannot be told apart; where that ms is a start, one of them
     is the start and the others are duplicates.
     """
-    width = memory_ms + 1
-    arrivals = (
-        deliveries.groupBy(*keys, "arrival_ms")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("_slot", F.expr(f"arrival_ms div {width}"))
-    )
-    runs = _runs(arrivals, keys, memory_ms)
-    long_runs = runs.filter(F.col("run_end") - F.col("run_start") > memory_ms)
-    starts = runs.select(*keys, F.col("run_start").alias("arrival_ms")).distinct()
-    longest = long_runs.agg(F.max(F.col("run_end") - F.col("run_start"))).first()[0]
-    if longest is not None:
-        starts = starts.unionByName(_later_starts(arrivals, long_runs, keys, memory_ms, longest))
-    marked = arrivals.drop("_slot").join(starts.withColumn("_start", F.lit(1)), [*keys, "arrival_ms"], "left")
+    by = list(keys)
+    arrivals = deliveries.groupBy(*by, "arrival_ms").agg(F.count("*").alias("copies"))
+    spans = deliveries.groupBy(*by).agg(F.min("arrival_ms").alias("run_start"), F.max("arrival_ms").alias("run_end"))
+    # most ids are heard of for less than the memory: their first arrival is the one start
+    starts = spans.select(*by, F.col("run_start").alias("arrival_ms"))
+    longer = spans.filter(F.col("run_end") - F.col("run_start") > memory_ms).select(*by)
+    spread = cut(salted_join(arrivals, longer, by, "arrival_ms", "left_semi").withColumn("_slot", _slot(memory_ms)))
+    starts = starts.unionByName(_later_starts(spread, by, memory_ms))
+    marked = arrivals.join(starts.withColumn("_start", F.lit(1)), [*by, "arrival_ms"], "left")
     return marked.select(
-        *keys,
+        *by,
         "arrival_ms",
         "copies",
         (F.col("copies") - F.coalesce("_start", F.lit(0))).cast("bigint").alias("duplicates"),
     )
 
 
-def _later_starts(arrivals: DataFrame, long_runs: DataFrame, keys: list[str], memory_ms: int, longest: int) -> DataFrame:
+def _slot(memory_ms: int) -> Column:
+    return F.expr(f"arrival_ms div {memory_ms + 1}")
+
+
+def _later_starts(arrivals: DataFrame, keys: list[str], memory_ms: int) -> DataFrame:
+    """All starts but the first of every id."""
     width = memory_ms + 1
-    slots = long_runs.select(*keys, "_slot", "run_start", "run_end", "slot_first", "next_slot_first")
-    nodes = arrivals.join(slots.select(*keys, "_slot", "run_start", "run_end"), [*keys, "_slot"])
-    raw = _pointers(nodes, keys, memory_ms)
+    slots = cut(_runs(arrivals, keys, memory_ms))
+    length = F.col("run_end") - F.col("run_start")
+    runs = slots.select(*keys, F.col("run_start").alias("arrival_ms")).distinct()
+    first = arrivals.groupBy(*keys).agg(F.min("arrival_ms").alias("arrival_ms"))
+    starts = runs.join(first, [*keys, "arrival_ms"], "left_anti")
+    longest = slots.agg(F.max(length)).first()[0]  # one number
+    links = (longest or 0) // width  # no chain has more links than this
+    if links == 0:
+        return starts
+    long_slots = slots.filter(length > memory_ms)
+    nodes = arrivals.join(long_slots.select(*keys, "_slot", "run_start", "run_end"), [*keys, "_slot"])
+    follow = nodes.select(*keys, F.col("arrival_ms").alias("from"), "run_end").join(
+        _pointers(nodes, keys, memory_ms), [*keys, "from"]
+    )
     # no arrival left in the probed slot: the run goes on in the next slot it occupies
-    follow = nodes.select(*keys, F.col("arrival_ms").alias("from"), "run_end").join(raw, [*keys, "from"])
-    slot_after = slots.select(*keys, F.col("_slot").alias("probe_slot"), F.col("next_slot_first"))
-    jump = (
+    slot_after = long_slots.select(*keys, F.col("_slot").alias("probe_slot"), "next_slot_first")
+    jump = cut(
         follow.join(slot_after, [*keys, "probe_slot"], "left")
         .withColumn("to", F.coalesce("to", "next_slot_first"))
         .filter(F.col("to").isNotNull() & (F.col("to") <= F.col("run_end")))
         .select(*keys, "from", "to")
     )
-    jump = cut(jump)
-    reached = long_runs.select(*keys, F.col("run_start").alias("from")).distinct()
-    steps_left = longest // width  # no chain has more links than this
+    first_of_run = long_slots.select(*keys, F.col("run_start").alias("from")).distinct()
+    reached = first_of_run
     hop = 1
-    while hop <= steps_left:
-        reached = cut(reached.unionByName(reached.join(jump, [*keys, "from"]).select(*keys, F.col("to").alias("from"))).distinct())
+    while hop <= links:  # doubles, so a run of a year takes about twenty rounds
+        ahead = reached.join(jump, [*keys, "from"]).select(*keys, F.col("to").alias("from"))
+        reached = cut(reached.unionByName(ahead))
         hop *= 2
-        if hop <= steps_left:
+        if hop <= links:
             second = jump.select(*keys, F.col("from").alias("to"), F.col("to").alias("beyond"))
             jump = cut(jump.join(second, [*keys, "to"]).select(*keys, "from", F.col("beyond").alias("to")))
-    first = long_runs.select(*keys, F.col("run_start").alias("from")).distinct()
-    return reached.join(first, [*keys, "from"], "left_anti").select(*keys, F.col("from").alias("arrival_ms"))
+    later = reached.join(first_of_run, [*keys, "from"], "left_anti")
+    return starts.unionByName(later.select(*keys, F.col("from").alias("arrival_ms")))
 
 
 def duplicates_per_batch(counts: DataFrame, batch_ms: int = K.TICK_MS) -> DataFrame:

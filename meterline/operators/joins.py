@@ -1,9 +1,10 @@
 """Joins of a large table with a table of keys, safe for keys that hold a large share of the rows.
 
 The row side gets a salt from its own id, the key side is repeated once per salt. A hot
-key is spread over ``salts`` tasks, and the result is the same as without salt. Nothing
-is broadcast by hint: the size check of adaptive execution turns the join into a
-broadcast one when the key side turns out small at run time.
+key is spread over ``salts`` partitions, and adaptive execution splits a partition that is
+still too large (skew join). The result is the same as without salt. Nothing is broadcast
+by hint: the size check of adaptive execution turns the join into a broadcast one when
+the key side turns out small at run time.
 """
 
 from __future__ import annotations
@@ -11,13 +12,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+SALTS = 8
 
 
 def salted_join(
     rows: DataFrame, keys: DataFrame, on: list[str], salt_by: str | Column, how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """``how`` is inner, left, left_semi or left_anti (the row side is the left one)."""
+    """``how`` is inner, left, left_semi or left_anti (the row side is the left one).
+
+    ``salts=1`` leaves hot keys to the skew join alone; that suits a key table that is not
+    much smaller than the rows, where copies of it would cost more than they save.
+    """
+    if salts <= 1:
+        return rows.join(keys, on, how)
     source = F.col(salt_by) if isinstance(salt_by, str) else salt_by
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(source), F.lit(salts)).cast("int"))
     salted_keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -9,6 +9,7 @@ from meterline import constants as K
 from meterline.functions import scalars as S
 from meterline.operators.joins import salted_join
 from meterline.operators.scan import exclusive_scan
+from meterline.session import cut
 
 _ARRIVAL_LEVELS = ["_day", "_min", "arrival_ms"]
 
@@ -65,11 +66,13 @@ def classified_turnover(
     The class depends on those two alone, so rows are summed up by them before the first
     shuffle and only the sums are classified.
     """
-    sums = df.groupBy(_window_start(width_us).alias("window_start_us"), "arrival_ms").agg(
-        F.max("event_us").alias("event_us"),
-        F.count("*").alias("n"),
-        F.sum(S.money_hi(F.col(amount))).alias("hi"),
-        F.sum(S.money_lo(F.col(amount))).alias("lo"),
+    sums = cut(
+        df.groupBy(_window_start(width_us).alias("window_start_us"), "arrival_ms").agg(
+            F.max("event_us").alias("event_us"),
+            F.count("*").alias("n"),
+            F.sum(S.money_hi(F.col(amount))).alias("hi"),
+            F.sum(S.money_lo(F.col(amount))).alias("lo"),
+        )
     )
     marks = watermark_by_arrival(sums, delay_us)
     end = F.col("window_start_us") + width_us

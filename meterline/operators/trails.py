@@ -9,6 +9,7 @@ from meterline import constants as K
 from meterline.functions import scalars as S
 from meterline.operators.aggs import distinct_keys
 from meterline.operators.joins import salted_join
+from meterline.session import cut
 
 
 def with_batch(df: DataFrame, batch_ms: int = K.TICK_MS) -> DataFrame:
@@ -21,12 +22,12 @@ def ride_trails(points: DataFrame, head: int = K.HEAD_WEIGHT) -> DataFrame:
 
     Ranking runs on distinct (ride, batch) pairs; the rank limit is applied on the map
     side too, so a busy ride ships at most ``head`` pairs per task. The points are then
-    looked up by (ride, batch, salt).
+    looked up by (ride, batch); a busy ride is spread over its batches.
     """
     pairs = points.select("ride_id", "batch_id").distinct()
     newest = Window.partitionBy("ride_id").orderBy(F.desc("batch_id"))
     kept = pairs.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= head)
-    trail = salted_join(points, kept, ["ride_id", "batch_id"], "message_id")
+    trail = salted_join(points, kept, ["ride_id", "batch_id"], "message_id", salts=1)
     return trail.withColumn("weight", (F.lit(head + 1) - F.col("_rank")).cast("bigint")).drop("_rank")
 
 
@@ -65,7 +66,7 @@ def _instants(from_ms: Column, life_ms: Column, every_ms: int) -> Column:
 
 
 def ride_heat(points: DataFrame, every_ms: int) -> DataFrame:
-    """Weight of every ride point at each instant it is visible.
+    """Weight of every (ride, batch) at each instant it is visible.
 
     A point loses one per later batch of its ride and, once overtaken or older than the
     fade-out period, one per tick. It is gone after ``FADEOUT + HEAD`` ticks, so each
@@ -80,8 +81,7 @@ def ride_heat(points: DataFrame, every_ms: int) -> DataFrame:
     fading_from = F.least(overtaken, batch_ms + K.FADEOUT_MS)
     ticks = F.greatest(F.lit(0), F.floor((F.col("as_of_ms") - fading_from) / F.lit(K.TICK_MS)))
     weight = (F.lit(K.HEAD_WEIGHT + 1) - F.row_number().over(newest) - ticks).cast("bigint")
-    marks = seen.withColumn("weight", weight).filter(F.col("weight") > 0)
-    return salted_join(points, marks, ["ride_id", "batch_id"], "message_id")
+    return seen.withColumn("weight", weight).filter(F.col("weight") > 0)
 
 
 def cell_heat(cells: DataFrame, every_ms: int) -> DataFrame:
@@ -105,15 +105,22 @@ def cull_weak(points: DataFrame, share: int = K.CULL_SHARE) -> DataFrame:
     return points.filter(F.col("weight") > limit)
 
 
-def cull_weak_per_instant(points: DataFrame, salt_by: Column, share: int = K.CULL_SHARE) -> DataFrame:
-    limits = points.groupBy("as_of_ms").agg(weak_limit(F.max("weight"), share).alias("_limit"))
-    return salted_join(points, limits, ["as_of_ms"], salt_by).filter(F.col("weight") > F.col("_limit")).drop("_limit")
-
-
 def heat_weights(points: DataFrame, cells: DataFrame, every_ms: int) -> DataFrame:
-    """The visible point set at every multiple of ``every_ms``: ride points and cells together."""
+    """The visible point set at every multiple of ``every_ms``: ride points and cells together.
+
+    All points of one (ride, batch) weigh the same, so weak ones are culled on these pairs,
+    and only the rest is looked up. The limits are one number per instant.
+    """
+    marks = cut(
+        ride_heat(points, every_ms).unionByName(
+            cell_heat(cells, every_ms).select("as_of_ms", "latitude", "longitude", "weight"), allowMissingColumns=True
+        )
+    )
+    limits = marks.groupBy("as_of_ms").agg(weak_limit(F.max("weight")).alias("_limit"))
+    pair = F.struct("ride_id", "batch_id", "latitude", "longitude")
+    kept = salted_join(marks, limits, ["as_of_ms"], pair).filter(F.col("weight") > F.col("_limit"))
     columns = ["as_of_ms", "ride_id", "message_id", "latitude", "longitude", "weight"]
-    rides = ride_heat(points, every_ms).select(*columns)
-    counted = cell_heat(cells, every_ms).select("as_of_ms", "latitude", "longitude", "weight")
-    both = rides.unionByName(counted, allowMissingColumns=True)
-    return cull_weak_per_instant(both, F.struct("message_id", "latitude", "longitude"))
+    pairs = kept.filter(F.col("ride_id").isNotNull()).select("as_of_ms", "ride_id", "batch_id", "weight")
+    rides = salted_join(points, pairs, ["ride_id", "batch_id"], "message_id", salts=1).select(*columns)
+    counted = kept.filter(F.col("ride_id").isNull()).select("as_of_ms", "latitude", "longitude", "weight")
+    return rides.unionByName(counted, allowMissingColumns=True)

@@ -77,11 +77,15 @@ def filter_prefix(rides: DataFrame) -> DataFrame:
 def reject_split(rides: DataFrame) -> DataFrame:
     """Every message with its verdict; typed fields for the good ones."""
     judged = R.with_verdict(R.decode_json(datasets.raw_messages(rides)))
-    good = R.good_rows(judged).select(
-        "message_id", F.lit("good").alias("verdict"), "latitude", F.unix_millis("timestamp").alias("ts_ms"), "meter_increment"
+    typed = R.typed_fields()
+    good = F.col("reject_reason").isNull()
+    return judged.select(
+        "message_id",
+        F.coalesce("reject_reason", F.lit("good")).alias("verdict"),
+        F.when(good, typed["latitude"]).alias("latitude"),
+        F.when(good, F.unix_millis(typed["timestamp"])).alias("ts_ms"),
+        F.when(good, typed["meter_increment"]).alias("meter_increment"),
     )
-    bad = R.rejects(judged).select("message_id", F.col("reject_reason").alias("verdict"))
-    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @_register

@@ -57,7 +57,12 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from that table.
+
+    Used where a reduced input is read more than once: the work before it runs once, later
+    reads prune columns, and a lost executor costs nothing but a re-read.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -73,17 +73,20 @@ def with_point_idx(rides: DataFrame) -> DataFrame:
     blocks = rides.withColumn("_b1", F.shiftright("message_id", 32)).withColumn(
         "_b2", F.shiftright("message_id", 16)
     )
-    counted = running_count(blocks, ["ride_id"], ["_b1", "_b2", "message_id"], "_before")
+    counted = running_count(blocks, ["ride_id"], ["_b1", "_b2", "message_id"], "_before", cut_input=False)
     return counted.withColumn("point_idx", F.col("_before") + 1).drop("_before", "_b1", "_b2")
 
 
 # --- JSON messages -----------------------------------------------------------
 
 def decode_json(messages: DataFrame, column: str = "value") -> DataFrame:
-    """Parse a JSON text column into string fields; the raw text stays for the reject side."""
-    return messages.withColumn("_r", F.from_json(F.col(column), RIDE_TEXT_SCHEMA)).select(
-        *messages.columns, "_r.*"
-    )
+    """Parse a JSON text column into string fields; the raw text stays for the reject side.
+
+    The parse is a generator, so later filters on the fields cannot be moved below it, where
+    they would parse the text again for every field they test.
+    """
+    parsed = F.inline(F.array(F.from_json(F.col(column), RIDE_TEXT_SCHEMA)))
+    return messages.select(*messages.columns, parsed)
 
 
 def reject_reason(required: tuple[str, ...] = REQUIRED) -> Column:
@@ -106,9 +109,9 @@ def with_verdict(decoded: DataFrame, required: tuple[str, ...] = REQUIRED) -> Da
     return decoded.withColumn("reject_reason", reject_reason(required))
 
 
-def good_rows(judged: DataFrame) -> DataFrame:
-    """Typed ride points of the rows without a reject reason."""
-    typed = {
+def typed_fields() -> dict[str, Column]:
+    """Typed values of the text fields; NULL where a text does not parse."""
+    return {
         "latitude": S.number(F.col("latitude")),
         "longitude": S.number(F.col("longitude")),
         "timestamp": F.try_to_timestamp("timestamp"),
@@ -117,8 +120,12 @@ def good_rows(judged: DataFrame) -> DataFrame:
         "passenger_count": F.col("passenger_count").try_cast("int"),
         "point_idx": F.col("point_idx").try_cast("bigint"),
     }
+
+
+def good_rows(judged: DataFrame) -> DataFrame:
+    """Typed ride points of the rows without a reject reason."""
     good = judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    return good.withColumns({k: v for k, v in typed.items() if k in good.columns})
+    return good.withColumns({k: v for k, v in typed_fields().items() if k in good.columns})
 
 
 def rejects(judged: DataFrame) -> DataFrame:
@@ -136,8 +143,8 @@ def with_event_time(df: DataFrame, column: str = "ts", delay: str | None = None)
 
 def open_envelopes(envelopes: DataFrame, column: str = "data") -> DataFrame:
     """base64 JSON -> ``fields`` map. A key whose value is JSON null is still present."""
-    text = S.from_base64_text(F.col(column))
-    return envelopes.withColumn("fields", F.from_json(text, "map<string,string>"))
+    fields = F.from_json(S.from_base64_text(F.col(column)), "map<string,string>")
+    return envelopes.select(*envelopes.columns, F.inline(F.array(F.struct(fields.alias("fields")))))
 
 
 def seal_envelopes(messages: DataFrame, column: str = "data") -> DataFrame:
