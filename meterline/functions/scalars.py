@@ -71,7 +71,7 @@ def group_decay(weight: Column, steps: Column) -> Column:
     folded = F.aggregate(
         F.sequence(F.lit(1), n),
         weight.cast("bigint"),
-        lambda w, _i: F.floor(w * F.lit(4) / F.lit(5)).cast("bigint"),
+        lambda w, _i: w - F.call_function("div", w + 4, F.lit(5)),  # whole-number division
     )
     return F.when(n <= 0, weight.cast("bigint")).otherwise(folded)
 

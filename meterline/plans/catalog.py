@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from meterline import constants as K
 from meterline.functions import scalars as S
 from meterline.operators import duplicates, elementwise, feed, lateness, sessions, trails
+from meterline.operators.scan import ring_statistics as ring_stats
+from meterline.operators.scan import running_count
 from meterline.plans import datasets, jobs
 from meterline.session import prepare
 from meterline.sources import rides as R
@@ -160,6 +162,14 @@ def session_spans(rides: DataFrame) -> DataFrame:
 
 # --- feed views ----------------------------------------------------------------------
 
+@_register
+def message_topic(rides: DataFrame) -> DataFrame:
+    """The messages of five jobs in one table."""
+    columns = ["ride_id", "timestamp", "dollar_timing", "ntaxis", "latitude", "longitude"]
+    dollars = ["dollar_run_rate_per_minute", "dollar_turnover", "dollar_window"]
+    return datasets.topic(rides).select(*columns, *dollars)
+
+
 @_register
 def route_messages(rides: DataFrame) -> DataFrame:
     opened = R.open_envelopes(R.seal_envelopes(datasets.topic(rides)))
@@ -245,6 +255,15 @@ def feed_health_now(rides: DataFrame) -> DataFrame:
     return feed.health_now(_health(rides), newest, batch_ms=5000).select("feed_id", "batch_id", "data_rate", "status")
 
 
+@_register
+def ring_statistics(rides: DataFrame) -> DataFrame:
+    """Batch sizes over the last 15 pull batches of each kind of point."""
+    batches = trails.with_batch(rides).groupBy("ride_status", "batch_id").agg(F.count("*").alias("n_messages"))
+    chunked = batches.withColumn("_chunk", F.shiftright("batch_id", 14))
+    indexed = running_count(chunked, ["ride_status"], ["_chunk", "batch_id"], "batch_index").drop("_chunk")
+    return ring_stats(indexed, ["ride_status"], "batch_index", "n_messages", K.HEALTH_BATCHES)
+
+
 @_register
 def bundle_average(rides: DataFrame) -> DataFrame:
     columns = ["window_start_us", "latitude", "longitude", "ntaxis", "cell_index", "avg_ntaxis"]
@@ -322,6 +341,23 @@ def stream_pickup_points(stream: DataFrame) -> DataFrame:
     return _widen(stream_jobs.pickup_points(stream_jobs.watermarked(stream)).select(*POINT))
 
 
+@_register_stream
+def stream_drop_resent(stream: DataFrame) -> DataFrame:
+    """Ids that pass, each once; the arrival time is the event time here."""
+    arrived = datasets.deliveries(stream).withColumn("event_ts", F.timestamp_millis("arrival_ms"))
+    return stream_jobs.drop_resent(arrived).select("message_id")
+
+
+def stream_data_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greatest payload time; the last of the rows that complete mode writes."""
+    stream = R.rides_from_events(R.stream_events(prepare(spark), sf_dir))
+    log = stream_jobs.replay(stream_jobs.data_clock(stream), "stream_data_clock", "complete")
+    return log.agg(F.max_by("clock_ms", "emit_batch").alias("clock_ms"))
+
+
+QUERIES["stream_data_clock"] = stream_data_clock
+
+
 def _pane_query(name: str, build: Callable[[DataFrame], DataFrame], columns: list[str]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = R.rides_from_events(R.stream_events(prepare(spark), sf_dir))

@@ -234,6 +234,15 @@ sums AS (
          (event_us // 60000000 * 60000) / 1000.0::DOUBLE / 60.0::DOUBLE AS dollar_window
   FROM rides GROUP BY ALL)"""
 
+_TOPIC = f"""
+topic AS (
+  SELECT ride_id, {_iso('event_us // 1000')} AS timestamp, NULL AS dollar_timing, NULL::BIGINT AS ntaxis, latitude, longitude,
+         NULL::DOUBLE AS dollar_run_rate_per_minute, NULL::DOUBLE AS dollar_turnover, NULL::DOUBLE AS dollar_window FROM rides
+  UNION ALL SELECT NULL, NULL, NULL, ntaxis, latitude, longitude, NULL, NULL, NULL FROM cells
+  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, dollar_run_rate_per_minute, NULL, NULL FROM rates
+  UNION ALL SELECT NULL, NULL, dollar_timing, NULL, NULL, NULL, NULL, dollar_turnover, dollar_window FROM panes
+  UNION ALL SELECT NULL, {_iso('max_ts_ms')}, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM clocks)"""
+
 ORACLES: dict[str, str] = {
     "all_rides": _with() + f"SELECT {_PLAIN} FROM rides",
     "filter_box": _with() + f"SELECT {_PLAIN} FROM rides WHERE {_BOX}",
@@ -266,15 +275,9 @@ FROM classed WHERE lateness <> 'DROPPED' GROUP BY window_start_us""",
     "pickup_points": _with(*_picked(60_000_000, _OLDEST, _IS_PICKUP)) + "SELECT * FROM picked",
     "session_spans": _with(_sessions(60_000_000))
     + "SELECT ride_id, session_start_us, session_end_us, n_points FROM spans",
-    "route_messages": _with(_CELLS, _CLOCKS, _RATES, _CLASSED, _PANES)
-    + f"""
-, topic AS (
-  SELECT ride_id, {_iso('event_us // 1000')} AS timestamp, NULL AS dollar_timing, NULL::BIGINT AS ntaxis, latitude, longitude,
-         NULL::DOUBLE AS dollar_run_rate_per_minute, NULL::DOUBLE AS dollar_turnover, NULL::DOUBLE AS dollar_window FROM rides
-  UNION ALL SELECT NULL, NULL, NULL, ntaxis, latitude, longitude, NULL, NULL, NULL FROM cells
-  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, dollar_run_rate_per_minute, NULL, NULL FROM rates
-  UNION ALL SELECT NULL, NULL, dollar_timing, NULL, NULL, NULL, NULL, dollar_turnover, dollar_window FROM panes
-  UNION ALL SELECT NULL, {_iso('max_ts_ms')}, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM clocks)
+    "message_topic": _with(_CELLS, _CLOCKS, _RATES, _CLASSED, _PANES, _TOPIC) + "SELECT * FROM topic",
+    "route_messages": _with(_CELLS, _CLOCKS, _RATES, _CLASSED, _PANES, _TOPIC)
+    + """
 SELECT 'ride' AS kind, * FROM topic WHERE ride_id IS NOT NULL
 UNION ALL SELECT 'cell', * FROM topic WHERE ntaxis IS NOT NULL
 UNION ALL SELECT 'rate', * FROM topic WHERE dollar_run_rate_per_minute IS NOT NULL
@@ -316,6 +319,15 @@ FROM flagged GROUP BY 1""",
 SELECT feed_id, batch_id, data_rate,
        CASE WHEN (SELECT MAX(arrival_ms) FROM rides) - batch_id * 5000 > 6000 THEN 'none' ELSE status END AS status
 FROM health WHERE (feed_id, batch_id) IN (SELECT (feed_id, MAX(batch_id)) FROM health GROUP BY feed_id)""",
+    "ring_statistics": _with(_BATCHED)
+    + """
+SELECT ride_status, batch_id, n_messages, ROW_NUMBER() OVER o - 1 AS batch_index, COUNT(*) OVER w AS rows_in_frame,
+       CAST(SUM(n_messages) OVER w AS BIGINT) AS ring_sum, MIN(n_messages) OVER w AS ring_min, MAX(n_messages) OVER w AS ring_max,
+       CAST(SUM(n_messages) OVER w AS DOUBLE) / COUNT(*) OVER w AS ring_avg,
+       MAX(n_messages) OVER w - MIN(n_messages) OVER w AS ring_span
+FROM (SELECT ride_status, batch_id, COUNT(*) AS n_messages FROM batched GROUP BY ALL)
+WINDOW o AS (PARTITION BY ride_status ORDER BY batch_id),
+       w AS (PARTITION BY ride_status ORDER BY batch_id ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)""",
     "bundle_average": _bundle(10_000),
     "bundle_average_short": _bundle(100),
     "turnover_board": _with(_CLASSED, _PANES)
@@ -353,6 +365,8 @@ FROM seen GROUP BY ride_id""",
     "stream_latest_points": _with(*_picked(60_000_000, _NEWEST)) + f"SELECT * FROM picked WHERE session_end_us - 1 <= {_CLOSED}",
     "stream_pickup_points": _with(*_picked(60_000_000, _OLDEST, _IS_PICKUP))
     + f"SELECT * FROM picked WHERE session_end_us - 1 <= {_CLOSED}",
+    "stream_drop_resent": _with() + "SELECT message_id FROM rides",
+    "stream_data_clock": _with() + "SELECT MAX(event_us // 1000) AS clock_ms FROM rides",
     "stream_turnover_panes": _with(_WINDOW_SUMS)
     + f"""
 SELECT window_start_us, 'EARLY' AS dollar_timing, dollar_turnover, dollar_window FROM sums
