@@ -6,8 +6,9 @@ without gathering the arrivals of an id:
 
 1. copies are reduced to one row per (id, arrival ms) before the first shuffle, and an id
    whose last arrival is within the memory of its first needs no more than that;
-2. for the other ids, a pause longer than the memory always begins a new start, so the arrivals of an id fall
-   into independent runs; a run no longer than the memory has just its first arrival as start;
+2. for the other ids, a pause longer than the memory always begins a new start, so their
+   arrivals fall into independent runs; a run no longer than the memory has just its first
+   arrival as start;
 3. in longer runs every arrival points at the first arrival beyond its own memory, and the
    starts are found by following these pointers in doubling steps (joins on id and arrival).
 """

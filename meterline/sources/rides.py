@@ -67,11 +67,11 @@ def load_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_point_idx(rides: DataFrame) -> DataFrame:
     """Position of each message within its ride, in message order, counted from 1.
 
-    The running count works on message-id blocks of 2^16 within a ride, so no task ever
-    holds more than 65,536 rows of one ride however many rows that ride has.
+    The running count works on message-id blocks of 2^20 within a ride, so no window group
+    holds more rows than that however many rows a ride has.
     """
-    blocks = rides.withColumn("_b1", F.shiftright("message_id", 32)).withColumn(
-        "_b2", F.shiftright("message_id", 16)
+    blocks = rides.withColumn("_b1", F.shiftright("message_id", 40)).withColumn(
+        "_b2", F.shiftright("message_id", 20)
     )
     counted = running_count(blocks, ["ride_id"], ["_b1", "_b2", "message_id"], "_before", cut_input=False)
     return counted.withColumn("point_idx", F.col("_before") + 1).drop("_before", "_b1", "_b2")

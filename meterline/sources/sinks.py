@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from meterline import schema
 from meterline.functions import scalars as S
@@ -23,30 +23,38 @@ MESSAGE_COLUMNS = {
 
 @dataclass(frozen=True)
 class JobConfig:
-    """What a job reads and writes. ``source_format`` and ``sink_format`` name Spark formats
-    (parquet, json, kafka, ...); options go to them unchanged."""
+    """What a job reads and writes.
+
+    ``source_format`` is ``kafka`` (the record time is the event time), ``text`` (one JSON
+    message per line, the payload time is the event time), or any format with the columns
+    ``value`` and ``ts``. Options go to the reader and writer unchanged. Without a trigger a
+    job takes its own early-result delay. ``rejects`` names a folder for undecodable rows.
+    """
 
     source: str
     sink: str
     checkpoint: str
-    source_format: str = "json"
+    source_format: str = "text"
     sink_format: str = "text"
-    watermark_delay: str = "0 seconds"
-    trigger: dict = field(default_factory=lambda: {"processingTime": "1 second"})
+    watermark_delay_us: int = 0
+    trigger: dict | None = None
+    rejects: str | None = None
     source_options: dict = field(default_factory=dict)
     sink_options: dict = field(default_factory=dict)
 
 
-def read_stream(spark: SparkSession, config: JobConfig, fields) -> DataFrame:
-    reader = spark.readStream.format(config.source_format).options(**config.source_options)
-    if config.source_format == "kafka":
-        return reader.load().select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ts"))
-    return reader.schema(fields).load(config.source)
+_ENVELOPE = "value string, ts timestamp"
 
 
-def read_batch(spark: SparkSession, config: JobConfig, fields) -> DataFrame:
-    reader = spark.read.format(config.source_format).options(**config.source_options)
-    return reader.schema(fields).load(config.source)
+def read_messages(spark: SparkSession, config: JobConfig, stream: bool = True) -> DataFrame:
+    """``value`` (JSON text) and ``ts`` (event time attribute, NULL where the source has none)."""
+    reader = spark.readStream if stream else spark.read
+    reader = reader.format(config.source_format).options(**config.source_options)
+    if config.source_format == "kafka":
+        return reader.load().select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ts"))
+    if config.source_format == "text":
+        return reader.load(config.source).select("value", F.lit(None).cast("timestamp").alias("ts"))
+    return reader.schema(_ENVELOPE).load(config.source)
 
 
 def to_message(df: DataFrame, kind: str) -> DataFrame:
@@ -78,12 +86,22 @@ def as_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
-def stream_writer(df: DataFrame, config: JobConfig, output_mode: str = "append") -> DataStreamWriter:
-    """JSON messages to the configured sink."""
-    writer = as_json(df).writeStream.format(config.sink_format).outputMode(output_mode)
-    writer = writer.options(**config.sink_options).option("checkpointLocation", config.checkpoint)
-    writer = writer.trigger(**config.trigger)
-    return writer if config.sink_format == "kafka" else writer.option("path", config.sink)
+def start_messages(messages: DataFrame, config: JobConfig, trigger: dict, output_mode: str = "append") -> StreamingQuery:
+    """Send a ``value`` column to the configured sink.
+
+    File sinks know append mode only, so changed panes go to one folder per micro-batch.
+    """
+    if output_mode != "append" and config.sink_format != "kafka":
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.format(config.sink_format).mode("overwrite").save(f"{config.sink}/emit_batch={batch_id}")
+
+        writer = messages.writeStream.foreachBatch(write)
+    else:
+        writer = messages.writeStream.format(config.sink_format).options(**config.sink_options)
+        if config.sink_format != "kafka":
+            writer = writer.option("path", config.sink)
+    return writer.outputMode(output_mode).option("checkpointLocation", config.checkpoint).trigger(**trigger).start()
 
 
 def start_pane_log(df: DataFrame, path: str, checkpoint: str, trigger: dict, output_mode: str = "update") -> StreamingQuery:

@@ -15,6 +15,8 @@ from conftest import RIDES, make_rides, us
 from meterline import constants as K
 from meterline.operators.aggs import upsert_latest
 from meterline.plans import jobs
+from meterline import run
+from meterline.sources import rides as R
 from meterline.sources import sinks
 from meterline.streaming import jobs as stream_jobs
 from meterline.streaming import panes
@@ -109,24 +111,50 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
     assert sorted(map(str, log.drop("emit_batch").select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
-def test_json_sink_writes_messages(spark, tmp_path, ordered_script):
-    rows, script = ordered_script
+def _write_messages(spark, path, rows, extra=()):
+    from meterline.sources.sinks import as_json, ride_message
+
+    lines = [r.value for r in as_json(ride_message(make_rides(spark, rows))).collect()]
+    os.makedirs(path)
+    with open(f"{path}/0.txt", "w") as f:
+        f.write("\n".join([*lines, *extra]))
+
+
+@pytest.mark.parametrize("name", sorted(run.JOBS))
+def test_jobs_from_messages_to_messages(spark, tmp_path, name):
+    rows = _ordered(4, n=120, span=300)
+    rows[0]["latitude"], rows[0]["longitude"], rows[1]["ride_id"] = 40.71, -74.0, "abc"
+    source = str(tmp_path / "in")
+    _write_messages(spark, source, rows, ['{"ride_id":"x"}', "{}"])
     config = sinks.JobConfig(
-        source=script.path, sink=str(tmp_path / "json"), checkpoint=str(tmp_path / "state"), trigger={"availableNow": True}
+        source=source, sink=str(tmp_path / "out"), checkpoint=str(tmp_path / "state"), trigger={"availableNow": True},
+        rejects=str(tmp_path / "bad"),
     )
-    cells = jobs.count_cells(stream_jobs.watermarked(script.stream(), config.watermark_delay))
-    sinks.stream_writer(sinks.to_message(cells, "cell"), config).start().awaitTermination()
+    for query in run.start(spark, name, config):
+        query.awaitTermination()
     back = spark.read.json(config.sink)
-    assert sorted(back.columns) == ["latitude", "longitude", "ntaxis"]
-    assert back.agg(F.sum("ntaxis")).first()[0] == len(rows)
-
-
-def test_read_batch_and_stream_by_config(spark, tmp_path, ordered_script):
-    rows, script = ordered_script
-    config = sinks.JobConfig(source=script.path, sink="", checkpoint="", source_format="parquet")
-    schema = make_rides(spark, rows[:1]).schema
-    assert sinks.read_batch(spark, config, schema).count() == len(rows) + 1
-    assert sinks.read_stream(spark, config, schema).isStreaming
+    assert spark.read.json(config.rejects).count() == 2
+    table = make_rides(spark, rows)
+    if name == "all_rides":
+        assert back.count() == len(rows) and "passenger_count" in back.columns
+    elif name == "filter_box":
+        assert back.count() == jobs.filter_box(table).count() > 0
+    elif name == "filter_prefix":
+        assert [r.ride_id for r in back.collect()] == ["abc"]
+    else:
+        kind = run.JOBS[name].kind
+        assert set(back.columns) - {"emit_batch"} == set(sinks.MESSAGE_COLUMNS[kind])
+        assert back.count() > 0
+
+
+def test_event_time_is_the_attribute_where_there_is_one(spark, tmp_path):
+    text = '{"ride_id":"a","latitude":1,"longitude":2,"timestamp":"2024-01-01T00:00:05Z","meter_increment":1,"ride_status":"pickup"}'
+    path = str(tmp_path / "in")
+    spark.sql(f"select '{text}' value, timestamp'2024-01-01 00:10:00' ts").write.parquet(path)
+    config = sinks.JobConfig(source=path, sink="", checkpoint="", source_format="parquet")
+    judged = R.with_verdict(R.decode_json(sinks.read_messages(spark, config, stream=False)))
+    (row,) = run.typed_rides(judged).collect()
+    assert (row.event_us, row.timestamp.second) == (us(600), 5)
 
 
 def test_resent_messages_pass_once(spark, tmp_path):
