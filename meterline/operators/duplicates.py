@@ -78,7 +78,7 @@ def duplicate_counts(
     # most ids are heard of for less than the memory: their first arrival is the one start
     starts = spans.select(*by, F.col("run_start").alias("arrival_ms"))
     longer = spans.filter(F.col("run_end") - F.col("run_start") > memory_ms).select(*by)
-    spread = cut(salted_join(arrivals, longer, by, "arrival_ms", "left_semi").withColumn("_slot", _slot(memory_ms)))
+    spread = cut(salted_join(arrivals, longer, by, "arrival_ms", "left_semi", salts=1).withColumn("_slot", _slot(memory_ms)))
     starts = starts.unionByName(_later_starts(spread, by, memory_ms))
     marked = arrivals.join(starts.withColumn("_start", F.lit(1)), [*by, "arrival_ms"], "left")
     return marked.select(
@@ -112,20 +112,23 @@ def _later_starts(arrivals: DataFrame, keys: list[str], memory_ms: int) -> DataF
     )
     # no arrival left in the probed slot: the run goes on in the next slot it occupies
     slot_after = long_slots.select(*keys, F.col("_slot").alias("probe_slot"), "next_slot_first")
-    jump = cut(
+    jump = (
         follow.join(slot_after, [*keys, "probe_slot"], "left")
         .withColumn("to", F.coalesce("to", "next_slot_first"))
         .filter(F.col("to").isNotNull() & (F.col("to") <= F.col("run_end")))
         .select(*keys, "from", "to")
     )
+    if links > 1:
+        jump = cut(jump)
     first_of_run = long_slots.select(*keys, F.col("run_start").alias("from")).distinct()
     reached = first_of_run
     hop = 1
     while hop <= links:  # doubles, so a run of a year takes about twenty rounds
         ahead = reached.join(jump, [*keys, "from"]).select(*keys, F.col("to").alias("from"))
-        reached = cut(reached.unionByName(ahead))
+        reached = reached.unionByName(ahead)
         hop *= 2
         if hop <= links:
+            reached = cut(reached)
             second = jump.select(*keys, F.col("from").alias("to"), F.col("to").alias("beyond"))
             jump = cut(jump.join(second, [*keys, "to"]).select(*keys, "from", F.col("beyond").alias("to")))
     later = reached.join(first_of_run, [*keys, "from"], "left_anti")
