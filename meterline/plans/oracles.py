@@ -254,7 +254,8 @@ SELECT message_id, verdict, CASE WHEN verdict = 'good' THEN latitude END AS lati
        CASE WHEN verdict = 'good' THEN meter_increment END AS meter_increment
 FROM (SELECT *, CASE WHEN ride_status <> 'dropoff' OR passenger_count = 6 THEN 'good'
                      WHEN passenger_count = 1 THEN 'missing latitude' WHEN passenger_count = 2 THEN 'bad timestamp'
-                     WHEN passenger_count = 3 THEN 'bad meter_increment' ELSE 'missing ride_id' END AS verdict FROM rides)""",
+                     WHEN passenger_count = 3 THEN 'bad meter_increment' WHEN passenger_count = 5 THEN 'malformed'
+                     ELSE 'missing ride_id' END AS verdict FROM rides)""",
     "grid_cells": _with()
     + f"SELECT message_id, {_cell('latitude')} AS latitude, {_cell('longitude')} AS longitude FROM rides",
     "max_timestamp": _with(_CLOCKS) + f"SELECT *, {_iso('max_ts_ms')} AS timestamp FROM clocks",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterline import constants as K
+from meterline.functions import scalars as S
 from meterline.operators.windows import micros
 from meterline.plans import jobs
 from meterline.session import prepare
@@ -27,10 +28,15 @@ from meterline.streaming import panes
 
 @dataclass(frozen=True)
 class StreamJob:
-    """``build`` maps (rides, watermark delay in us) to results; ``kind`` names their message, None = unchanged."""
+    """A job on decoded rides.
+
+    ``build`` maps (rides, watermark delay in us) to results; ``kind`` names their message, None
+    passes the input message on unchanged. A row is rejected only for fields in ``needs``.
+    """
 
     build: Callable[[DataFrame, int], DataFrame]
     kind: str | None
+    needs: tuple[str, ...]
     output_mode: str = "append"
     early_delay: str = "1 second"
 
@@ -39,27 +45,42 @@ def _windowed(job: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int
     return lambda rides, delay_us: job(rides.withWatermark("event_ts", micros(delay_us)))
 
 
+POSITION = ("latitude", "longitude")
+POINT = ("ride_id", *POSITION, "timestamp", "ride_status")
+FARE = ("meter_increment",)
+
 JOBS: dict[str, StreamJob] = {
-    "all_rides": StreamJob(lambda rides, _d: jobs.all_rides(rides), None),
-    "filter_box": StreamJob(lambda rides, _d: jobs.filter_box(rides), None),
-    "filter_prefix": StreamJob(lambda rides, _d: jobs.filter_prefix(rides), None),
-    "max_timestamp": StreamJob(_windowed(jobs.max_timestamp), "clock"),
-    "count_cells": StreamJob(_windowed(jobs.count_cells), "cell"),
-    "run_rate": StreamJob(_windowed(jobs.run_rate), "rate"),
+    "all_rides": StreamJob(lambda rides, _d: jobs.all_rides(rides), None, ()),
+    "filter_box": StreamJob(lambda rides, _d: jobs.filter_box(rides), None, POSITION),
+    "filter_prefix": StreamJob(lambda rides, _d: jobs.filter_prefix(rides), None, ("ride_id",)),
+    "max_timestamp": StreamJob(_windowed(jobs.max_timestamp), "clock", ("timestamp",)),
+    "count_cells": StreamJob(_windowed(jobs.count_cells), "cell", POSITION),
+    "run_rate": StreamJob(_windowed(jobs.run_rate), "rate", FARE),
     "exact_turnover": StreamJob(
-        lambda rides, d: panes.turnover_panes(rides, delay_us=d), "pane", "update", K.TURNOVER_EARLY_DELAY
+        lambda rides, d: panes.turnover_panes(rides, delay_us=d), "pane", FARE, "update", K.TURNOVER_EARLY_DELAY
     ),
     "latest_points": StreamJob(
-        lambda rides, d: panes.latest_panes(rides, delay_us=d), "point", "update", K.LATEST_EARLY_DELAY
+        lambda rides, d: panes.latest_panes(rides, delay_us=d), "point", POINT, "update", K.LATEST_EARLY_DELAY
     ),
     "pickup_points": StreamJob(
-        lambda rides, d: panes.pickup_panes(rides, delay_us=d), "point", "update", K.PICKUP_EARLY_DELAY
+        lambda rides, d: panes.pickup_panes(rides, delay_us=d), "point", POINT, "update", K.PICKUP_EARLY_DELAY
     ),
 }
 
 
+def judge(messages: DataFrame, job: StreamJob) -> DataFrame:
+    """Decoded messages with the reason why the job cannot use one, if there is one."""
+    judged = R.with_verdict(R.decode_json(messages), job.needs)
+    if job.kind is None:
+        return judged
+    # the windows need an event time: the message attribute, or the payload time without one
+    timeless = F.col("ts").isNull() & S.iso_to_ms(F.col("timestamp")).isNull()
+    reason = F.coalesce("reject_reason", F.when(timeless, F.lit("no event time")))
+    return judged.withColumn("reject_reason", reason)
+
+
 def typed_rides(judged: DataFrame) -> DataFrame:
-    """Good rows with their event time: the message attribute, or the payload time without one."""
+    """Good rows with their event time."""
     good = R.good_rows(judged).withColumn("_time", F.coalesce("ts", "timestamp"))
     rides = R.with_event_time(good, "_time").drop("_time", "ts")
     # a stand-in order for equal payload times; it does not depend on when a row arrives
@@ -69,7 +90,7 @@ def typed_rides(judged: DataFrame) -> DataFrame:
 def start(spark: SparkSession, name: str, config: sinks.JobConfig) -> list[StreamingQuery]:
     job = JOBS[name]
     trigger = config.trigger or {"processingTime": job.early_delay}
-    judged = R.with_verdict(R.decode_json(sinks.read_messages(prepare(spark), config)))
+    judged = judge(sinks.read_messages(prepare(spark), config), job)
     out = job.build(typed_rides(judged), config.watermark_delay_us)
     messages = out.select("value") if job.kind is None else sinks.as_json(sinks.to_message(out, job.kind))
     queries = [sinks.start_messages(messages, config, trigger, job.output_mode)]

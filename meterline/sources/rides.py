@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline import constants as K
 from meterline.functions import scalars as S
 from meterline.operators.scan import running_count
 from meterline.schema import EVENTS_SCHEMA, RIDE_TEXT_SCHEMA
 
+MALFORMED = "_malformed"
 REQUIRED = ("ride_id", "latitude", "longitude", "timestamp", "meter_increment", "ride_status")
 
 # The event table spans 30 days; time is compressed so that 1 s and 1 min windows fill up.
@@ -85,19 +87,20 @@ def decode_json(messages: DataFrame, column: str = "value") -> DataFrame:
     The parse is a generator, so later filters on the fields cannot be moved below it, where
     they would parse the text again for every field they test.
     """
-    parsed = F.inline(F.array(F.from_json(F.col(column), RIDE_TEXT_SCHEMA)))
-    return messages.select(*messages.columns, parsed)
+    schema = T.StructType([*RIDE_TEXT_SCHEMA.fields, T.StructField(MALFORMED, T.StringType())])
+    parsed = F.from_json(F.col(column), schema, {"columnNameOfCorruptRecord": MALFORMED})
+    return messages.select(*messages.columns, F.inline(F.array(parsed)))
 
 
 def reject_reason(required: tuple[str, ...] = REQUIRED) -> Column:
-    """First rule a decoded row breaks; NULL for a good row."""
+    """First rule a decoded row breaks; NULL for a good row. Fields not required may be absent or odd."""
     checks = {
         "latitude": S.number(F.col("latitude")),
         "longitude": S.number(F.col("longitude")),
         "timestamp": S.iso_to_ms(F.col("timestamp")),
         "meter_increment": S.number(F.col("meter_increment")),
     }
-    reasons = []
+    reasons = [F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed"))]
     for name in required:
         reasons.append(F.when(F.col(name).isNull(), F.lit(f"missing {name}")))
         if name in checks:
@@ -106,7 +109,7 @@ def reject_reason(required: tuple[str, ...] = REQUIRED) -> Column:
 
 
 def with_verdict(decoded: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
-    return decoded.withColumn("reject_reason", reject_reason(required))
+    return decoded.withColumn("reject_reason", reject_reason(required)).drop(MALFORMED)
 
 
 def typed_fields() -> dict[str, Column]:

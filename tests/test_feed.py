@@ -213,7 +213,7 @@ def test_rejects_say_why(spark):
         good.replace("0.5", '"x"'): "bad meter_increment",
         good.replace("02Z", "02"): "bad timestamp",
         "{}": "missing ride_id",
-        "{nonsense": "missing ride_id",
+        "{nonsense": "malformed",
     }
     df = spark.createDataFrame([(t,) for t in texts], "value string")
     judged = R.with_verdict(R.decode_json(df))
