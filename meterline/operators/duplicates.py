@@ -64,6 +64,20 @@ def _pointers(long_arrivals: DataFrame, keys: list[str], memory_ms: int) -> Data
     )
 
 
+def start_arrivals(
+    deliveries: DataFrame, keys: tuple[str, ...] = ("message_id",), memory_ms: int = K.DUPLICATE_MEMORY_MS
+) -> DataFrame:
+    """(id, arrival ms) of every delivery that makes its id known: all others are duplicates."""
+    by = list(keys)
+    spans = deliveries.groupBy(*by).agg(F.min("arrival_ms").alias("run_start"), F.max("arrival_ms").alias("run_end"))
+    # most ids are heard of for less than the memory: their first arrival is the one start
+    firsts = spans.select(*by, F.col("run_start").alias("arrival_ms"))
+    longer = spans.filter(F.col("run_end") - F.col("run_start") > memory_ms).select(*by)
+    arrivals = deliveries.select(*by, "arrival_ms").distinct().withColumn("_slot", _slot(memory_ms))
+    spread = cut(salted_join(arrivals, longer, by, "arrival_ms", "left_semi", salts=1))
+    return firsts.unionByName(_later_starts(spread, by, memory_ms))
+
+
 def duplicate_counts(
     deliveries: DataFrame, keys: tuple[str, ...] = ("message_id",), memory_ms: int = K.DUPLICATE_MEMORY_MS
 ) -> DataFrame:
@@ -72,21 +86,11 @@ def duplicate_counts(
     Copies of one id in one ms cannot be told apart; where that ms is a start, one of them
     is the start and the others are duplicates.
     """
-    by = list(keys)
-    arrivals = deliveries.groupBy(*by, "arrival_ms").agg(F.count("*").alias("copies"))
-    spans = deliveries.groupBy(*by).agg(F.min("arrival_ms").alias("run_start"), F.max("arrival_ms").alias("run_end"))
-    # most ids are heard of for less than the memory: their first arrival is the one start
-    starts = spans.select(*by, F.col("run_start").alias("arrival_ms"))
-    longer = spans.filter(F.col("run_end") - F.col("run_start") > memory_ms).select(*by)
-    spread = cut(salted_join(arrivals, longer, by, "arrival_ms", "left_semi", salts=1).withColumn("_slot", _slot(memory_ms)))
-    starts = starts.unionByName(_later_starts(spread, by, memory_ms))
-    marked = arrivals.join(starts.withColumn("_start", F.lit(1)), [*by, "arrival_ms"], "left")
-    return marked.select(
-        *by,
-        "arrival_ms",
-        "copies",
-        (F.col("copies") - F.coalesce("_start", F.lit(0))).cast("bigint").alias("duplicates"),
-    )
+    arrival = [*keys, "arrival_ms"]
+    copies = deliveries.groupBy(*arrival).agg(F.count("*").alias("copies"))
+    starts = start_arrivals(deliveries, keys, memory_ms).withColumn("_start", F.lit(1))
+    duplicates = F.col("copies") - F.coalesce("_start", F.lit(0))
+    return copies.join(starts, arrival, "left").select(*arrival, "copies", duplicates.cast("bigint").alias("duplicates"))
 
 
 def _slot(memory_ms: int) -> Column:
@@ -135,7 +139,17 @@ def _later_starts(arrivals: DataFrame, keys: list[str], memory_ms: int) -> DataF
     return starts.unionByName(later.select(*keys, F.col("from").alias("arrival_ms")))
 
 
-def duplicates_per_batch(counts: DataFrame, batch_ms: int = K.TICK_MS) -> DataFrame:
-    return counts.groupBy(F.expr(f"arrival_ms div {batch_ms}").alias("batch_id")).agg(
-        F.sum("copies").alias("n_messages"), F.sum("duplicates").alias("n_duplicates")
-    )
+def duplicates_per_batch(
+    deliveries: DataFrame,
+    batch_ms: int = K.TICK_MS,
+    feed: tuple[str, ...] = (),
+    memory_ms: int = K.DUPLICATE_MEMORY_MS,
+) -> DataFrame:
+    """Messages and duplicates per (feed and) pull batch: what came, less what was a start."""
+    by = [*feed, "batch_id"]
+    batch = F.expr(f"arrival_ms div {batch_ms}").alias("batch_id")
+    came = deliveries.groupBy(*feed, batch).agg(F.count("*").alias("n_messages"))
+    starts = start_arrivals(deliveries, (*feed, "message_id"), memory_ms)
+    new = starts.groupBy(*feed, batch).agg(F.count("*").alias("_new"))
+    duplicates = F.col("n_messages") - F.coalesce("_new", F.lit(0))
+    return came.join(new, by, "left").select(*by, "n_messages", duplicates.alias("n_duplicates"))

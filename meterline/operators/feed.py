@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterline import constants as K
 from meterline.functions import scalars as S
 from meterline.operators.aggs import last_value, upsert_latest
-from meterline.operators.duplicates import duplicate_counts
+from meterline.operators.duplicates import duplicates_per_batch
 from meterline.operators.joins import salted_join
 from meterline.operators.scan import exclusive_scan, last_n, running_count
 
@@ -33,10 +33,7 @@ def route_messages(opened: DataFrame, fields: str = "fields") -> DataFrame:
 
 def feed_batches(deliveries: DataFrame, feed: str = "feed_id", batch_ms: int = K.TICK_MS) -> DataFrame:
     """Messages and duplicates per feed and pull batch."""
-    counts = duplicate_counts(deliveries, (feed, "message_id"))
-    return counts.groupBy(feed, F.expr(f"arrival_ms div {batch_ms}").alias("batch_id")).agg(
-        F.sum("copies").alias("n_messages"), F.sum("duplicates").alias("n_duplicates")
-    )
+    return duplicates_per_batch(deliveries, batch_ms, (feed,))
 
 
 def data_rate(messages: Column, span_ms: Column) -> Column:

@@ -236,7 +236,7 @@ def flag_duplicates(rides: DataFrame) -> DataFrame:
 
 @_register
 def duplicates_per_batch(rides: DataFrame) -> DataFrame:
-    return duplicates.duplicates_per_batch(duplicates.duplicate_counts(datasets.deliveries(rides)))
+    return duplicates.duplicates_per_batch(datasets.deliveries(rides))
 
 
 def _health(rides: DataFrame) -> DataFrame:
