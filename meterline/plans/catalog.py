@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline import constants as K
-from meterline.functions import scalars as S
 from meterline.operators import duplicates, elementwise, feed, lateness, sessions, trails
 from meterline.operators.scan import ring_statistics as ring_stats
 from meterline.operators.scan import running_count
