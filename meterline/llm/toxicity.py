@@ -15,14 +15,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import WordHashes, map_texts, mixed, remainder
+from meterline.llm.common import REMEMBERED, map_texts, mixed, remainder
 
 BITS = 20
 MOST_TOXIC, MOST_CLEAN = 6_000, 10_000
-ALPHA, BETA, L1, L2, ROUNDS = 0.15, 1.0, 1.0, 0.5, 2
+ALPHA, BETA, L1, L2, ROUNDS = 0.5, 1.0, 3.0, 0.0, 4
 HOLD_OUT, HELD = 4, 2
 #: Beginnings of words that are features of their own, in bytes.
 STEMS = (4, 5, 6)
@@ -30,19 +31,45 @@ _SPACE = [np.uint64(x) for x in (0x1B873593, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)
 _STRIP = b".,;:!?\"'()[]{}<>*#$%&|"
 
 
-def features(text: bytes, hashes: WordHashes) -> np.ndarray:
-    """Places of the features of a text, each once, in ascending order."""
-    words = [w for w in (x.strip(_STRIP) for x in text.lower().split()) if w]
-    if not words:
-        return np.zeros(0, np.int64)
-    once = list(set(words))
-    stems = list({w[:k] + b"*" for w in once for k in STEMS if len(w) > k})
-    codes = hashes.of(words)
-    parts = [mixed(hashes.of(once) ^ _SPACE[0]), mixed(hashes.of(stems) ^ _SPACE[0])]
+class WordTable(dict):
+    """Row of a word in ``codes``: hashes of the stripped word and of its beginnings (0: none). Emptied when full."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.codes = np.zeros((1024, 1 + len(STEMS)), np.uint64)
+
+    def __missing__(self, raw: bytes) -> int:
+        row = len(self)
+        if row == len(self.codes):
+            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
+        word = raw.strip(_STRIP)
+        hashes = [xxhash.xxh64_intdigest(word)] + [xxhash.xxh64_intdigest(word[:k] + b"*") if len(word) > k else 0 for k in STEMS]
+        self.codes[row] = hashes if word else 0
+        self[raw] = row
+        return row
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > REMEMBERED:
+            self.clear()
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.codes[rows[self.codes[rows, 0] != 0]]
+
+
+def places(text: bytes, words: WordTable) -> np.ndarray:
+    """Places of all features of a text; a feature that occurs twice is there twice."""
+    codes = words.of(text.lower().split())
+    single = codes.ravel()
+    parts = [mixed(single[single != 0] ^ _SPACE[0])]
+    code = codes[:, 0]
     for gap in (1, 2, 3):
-        if len(codes) > gap:
-            parts.append(mixed(mixed(codes[:-gap] ^ _SPACE[gap]) + codes[gap:]))
-    return np.unique(np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64)
+        if len(code) > gap:
+            parts.append(mixed(mixed(code[:-gap] ^ _SPACE[gap]) + code[gap:]))
+    return (np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def features(text: bytes, words: WordTable) -> np.ndarray:
+    """Each place once, in ascending order."""
+    return np.unique(places(text, words))
 
 
 class Ftrl:
@@ -85,10 +112,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     share = labels.where(F.col("toxic").isNotNull() & admitted).agg(
         F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0)).alias("p"), F.count("*").alias("n")
     )
-    hashes = WordHashes()
+    words = WordTable()
 
     def work(texts: list[bytes]) -> dict[str, object]:
-        return {"at": pa.array([features(t, hashes).astype(np.int32) for t in texts], pa.list_(pa.int32()))}
+        return {"at": pa.array([features(t, words).astype(np.int32) for t in texts], pa.list_(pa.int32()))}
 
     # the sample is bounded by the two parameters above, so it may be broadcast and learned from in one task
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")
@@ -115,25 +142,28 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     order = F.xxhash64(F.col("doc_id"), F.lit(7)).alias("o")
     model = known.select("at", "y", order).repartition(1).mapInArrow(learn, "place int, weight double").toArrow()
     p, n = share.first()
-    places, weights = model["place"].to_numpy(), model["weight"].to_numpy()
+    at, weights = model["place"].to_numpy(), model["weight"].to_numpy()
     prior = float(np.log((p + 0.5) / (n - p + 0.5)))
-    intercept = prior + float(weights[places < 0].sum())
-    order = np.argsort(places[places >= 0])
-    return places[places >= 0][order], weights[places >= 0][order], intercept
+    intercept = prior + float(weights[at < 0].sum())
+    order = np.argsort(at[at >= 0])
+    return at[at >= 0][order], weights[at >= 0][order], intercept
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
-    places, weights, intercept = fitted(docs, labels)
-    hashes = WordHashes()
-    shared = docs.sparkSession.sparkContext.broadcast((places.astype(np.int32), weights.astype(np.float32)))
+    at, weights, intercept = fitted(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), weights.astype(np.float32)))
+    words = WordTable()
 
     def work(texts: list[bytes]) -> dict[str, object]:
         at, w = shared.value
         full = np.zeros(1 << BITS, np.float32)
         full[at] = w
-        raw = np.array([full[features(t, hashes)].sum(dtype=float) for t in texts]) + intercept
-        return {"score": pa.array(1 / (1 + np.exp(-np.clip(raw, -35, 35))), pa.float64())}
+        raw = np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            found = places(text, words)
+            raw[i] = full[np.unique(found[full[found] != 0])].sum(dtype=float)
+        return {"score": pa.array(1 / (1 + np.exp(-np.clip(raw + intercept, -35, 35))), pa.float64())}
 
     return map_texts(docs, work, "score double").select(
         "doc_id",
