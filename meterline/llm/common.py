@@ -15,10 +15,18 @@ from meterline.session import cut
 #: Words are maximal runs of anything but the six ASCII blanks; ``bytes.split()`` cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words whose hash a worker remembers at most; the memory is emptied beyond, results do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
 
+#: Rows of whole texts that a Python worker is handed at a time; it bounds its memory, results do not depend on it.
+BATCH = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -74,6 +82,7 @@ def map_texts(
 
     ``schema`` names the columns of ``work`` only. Only the keys and the text are read.
     """
+    small_batches(rows.sparkSession)
     kinds = dict(rows.select(*keys).dtypes)
     head = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
     source = rows.select(*keys, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import WordHashes, map_texts, remainder, shingles
+from meterline.llm.common import WordHashes, map_texts, remainder, shingles, small_batches
 
 #: Labelled rows that the trees are fitted on at most, the smallest by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -172,6 +172,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text scores at least ``GOOD``; nothing is shuffled."""
+    small_batches(docs.sparkSession)
     forest, hashes = fitted(docs, labels), WordHashes()
 
     def run(batches):
