@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.session import cut
@@ -19,6 +19,8 @@ REMEMBERED = 200_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
 
+#: Rows of a few numbers each that are broadcast at most; longer tables are joined.
+SMALL_TABLE = 100_000
 #: Rows of whole texts that a Python worker is handed at a time; it bounds its memory, results do not depend on it.
 BATCH = "1000"
 
@@ -96,31 +98,27 @@ def map_texts(
     return source.mapInArrow(run, f"{head}, {schema}")
 
 
-def with_global_index(rows: DataFrame, order: list[str], group: list[str], label: str) -> DataFrame:
-    """``rows`` with ``rank``: the place of a row, from 0, among the rows of its group in the given order.
+def sorted_slices(rows: DataFrame, order: list[str], label: str) -> DataFrame:
+    """``rows`` in the given order, written once; ``__slice`` and ``__inside`` say where a row stands.
 
-    ``order`` begins with the columns of ``group``. One range shuffle and sort, the sorted rows written
-    once; then only the counts of the sorted slices are added up (as many rows as there are slices times
-    groups per slice), so a group that holds most rows is ranked in parallel. No nulls in ``order``.
+    One range shuffle. No nulls in the columns of ``order``.
     """
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    held = cut(sorted_rows.withColumn("__at", F.monotonically_increasing_id()), label)
-    place = held.select(
-        "*",
-        F.shiftright("__at", 33).alias("__slice"),
-        F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)).alias("__inside"),
-    )
-    from pyspark.sql import Window
-
-    counts = place.groupBy(*group, "__slice").agg(F.count("*").alias("__n"), F.min("__inside").alias("__first"))
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    held = cut(placed.withColumn("__at", F.monotonically_increasing_id()), label)
+    inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return held.withColumns({"__slice": F.shiftright("__at", 33), "__inside": inside}).drop("__at")
+
+
+def ranked(held: DataFrame, group: list[str]) -> DataFrame:
+    """``sorted_slices`` whose order begins with ``group``, with ``__rank``: the place, from 0, in the row's group.
+
+    Only the counts of the slices are added up, so a group that holds most rows is ranked in parallel. The
+    counts, about one row per slice and per group, are broadcast if they are few, and joined otherwise.
+    """
+    counts = held.groupBy(*group, "__slice").agg(F.count("*").alias("__n"), F.min("__inside").alias("__first"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(g).alias(f"__{g}") for g in group],
-        F.col("__slice").alias("__s"),
-        (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__offset"),
-    )
-    same = F.col("__slice") == F.col("__s")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
-    joined = place.join(offsets, same).withColumn("rank", F.col("__inside") + F.col("__offset"))
-    return joined.drop("__at", "__slice", "__inside", "__s", "__offset", *[f"__{g}" for g in group])
+    start = (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__start")
+    starts = cut(counts.select(*group, "__slice", start), "starts")
+    if starts.count() <= SMALL_TABLE:
+        starts = F.broadcast(starts)
+    return held.join(starts, [*group, "__slice"]).withColumn("__rank", F.col("__inside") + F.col("__start")).drop("__start")

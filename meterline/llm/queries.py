@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import quality_gbt, quality_rules, toxicity
+from meterline.llm import mixing, packing, quality_gbt, quality_rules, toxicity
 from meterline.llm.common import table
 
 
@@ -21,6 +21,14 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_table(table(spark, folder, "documents"))
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_gbt.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -28,7 +36,9 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op8_mixing": op8_mixing,
+    "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_mixing": mixing.ORACLE}
