@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import mixing, packing, quality_gbt, quality_rules, toxicity
+from meterline.llm import minhash, mixing, packing, quality_gbt, quality_rules, toxicity
 from meterline.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_table(table(spark, folder, "documents"))
 
@@ -36,6 +40,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
