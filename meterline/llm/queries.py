@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import embed_dedup, minhash, mixing, packing, quality_gbt, quality_rules, toxicity
+from meterline.llm import embed_dedup, minhash, mixing, packing, pii, quality_gbt, quality_rules, toxicity
 from meterline.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.apply_policy(quality_rules.ledger(table(spark, folder, "documents")))
     base = (rows.failed.bitwiseAND(quality_rules.BASE) != 0).alias("base_failed")
@@ -43,6 +47,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_duplicates": op1_embedding_duplicates,
+    "op3_personal_data": op3_personal_data,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
