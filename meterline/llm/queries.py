@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import embed_dedup, minhash, mixing, packing, pii, quality_gbt, quality_rules, toxicity
+from meterline.llm import embed_dedup, lm, minhash, mixing, packing, pii, quality_gbt, quality_rules, toxicity
 from meterline.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(table(spark, folder, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_duplicates": op1_embedding_duplicates,
+    "op2_language_model": op2_language_model,
     "op3_personal_data": op3_personal_data,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
