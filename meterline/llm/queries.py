@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import embed_dedup, lm, minhash, mixing, packing, pii, quality_gbt, quality_rules, toxicity
+from meterline.llm import embed_dedup, html_extract, lm, minhash, mixing, packing, pii, quality_gbt, quality_rules, toxicity
 from meterline.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.main_text(table(spark, folder, "pages"))
+
+
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_main_text": op6_main_text,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
