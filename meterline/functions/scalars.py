@@ -13,8 +13,31 @@ def float32(col: Column) -> Column:
     return col.try_cast("float")
 
 
+#: Greatest amount (in size) whose nano units fit a BIGINT with room to spare.
+LARGEST_AMOUNT = 1e9
+
+
 def number(col: Column) -> Column:
-    return col.try_cast("double")
+    """Double-precision value of a finite number or of its text; NULL for anything else."""
+    value = col.try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)  # false for NaN, too: it is greater
+
+
+def floor_div(col: Column, width: int) -> Column:
+    """Whole-number division that rounds down, also below zero (``div`` rounds towards zero)."""
+    return F.call_function("div", col - F.pmod(col, F.lit(width)), F.lit(width))
+
+
+def degrees(col: Column, most: float) -> Column:
+    """A position of at most ``most`` degrees to either side; NULL otherwise."""
+    value = number(col)
+    return F.when(F.abs(value) <= F.lit(most), value)
+
+
+def amount(col: Column) -> Column:
+    """An amount of money that exact sums can hold; NULL otherwise."""
+    value = number(col)
+    return F.when(F.abs(value) <= F.lit(LARGEST_AMOUNT), value)
 
 
 def grid_cell(degrees: Column, edge: float = K.CELL_EDGE) -> Column:
@@ -57,8 +80,11 @@ def one_decimal(col: Column) -> Column:
 
 
 def us_currency(amount: Column) -> Column:
+    """Dollars and cents; halves of a cent of the decimal value go away from zero."""
     sign = F.when(amount < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, F.lit("$"), F.format_number(F.abs(amount), 2))
+    # the shortest decimal text of a double, so that 2.675 counts as a half as it is shown
+    cents = F.round(F.abs(amount).cast("string").cast("decimal(38,12)"), 2)
+    return F.concat(sign, F.lit("$"), F.format_number(cents, 2))
 
 
 # Every BIGINT weight reaches 0 well within this many steps of w -> floor(4w/5).
@@ -94,7 +120,7 @@ def money_lo(amount: Column) -> Column:
 
 
 def _nanos(amount: Column) -> Column:
-    return F.rint(number(amount) * F.lit(1e9)).cast("bigint")
+    return F.rint(number(amount) * F.lit(1e9)).try_cast("bigint")
 
 
 def money_value(hi: Column, lo: Column) -> Column:

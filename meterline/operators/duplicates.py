@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline import constants as K
+from meterline.functions import scalars as S
 from meterline.operators.joins import salted_join
 from meterline.session import cut
 
@@ -49,7 +50,7 @@ def _pointers(long_arrivals: DataFrame, keys: list[str], memory_ms: int) -> Data
     arrival = long_arrivals.select(*keys, "_slot", F.col("arrival_ms").alias("at"), F.lit(None).cast("bigint").alias("src"))
     probe = long_arrivals.select(
         *keys,
-        F.expr(f"(arrival_ms + {memory_ms}) div {width}").alias("_slot"),
+        S.floor_div(F.col("arrival_ms") + memory_ms, width).alias("_slot"),
         (F.col("arrival_ms") + memory_ms).alias("at"),
         F.col("arrival_ms").alias("src"),
     )
@@ -94,7 +95,7 @@ def duplicate_counts(
 
 
 def _slot(memory_ms: int) -> Column:
-    return F.expr(f"arrival_ms div {memory_ms + 1}")
+    return S.floor_div(F.col("arrival_ms"), memory_ms + 1)
 
 
 def _later_starts(arrivals: DataFrame, keys: list[str], memory_ms: int) -> DataFrame:
@@ -147,7 +148,7 @@ def duplicates_per_batch(
 ) -> DataFrame:
     """Messages and duplicates per (feed and) pull batch: what came, less what was a start."""
     by = [*feed, "batch_id"]
-    batch = F.expr(f"arrival_ms div {batch_ms}").alias("batch_id")
+    batch = S.floor_div(F.col("arrival_ms"), batch_ms).alias("batch_id")
     came = deliveries.groupBy(*feed, batch).agg(F.count("*").alias("n_messages"))
     starts = start_arrivals(deliveries, (*feed, "message_id"), memory_ms)
     new = starts.groupBy(*feed, batch).agg(F.count("*").alias("_new"))

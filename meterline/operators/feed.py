@@ -114,7 +114,7 @@ def bundle_average(cells: DataFrame, n: int = K.BUNDLE_ROWS) -> DataFrame:
     A cell's place in the order is a running count over (hour, window, latitude) groups; one
     latitude band has at most 360 / edge cells.
     """
-    leveled = cells.withColumn("_hour", F.expr("window_start_us div 3600000000"))
+    leveled = cells.withColumn("_hour", S.floor_div(F.col("window_start_us"), 3_600_000_000))
     levels = ["_hour", "window_start_us", "latitude", "longitude"]
     indexed = running_count(leveled, [], levels, "cell_index").drop("_hour")
     framed = last_n(indexed, [], "cell_index", n, sums={"_sum": "ntaxis"})
@@ -126,7 +126,7 @@ def bundle_average(cells: DataFrame, n: int = K.BUNDLE_ROWS) -> DataFrame:
 def data_clock(points: DataFrame) -> DataFrame:
     """Greatest payload time seen up to and with each batch."""
     per_batch = points.groupBy("batch_id").agg(F.max("ts_ms").alias("batch_max_ms"))
-    leveled = per_batch.withColumn("_hour", F.expr(f"batch_id div {3_600_000 // K.TICK_MS}"))
+    leveled = per_batch.withColumn("_hour", S.floor_div(F.col("batch_id"), 3_600_000 // K.TICK_MS))
     seen = exclusive_scan(leveled, [], ["_hour", "batch_id"], {"_seen": ("max", "batch_max_ms")})
     clock = F.greatest(F.col("_seen"), F.col("batch_max_ms"))
     return seen.select("batch_id", clock.alias("clock_ms"), S.ms_to_iso(clock).alias("clock"))

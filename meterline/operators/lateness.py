@@ -16,7 +16,7 @@ _ARRIVAL_LEVELS = ["_day", "_min", "arrival_ms"]
 
 def _arrival_levels(df: DataFrame) -> DataFrame:
     return df.withColumns(
-        {"_day": F.expr("arrival_ms div 86400000"), "_min": F.expr("arrival_ms div 60000")}
+        {"_day": S.floor_div(F.col("arrival_ms"), 86_400_000), "_min": S.floor_div(F.col("arrival_ms"), 60_000)}
     )
 
 
@@ -39,7 +39,7 @@ def lateness_class(window_end_us: Column, watermark_us: Column, lateness_us: int
 
 
 def _window_start(width_us: int) -> Column:
-    return F.expr(f"event_us div {width_us} * {width_us}")
+    return S.floor_div(F.col("event_us"), width_us) * width_us
 
 
 def classify_rows(
@@ -47,7 +47,7 @@ def classify_rows(
 ) -> DataFrame:
     """Every row with its window, the watermark it met and its class."""
     marks = watermark_by_arrival(df, delay_us)
-    rows = salted_join(df, marks, ["arrival_ms"], "message_id")
+    rows = salted_join(df, marks, ["arrival_ms"], "message_id", salts=1)
     end = F.col("window_start_us") + width_us
     return rows.withColumn("window_start_us", _window_start(width_us)).withColumn(
         "lateness", lateness_class(end, F.col("watermark_us"), lateness_us)
@@ -106,7 +106,7 @@ def turnover_panes(classified: DataFrame) -> DataFrame:
     steps = kept.groupBy("window_start_us", order.alias("pane_order")).agg(
         F.sum("hi").alias("hi"), F.sum("lo").alias("lo")
     )
-    leveled = steps.withColumn("_min", F.expr("pane_order div 60000"))
+    leveled = steps.withColumn("_min", S.floor_div(F.col("pane_order"), 60_000))
     before = exclusive_scan(
         leveled, ["window_start_us"], ["_min", "pane_order"], {"hi0": ("sum", "hi"), "lo0": ("sum", "lo")}
     )

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline import constants as K
+from meterline.functions import scalars as S
 from meterline.operators.aggs import newest_first, oldest_first
 from meterline.operators.windows import micros
 
 
 def session_slots(df: DataFrame, gap_us: int, key: str, *aggs: Column) -> DataFrame:
-    slot = F.expr(f"event_us div {gap_us}").alias("slot")
+    slot = S.floor_div(F.col("event_us"), gap_us).alias("slot")
     return df.groupBy(key, slot).agg(
         F.min("event_us").alias("first_us"), F.max("event_us").alias("last_us"), *aggs
     )

@@ -14,7 +14,7 @@ from meterline.session import cut
 
 def with_batch(df: DataFrame, batch_ms: int = K.TICK_MS) -> DataFrame:
     """A pull batch is what arrived within one tick."""
-    return df.withColumn("batch_id", F.expr(f"arrival_ms div {batch_ms}"))
+    return df.withColumn("batch_id", S.floor_div(F.col("arrival_ms"), batch_ms))
 
 
 def ride_trails(points: DataFrame, head: int = K.HEAD_WEIGHT) -> DataFrame:
@@ -43,9 +43,13 @@ def other_points(held: DataFrame, arrived: DataFrame) -> DataFrame:
 
 def merge_batch(held: DataFrame, arrived: DataFrame, head: int = K.HEAD_WEIGHT) -> DataFrame:
     """One step of the point set: weigh down updated rides, keep the others, add the new points."""
-    survivors = updated_points(held, arrived).withColumn("weight", F.col("weight") - 1).filter(F.col("weight") > 0)
+    updated = distinct_keys(arrived, "ride_id").withColumn("_updated", F.lit(1))
+    marked = salted_join(held, updated, ["ride_id"], "message_id", "left")
+    weight = F.col("weight") - F.coalesce("_updated", F.lit(0))
+    # only what was weighed down leaves at zero
+    kept = marked.withColumn("weight", weight).filter(F.col("_updated").isNull() | (F.col("weight") > 0)).drop("_updated")
     fresh = arrived.withColumn("weight", F.lit(head).cast("bigint"))
-    return survivors.unionByName(other_points(held, arrived)).unionByName(fresh, allowMissingColumns=True)
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def cell_weight(ntaxis: Column, head: int = K.HEAD_WEIGHT) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline import constants as K
+from meterline.functions import scalars as S
 from meterline.operators import duplicates, elementwise, feed, lateness, sessions, trails
 from meterline.operators.scan import ring_statistics as ring_stats
 from meterline.operators.scan import running_count
@@ -190,7 +191,7 @@ def ride_trails(rides: DataFrame) -> DataFrame:
 def _held_and_arrived(rides: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Points before the newest minute of arrivals, and the points of that minute."""
     weight = F.least("passenger_count", F.lit(K.HEAD_WEIGHT)).cast("bigint").alias("weight")
-    minutes = rides.select("ride_id", "message_id", F.expr("arrival_ms div 60000").alias("minute"), weight)
+    minutes = rides.select("ride_id", "message_id", S.floor_div(F.col("arrival_ms"), 60_000).alias("minute"), weight)
     newest = minutes.agg(F.max("minute").alias("minute")).scalar()
     return minutes.filter(F.col("minute") < newest), minutes.filter(F.col("minute") == newest)
 
@@ -215,7 +216,7 @@ def trail_merge(rides: DataFrame) -> DataFrame:
 
 @_register
 def heat_weights(rides: DataFrame) -> DataFrame:
-    cells = jobs.count_cells(rides).withColumn("arrival_ms", F.expr("window_end_us div 1000"))
+    cells = jobs.count_cells(rides).withColumn("arrival_ms", S.floor_div(F.col("window_end_us"), 1000))
     return trails.heat_weights(trails.with_batch(rides), cells, HEAT_EVERY_MS)
 
 
@@ -292,15 +293,19 @@ def data_clock(rides: DataFrame) -> DataFrame:
     return feed.data_clock(trails.with_batch(elementwise.ride_points(rides)))
 
 
+def _numbered(rides: DataFrame) -> DataFrame:
+    """Points numbered by message id; the ids of a ride are full of gaps."""
+    return rides.withColumn("point_idx", F.col("message_id"))
+
+
 @_register
 def point_marks(rides: DataFrame) -> DataFrame:
-    points = datasets.gappy(R.with_point_idx(rides))
-    return feed.point_marks(points).select("message_id", "ride_id", "point_idx", "offset", "after_done")
+    return feed.point_marks(_numbered(rides)).select("message_id", "ride_id", "point_idx", "offset", "after_done")
 
 
 @_register
 def ride_completeness(rides: DataFrame) -> DataFrame:
-    return feed.ride_completeness(datasets.gappy(R.with_point_idx(rides)))
+    return feed.ride_completeness(_numbered(rides))
 
 
 # --- streams -----------------------------------------------------------------------

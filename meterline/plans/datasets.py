@@ -12,9 +12,9 @@ from meterline.sources import sinks
 
 
 def deliveries(rides: DataFrame) -> DataFrame:
-    """Rides as delivered by a source that re-sends: every fourth kind of point comes three times.
+    """Rides as delivered by a source that re-sends: a third of the points come three times.
 
-    Points with six passengers come again after ``100 ms * meter_increment`` and 40 s after the first time.
+    Points with five or six passengers come again ``100 ms * meter_increment`` and 40 s after the first time.
     """
     again = (F.col("meter_increment") * 100).cast("bigint")
     delays = F.when(
@@ -28,21 +28,21 @@ def deliveries(rides: DataFrame) -> DataFrame:
     )
 
 
-def gappy(rides: DataFrame) -> DataFrame:
-    """Points that got through: a ride loses the points whose fare step is below 50."""
-    return rides.filter(F.col("meter_increment") >= 50)
-
-
 def raw_messages(rides: DataFrame) -> DataFrame:
-    """Ride points as JSON text; drop-off points are damaged in a way that depends on the passengers."""
+    """Ride points as JSON text; drop-off points are damaged in a way that depends on the passengers.
+
+    With six passengers the numbers are odd ones, in turn: an increment that is not finite or too large, a
+    position that is not finite or beyond a pole, and one in six that is good after all.
+    """
     hurt = F.when(F.col("ride_status") == K.STATUS_DROPOFF, F.col("passenger_count")).otherwise(F.lit(0))
+    odd = F.when(hurt == 6, F.call_function("div", F.col("message_id"), F.lit(6)) % 6)
     iso = S.ms_to_iso(F.unix_millis("timestamp"))
     fields = F.struct(
         "ride_id",
-        F.when(hurt != 1, F.col("latitude")).alias("latitude"),
-        "longitude",
+        F.when(odd == 0, F.lit("NaN")).when(odd == 1, F.lit("91.5")).when(hurt != 1, F.col("latitude").cast("string")).alias("latitude"),
+        F.when(odd == 2, F.lit("-Infinity")).otherwise(F.col("longitude").cast("string")).alias("longitude"),
         F.when(hurt == 2, F.regexp_replace(iso, "Z$", "")).otherwise(iso).alias("timestamp"),
-        F.when(hurt == 3, F.lit("n/a")).otherwise(F.col("meter_increment").cast("string")).alias("meter_increment"),
+        F.when(hurt == 3, F.lit("n/a")).when(odd == 3, F.lit("NaN")).when(odd == 4, F.lit("1e10")).otherwise(F.col("meter_increment").cast("string")).alias("meter_increment"),
         "ride_status",
         "passenger_count",
     )

@@ -44,7 +44,9 @@ def _money(x: str) -> str:
 
 
 def _cents(x: str) -> str:
-    return f"(CASE WHEN {x} < 0 THEN '-' ELSE '' END || '$' || format('{{:,.2f}}', abs({x})))"
+    # DECIMAL rounds halves away from zero
+    cents = f"CAST(CAST(CAST(abs({x}) AS VARCHAR) AS DECIMAL(38,12)) AS DECIMAL(38,2))"
+    return f"(CASE WHEN {x} < 0 THEN '-' ELSE '' END || '$' || format('{{:,.2f}}', CAST({cents} AS DOUBLE)))"
 
 
 _PLAIN = "ride_id, message_id, event_us, latitude, longitude, meter_increment, ride_status, passenger_count, arrival_ms"
@@ -200,13 +202,12 @@ WINDOW o AS (ORDER BY window_start_us, latitude, longitude),
 
 
 _INDEXED = """
-indexed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY ride_id ORDER BY message_id) AS point_idx FROM rides),
 seen AS (
   SELECT *, FIRST_VALUE(point_idx) OVER o AS origin,
          COALESCE(MAX(CASE WHEN ride_status = 'dropoff' THEN 1 ELSE 0 END)
                   OVER (PARTITION BY ride_id ORDER BY arrival_ms, message_id
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AS after_done
-  FROM indexed WHERE meter_increment >= 50
+  FROM (SELECT *, message_id AS point_idx FROM rides)
   WINDOW o AS (PARTITION BY ride_id ORDER BY arrival_ms, message_id))"""
 
 _SPLIT = """
@@ -252,7 +253,9 @@ ORACLES: dict[str, str] = {
 SELECT message_id, verdict, CASE WHEN verdict = 'good' THEN latitude END AS latitude,
        CASE WHEN verdict = 'good' THEN event_us // 1000 END AS ts_ms,
        CASE WHEN verdict = 'good' THEN meter_increment END AS meter_increment
-FROM (SELECT *, CASE WHEN ride_status <> 'dropoff' OR passenger_count = 6 THEN 'good'
+FROM (SELECT *, CASE WHEN ride_status <> 'dropoff' THEN 'good'
+                     WHEN passenger_count = 6 THEN CASE message_id // 6 % 6 WHEN 0 THEN 'bad latitude' WHEN 1 THEN 'bad latitude'
+                       WHEN 2 THEN 'bad longitude' WHEN 3 THEN 'bad meter_increment' WHEN 4 THEN 'bad meter_increment' ELSE 'good' END
                      WHEN passenger_count = 1 THEN 'missing latitude' WHEN passenger_count = 2 THEN 'bad timestamp'
                      WHEN passenger_count = 3 THEN 'bad meter_increment' WHEN passenger_count = 5 THEN 'malformed'
                      ELSE 'missing ride_id' END AS verdict FROM rides)""",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN: set[str] = set()
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -37,24 +37,28 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder for cut lineage and replays: ``spark.checkpoint.dir``, else one below the warehouse folder.
+
+    Both are folders that every executor reaches. What this session writes goes to one folder in it, which is
+    removed when the driver's JVM ends.
+    """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="meterline-"))
-    return context.getCheckpointDir()
+    top = named or context.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/meterline-shared"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(top)
+    own = f"{top.rstrip('/')}/meterline-{context.applicationId}"
+    if own not in _OWN:
+        _OWN.add(own)
+        path = context._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return own
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:

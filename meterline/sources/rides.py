@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from meterline import constants as K
 from meterline.functions import scalars as S
-from meterline.operators.scan import running_count
 from meterline.schema import EVENTS_SCHEMA, RIDE_TEXT_SCHEMA
 
 MALFORMED = "_malformed"
@@ -66,19 +65,6 @@ def load_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rides_from_events(read_events(spark, sf_dir))
 
 
-def with_point_idx(rides: DataFrame) -> DataFrame:
-    """Position of each message within its ride, in message order, counted from 1.
-
-    The running count works on message-id blocks of 2^20 within a ride, so no window group
-    holds more rows than that however many rows a ride has.
-    """
-    blocks = rides.withColumn("_b1", F.shiftright("message_id", 40)).withColumn(
-        "_b2", F.shiftright("message_id", 20)
-    )
-    counted = running_count(blocks, ["ride_id"], ["_b1", "_b2", "message_id"], "_before", cut_input=False)
-    return counted.withColumn("point_idx", F.col("_before") + 1).drop("_before", "_b1", "_b2")
-
-
 # --- JSON messages -----------------------------------------------------------
 
 def decode_json(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -95,10 +81,10 @@ def decode_json(messages: DataFrame, column: str = "value") -> DataFrame:
 def reject_reason(required: tuple[str, ...] = REQUIRED) -> Column:
     """First rule a decoded row breaks; NULL for a good row. Fields not required may be absent or odd."""
     checks = {
-        "latitude": S.number(F.col("latitude")),
-        "longitude": S.number(F.col("longitude")),
+        "latitude": S.degrees(F.col("latitude"), 90),
+        "longitude": S.degrees(F.col("longitude"), 180),
         "timestamp": S.iso_to_ms(F.col("timestamp")),
-        "meter_increment": S.number(F.col("meter_increment")),
+        "meter_increment": S.amount(F.col("meter_increment")),
     }
     reasons = [F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed"))]
     for name in required:
@@ -115,11 +101,11 @@ def with_verdict(decoded: DataFrame, required: tuple[str, ...] = REQUIRED) -> Da
 def typed_fields() -> dict[str, Column]:
     """Typed values of the text fields; NULL where a text does not parse."""
     return {
-        "latitude": S.number(F.col("latitude")),
-        "longitude": S.number(F.col("longitude")),
+        "latitude": S.degrees(F.col("latitude"), 90),
+        "longitude": S.degrees(F.col("longitude"), 180),
         "timestamp": F.try_to_timestamp("timestamp"),
         "meter_reading": S.number(F.col("meter_reading")),
-        "meter_increment": S.number(F.col("meter_increment")),
+        "meter_increment": S.amount(F.col("meter_increment")),
         "passenger_count": F.col("passenger_count").try_cast("int"),
         "point_idx": F.col("point_idx").try_cast("bigint"),
     }

@@ -111,7 +111,7 @@ def turnover_panes(
 ) -> DataFrame:
     """Labelled, accumulating turnover panes of a stream (update mode)."""
     parts = rides.select(
-        F.expr(f"unix_micros(event_ts) div {width_us} * {width_us}").alias("window_start_us"),
+        (S.floor_div(F.unix_micros("event_ts"), width_us) * width_us).alias("window_start_us"),
         F.unix_micros("event_ts").alias("last_us"),
         S.money_hi(F.col("meter_increment")).alias("hi"),
         S.money_lo(F.col("meter_increment")).alias("lo"),

@@ -257,14 +257,5 @@ def test_data_clock_never_goes_back(spark):
     assert got == [us(t) // 1000 for t in (10, 10, 20, 20, 30)]
 
 
-def test_point_index_counts_within_the_ride(spark):
-    rows = [{"t": i, "ride_id": "hot" if i % 3 else "b", "message_id": i * 40_000} for i in range(60)]
-    got = R.with_point_idx(make_rides(spark, rows)).orderBy("message_id").collect()
-    seen = {}
-    for r in got:
-        seen[r.ride_id] = seen.get(r.ride_id, 0) + 1
-        assert r.point_idx == seen[r.ride_id]
-
-
 def test_batch_constants():
     assert K.FADEOUT_MS % K.TICK_MS == 0 and K.GROUP_FADEOUT_MS % K.TICK_MS == 0

@@ -8,10 +8,11 @@ import __spark_entry__ as entry_point
 from conftest import make_rides
 from meterline.operators import trails
 from meterline.plans import jobs
+from meterline.plans.catalog import QUERIES
 from meterline.sources import rides as R
 
 SMALL = "/root/testdata/sf0.001"
-BATCH = sorted(n for n in entry_point.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 def _plan(df):

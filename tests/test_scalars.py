@@ -26,7 +26,7 @@ def test_grid_cell_is_single_precision_throughout(spark):
 @pytest.mark.parametrize(
     "text, ms",
     [
-        ("2016-08-31T11:04:02.025396463-04:00", 1472655842025),
+        ("2019-03-05T07:08:09.123456789+02:00", 1551762489123),
         ("2016-08-31T15:04:02Z", 1472655842000),
         ("2016-08-31T15:04:02.999999Z", 1472655842999),
         ("2016-08-31T15:04:02", None),
@@ -46,7 +46,7 @@ def test_ms_to_iso(spark, ms, text):
     assert _one(spark, S.ms_to_iso, ms, "bigint") == text
 
 
-@pytest.mark.parametrize("x, text", [(1234.5, "$1,234.50"), (-0.25, "-$0.25"), (0.0, "$0.00"), (1e6, "$1,000,000.00")])
+@pytest.mark.parametrize("x, text", [(1234.5, "$1,234.50"), (-0.25, "-$0.25"), (0.0, "$0.00"), (1e6, "$1,000,000.00"), (0.125, "$0.13"), (2.125, "$2.13"), (-2.125, "-$2.13"), (2.675, "$2.68"), (0.124, "$0.12")])
 def test_us_currency(spark, x, text):
     assert _one(spark, S.us_currency, x, "double") == text
 
@@ -95,3 +95,15 @@ def test_flat_map_can_give_none_or_many(spark):
     df = spark.createDataFrame([(0,), (1,), (3,)], "n int")
     out = E.flat_map_rows(df, lambda row: F.when(row.n > 0, F.array_repeat(row, row.n)).otherwise(F.array().cast("array<struct<n:int>>")))
     assert sorted(r.n for r in out.collect()) == [1, 3, 3, 3]
+
+
+@pytest.mark.parametrize("x, y", [(-35, -1), (35, 0), (-60, -1), (-61, -2), (60, 1), (0, 0)])
+def test_floor_division_below_zero(spark, x, y):
+    assert _one(spark, lambda c: S.floor_div(c, 60), x, "bigint") == y
+
+
+@pytest.mark.parametrize("text", ["NaN", "Infinity", "-Infinity", "1e10", "-1e300", "x", None])
+def test_odd_amounts_are_no_amounts_and_throw_nothing(spark, text):
+    assert _one(spark, S.amount, text, "string") is None
+    assert _one(spark, lambda c: S.money_hi(S.amount(c)), text, "string") is None
+    _one(spark, S.money_lo, text, "string")
