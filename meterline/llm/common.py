@@ -51,6 +51,14 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_HASHES = WordHashes()
+
+
+def word_hashes() -> WordHashes:
+    """The hashes that this worker process remembers from one task to the next."""
+    return _HASHES
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, from the golden ratio
 
 

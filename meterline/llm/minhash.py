@@ -9,8 +9,8 @@ and what could reach the limit is verified on the full sets.
 Copies with equal sets are one representative from the start. Links are then found in two rounds, without emitting
 the pairs of a group: first each representative is verified against the best of the first members of its
 bands, which joins most of a group through few documents; then, only in buckets that still hold more than one
-component, every pair across components is estimated in blocks of bounded size, so that no link is lost to the
-choice of the first round.
+component, every pair across components is estimated in blocks of bounded size, and verified if near enough, so that
+no link is lost to the choice of the first round.
 
 Empty and null texts have no set: n_shingles 0, linked with nothing. Repeated ids are one node. A row without id is
 kept as its own component (null). Only doc_id and text are read.
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import SMALL_TABLE, WordHashes, map_texts, mixed, shingles, small_batches
+from meterline.llm.common import SMALL_TABLE, WordHashes, map_texts, mixed, shingles, small_batches, word_hashes
 from meterline.llm.components import components
 from meterline.session import cut
 
@@ -35,6 +35,9 @@ REGISTERS, MANTISSA = 128, 10
 BANDS, ROWS = 25, 5
 #: Representatives of a bucket that are compared in one block at most (on average).
 BLOCK = 512
+#: Members of a bucket whose pairs are emitted at most; a row has fewer than so many of them. Larger buckets are compared
+#: where their blocks are, and only links that join components are emitted.
+FEW = 16
 _SHIFT = np.uint64(64 - 7)
 #: Accidental equality of two unrelated registers: sum over z of (2 ** -z) ** 2, spread over the mantissa.
 COLLISION = (1 / 3) / 2**MANTISSA
@@ -72,9 +75,8 @@ def shingle_set(text: bytes, width: int, hashes: WordHashes) -> np.ndarray:
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n (size of the set), h (hash of the set) and sig (registers); h and sig are null without words."""
-    hashes = WordHashes()
-
     def work(texts: list[bytes]) -> dict[str, object]:
+        hashes = word_hashes()
         n, h, sig = [], [], []
         for text in texts:
             found = shingle_set(text, width, hashes)
@@ -116,6 +118,21 @@ def _estimated(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, est double")
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the documents named by ``ids``, written; few ids are broadcast, many are joined."""
+    ids = cut(ids.distinct(), "ids")
+    if ids.count() <= SMALL_TABLE:
+        ids = F.broadcast(ids)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return cut(texts.join(ids, "doc_id", "left_semi"), "texts")
+
+
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(one) + len(two)
+    common = both - len(np.unique(np.concatenate([one, two])))
+    return 100 * common >= percent * (both - common)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) whose full sets are similar enough.
 
@@ -123,27 +140,18 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     the ``b`` of very many pairs is a hot join key, which the adaptive skew join splits.
     """
     small_batches(docs.sparkSession)
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    if ids.count() <= SMALL_TABLE:
-        ids = F.broadcast(ids)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    held = cut(texts.join(ids, "doc_id", "left_semi"), "texts")
+    held = _texts_of(docs, pairs.select("a").unionAll(pairs.select("b")).toDF("doc_id"))
     left = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    hashes = WordHashes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, None
+        last, kept, hashes = None, None, word_hashes()
         for batch in batches:
             ok = []
             ids, ta, tb = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for b, x, y in zip(ids, ta, tb, strict=True):
                 if last != (b, len(y)):
                     last, kept = (b, len(y)), shingle_set(y, width, hashes)
-                own = shingle_set(x, width, hashes)
-                both = len(own) + len(kept)
-                common = both - len(np.unique(np.concatenate([own, kept])))
-                ok.append(100 * common >= percent * (both - common))
+                ok.append(similar(shingle_set(x, width, hashes), kept, percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     binary = [F.col(c).cast("binary").alias(c) for c in ("ta", "tb")]
@@ -172,66 +180,104 @@ def _sizes(percent: int):
     return F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
 
-def _across(reps: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Estimated pairs a < b of different components that share a band; each pair once."""
+def _unresolved(reps: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, x, y, own, band, rep, root, n, sig, m: members of buckets with more than one component, dealt to pairs of blocks."""
     rooted = reps.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "rep"))
     bands = _bands(reps).join(rooted.select("rep", "root"), "rep")
     mixed_up = bands.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    members = bands.join(mixed_up.select("key", blocks.alias("blocks")), "key").join(rooted.select("rep", "n", "sig"), "rep")
+    members = bands.join(mixed_up.select("key", "m", blocks.alias("blocks")), "key").join(rooted.select("rep", "n", "sig"), "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "band", "rep", "root", "n", "sig")
+    return rows.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "band", "rep", "root", "n", "sig", "m")
+
+
+def _candidates(t: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of one pair of blocks: a row and the rows that it shares its first band with, by size and estimate near enough."""
+    own, rep, n = (t[c].to_numpy() for c in ("own", "rep", "n"))
+    x, y, band, least = t["x"][0].as_py(), t["y"][0].as_py(), t["band"][0].as_py(), least_estimate(percent)
+    sig = _as_registers(t["sig"])
+    left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+    for i in left:
+        j = right[rep[right] > rep[i]] if x == y else right
+        j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
+        if not len(j):
+            continue
+        same = sig[j] == sig[i]
+        good = estimate(same.mean(axis=1)) >= least
+        # the pair belongs to the first band that it shares
+        first = same[good][:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        yield i, j[good][first]
+
+
+def _pairs_of(t: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """Pairs of different components, not verified."""
+    rep, root = t["rep"].to_numpy(), t["root"].to_numpy()
+    a, b = [], []
+    for i, j in _candidates(t, percent):
+        j = j[root[j] != root[i]]
+        a += [int(rep[i])] * len(j)
+        b += rep[j].tolist()
+    return a, b
+
+
+def _links_of(t: pa.Table, percent: int, width: int) -> tuple[list[int], list[int]]:
+    """Verified links that join components; a pair is compared only while its components are apart."""
+    rep, texts = t["rep"].to_numpy(), t["text"].to_pylist()
+    up = {r: r for r in t["root"].to_pylist()}
+    root = t["root"].to_pylist()
+    sets: dict[int, np.ndarray] = {}
+    hashes = word_hashes()
+
+    def top(r: int) -> int:
+        while up[r] != r:
+            up[r] = up[up[r]]
+            r = up[r]
+        return r
+
+    def of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(texts[i], width, hashes)
+        return sets[i]
+
+    a, b = [], []
+    for i, near in _candidates(t, percent):
+        for j in near.tolist():
+            p, q = top(root[i]), top(root[j])
+            if p != q and similar(of(i), of(j), percent):
+                up[max(p, q)] = min(p, q)
+                a.append(int(rep[i])), b.append(int(rep[j]))
+    return a, b
+
+
+def _by_block(rows: DataFrame, work) -> DataFrame:
+    """``work`` on the rows of every pair of blocks, which are few enough for one table."""
     dealt = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    least = least_estimate(percent)
-    step = ROWS
-
-    def compare(group: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        t = pa.Table.from_batches(group)
-        x, y = t["x"][0].as_py(), t["y"][0].as_py()
-        own, rep, root, n = (t[c].to_numpy() for c in ("own", "rep", "root", "n"))
-        band = t["band"][0].as_py()
-        sig = _as_registers(t["sig"])
-        left, right = (np.flatnonzero(own == x), np.flatnonzero(own == y))
-        found = []
-        for i in left:
-            j = right[(rep[right] > rep[i]) if x == y else np.ones(len(right), bool)]
-            j = j[(root[j] != root[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
-            if not len(j):
-                continue
-            same = sig[j] == sig[i]
-            share = estimate(same.mean(axis=1))
-            good = share >= least
-            j, same, share = j[good], same[good], share[good]
-            # the pair belongs to the first band that it shares
-            first = same[:, : BANDS * step].reshape(len(j), BANDS, step).all(axis=2).argmax(axis=1) == band
-            for k, s in zip(j[first], share[first], strict=True):
-                found.append((min(rep[i], rep[k]), max(rep[i], rep[k]), s))
-        if not found:
-            return None
-        a, b, s = zip(*found, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], ["a", "b", "est"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, at = [], None
+        open_: list[pa.RecordBatch] = []
+        at = None
+
+        def done() -> pa.RecordBatch:
+            a, b = work(pa.Table.from_batches(open_))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+
         for batch in batches:
             marks = np.stack([batch.column(i).to_numpy() for i in range(3)])
             edges = np.concatenate([[0], np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1, [batch.num_rows]])
             for s, e in zip(edges[:-1], edges[1:], strict=True):
                 if s == e:
                     continue
-                mark = tuple(marks[:, s])
-                if at is not None and mark != at:
-                    if (out := compare(open_)) is not None:
-                        yield out
-                    open_ = []
-                at = mark
+                if open_ and tuple(marks[:, s]) != at:
+                    yield done()
+                    open_.clear()
+                at = tuple(marks[:, s])
                 open_.append(batch.slice(s, e - s))
-        if open_ and (out := compare(open_)) is not None:
-            yield out
+        if open_:
+            yield done()
 
-    return dealt.mapInArrow(run, "a bigint, b bigint, est double")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -245,11 +291,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     best = first.groupBy("a").agg(F.max(F.struct("est", (-F.col("b")).alias("minus"))).alias("m")).select("a", (-F.col("m.minus")).alias("b"))
     links = [cut(verified(best, rows, width, percent), "links")]
     roots = components(links[0])
-    rest = cut(_across(reps, roots, percent).join(best.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")), ["a", "b"], "left_anti"), "pairs")
-    if not rest.isEmpty():
+    open_ = cut(_unresolved(reps, roots), "buckets")
+    if not open_.isEmpty():
+        small = _by_block(open_.where(F.col("m") <= FEW), lambda t: _pairs_of(t, percent))
+        known = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = cut(small.join(known, ["a", "b"], "left_anti"), "pairs")
         links.append(cut(verified(rest, rows, width, percent), "links"))
-        if not links[1].isEmpty():
-            roots = components(reduce(DataFrame.unionAll, links))
+        large = open_.where(F.col("m") > FEW)
+        texts = _texts_of(rows, large.select(F.col("rep").alias("doc_id")))
+        texts = texts.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("text"))
+        links.append(cut(_by_block(large.join(texts, "rep").select(*large.columns, "text"), lambda t: _links_of(t, percent, width)), "links"))
+        roots = components(reduce(DataFrame.unionAll, links))
     classes = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("h", "n", F.coalesce("root", "rep").alias("component_id"))
     out = held.join(classes, ["h", "n"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select(
@@ -258,3 +310,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.col("component_id").cast(kind).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all columns, that stay: of every component the one with the smallest id.
+
+    Rows without words have no copies and stay. Of rows that repeat an id, one with the smallest text stays. The ids that go
+    are few or many: few are broadcast, many are joined with the rows.
+    """
+    found = cut(near_duplicates(docs, width, percent), "components")
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    gone = cut(gone, "gone")
+    names = docs.columns
+    rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("__id"))
+    ids = gone.select(F.col("doc_id").alias("__id"))
+    stay = rows.join(F.broadcast(ids) if ids.count() <= SMALL_TABLE else ids, "__id", "left_anti")
+    twice = cut(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__id")), "twice")
+    if not twice.isEmpty():
+        first = stay.join(twice, "__id", "left_semi").groupBy("__id").agg(F.min("row").alias("row"))
+        stay = stay.join(twice, "__id", "left_anti").unionByName(first.select("row", "__id"))
+    return stay.select(*[F.col(f"row.`{n}`").alias(n) for n in names])

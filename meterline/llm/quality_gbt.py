@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import WordHashes, map_texts, remainder, shingles, small_batches
+from meterline.llm.common import WordHashes, map_texts, remainder, shingles, small_batches, word_hashes
 
 #: Labelled rows that the trees are fitted on at most, the smallest by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -64,9 +64,8 @@ def text_statistics(text: bytes, hashes: WordHashes) -> list[float]:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """doc_id and ``x``, the statistics in the order of ``NAMES``."""
-    hashes = WordHashes()
-
     def work(texts: list[bytes]) -> dict[str, object]:
+        hashes = word_hashes()
         return {"x": pa.array([[float(v) for v in text_statistics(t, hashes)] for t in texts], pa.list_(pa.float32()))}
 
     return map_texts(docs, work, "x array<float>")
@@ -156,9 +155,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Forest:
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
-    forest, hashes = fitted(docs, labels), WordHashes()
+    forest = fitted(docs, labels)
 
     def work(texts: list[bytes]) -> dict[str, object]:
+        hashes = word_hashes()
         x = np.array([text_statistics(t, hashes) for t in texts], np.float32).reshape(-1, len(NAMES))
         return {"score": pa.array(forest.score(x))}
 
@@ -173,9 +173,10 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text scores at least ``GOOD``; nothing is shuffled."""
     small_batches(docs.sparkSession)
-    forest, hashes = fitted(docs, labels), WordHashes()
+    forest = fitted(docs, labels)
 
     def run(batches):
+        hashes = word_hashes()
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             x = np.array([text_statistics(t or b"", hashes) for t in texts], np.float32).reshape(-1, len(NAMES))

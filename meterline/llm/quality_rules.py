@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import BLANKS, WordHashes, map_texts, shingles
+from meterline.llm.common import BLANKS, WordHashes, map_texts, shingles, word_hashes
 
 #: Name of each rule, in bit order, and when it fails (``None``: decided with the base columns below).
 RULES = [
@@ -74,9 +74,8 @@ def measure(text: bytes, hashes: WordHashes) -> list[int]:
 
 def ledger(docs: DataFrame) -> DataFrame:
     """doc_id, the measurements, and ``failed``: one bit per failed rule."""
-    hashes = WordHashes()
-
     def work(texts: list[bytes]) -> dict[str, object]:
+        hashes = word_hashes()
         rows = np.array([measure(t, hashes) for t in texts], np.int64).reshape(-1, len(MEASURES))
         return {name: pa.array(rows[:, i]) for i, name in enumerate(MEASURES)}
 

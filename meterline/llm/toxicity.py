@@ -55,6 +55,14 @@ class WordTable(dict):
         return self.codes[rows[self.codes[rows, 0] != 0]]
 
 
+_WORDS = WordTable()
+
+
+def word_table() -> WordTable:
+    """What this worker process remembers from one task to the next."""
+    return _WORDS
+
+
 def places(text: bytes, words: WordTable) -> np.ndarray:
     """Places of all features of a text; a feature that occurs twice is there twice."""
     codes = words.of(text.lower().split())
@@ -112,9 +120,8 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     share = labels.where(F.col("toxic").isNotNull() & admitted).agg(
         F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0)).alias("p"), F.count("*").alias("n")
     )
-    words = WordTable()
-
     def work(texts: list[bytes]) -> dict[str, object]:
+        words = word_table()
         return {"at": pa.array([features(t, words).astype(np.int32) for t in texts], pa.list_(pa.int32()))}
 
     # the sample is bounded by the two parameters above, so it may be broadcast and learned from in one task
@@ -153,9 +160,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
     at, weights, intercept = fitted(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), weights.astype(np.float32)))
-    words = WordTable()
-
     def work(texts: list[bytes]) -> dict[str, object]:
+        words = word_table()
         at, w = shared.value
         full = np.zeros(1 << BITS, np.float32)
         full[at] = w
