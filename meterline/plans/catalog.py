@@ -15,6 +15,7 @@ from meterline.operators.scan import running_count
 from meterline.plans import datasets, jobs
 from meterline.session import prepare
 from meterline.sources import rides as R
+from meterline.sources import sinks
 from meterline.streaming import jobs as stream_jobs
 from meterline.streaming import panes as stream_panes
 
@@ -22,6 +23,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 HEAT_EVERY_MS = 5000
+#: The longest that a ride point of the table is under way; session streams wait so long for late points.
+DELAY_US = 480 * K.SECOND_US
+DELAY = "480 seconds"
 POINT = ["ride_id", "session_start_us", "session_end_us", "latitude", "longitude", "timestamp", "ride_status", "message_id"]
 
 
@@ -35,12 +39,16 @@ def _register(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], Dat
     return fn
 
 
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ride table as a stream in arrival order, in many micro-batches."""
+    return stream_jobs.arrival_ordered(R.load_rides(prepare(spark), sf_dir), f"rides {sf_dir}")
+
+
 def _register_stream(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    """Register a function of the ride stream; the folder is replayed and the written rows come back."""
+    """Register a function of the ride stream; it is replayed to its end and the written rows come back."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stream = R.rides_from_events(R.stream_events(prepare(spark), sf_dir))
-        return stream_jobs.replay(fn(stream), fn.__name__).drop("emit_batch")
+        return stream_jobs.replay(fn(_arriving(spark, sf_dir)), fn.__name__).drop("emit_batch")
 
     QUERIES[fn.__name__] = run
     return fn
@@ -337,26 +345,29 @@ def stream_turnover(stream: DataFrame) -> DataFrame:
 
 @_register_stream
 def stream_latest_points(stream: DataFrame) -> DataFrame:
-    return _widen(stream_jobs.latest_points(stream_jobs.watermarked(stream), K.MINUTE_US).select(*POINT))
+    return _widen(stream_jobs.latest_points(stream_jobs.watermarked(stream, DELAY), K.MINUTE_US).select(*POINT))
 
 
 @_register_stream
 def stream_pickup_points(stream: DataFrame) -> DataFrame:
-    return _widen(stream_jobs.pickup_points(stream_jobs.watermarked(stream)).select(*POINT))
+    return _widen(stream_jobs.pickup_points(stream_jobs.watermarked(stream, DELAY)).select(*POINT))
 
 
-@_register_stream
-def stream_drop_resent(stream: DataFrame) -> DataFrame:
-    """Ids that pass, each once; the arrival time is the event time here."""
-    arrived = datasets.deliveries(stream).withColumn("event_ts", F.timestamp_millis("arrival_ms"))
-    return stream_jobs.drop_resent(arrived).select("message_id")
+def stream_drop_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries that pass, in the order of their arrival."""
+    delivered = datasets.deliveries(R.load_rides(prepare(spark), sf_dir))
+    stream = stream_jobs.arrival_ordered(delivered, f"deliveries {sf_dir}")
+    return stream_jobs.replay(stream_jobs.drop_resent(stream), "stream_drop_resent", "update").drop("emit_batch")
+
+
+QUERIES["stream_drop_resent"] = stream_drop_resent
 
 
 def stream_data_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greatest payload time; the last of the rows that complete mode writes."""
-    stream = R.rides_from_events(R.stream_events(prepare(spark), sf_dir))
-    log = stream_jobs.replay(stream_jobs.data_clock(stream), "stream_data_clock", "complete")
-    return log.agg(F.max_by("clock_ms", "emit_batch").alias("clock_ms"))
+    """Greatest payload time; the upsert of the rows that complete mode writes, one per micro-batch."""
+    clock = stream_jobs.data_clock(_arriving(spark, sf_dir)).withColumn("clock", F.lit("data"))
+    log = stream_jobs.replay(clock, "stream_data_clock", "complete")
+    return sinks.log_state(log, ["clock"]).select("clock_ms")
 
 
 QUERIES["stream_data_clock"] = stream_data_clock
@@ -364,8 +375,7 @@ QUERIES["stream_data_clock"] = stream_data_clock
 
 def _pane_query(name: str, build: Callable[[DataFrame], DataFrame], columns: list[str]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stream = R.rides_from_events(R.stream_events(prepare(spark), sf_dir))
-        out = stream_jobs.replay(build(stream), name, "update").select(*columns)
+        out = stream_jobs.replay(build(_arriving(spark, sf_dir)), name, "update").select(*columns)
         return _widen(out) if "latitude" in columns else out
 
     QUERIES[name] = run
@@ -376,5 +386,5 @@ _pane_query(
     stream_panes.turnover_panes,
     ["window_start_us", "dollar_timing", "dollar_turnover", "dollar_window"],
 )
-_pane_query("stream_latest_panes", stream_panes.latest_panes, [*POINT, "pane_timing"])
-_pane_query("stream_pickup_panes", stream_panes.pickup_panes, [*POINT, "pane_timing"])
+_pane_query("stream_latest_panes", lambda s: stream_panes.latest_panes(s, delay_us=DELAY_US), [*POINT, "pane_timing"])
+_pane_query("stream_pickup_panes", lambda s: stream_panes.pickup_panes(s, delay_us=DELAY_US), [*POINT, "pane_timing"])

@@ -216,17 +216,48 @@ parts AS (
 held AS (SELECT * FROM parts WHERE minute < (SELECT MAX(minute) FROM parts)),
 arrived AS (SELECT * FROM parts WHERE minute = (SELECT MAX(minute) FROM parts))"""
 
-# a stream ends with the windows its watermark has passed (the watermark is in whole ms)
-_CLOSED = "(SELECT MAX(event_us) // 1000 * 1000 FROM rides)"
+# a replay delivers twelve equal spans of arrival time, one after the other
+_REPLAYED = """
+ends AS (SELECT MIN(arrival_ms) AS lo, MAX(arrival_ms) AS hi FROM rides),
+numbered AS (SELECT r.*, (arrival_ms - lo) * 12 // (hi - lo + 1) AS k FROM rides r, ends),
+tops AS (SELECT k, MAX(event_us) // 1000 * 1000 AS top FROM numbered GROUP BY k),
+seen_tops AS (SELECT b.k, (SELECT MAX(top) FROM tops t WHERE t.k < b.k) AS mark,
+                     (SELECT MAX(top) FROM tops t WHERE t.k < b.k - 1) AS late_mark FROM range(12) AS b(k))"""
+
+
+def _kept(width_us: int) -> str:
+    """Rows whose window was open when their micro-batch came; Spark judges them by the watermark of the batch before."""
+    end = f"event_us // {width_us} * {width_us} + {width_us}"
+    return f"""
+{_REPLAYED.strip()},
+all_rides AS (SELECT * FROM rides),
+kept AS (SELECT n.* FROM numbered n JOIN seen_tops USING (k) WHERE late_mark IS NULL OR {end} > late_mark)"""
+
+
+def _on_kept(width_us: int, part: str) -> tuple[str, str]:
+    """A part that reads only the rows that a stream without delay keeps."""
+    return _kept(width_us), part.replace("FROM rides", "FROM kept")
+
+
 _POINT = "ride_id, session_start_us, session_end_us, latitude, longitude, timestamp, ride_status, message_id"
 
 
 def _session_panes(gap_us: int, order: str, where: str = "TRUE") -> str:
-    """One replay batch: an early pane per session, and an on-time one where the watermark passed its end."""
-    mark = "(SELECT CAST(ceil(MAX(event_us) / 1000000.0) AS BIGINT) * 1000000 - 1000000 FROM rides)"
-    return _with(*_picked(gap_us, order, where)) + f"""
-SELECT {_POINT}, 'EARLY' AS pane_timing FROM picked
-UNION ALL SELECT {_POINT}, 'ON_TIME' FROM picked WHERE session_end_us <= {mark}"""
+    """Per micro-batch an early pane of every session that it changed, as it is then; one on-time pane of each in the end."""
+    return _with(*_picked(gap_us, order, where), _REPLAYED) + f"""
+, so_far AS (SELECT b.k AS now, n.* FROM numbered n JOIN range(12) AS b(k) ON n.k <= b.k),
+opened AS (
+  SELECT *, CASE WHEN event_us - LAG(event_us) OVER w >= {gap_us} OR LAG(event_us) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  FROM so_far WINDOW w AS (PARTITION BY now, ride_id ORDER BY event_us, message_id)),
+placed AS (SELECT *, SUM(opens) OVER (PARTITION BY now, ride_id ORDER BY event_us, message_id ROWS UNBOUNDED PRECEDING) AS s FROM opened),
+lengths AS (
+  SELECT now, ride_id, s, MIN(event_us) AS session_start_us, MAX(event_us) + {gap_us} AS session_end_us FROM placed
+  GROUP BY ALL HAVING MAX(k) = now),
+firsts AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY now, ride_id, s ORDER BY {order}) AS rn FROM placed WHERE {where})
+SELECT ride_id, session_start_us, session_end_us, {_F32LAT} AS latitude, {_F32LON} AS longitude,
+       {_iso('event_us // 1000')} AS timestamp, ride_status, message_id, 'EARLY' AS pane_timing
+FROM firsts JOIN lengths USING (now, ride_id, s) WHERE rn = 1
+UNION ALL SELECT {_POINT}, 'ON_TIME' FROM picked"""
 
 
 _WINDOW_SUMS = f"""
@@ -361,22 +392,27 @@ SELECT ride_id, ANY_VALUE(origin) AS origin, COUNT(*) AS n_points, COUNT(DISTINC
        MAX(point_idx) - MIN(point_idx) + 1 - COUNT(DISTINCT point_idx) AS n_missing
 FROM seen GROUP BY ride_id""",
     "stream_filter_box": _with() + f"SELECT {_PLAIN} FROM rides WHERE {_BOX}",
-    "stream_max_timestamp": _with(_CLOCKS)
-    + f"SELECT *, {_iso('max_ts_ms')} AS timestamp FROM clocks WHERE window_end_us <= {_CLOSED}",
-    "stream_count_cells": _with(_CELLS) + f"SELECT * FROM cells WHERE window_end_us <= {_CLOSED}",
-    "stream_run_rate": _with(_RATES) + f"SELECT * FROM rates WHERE window_end_us <= {_CLOSED}",
-    "stream_turnover": _with(_WINDOW_SUMS) + f"SELECT * FROM sums WHERE window_start_us + 60000000 <= {_CLOSED}",
-    "stream_latest_points": _with(*_picked(60_000_000, _NEWEST)) + f"SELECT * FROM picked WHERE session_end_us - 1 <= {_CLOSED}",
-    "stream_pickup_points": _with(*_picked(60_000_000, _OLDEST, _IS_PICKUP))
-    + f"SELECT * FROM picked WHERE session_end_us - 1 <= {_CLOSED}",
-    "stream_drop_resent": _with() + "SELECT message_id FROM rides",
+    "stream_max_timestamp": _with(*_on_kept(1_000_000, _CLOCKS)) + f"SELECT *, {_iso('max_ts_ms')} AS timestamp FROM clocks",
+    "stream_count_cells": _with(*_on_kept(1_000_000, _CELLS)) + "SELECT * FROM cells",
+    "stream_run_rate": _with(*_on_kept(3_000_000, _RATES)) + "SELECT * FROM rates",
+    "stream_turnover": _with(*_on_kept(60_000_000, _WINDOW_SUMS)) + "SELECT * FROM sums",
+    "stream_latest_points": _with(*_picked(60_000_000, _NEWEST)) + "SELECT * FROM picked",
+    "stream_pickup_points": _with(*_picked(60_000_000, _OLDEST, _IS_PICKUP)) + "SELECT * FROM picked",
+    "stream_drop_resent": _with(_DELIVERIES, _DUPLICATES, recursive=True) + "SELECT message_id, s AS arrival_ms FROM starts",
     "stream_data_clock": _with() + "SELECT MAX(event_us // 1000) AS clock_ms FROM rides",
-    "stream_turnover_panes": _with(_WINDOW_SUMS)
-    + f"""
-SELECT window_start_us, 'EARLY' AS dollar_timing, dollar_turnover, dollar_window FROM sums
-UNION ALL
-SELECT window_start_us, 'ON_TIME', dollar_turnover, dollar_window FROM sums
-WHERE window_start_us + 60000000 <= {_CLOSED}""",
+    "stream_turnover_panes": _with(_REPLAYED)
+    + """
+, parts AS (
+  SELECT w AS window_start_us, k, SUM(CAST(meter_increment AS DECIMAL(18,6))) AS d,
+         CASE WHEN ANY_VALUE(mark) IS NULL OR ANY_VALUE(mark) < w + 60000000 THEN 'EARLY' ELSE 'LATE' END AS dollar_timing
+  FROM (SELECT n.*, event_us // 60000000 * 60000000 AS w, mark FROM numbered n JOIN seen_tops USING (k))
+  WHERE mark IS NULL OR mark < w + 360000000 GROUP BY w, k),
+sums AS (
+  SELECT window_start_us, dollar_timing, k, SUM(d) OVER (PARTITION BY window_start_us ORDER BY k) AS total FROM parts
+  UNION ALL
+  SELECT window_start_us, 'ON_TIME', NULL, SUM(d) FROM parts WHERE dollar_timing = 'EARLY' GROUP BY window_start_us)
+SELECT window_start_us, dollar_timing, CAST(total AS DOUBLE) AS dollar_turnover,
+       (window_start_us // 1000) / 1000.0::DOUBLE / 60.0::DOUBLE AS dollar_window FROM sums""",
     "stream_latest_panes": _session_panes(3_600_000_000, _NEWEST),
     "stream_pickup_panes": _session_panes(60_000_000, _OLDEST, _IS_PICKUP),
 }

@@ -102,7 +102,7 @@ def start(spark: SparkSession, name: str, config: sinks.JobConfig) -> list[Strea
     return queries
 
 
-def main() -> None:
+def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--job", required=True, choices=sorted(JOBS))
     parser.add_argument("--source", required=True)
@@ -112,9 +112,18 @@ def main() -> None:
     parser.add_argument("--sink-format", default="text")
     parser.add_argument("--watermark-delay-seconds", type=int, default=0)
     parser.add_argument("--rejects")
+    parser.add_argument("--event-time", default="ts", help="message attribute with the event time")
+    parser.add_argument("--per-trigger", type=int, help="files or Kafka offsets in a micro-batch at most")
+    parser.add_argument("--trigger-seconds", type=float, help="instead of the early delay of the job")
+    parser.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
+    parser.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--once", action="store_true", help="process what the source holds now, then stop")
-    args = parser.parse_args()
-    config = sinks.JobConfig(
+    return parser
+
+
+def configured(args: argparse.Namespace) -> sinks.JobConfig:
+    trigger = {"processingTime": f"{args.trigger_seconds} seconds"} if args.trigger_seconds else None
+    return sinks.JobConfig(
         source=args.source,
         sink=args.sink,
         checkpoint=args.checkpoint,
@@ -122,11 +131,37 @@ def main() -> None:
         sink_format=args.sink_format,
         watermark_delay_us=args.watermark_delay_seconds * K.SECOND_US,
         rejects=args.rejects,
-        trigger={"availableNow": True} if args.once else None,
+        trigger={"availableNow": True} if args.once else trigger,
+        event_time=args.event_time,
+        per_trigger=args.per_trigger,
+        source_options=_options(args.source_option),
+        sink_options=_options(args.sink_option),
     )
+
+
+def _options(texts: list[str]) -> dict[str, str]:
+    return dict(text.split("=", 1) for text in texts)
+
+
+def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Until all have ended; the failure of any one ends the others and the run."""
+    try:
+        while any(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for query in queries:
+            if query.exception() is not None:
+                raise query.exception()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+
+
+def main() -> None:
+    args = arguments().parse_args()
     spark = SparkSession.builder.appName(f"meterline-{args.job}").getOrCreate()
-    for query in start(spark, args.job, config):
-        query.awaitTermination()
+    wait(spark, start(spark, args.job, configured(args)))
 
 
 if __name__ == "__main__":

@@ -25,10 +25,12 @@ MESSAGE_COLUMNS = {
 class JobConfig:
     """What a job reads and writes.
 
-    ``source_format`` is ``kafka`` (the record time is the event time), ``text`` (one JSON
-    message per line, the payload time is the event time), or any format with the columns
-    ``value`` and ``ts``. Options go to the reader and writer unchanged. Without a trigger a
-    job takes its own early-result delay. ``rejects`` names a folder for undecodable rows.
+    ``source_format`` is ``kafka`` (``source`` is the topic), ``text`` (one JSON message per line, the payload
+    time is the event time), or any format with a column ``value`` and one for the event time. ``event_time``
+    names the message attribute that holds the event time: a Kafka header, or a column. A Kafka record without it
+    has its record time. ``per_trigger`` bounds a micro-batch: files, or Kafka offsets. Options go to the reader and
+    writer unchanged. Without a trigger a job takes its own early-result delay. ``rejects`` names a folder
+    for undecodable rows.
     """
 
     source: str
@@ -39,22 +41,38 @@ class JobConfig:
     watermark_delay_us: int = 0
     trigger: dict | None = None
     rejects: str | None = None
+    event_time: str = "ts"
+    per_trigger: int | None = None
     source_options: dict = field(default_factory=dict)
     sink_options: dict = field(default_factory=dict)
 
 
-_ENVELOPE = "value string, ts timestamp"
-
-
 def read_messages(spark: SparkSession, config: JobConfig, stream: bool = True) -> DataFrame:
     """``value`` (JSON text) and ``ts`` (event time attribute, NULL where the source has none)."""
     reader = spark.readStream if stream else spark.read
-    reader = reader.format(config.source_format).options(**config.source_options)
+    reader = reader.format(config.source_format).options(**source_options(config))
     if config.source_format == "kafka":
-        return reader.load().select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ts"))
+        return kafka_values(reader.load(), config.event_time)
     if config.source_format == "text":
         return reader.load(config.source).select("value", F.lit(None).cast("timestamp").alias("ts"))
-    return reader.schema(_ENVELOPE).load(config.source)
+    rows = reader.schema(f"value string, `{config.event_time}` timestamp").load(config.source)
+    return rows.select("value", F.col(f"`{config.event_time}`").alias("ts"))
+
+
+def source_options(config: JobConfig) -> dict[str, str]:
+    """Options of the reader: the given ones, the topic and headers of Kafka, and the bound of a micro-batch."""
+    kafka = config.source_format == "kafka"
+    options = {"subscribe": config.source, "includeHeaders": "true"} if kafka else {}
+    if config.per_trigger is not None:
+        options["maxOffsetsPerTrigger" if kafka else "maxFilesPerTrigger"] = str(config.per_trigger)
+    return options | config.source_options
+
+
+def kafka_values(records: DataFrame, event_time: str) -> DataFrame:
+    """Text and event time of Kafka records: the named header (ISO text), else the record time."""
+    header = F.filter(F.coalesce("headers", F.array().cast("array<struct<key:string,value:binary>>")), lambda h: h["key"] == event_time)
+    named = F.try_to_timestamp(F.get(header, F.lit(0))["value"].cast("string"))
+    return records.select(F.col("value").cast("string").alias("value"), F.coalesce(named, F.col("timestamp")).alias("ts"))
 
 
 def to_message(df: DataFrame, kind: str) -> DataFrame:
@@ -99,8 +117,7 @@ def start_messages(messages: DataFrame, config: JobConfig, trigger: dict, output
         writer = messages.writeStream.foreachBatch(write)
     else:
         writer = messages.writeStream.format(config.sink_format).options(**config.sink_options)
-        if config.sink_format != "kafka":
-            writer = writer.option("path", config.sink)
+        writer = writer.option("topic" if config.sink_format == "kafka" else "path", config.sink)
     return writer.outputMode(output_mode).option("checkpointLocation", config.checkpoint).trigger(**trigger).start()
 
 

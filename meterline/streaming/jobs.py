@@ -14,8 +14,9 @@ from meterline.functions import scalars as S
 from meterline.operators import elementwise as E
 from meterline.operators.aggs import newest_first, oldest_first
 from meterline.operators.sessions import streaming_sessions
-from meterline.session import fresh_dir
+from meterline.session import cut, fresh_dir
 from meterline.sources.sinks import read_log, start_pane_log
+from meterline.streaming import resent
 
 
 def watermarked(rides: DataFrame, delay: str = "0 seconds") -> DataFrame:
@@ -43,21 +44,81 @@ def _spread(sessions: DataFrame) -> DataFrame:
 
 def data_clock(rides: DataFrame) -> DataFrame:
     """Greatest payload time so far (complete mode: one row)."""
-    return rides.agg(F.max(F.unix_millis("timestamp")).alias("clock_ms"))
+    shown = rides.where(~F.col("ride_id").eqNullSafe(F.lit(END)))
+    return shown.agg(F.max(F.unix_millis("timestamp")).alias("clock_ms"))
 
 
-def drop_resent(deliveries: DataFrame, memory: str = "30 seconds", key: str = "message_id") -> DataFrame:
-    """Pass the first copy of a message, drop the ones the stream still remembers."""
-    return deliveries.withWatermark("event_ts", memory).dropDuplicatesWithinWatermark([key])
+#: Micro-batches of a replay, and the name and id of the row that ends it.
+BATCHES = 12
+END, END_ID = "end of replay", -1
+
+_REPLAYS: dict[tuple[str, str], str] = {}
+
+
+def replay_batch(rides: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """``rides`` with ``replay_batch``: equal spans of arrival time, from 0."""
+    ends = rides.agg(F.min("arrival_ms").alias("lo"), F.max("arrival_ms").alias("hi"))
+    first = ends.select("lo").scalar()
+    width = ends.select(F.col("hi") - F.col("lo") + 1).scalar()
+    at = F.call_function("div", (F.col("arrival_ms") - first) * batches, width)
+    return rides.withColumn("replay_batch", at.cast("int"))
+
+
+def arrival_ordered(rides: DataFrame, label: str, batches: int = BATCHES) -> DataFrame:
+    """A stream that delivers a table in arrival order, one micro-batch after the other, and then its end.
+
+    The rows are written once per label and session, one folder per micro-batch; a folder holds as many files as
+    a trigger takes. The last file is one row far in the future, which closes every window and session; results
+    that it makes itself are dropped by ``replay``.
+    """
+    spark = rides.sparkSession
+    files = max(1, rides.rdd.getNumPartitions() // batches)
+    key = (spark.sparkContext.applicationId, label)
+    if key not in _REPLAYS:
+        base = fresh_dir(spark, "replay")
+        held = cut(replay_batch(rides, batches), "numbered")
+        for k in range(batches):
+            rows = held.where(F.col("replay_batch") == k).drop("replay_batch")
+            rows.repartition(files).write.parquet(f"{base}/{k:04d}")
+        far = F.timestamp_seconds(F.lit(4_000_000_000))
+        last = {"event_ts": far, "timestamp": far, "event_us": F.unix_micros(far), "arrival_ms": F.unix_millis(far)}
+        last |= {"ride_id": F.lit(END), "message_id": F.lit(END_ID), "ride_status": F.lit(K.STATUS_ENROUTE), "meter_increment": F.lit(0.0)}
+        end = spark.range(1).select(*[last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rides.schema])
+        end.coalesce(1).write.parquet(f"{base}/{batches:04d}")
+        _REPLAYS[key] = base
+    reader = spark.readStream.schema(rides.schema).option("maxFilesPerTrigger", str(files))
+    return reader.parquet(f"{_REPLAYS[key]}/*")
+
+
+def drop_resent(deliveries: DataFrame, memory_ms: int = K.DUPLICATE_MEMORY_MS, key: str = "message_id", delay: str = "0 seconds") -> DataFrame:
+    """(id, arrival ms) of every delivery that makes its id known, whatever the cut into micro-batches.
+
+    The state of an id is the arrival that made it known; a later one than that plus the memory starts anew. A timer
+    clears it once the watermark (``delay`` behind the arrivals) has passed its memory.
+    """
+    return resent.starts(deliveries, memory_ms, key, delay)
 
 
 def replay(stream: DataFrame, label: str, output_mode: str = "append") -> DataFrame:
-    """Run a stream over what its source holds now and return what it wrote."""
+    """Run a stream over what its source holds now and return what it wrote, without the rows of the end."""
     spark = stream.sparkSession
     base = fresh_dir(spark, label)
     query = start_pane_log(stream, f"{base}/out", f"{base}/state", {"availableNow": True}, output_mode)
     query.awaitTermination()
-    return read_log(spark, f"{base}/out", _with_batch(stream))
+    return _without_end(read_log(spark, f"{base}/out", _with_batch(stream)))
+
+
+def _without_end(log: DataFrame) -> DataFrame:
+    tests = []
+    if "ride_id" in log.columns:
+        tests.append(~F.col("ride_id").eqNullSafe(F.lit(END)))
+    if "message_id" in log.columns:
+        tests.append(~F.col("message_id").eqNullSafe(F.lit(END_ID)))
+    if "window_start_us" in log.columns:
+        tests.append(F.col("window_start_us") < F.lit(4_000_000_000 * K.SECOND_US - 3600 * K.SECOND_US))
+    for test in tests:
+        log = log.where(test)
+    return log
 
 
 def _with_batch(stream: DataFrame):

@@ -38,11 +38,20 @@ _SUMS = "window_start_us bigint, last_us bigint, hi bigint, lo bigint"
 _PANE_OUT = "window_start_us bigint, dollar_timing string, hi bigint, lo bigint"
 
 
+#: Rows that a task folds at a time at most; a task whose micro-batch has fewer gives one row per window.
+FOLD = 100_000
+
+
 def _sum_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    how = {"last_us": "max", "hi": "sum", "lo": "sum"}
+    held: list[pd.DataFrame] = []
     for rows in batches:
-        yield rows.groupby("window_start_us", as_index=False).agg(
-            {"last_us": "max", "hi": "sum", "lo": "sum"}
-        )
+        held.append(rows.groupby("window_start_us", as_index=False).agg(how))
+        if sum(map(len, held)) > FOLD:
+            yield pd.concat(held).groupby("window_start_us", as_index=False).agg(how)
+            held.clear()
+    if held:
+        yield pd.concat(held).groupby("window_start_us", as_index=False).agg(how)
 
 
 class _TurnoverPanes(StatefulProcessor):
@@ -234,8 +243,13 @@ class _SessionPanes(StatefulProcessor):
             else:
                 merged.append((first, last, point, fresh))
         self._store([s[:3] for s in merged])
+        # a session has one timer, at its last row; the ones of before that no session has any more go
+        was, now = {-(-s[1] // 1000) for s in current}, {-(-s[1] // 1000) for s in merged}
+        for at in was - now:
+            self.handle.deleteTimer(at)
+        for at in now - was:
+            self.handle.registerTimer(at)
         for first, last, point, fresh in merged:
-            self.handle.registerTimer(-(-last // 1000))
             if fresh and point[0] is not None:
                 yield self._out(ride_id, (first, last, point), EARLY)
 

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import os
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import RIDES, make_rides, us
 from meterline import constants as K
+from meterline.operators import duplicates
 from meterline.operators.aggs import upsert_latest
 from meterline.plans import jobs
 from meterline import run
@@ -164,10 +166,61 @@ def test_resent_messages_pass_once(spark, tmp_path):
     script = Script(spark, str(tmp_path / "in"))
     script.add([{"t": 0, "message_id": 1}, {"t": 1, "message_id": 2}, {"t": 2, "message_id": 1}])
     script.add([{"t": 20, "message_id": 2}, {"t": 21, "message_id": 3}])
-    log = _run(stream_jobs.drop_resent(script.stream()), str(tmp_path / "out"), str(tmp_path / "state"), "append")
+    log = _run(stream_jobs.drop_resent(script.stream()), str(tmp_path / "out"), str(tmp_path / "state"), "update")
     assert sorted(r.message_id for r in log.collect()) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("cut", [1, 7])
+def test_resent_messages_follow_the_batch_rule_whatever_the_cut(spark, tmp_path, cut):
+    rnd = random.Random(9)
+    rows = [{"t": t, "message_id": i} for i, t in [(1, 0), (2, 20), (1, 40), (1, 55), (1, 75), (3, 80), (3, 110), (3, 110.001)]]
+    rows += [{"t": 200 + rnd.randrange(300_000) / 1000, "message_id": rnd.randrange(4, 9)} for _ in range(60)]
+    rows.sort(key=lambda r: r["t"])
+    script = Script(spark, str(tmp_path / "in"))
+    size = -(-len(rows) // cut)
+    for k in range(0, len(rows), size):
+        script.add(rows[k : k + size])
+    script.add([{"t": FAR, "message_id": -1}])
+    log = _run(stream_jobs.drop_resent(script.stream()), str(tmp_path / "out"), str(tmp_path / "state"), "update")
+    want = duplicates.start_arrivals(make_rides(spark, rows)).select("message_id", "arrival_ms")
+    got = log.where("message_id >= 0").select("message_id", "arrival_ms")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert [r.arrival_ms - us(0) // 1000 for r in sorted(got.where("message_id = 1").collect())] == [0, 40_000, 75_000]
+
+
+def test_a_long_session_keeps_one_timer(spark, tmp_path, monkeypatch):
+    """Every micro-batch moves the timer of the session; what it leaves fires once."""
+    batches = [[{"t": t, "ride_id": "a", "message_id": t}] for t in range(0, 200, 10)] + [[{"t": FAR, "ride_id": "end"}]]
+    rows = _session_log(spark, tmp_path, batches, lambda s: panes.latest_panes(s, gap_us=60 * K.SECOND_US))
+    assert [r[1] for r in rows if r[0] == "a"].count("ON_TIME") == 1
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.kept = set(), []
+
+        def getListState(self, *_):
+            return self
+
+        registerTimer = lambda self, at: self.timers.add(at)
+        deleteTimer = lambda self, at: self.timers.remove(at)
+        exists = lambda self: bool(self.kept)
+        get = lambda self: iter(self.kept)
+        clear = lambda self: self.kept.clear()
+
+        def put(self, rows):
+            self.kept = list(rows)
+
+    class Clock:
+        getCurrentWatermarkInMs = lambda self: 0
+
+    state, handle = panes._SessionPanes(60 * K.SECOND_US, True), Handle()
+    state.init(handle)
+    for t in range(0, 200, 10):
+        row = {"slot_us": us(t), "first_us": us(t), "last_us": us(t), "ts_ms": t, "message_id": t, "latitude": 0.0, "longitude": 0.0, "ride_status": "enroute"}
+        list(state.handleInputRows(("a",), iter([row]), Clock()))
+        assert len(handle.timers) == 1
+
+
 # --- turnover panes -----------------------------------------------------------------
 
 PANE_SCRIPT = [
@@ -283,3 +336,59 @@ def test_on_time_session_panes_equal_batch(spark, tmp_path, ordered_script, late
     want = jobs.latest_points(table, K.MINUTE_US) if latest else jobs.pickup_points(table)
     got = log.filter((F.col("pane_timing") == "ON_TIME") & (F.col("ride_id") != "end")).select(*want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+# --- settings of a run -------------------------------------------------------------------
+
+@pytest.mark.parametrize("name", sorted(run.JOBS))
+def test_odd_numbers_stop_no_job(spark, tmp_path, name):
+    good = '{"ride_id":"abc","latitude":40.71,"longitude":-74,"timestamp":"2024-01-01T00:00:05Z","meter_increment":1,"ride_status":"pickup"}'
+    odd = [good.replace('"meter_increment":1', f'"meter_increment":"{x}"') for x in ("NaN", "Infinity", "1e10", "-1e300")]
+    odd += [good.replace('"latitude":40.71', f'"latitude":"{x}"') for x in ("NaN", "-Infinity", "91")]
+    os.makedirs(tmp_path / "in")
+    (tmp_path / "in" / "0.txt").write_text("\n".join([good, *odd]))
+    args = ["--job", name, "--source", str(tmp_path / "in"), "--sink", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "state")]
+    config = run.configured(run.arguments().parse_args([*args, "--rejects", str(tmp_path / "bad"), "--once"]))
+    run.wait(spark, run.start(spark, name, config))
+    needed = run.JOBS[name].needs
+    bad = 4 * ("meter_increment" in needed) + 3 * ("latitude" in needed)
+    assert spark.read.text(config.rejects).count() == bad
+
+
+def test_flags_reach_the_source_and_the_sink():
+    args = ["--job", "all_rides", "--source", "rides", "--sink", "out", "--checkpoint", "c", "--source-format", "kafka", "--event-time", "when"]
+    args += ["--source-option", "kafka.bootstrap.servers=h:9092", "--per-trigger", "500", "--sink-option", "a=b=c", "--trigger-seconds", "3"]
+    config = run.configured(run.arguments().parse_args(args))
+    assert config.trigger == {"processingTime": "3.0 seconds"} and config.sink_options == {"a": "b=c"}
+    assert sinks.source_options(config) == {
+        "subscribe": "rides", "includeHeaders": "true", "maxOffsetsPerTrigger": "500", "kafka.bootstrap.servers": "h:9092"
+    }
+
+
+def test_kafka_event_time_is_the_header(spark):
+    when = datetime(2024, 1, 1)
+    records = [("a", [("when", b"2024-01-01T00:10:00Z")]), ("b", [("other", b"x")]), ("c", None)]
+    schema = "value binary, timestamp timestamp, headers array<struct<key:string,value:binary>>"
+    rows = spark.createDataFrame([(v.encode(), when, h) for v, h in records], schema)
+    got = {r.value: r.ts.minute for r in sinks.kafka_values(rows, "when").collect()}
+    assert got == {"a": 10, "b": 0, "c": 0}
+
+
+def test_event_time_column_by_name(spark, tmp_path):
+    spark.sql("select '{}' value, timestamp'2024-01-01 00:10:00' at").write.parquet(str(tmp_path / "in"))
+    config = sinks.JobConfig(source=str(tmp_path / "in"), sink="", checkpoint="", source_format="parquet", event_time="at")
+    assert sinks.read_messages(spark, config, stream=False).first().ts.minute == 10
+
+
+def test_failure_of_any_query_ends_the_run(spark, tmp_path):
+    script = Script(spark, str(tmp_path / "in")).add([{"t": 0}])
+
+    def fail(batch, batch_id):
+        raise ValueError("no sink")
+
+    lasting = script.stream().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "a")).start()
+    failing = script.stream().writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "b")).start()
+    with pytest.raises(Exception, match="no sink"):
+        run.wait(spark, [lasting, failing])
+    assert not lasting.isActive
+    spark.streams.resetTerminated()
