@@ -51,12 +51,19 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-_HASHES = WordHashes()
+_KEPT: dict[str, object] = {}
+
+
+def remembered(name: str, make: Callable[[], object]):
+    """What this worker process keeps from one task to the next; of several such things only the last one asked for."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
 
 
 def word_hashes() -> WordHashes:
-    """The hashes that this worker process remembers from one task to the next."""
-    return _HASHES
+    return remembered("hashes", WordHashes)
 
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, from the golden ratio

@@ -65,7 +65,7 @@ def _load(t: pa.Table) -> tuple[np.ndarray, Graph]:
     t = t.sort_by("rep")
     x, level = _matrix(t["vec"]), t["level"].to_numpy()
     lists = t["links"].to_pylist()
-    width = max((len(k) for row in lists for k in row), default=1) or 1
+    width = max(1, max((len(k) for row in lists for k in row), default=1))
     layers = [np.full((len(x), width), -1) for _ in range(int(level.max(initial=0)) + 1)]
     for i, row in enumerate(lists):
         for k, near in enumerate(row):
@@ -88,11 +88,11 @@ class _Sets:
         self.up[max(a, b)] = min(a, b)
 
 
-def _search(x: np.ndarray, y: np.ndarray, graph: Graph, least: float, width: int) -> np.ndarray:
+def _search(x: np.ndarray, y: np.ndarray, graph: Graph, least: float, width: int, own: bool = False) -> np.ndarray:
     """Links (row of ``x``, row of ``y``) that beams of this width find, verified; beams as wide as ``y`` are a scan."""
     if width >= len(y):
         return np.concatenate([np.stack(np.nonzero(x[s : s + 512] @ y.T >= least), 1) + [s, 0] for s in range(0, len(x), 512)])
-    i, j = graph.within(x, least - MARGIN, width)
+    i, j = graph.within(x, least - MARGIN, width, own)
     good = np.einsum("nd,nd->n", x[i], y[j]) >= least
     return np.stack([i[good], j[good]], 1)
 
@@ -119,7 +119,7 @@ def _compare(t: pa.Table, least: float) -> pa.Table:
     truth = np.concatenate(truth)
     width, sets = BEAM, _Sets(len(z))
     while True:
-        found = _search(x, y, gy, least, width)
+        found = _search(x, y, gy, least, width, same)
         if not same:
             back = _search(y, x, gx, least, width)
             found = np.concatenate([found + [0, n], back[:, ::-1] + [0, n]])

@@ -57,9 +57,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _picked_log(x: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at its picked place; ``x`` is overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    picked = x[np.arange(len(x)), pick]
+    np.exp(x, out=x)
+    return picked - np.log(x.sum(axis=1))
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
 
 
 @dataclass
@@ -82,14 +93,14 @@ class Model:
         for s in range(0, len(h), 16384):
             part, goal = h[s : s + 16384], target[s : s + 16384]
             kind = class_of(goal)
-            out[s : s + len(part)] = _log_softmax(part @ self.p["class_w"] + self.p["class_b"])[np.arange(len(part)), kind]
+            out[s : s + len(part)] = _picked_log(part @ self.p["class_w"] + self.p["class_b"], kind)
             order = np.argsort(kind, kind="stable")
             ends = np.searchsorted(kind[order], np.arange(HEAD_CLASSES + 1))
             for c in range(HEAD_CLASSES):
                 rows = order[ends[c] : ends[c + 1]]
                 if len(rows):
-                    word = _log_softmax(part[rows] @ self.p["word_w"][c] + self.p["word_b"][c])
-                    out[s + rows] += word[np.arange(len(rows)), goal[rows] - c * PER_CLASS]
+                    word = part[rows] @ self.p["word_w"][c] + self.p["word_b"][c]
+                    out[s + rows] += _picked_log(word, goal[rows] - c * PER_CLASS)
         return out
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -172,16 +183,18 @@ class Trainer:
         n = max(1, len(goal))
         d = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
         kind = class_of(goal)
-        delta = np.exp(_log_softmax(x @ p["class_w"] + p["class_b"]))
+        by_kind = np.argsort(kind, kind="stable")
+        ends = np.searchsorted(kind[by_kind], np.arange(HEAD_CLASSES + 1))
+        delta = _softmax(x @ p["class_w"] + p["class_b"])
         delta[np.arange(len(goal)), kind] -= 1
         delta /= n
         d["class_w"], d["class_b"] = x.T @ delta, delta.sum(0)
         dx = delta @ p["class_w"].T
         for k in range(HEAD_CLASSES):
-            at = np.flatnonzero(kind == k)
+            at = by_kind[ends[k] : ends[k + 1]]
             if not len(at):
                 continue
-            delta = np.exp(_log_softmax(x[at] @ p["word_w"][k] + p["word_b"][k]))
+            delta = _softmax(x[at] @ p["word_w"][k] + p["word_b"][k])
             delta[np.arange(len(at)), goal[at] - k * PER_CLASS] -= 1
             delta /= n
             d["word_w"][k], d["word_b"][k] = x[at].T @ delta, delta.sum(0)

@@ -19,7 +19,7 @@ def levels(ids: np.ndarray) -> np.ndarray:
     return np.minimum((-np.log(u + 2.0**-54) / np.log(16)).astype(int), 6)
 
 
-def search(x: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def search(x: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int, also: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The ``width`` best nodes found for each query (ids, -1: none) and their cosines, best first."""
     b, n = len(queries), len(x)
     seen = np.zeros((b, n + 1), bool)
@@ -32,6 +32,11 @@ def search(x: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndar
     sims[:, 0] = np.einsum("bd,bd->b", x[entry], queries)
     done[:, 0] = False
     seen[rows, entry] = True
+    if also is not None and width > 1:
+        ids[:, 1], done[:, 1] = also, also == entry
+        sims[:, 1] = np.where(also == entry, -np.inf, np.einsum("bd,bd->b", x[also], queries))
+        ids[:, 1][also == entry] = -1
+        seen[rows, also] = True
     active = rows
     step = min(EXPAND, width)
     while len(active):
@@ -111,6 +116,29 @@ class Graph:
                 part = here[at : at + min(BLOCK, max(16, size + at))]
                 self._insert(layer, part)
                 at += len(part)
+            self._reach_all(layer)
+
+    def _reach_all(self, layer: int) -> None:
+        """Nodes that no path from the entry leads to any more get a link from their nearest node that one does."""
+        links, member = self.layers[layer], self.level >= layer
+        while True:
+            seen = np.zeros(len(links) + 1, bool)
+            front = np.flatnonzero(self.level >= len(self.layers) - 1) if layer == len(self.layers) - 1 else np.flatnonzero(self.level > layer)
+            front = front[:1] if layer == len(self.layers) - 1 else front
+            seen[front] = True
+            seen[-1] = True
+            while len(front):
+                near = np.unique(links[front])
+                front = near[~seen[near]]
+                seen[front] = True
+            lost = np.flatnonzero(member & ~seen[:-1])
+            if not len(lost):
+                return
+            lost, known = lost[:BLOCK], np.flatnonzero(member & seen[:-1])
+            nearest = known[(self.x[lost] @ self.x[known].T).argmax(axis=1)]
+            into, who = np.unique(nearest, return_index=True)
+            room = (links[into] < 0).argmax(axis=1)
+            links[into, np.where((links[into] < 0).any(axis=1), room, LINKS - 1)] = lost[who]
 
     def _entries(self, queries: np.ndarray, layer: int) -> np.ndarray:
         top = len(self.layers) - 1
@@ -170,13 +198,17 @@ class Graph:
             else:
                 links[node] = choose(self.x, ids[:, :used], sims[:, :used], LINKS)
 
-    def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, node) of cosine ``least`` or more that beams of this width find."""
+    def within(self, queries: np.ndarray, least: float, width: int, own: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, node) of cosine ``least`` or more that beams of this width find.
+
+        ``own``: the queries are the nodes themselves; each search then starts at its node, too.
+        """
         width = min(width, len(self.x))
         hits = [(np.zeros(0, int), np.zeros(0, int))]
         for s in range(0, len(queries), BLOCK):
             q = queries[s : s + BLOCK].astype(np.float32)
-            ids, sims = search(self.x, self.layers[0], q, self._entries(q, 0), width)
+            entry = self._entries(q, 0)
+            ids, sims = search(self.x, self.layers[0], q, entry, width, np.arange(s, s + len(q)) if own else None)
             who, col = np.nonzero(sims >= least)
             hits.append((who + s, ids[who, col]))
         return np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])

@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm import gru
-from meterline.llm.common import remainder, small_batches
+from meterline.llm.common import REMEMBERED, remainder, remembered, small_batches
 from meterline.session import cut
 
 HOLD_OUT, HELD = 10, 0
 #: Words whose counts are broadcast; all others are joined.
-LEXICON = 250_000
-SPAN, PER_REPLICA, ROUNDS, BLOCK = 128, 4000, (0.02, 0.01), 64
+LEXICON = 400_000
+SPAN, PER_REPLICA, ROUNDS, BLOCK = 128, 4000, (0.05, 0.025), 256
 #: Tokens that a worker scores in step.
 TOGETHER = 2_000_000
 END = b""
@@ -81,7 +81,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Lexicon:
-    """What a task needs to know: frequent words with counts, totals, and the model's parameters."""
+    """What a task needs to know of the counts: the frequent words with theirs, and totals."""
 
     words: pa.Array
     counts: np.ndarray
@@ -90,7 +90,6 @@ class Lexicon:
     tail_total: np.ndarray
     tail_distinct: np.ndarray
     ends: int
-    theta: np.ndarray | None = None
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def symbol_counts(self) -> np.ndarray:
@@ -109,6 +108,16 @@ class _Index(dict):
         return -1
 
 
+class _Tails(dict):
+    """Symbols of rare words, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        symbol = self[word] = tail_symbol(word)
+        return symbol
+
+
 class Reader:
     """A lexicon made ready for reading texts."""
 
@@ -116,6 +125,7 @@ class Reader:
         self.lexicon = lexicon
         words = lexicon.words.to_pylist()
         self.index = _Index(zip(words, range(len(words)), strict=True))
+        self.tails = _Tails()
         symbols = [i + 1 if i < gru.HEAD - 1 else tail_symbol(w) for i, w in enumerate(words)]
         self.symbols = np.array([*symbols, 0], np.int16)  # the last place serves -1 and is overwritten
         c = lexicon.counts + 0.1
@@ -128,23 +138,16 @@ class Reader:
         self.end_base = float(np.log10(lexicon.ends + 0.1) - self.base_total)
 
 
-_READERS: dict[str, Reader] = {}
-
-
 def reader(lexicon: Lexicon) -> Reader:
-    """The reader of this worker process; one lexicon is kept."""
-    if lexicon.name not in _READERS:
-        _READERS.clear()
-        _READERS[lexicon.name] = Reader(lexicon)
-    return _READERS[lexicon.name]
+    return remembered(f"lexicon {lexicon.name}", lambda: Reader(lexicon))
 
 
 def symbols_of(words: list[bytes], known: Reader) -> tuple[np.ndarray, np.ndarray]:
     """Lexicon places (-1: not in it) and symbols of the words."""
     place = np.fromiter(map(known.index.__getitem__, words), np.int64, len(words))
     symbols = known.symbols[place]
-    for i in np.flatnonzero(place < 0):
-        symbols[i] = tail_symbol(words[i])
+    rare = np.flatnonzero(place < 0)
+    symbols[rare] = [known.tails[words[i]] for i in rare.tolist()]
     return place, symbols
 
 
@@ -221,15 +224,15 @@ def trained(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
     return theta
 
 
-def _partly_scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+def _partly_scored(docs: DataFrame, lexicon: Lexicon, theta: np.ndarray) -> DataFrame:
     """Per row what lexicon and model tell, and ``rare``: the words that the lexicon does not have, with their numbers."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    shared, parameters = (docs.sparkSession.sparkContext.broadcast(x) for x in (lexicon, theta))
     kind = dict(docs.dtypes)["doc_id"]
     names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = reader(shared.value)
-        model = gru.Model(gru.shaped(known.lexicon.theta))
+        model = gru.Model(gru.shaped(parameters.value))
         held: list[pa.RecordBatch] = []
         texts: list[np.ndarray] = []
         values: list[tuple] = []
@@ -253,11 +256,11 @@ def _partly_scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
                 words = text.lower().split()
                 place, symbols = symbols_of(words, known)
                 inside = place[place >= 0]
-                rare = Counter([words[i] for i in np.flatnonzero(place < 0)])
+                outside = np.flatnonzero(place < 0)
+                rare = Counter([words[i] for i in outside.tolist()])
                 # what the counts of rare words add comes later; their denominators are known here
-                missing = sum(rare.values())
-                base = float(known.base[inside].sum()) + known.end_base - missing * known.base_total
-                tail = float(known.inside[inside].sum()) - sum(n * known.tail_log_total[tail_symbol(w) - gru.HEAD] for w, n in rare.items())
+                base = float(known.base[inside].sum()) + known.end_base - len(outside) * known.base_total
+                tail = float(known.inside[inside].sum()) - float(known.tail_log_total[symbols[outside] - gru.HEAD].sum())
                 ends = int(known.lexicon.ends > 0)
                 values.append((len(words) + 1, len(inside) + ends, base, tail, list(rare), list(rare.values())))
                 texts.append(np.append(symbols, np.int16(0)))
@@ -280,9 +283,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     learning = rows.where(remainder("doc_id", HOLD_OUT) != HELD)
     counts = cut(word_counts(learning), "counts")
     lexicon = lexicon_of(counts)
-    lexicon.theta = trained(cut(spans(learning, lexicon), "spans"), lexicon)
-    lexicon.name = uuid.uuid4().hex
-    held = cut(_partly_scored(rows, lexicon).withColumn("row", F.monotonically_increasing_id()), "scored")
+    theta = trained(cut(spans(learning, lexicon), "spans"), lexicon)
+    held = cut(_partly_scored(rows, lexicon, theta).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = held.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "times")).alias("z")).select("row", F.col("z.rare").alias("word"), F.col("z.times").alias("t"))
     met = rare.join(counts, "word", "left")
     logs = F.col("t") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1).cast("double"))

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import ranked, small_batches, sorted_slices
+from meterline.llm.common import ranked, remembered, small_batches, sorted_slices
+from meterline.session import cut
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, CLOSING = 4096, 1
@@ -32,26 +33,48 @@ GRID = 4
 #: Steps of the multiplicative weights, and the share of the scarcest class that a step uses.
 STEPS, STEP = 400, 0.3
 #: Words whose ids a worker remembers at most.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 
 _TOKENIZERS: dict[str, object] = {}
 
 
-def _parts(word: str) -> int:
-    """Parts that the tokenizer splits a word of letters, or of letters and closing signs, into; 0: anything else."""
-    low = word.lower()
-    letters = low.rstrip(".,;:!?")
-    if not letters.isalpha() or not (word.isascii() or unicodedata.is_normalized("NFC", word)):
-        return 0
-    return 1 + (len(letters) < len(low))
+#: Signs that end a word of letters and are then a part of their own; an apostrophe may begin a contraction.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _lowered(text: bytes) -> bytes:
+    """ASCII letters in lower case, as the tokenizer makes them, where no combining mark or special token may differ."""
+    return text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
+
+
+def _letters(word: str) -> str:
+    """The letters that a word of letters and closing signs begins with, as the tokenizer's only first part; else empty."""
+    letters = word.rstrip(_SIGNS)
+    if not letters.isalpha():
+        return ""
+    low = letters.lower()
+    if low.isascii():
+        return low
+    # a capital sigma is the one letter whose lower case depends on its place
+    return low if low.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", word) else ""
 
 
 class WordIds(dict):
-    """Ids of a word as little-endian 32-bit bytes. Blanks are never part of a token of this vocabulary."""
+    """Ids of a word as little-endian 32-bit bytes. Blanks are never part of a token of this vocabulary.
+
+    When it is full, words that are not met again while it fills once more are forgotten.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         super().__init__()
         self.vocabulary = vocabulary
+        self.old: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {"": b""}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.old.pop(word)
+        return ids
 
     def tokenizer(self):
         if self.vocabulary not in _TOKENIZERS:
@@ -59,6 +82,7 @@ class WordIds(dict):
 
             import public_tokenizers
             from tokenizers import Tokenizer
+            from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
             path = self.vocabulary if os.sep in self.vocabulary else public_tokenizers.path(self.vocabulary)
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,54 +90,81 @@ class WordIds(dict):
             last = np.zeros(made.get_vocab_size(), bool)
             for token, number in made.get_vocab().items():
                 last[number] = token.endswith("</w>")
-            _TOKENIZERS[self.vocabulary] = made, last
-        made, self.last = _TOKENIZERS[self.vocabulary]
+            # for words of lower-case letters, which the rules of the vocabulary leave as they are
+            plain = Tokenizer.from_file(path)
+            plain.normalizer = None
+            plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+            _TOKENIZERS[self.vocabulary] = made, plain, last
+        made, self.plain, self.last = _TOKENIZERS[self.vocabulary]
         return made
 
-    def learn(self, texts: list[list[bytes]]) -> None:
+    def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
+        """Ids of whole texts, given as words."""
+        self.learn(set().union(*texts))
+        return [b"".join(map(self.__getitem__, words)) for words in texts]
+
+    def learn(self, words: set[bytes]) -> None:
         if len(self) > REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        new = list({w for words in texts for w in words if w not in self})
-        tokenizer = self.tokenizer()
-        simple, parts, other = [], [], []
+        if len(self.letters) > REMEMBERED:
+            self.letters.clear()
+        new = [w for w in words if w not in self and w not in self.old]
+        other, simple = [], []
         for word in new:
-            n = _parts(word.decode())
-            if n:
-                simple.append(word), parts.append(n)
+            text = word.decode()
+            letters = _letters(text)
+            if letters:
+                simple.append((word, letters, text[len(letters) :]))
             else:
                 other.append(word)
-        if simple:
-            # one call for all of them: where a part of a word ends is told by its last token
-            ids = np.array(tokenizer.encode_batch_fast([b" ".join(simple).decode()], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == sum(parts):
-                stop = ends[np.cumsum(parts) - 1] * 4
-                data = ids.tobytes()
-                at = 0
-                for word, to in zip(simple, stop.tolist(), strict=True):
-                    self[word] = data[at:to]
-                    at = to
-            else:
-                other += simple
-        found = tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-        for word, encoded in zip(other, found, strict=True):
-            self[word] = np.array(encoded.ids, "<u4").tobytes()
+        self._learn_letters([x for x in {s[1] for s in simple} if x not in self.letters])
+        for signs in {s[2] for s in simple} - self.signs.keys():
+            self.signs[signs] = self._ids([signs])[0]
+        for word, letters, signs in simple:
+            self[word] = self.letters[letters] + self.signs[signs]
+        for word, ids in zip(other, self._ids([w.decode() for w in other]), strict=True):
+            self[word] = ids
+        if len(self.signs) > REMEMBERED:
+            self.signs = {"": b""}
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer().encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _learn_letters(self, new: list[str]) -> None:
+        """One call for all of them: every word of letters ends with a token that ends a word."""
+        if not new:
+            return
+        self.tokenizer()
+        ids = np.array(self.plain.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+        if len(ends) != len(new):
+            self.letters.update(zip(new, self._ids(new), strict=True))
+            return
+        data, at = ids.tobytes(), 0
+        for word, to in zip(new, ends.tolist(), strict=True):
+            self.letters[word] = data[at:to]
+            at = to
+
+
+def word_ids(vocabulary: str) -> WordIds:
+    return remembered(f"ids {vocabulary}", lambda: WordIds(vocabulary))
 
 
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, if wanted) of all documents."""
     small_batches(docs.sparkSession)
-    known = WordIds(vocabulary)
     closing = np.array([CLOSING], "<u4").tobytes()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches):
+        known = word_ids(vocabulary)
         for batch in batches:
-            words = [t.split() for t in batch.column(1).to_pylist()]
-            known.learn(words)
+            texts = known.encoded([_lowered(t).split() for t in batch.column(1).to_pylist()])
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(words):
-                data = b"".join(map(known.__getitem__, text)) + closing
+            for i, ids_of in enumerate(texts):
+                data = ids_of + closing
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     row.append(i), piece.append(k), start.append(at // 4), length.append(len(part) // 4), crc.append(zlib.crc32(part))
@@ -271,4 +322,5 @@ def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece."""
-    return place(pieces(docs, vocabulary))
+    # written first: the range shuffle looks at its rows twice
+    return place(cut(pieces(docs, vocabulary), "pieces"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import REMEMBERED, map_texts, mixed, remainder
+from meterline.llm.common import REMEMBERED, map_texts, mixed, remainder, remembered
 
 BITS = 20
 MOST_TOXIC, MOST_CLEAN = 6_000, 10_000
@@ -55,12 +55,8 @@ class WordTable(dict):
         return self.codes[rows[self.codes[rows, 0] != 0]]
 
 
-_WORDS = WordTable()
-
-
 def word_table() -> WordTable:
-    """What this worker process remembers from one task to the next."""
-    return _WORDS
+    return remembered("toxicity", WordTable)
 
 
 def places(text: bytes, words: WordTable) -> np.ndarray:
