@@ -69,8 +69,8 @@ def _instants(from_ms: Column, life_ms: Column, every_ms: int) -> Column:
     return F.explode(F.when(first <= last, some).otherwise(F.array().cast("array<bigint>")))
 
 
-def ride_heat(points: DataFrame, every_ms: int) -> DataFrame:
-    """Weight of every (ride, batch) at each instant it is visible.
+def ride_heat(points: DataFrame, every_ms: int, only: DataFrame | None = None) -> DataFrame:
+    """Weight of every (ride, batch) at each instant it is visible, or at those of them that ``only`` (as_of_ms) has.
 
     A point loses one per later batch of its ride and, once overtaken or older than the
     fade-out period, one per tick. It is gone after ``FADEOUT + HEAD`` ticks, so each
@@ -80,6 +80,8 @@ def ride_heat(points: DataFrame, every_ms: int) -> DataFrame:
     batch_ms = F.col("batch_id") * K.TICK_MS
     pairs = points.select("ride_id", "batch_id").distinct()
     seen = pairs.withColumn("as_of_ms", _instants(batch_ms, life, every_ms))
+    if only is not None:
+        seen = seen.join(only.select("as_of_ms"), "as_of_ms", "left_semi")
     newest = Window.partitionBy("as_of_ms", "ride_id").orderBy(F.desc("batch_id"))
     overtaken = F.lag(batch_ms).over(newest)
     fading_from = F.least(overtaken, batch_ms + K.FADEOUT_MS)
@@ -88,15 +90,55 @@ def ride_heat(points: DataFrame, every_ms: int) -> DataFrame:
     return seen.withColumn("weight", weight).filter(F.col("weight") > 0)
 
 
-def cell_heat(cells: DataFrame, every_ms: int) -> DataFrame:
-    """Weight of every counted cell (``arrival_ms``, ``ntaxis``) at each instant it is visible."""
+def cell_heat(cells: DataFrame, every_ms: int, least: int = 1) -> DataFrame:
+    """Weight of every counted cell (``arrival_ms``, ``ntaxis``) at each instant it weighs ``least`` or more."""
     start = cell_weight(F.col("ntaxis"))
     # w -> floor(4w/5) is at most 0.8 w, which bounds the ticks until zero
     ticks = F.floor(F.log(start.cast("double")) / F.log(F.lit(1.25))) + 2
     life = (F.lit(K.GROUP_FADEOUT_MS) + ticks * K.TICK_MS).cast("bigint")
-    seen = cells.withColumn("as_of_ms", _instants(F.col("arrival_ms"), life, every_ms))
+    heavy = cells.filter(start >= least)
+    seen = heavy.withColumn("as_of_ms", _instants(F.col("arrival_ms"), life, every_ms))
     steps = fade_steps(F.col("as_of_ms") - F.col("arrival_ms"), K.GROUP_FADEOUT_MS)
-    return seen.withColumn("weight", S.group_decay(start, steps)).filter(F.col("weight") > 0)
+    return seen.withColumn("weight", S.group_decay(start, steps)).filter(F.col("weight") >= least)
+
+
+_CELL = ["arrival_ms", "latitude", "longitude"]
+
+
+def heat_limits(cells: DataFrame, share: int = K.CULL_SHARE) -> DataFrame | None:
+    """as_of_ms, limit: for every tick that culls anything, the weight up to which points go; None without any.
+
+    A tick's limit is a share of the heaviest point before the tick's fade. Only cells can weigh enough for a limit
+    above zero, so the few heavy cells decide. A heavy cell that is culled itself no longer counts at later
+    ticks; the limits are found again without such cells until nothing changes. The limits of a tick follow from
+    earlier ticks only, so every round settles at least one more tick, in practice all within a few.
+    """
+    heavy = cut(cell_heat(cells, K.TICK_MS, share).select(*_CELL, "as_of_ms", "weight"))
+    if heavy.isEmpty():
+        return None
+    limits, before = _limits(heavy, share), None
+    while True:
+        limits = cut(limits)
+        now = tuple(limits.agg(F.count("*"), F.bit_xor(F.xxhash64("as_of_ms", "limit"))).first())
+        if now == before:
+            return limits
+        before = now
+        limits = _limits(_living(heavy, _deaths(heavy, limits, _CELL, F.col("arrival_ms")), _CELL), share)
+
+
+def _limits(heavy: DataFrame, share: int) -> DataFrame:
+    return heavy.groupBy((F.col("as_of_ms") + K.TICK_MS).alias("as_of_ms")).agg(weak_limit(F.max("weight"), share).alias("limit"))
+
+
+def _deaths(marks: DataFrame, limits: DataFrame, keys: list[str], born_ms: Column) -> DataFrame:
+    """Keys with the first tick after their arrival at which they weigh no more than the limit."""
+    weak = marks.join(limits, "as_of_ms").filter((F.col("as_of_ms") > born_ms) & (F.col("weight") <= F.col("limit")))
+    return weak.groupBy(*keys).agg(F.min("as_of_ms").alias("_dead_ms"))
+
+
+def _living(marks: DataFrame, deaths: DataFrame, keys: list[str]) -> DataFrame:
+    joined = marks.join(deaths, keys, "left")
+    return joined.filter(F.col("_dead_ms").isNull() | (F.col("as_of_ms") < F.col("_dead_ms"))).drop("_dead_ms")
 
 
 def weak_limit(max_weight: Column, share: int = K.CULL_SHARE) -> Column:
@@ -112,19 +154,16 @@ def cull_weak(points: DataFrame, share: int = K.CULL_SHARE) -> DataFrame:
 def heat_weights(points: DataFrame, cells: DataFrame, every_ms: int) -> DataFrame:
     """The visible point set at every multiple of ``every_ms``: ride points and cells together.
 
-    All points of one (ride, batch) weigh the same, so weak ones are culled on these pairs,
-    and only the rest is looked up. The limits are one number per instant.
+    Weak points are culled at every tick, whatever instants are asked for, and stay away. All points of one (ride,
+    batch) weigh the same, so these pairs are culled and only what is left is looked up.
     """
-    marks = cut(
-        ride_heat(points, every_ms).unionByName(
-            cell_heat(cells, every_ms).select("as_of_ms", "latitude", "longitude", "weight"), allowMissingColumns=True
-        )
-    )
-    limits = marks.groupBy("as_of_ms").agg(weak_limit(F.max("weight")).alias("_limit"))
-    pair = F.struct("ride_id", "batch_id", "latitude", "longitude")
-    kept = salted_join(marks, limits, ["as_of_ms"], pair).filter(F.col("weight") > F.col("_limit"))
+    pairs, counted = ride_heat(points, every_ms), cell_heat(cells, every_ms)
+    limits = heat_limits(cells)
+    if limits is not None:
+        ride = ["ride_id", "batch_id"]
+        fallen = _deaths(ride_heat(points, K.TICK_MS, limits), limits, ride, F.col("batch_id") * K.TICK_MS)
+        pairs = _living(pairs, fallen, ride)
+        counted = _living(counted, _deaths(cell_heat(cells, K.TICK_MS), limits, _CELL, F.col("arrival_ms")), _CELL)
     columns = ["as_of_ms", "ride_id", "message_id", "latitude", "longitude", "weight"]
-    pairs = kept.filter(F.col("ride_id").isNotNull()).select("as_of_ms", "ride_id", "batch_id", "weight")
     rides = salted_join(points, pairs, ["ride_id", "batch_id"], "message_id", salts=1).select(*columns)
-    counted = kept.filter(F.col("ride_id").isNull()).select("as_of_ms", "latitude", "longitude", "weight")
-    return rides.unionByName(counted, allowMissingColumns=True)
+    return rides.unionByName(counted.select("as_of_ms", "latitude", "longitude", "weight"), allowMissingColumns=True)

@@ -228,6 +228,13 @@ def heat_weights(rides: DataFrame) -> DataFrame:
     return trails.heat_weights(trails.with_batch(rides), cells, HEAT_EVERY_MS)
 
 
+@_register
+def heat_weights_bundles(rides: DataFrame) -> DataFrame:
+    """The same with cells of a fifth of a degree and ten seconds, heavy enough to cull others."""
+    cells = jobs.count_cells(rides, 10 * K.SECOND_US, 0.2).withColumn("arrival_ms", S.floor_div(F.col("window_end_us"), 1000))
+    return trails.heat_weights(trails.with_batch(rides), cells, HEAT_EVERY_MS)
+
+
 @_register
 def cell_weights(rides: DataFrame) -> DataFrame:
     """Points per cell over ten minutes as weights, weak cells culled."""

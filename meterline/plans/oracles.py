@@ -181,15 +181,45 @@ ride_marks AS (
         JOIN instants ON as_of_ms >= batch_id * 250 AND as_of_ms < batch_id * 250 + 20000)
   WINDOW w AS (PARTITION BY as_of_ms, ride_id ORDER BY batch_id DESC)),
 cell_marks AS (
-  SELECT as_of_ms, latitude, longitude,
+  SELECT as_of_ms, window_end_us, latitude, longitude,
          list_reduce(list_prepend(CAST(5 * ntaxis AS BIGINT),
                      range(GREATEST(0, (as_of_ms - window_end_us // 1000) // 250 - 20))), lambda w, i: 4 * w // 5) AS weight
-  FROM cells JOIN instants ON as_of_ms >= window_end_us // 1000 AND as_of_ms < window_end_us // 1000 + 30000),
-points AS (
-  SELECT m.as_of_ms, b.ride_id, b.message_id, b.latitude, b.longitude, m.weight
-  FROM batched b JOIN ride_marks m ON b.ride_id = m.ride_id AND b.batch_id = m.batch_id WHERE m.weight > 0
-  UNION ALL
-  SELECT as_of_ms, NULL, NULL, latitude, longitude, weight FROM cell_marks WHERE weight > 0)"""
+  FROM cells JOIN instants ON as_of_ms >= window_end_us // 1000 AND as_of_ms < window_end_us // 1000 + 30000)"""
+
+
+# a tick's limit follows from the heaviest cell before its fade; culled cells, far below the heaviest, set none
+_CULLED = """
+, cell_ticks AS (
+  SELECT c.*, tick, list_reduce(list_prepend(CAST(5 * ntaxis AS BIGINT),
+           range(GREATEST(0, (tick - window_end_us // 1000) // 250 - 20))), lambda w, i: 4 * w // 5) AS weight
+  FROM cells c, (SELECT UNNEST(range(0, 30000, 250)) AS age), LATERAL (SELECT window_end_us // 1000 + age AS tick)),
+limits AS (SELECT tick + 250 AS tick, MAX(weight) // 20 AS weak FROM cell_ticks WHERE weight >= 20 GROUP BY tick),
+ride_ticks AS (
+  SELECT *, 6 - ROW_NUMBER() OVER w
+           - GREATEST(0, (tick - LEAST(COALESCE(LAG(batch_id * 250) OVER w, batch_id * 250 + 5000), batch_id * 250 + 5000)) // 250)
+           AS weight
+  FROM (SELECT DISTINCT ride_id, batch_id, tick, weak FROM batched
+        JOIN limits ON tick >= batch_id * 250 AND tick < batch_id * 250 + 20000)
+  WINDOW w AS (PARTITION BY tick, ride_id ORDER BY batch_id DESC)),
+gone_rides AS (SELECT ride_id, batch_id, MIN(tick) AS gone FROM ride_ticks WHERE tick > batch_id * 250 AND weight <= weak GROUP BY ALL),
+gone_cells AS (
+  SELECT window_end_us, latitude, longitude, MIN(tick) AS gone FROM cell_ticks JOIN limits USING (tick)
+  WHERE tick > window_end_us // 1000 AND weight <= weak GROUP BY ALL)
+SELECT m.as_of_ms, b.ride_id, b.message_id, b.latitude, b.longitude, m.weight
+FROM batched b JOIN ride_marks m ON b.ride_id = m.ride_id AND b.batch_id = m.batch_id
+  LEFT JOIN gone_rides g ON g.ride_id = b.ride_id AND g.batch_id = b.batch_id
+WHERE m.weight > 0 AND (gone IS NULL OR m.as_of_ms < gone)
+UNION ALL
+SELECT as_of_ms, NULL, NULL, c.latitude, c.longitude, weight
+FROM cell_marks c LEFT JOIN gone_cells g
+  ON g.window_end_us = c.window_end_us AND g.latitude = c.latitude AND g.longitude = c.longitude
+WHERE weight > 0 AND (gone IS NULL OR as_of_ms < gone)"""
+
+_BUNDLES = f"""
+cells AS (
+  SELECT event_us // 10000000 * 10000000 AS window_start_us, event_us // 10000000 * 10000000 + 10000000 AS window_end_us,
+         {_cell('latitude', '0.2')} AS latitude, {_cell('longitude', '0.2')} AS longitude, COUNT(*) AS ntaxis
+  FROM rides GROUP BY ALL)"""
 
 
 def _bundle(n: int) -> str:
@@ -330,10 +360,8 @@ SELECT ride_id, message_id, minute, weight - 1 AS weight FROM held
 WHERE ride_id IN (SELECT ride_id FROM arrived) AND weight > 1
 UNION ALL SELECT ride_id, message_id, minute, weight FROM held WHERE ride_id NOT IN (SELECT ride_id FROM arrived)
 UNION ALL SELECT ride_id, message_id, minute, 5 FROM arrived""",
-    "heat_weights": _with(_CELLS, _BATCHED, _HEAT)
-    + """
-SELECT p.* FROM points p JOIN (SELECT as_of_ms, MAX(weight) // 20 AS weak FROM points GROUP BY as_of_ms) USING (as_of_ms)
-WHERE weight > weak""",
+    "heat_weights": _with(_CELLS, _BATCHED, _HEAT) + _CULLED,
+    "heat_weights_bundles": _with(_BUNDLES, _BATCHED, _HEAT) + _CULLED,
     "cell_weights": _with(
         f"""
 wide AS (

@@ -103,6 +103,7 @@ def _heat_walk(points, cells, as_of):
     """Tick through every 250 ms; batches arrive on ticks, before that tick fades older points."""
     held = []
     for now in range(0, as_of + 1, 250):
+        weak = max([h["w"] for h in held], default=0) // 20
         arrived = [p for p in points if p["ms"] == now]
         rides = {p["ride"] for p in arrived}
         for h in held:
@@ -115,7 +116,7 @@ def _heat_walk(points, cells, as_of):
                 h["w"] -= 1
             if h["ride"] in rides:
                 h["w"] -= 1
-        held = [h for h in held if h["w"] > 0]
+        held = [h for h in held if h["w"] > weak]
         held += [{**p, "w": 5} for p in arrived]
         held += [{"ride": None, "id": c["id"], "ms": now, "w": 5 * c["n"]} for c in cells if c["ms"] == now]
     return held
@@ -124,7 +125,7 @@ def _heat_walk(points, cells, as_of):
 def test_heat_equals_ticking(spark):
     rnd = random.Random(13)
     points = [{"ride": rnd.choice("abcd"), "id": i, "ms": rnd.randrange(0, 30_000, 250)} for i in range(60)]
-    cells = [{"id": 1000 + i, "ms": rnd.randrange(0, 30_000, 250), "n": rnd.choice([1, 2, 9, 40])} for i in range(15)]
+    cells = [{"id": 1000 + i, "ms": rnd.randrange(0, 30_000, 250), "n": rnd.choice([1, 2, 9, 40, 300])} for i in range(25)]
     pdf = spark.createDataFrame(
         [(p["ride"], p["id"], p["ms"] // 250, 0.0, 0.0) for p in points],
         "ride_id string, message_id bigint, batch_id bigint, latitude double, longitude double",
@@ -138,9 +139,7 @@ def test_heat_equals_ticking(spark):
         key = r.message_id if r.ride_id is not None else int(r.latitude)
         got.setdefault(r.as_of_ms, {})[key] = r.weight
     for as_of in range(0, 40_000, every):
-        held = _heat_walk(points, cells, as_of)
-        weak = max([h["w"] for h in held], default=0) // 20
-        want = {h["id"]: h["w"] for h in held if h["w"] > weak}
+        want = {h["id"]: h["w"] for h in _heat_walk(points, cells, as_of)}
         assert got.get(as_of, {}) == want, as_of
 
 
