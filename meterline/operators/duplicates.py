@@ -4,7 +4,7 @@ That memory starts with the first arrival and is not refreshed, so the arrivals
 form a chain: a start, its duplicates, the next start, and so on. The chain is found
 without gathering the arrivals of an id:
 
-1. copies are reduced to one row per (id, arrival ms) before the first shuffle, and an id
+1. copies are reduced to one row per (id, arrival ms), written once and read from there, and an id
    whose last arrival is within the memory of its first needs no more than that;
 2. for the other ids, a pause longer than the memory always begins a new start, so their
    arrivals fall into independent runs; a run no longer than the memory has just its first
@@ -65,17 +65,29 @@ def _pointers(long_arrivals: DataFrame, keys: list[str], memory_ms: int) -> Data
     )
 
 
+def arrivals(deliveries: DataFrame, keys: tuple[str, ...] = ("message_id",)) -> DataFrame:
+    """(id, arrival ms, copies): the one reduction of the deliveries that everything else is derived from, written once."""
+    return cut(deliveries.groupBy(*keys, "arrival_ms").agg(F.count("*").alias("copies")), "arrivals")
+
+
 def start_arrivals(
     deliveries: DataFrame, keys: tuple[str, ...] = ("message_id",), memory_ms: int = K.DUPLICATE_MEMORY_MS
 ) -> DataFrame:
     """(id, arrival ms) of every delivery that makes its id known: all others are duplicates."""
+    return starts_among(arrivals(deliveries, keys), keys, memory_ms)
+
+
+def starts_among(came: DataFrame, keys: tuple[str, ...], memory_ms: int = K.DUPLICATE_MEMORY_MS) -> DataFrame:
+    """The starts among the rows of ``arrivals``."""
     by = list(keys)
-    spans = deliveries.groupBy(*by).agg(F.min("arrival_ms").alias("run_start"), F.max("arrival_ms").alias("run_end"))
+    spans = came.groupBy(*by).agg(F.min("arrival_ms").alias("run_start"), F.max("arrival_ms").alias("run_end"))
     # most ids are heard of for less than the memory: their first arrival is the one start
     firsts = spans.select(*by, F.col("run_start").alias("arrival_ms"))
-    longer = spans.filter(F.col("run_end") - F.col("run_start") > memory_ms).select(*by)
-    arrivals = deliveries.select(*by, "arrival_ms").distinct().withColumn("_slot", _slot(memory_ms))
-    spread = cut(salted_join(arrivals, longer, by, "arrival_ms", "left_semi", salts=1))
+    longer = cut(spans.filter(F.col("run_end") - F.col("run_start") > memory_ms).select(*by), "longer")
+    if longer.isEmpty():
+        return firsts
+    slotted = came.select(*by, "arrival_ms").withColumn("_slot", _slot(memory_ms))
+    spread = cut(salted_join(slotted, longer, by, "arrival_ms", "left_semi", salts=1))
     return firsts.unionByName(_later_starts(spread, by, memory_ms))
 
 
@@ -88,10 +100,12 @@ def duplicate_counts(
     is the start and the others are duplicates.
     """
     arrival = [*keys, "arrival_ms"]
-    copies = deliveries.groupBy(*arrival).agg(F.count("*").alias("copies"))
-    starts = start_arrivals(deliveries, keys, memory_ms).withColumn("_start", F.lit(1))
-    duplicates = F.col("copies") - F.coalesce("_start", F.lit(0))
-    return copies.join(starts, arrival, "left").select(*arrival, "copies", duplicates.cast("bigint").alias("duplicates"))
+    came = arrivals(deliveries, keys)
+    # marks of starts and counts meet in one aggregation, not in a join
+    marks = starts_among(came, keys, memory_ms).withColumns({"copies": F.lit(0).cast("bigint"), "_start": F.lit(1)})
+    both = came.withColumn("_start", F.lit(0)).unionByName(marks)
+    merged = both.groupBy(*arrival).agg(F.sum("copies").alias("copies"), F.max("_start").alias("_start"))
+    return merged.select(*arrival, "copies", (F.col("copies") - F.col("_start")).cast("bigint").alias("duplicates"))
 
 
 def _slot(memory_ms: int) -> Column:
@@ -148,9 +162,10 @@ def duplicates_per_batch(
 ) -> DataFrame:
     """Messages and duplicates per (feed and) pull batch: what came, less what was a start."""
     by = [*feed, "batch_id"]
+    keys = (*feed, "message_id")
     batch = S.floor_div(F.col("arrival_ms"), batch_ms).alias("batch_id")
-    came = deliveries.groupBy(*feed, batch).agg(F.count("*").alias("n_messages"))
-    starts = start_arrivals(deliveries, (*feed, "message_id"), memory_ms)
-    new = starts.groupBy(*feed, batch).agg(F.count("*").alias("_new"))
-    duplicates = F.col("n_messages") - F.coalesce("_new", F.lit(0))
-    return came.join(new, by, "left").select(*by, "n_messages", duplicates.alias("n_duplicates"))
+    came = arrivals(deliveries, keys)
+    marks = starts_among(came, keys, memory_ms).select(*feed, batch, F.lit(0).alias("copies"), F.lit(1).alias("_new"))
+    both = came.select(*feed, batch, "copies", F.lit(0).alias("_new")).unionByName(marks)
+    sums = both.groupBy(*by).agg(F.sum("copies").alias("n_messages"), F.sum("_new").alias("_new"))
+    return sums.select(*by, "n_messages", (F.col("n_messages") - F.col("_new")).alias("n_duplicates"))

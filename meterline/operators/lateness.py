@@ -38,6 +38,15 @@ def lateness_class(window_end_us: Column, watermark_us: Column, lateness_us: int
     )
 
 
+def in_time(df: DataFrame, gap_us: int, delay_us: int = 0) -> DataFrame:
+    """Rows that a session job without allowed lateness takes: those whose own session, were they alone in it, is still
+    open for the watermark that they meet."""
+    marks = watermark_by_arrival(df, delay_us)
+    rows = salted_join(df, marks, ["arrival_ms"], "message_id", salts=1)
+    open_ = F.col("watermark_us").isNull() | (F.col("event_us") + gap_us > F.col("watermark_us"))
+    return rows.filter(open_).drop("watermark_us")
+
+
 def _window_start(width_us: int) -> Column:
     return S.floor_div(F.col("event_us"), width_us) * width_us
 

@@ -61,8 +61,8 @@ def _widen(df: DataFrame) -> DataFrame:
 
 def _plain(df: DataFrame) -> DataFrame:
     return df.select(
-        "ride_id", "message_id", "event_us", "latitude", "longitude", "meter_increment", "ride_status",
-        "passenger_count", "arrival_ms",
+        "ride_id", "message_id", "event_us", F.unix_micros("timestamp").alias("payload_us"), "latitude", "longitude",
+        "meter_reading", "meter_increment", "ride_status", "passenger_count", "point_idx", "arrival_ms",
     )
 
 
@@ -150,17 +150,17 @@ def lateness_classes(rides: DataFrame) -> DataFrame:
 
 @_register
 def latest_points(rides: DataFrame) -> DataFrame:
-    return _widen(jobs.latest_points(rides).select(*POINT))
+    return _widen(jobs.latest_points(lateness.in_time(rides, K.LATEST_GAP_US)).select(*POINT))
 
 
 @_register
 def latest_points_minute_gap(rides: DataFrame) -> DataFrame:
-    return _widen(jobs.latest_points(rides, K.MINUTE_US).select(*POINT))
+    return _widen(jobs.latest_points(lateness.in_time(rides, K.MINUTE_US), K.MINUTE_US).select(*POINT))
 
 
 @_register
 def pickup_points(rides: DataFrame) -> DataFrame:
-    return _widen(jobs.pickup_points(rides).select(*POINT))
+    return _widen(jobs.pickup_points(lateness.in_time(rides, K.PICKUP_GAP_US)).select(*POINT))
 
 
 @_register
@@ -308,19 +308,14 @@ def data_clock(rides: DataFrame) -> DataFrame:
     return feed.data_clock(trails.with_batch(elementwise.ride_points(rides)))
 
 
-def _numbered(rides: DataFrame) -> DataFrame:
-    """Points numbered by message id; the ids of a ride are full of gaps."""
-    return rides.withColumn("point_idx", F.col("message_id"))
-
-
 @_register
 def point_marks(rides: DataFrame) -> DataFrame:
-    return feed.point_marks(_numbered(rides)).select("message_id", "ride_id", "point_idx", "offset", "after_done")
+    return feed.point_marks(rides).select("message_id", "ride_id", "point_idx", "offset", "after_done")
 
 
 @_register
 def ride_completeness(rides: DataFrame) -> DataFrame:
-    return feed.ride_completeness(_numbered(rides))
+    return feed.ride_completeness(rides)
 
 
 # --- streams -----------------------------------------------------------------------

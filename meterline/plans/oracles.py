@@ -14,6 +14,7 @@ rides AS (
          40.60::DOUBLE + (event_id * 7919 % 30000) / 100000.0::DOUBLE AS latitude,
          -74.10::DOUBLE + (event_id * 104729 % 30000) / 100000.0::DOUBLE AS longitude,
          CAST(value AS DOUBLE) AS meter_increment,
+         event_id * 31 % 10000 / 100.0::DOUBLE AS meter_reading, event_id AS point_idx,
          CASE event_type WHEN 'signup' THEN 'pickup' WHEN 'purchase' THEN 'dropoff' ELSE 'enroute' END AS ride_status,
          CAST(1 + event_id % 6 AS INT) AS passenger_count,
          (1704067200000000 + (epoch_us(ts) - 1704067200000000) // 720) // 1000
@@ -49,7 +50,10 @@ def _cents(x: str) -> str:
     return f"(CASE WHEN {x} < 0 THEN '-' ELSE '' END || '$' || format('{{:,.2f}}', CAST({cents} AS DOUBLE)))"
 
 
-_PLAIN = "ride_id, message_id, event_us, latitude, longitude, meter_increment, ride_status, passenger_count, arrival_ms"
+_PLAIN = (
+    "ride_id, message_id, event_us, event_us AS payload_us, latitude, longitude, meter_reading, meter_increment, ride_status,"
+    " passenger_count, point_idx, arrival_ms"
+)
 _F32LAT = "CAST(CAST(latitude AS FLOAT) AS DOUBLE)"
 _F32LON = "CAST(CAST(longitude AS FLOAT) AS DOUBLE)"
 _BOX = (
@@ -122,6 +126,19 @@ picked AS (
   WHERE rn = 1)"""
 
 
+def _in_time(gap_us: int, order: str, where: str = "TRUE") -> tuple[str, ...]:
+    """The same over the rows whose own session is open for the watermark that they meet."""
+    sessions, picked = _picked(gap_us, order, where)
+    return f"""
+marks AS (
+  SELECT arrival_ms, MAX(m) OVER (ORDER BY arrival_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark_us
+  FROM (SELECT arrival_ms, MAX(event_us) AS m FROM rides GROUP BY arrival_ms)),
+in_time AS (
+  SELECT r.* FROM rides r JOIN marks USING (arrival_ms) WHERE watermark_us IS NULL OR event_us + {gap_us} > watermark_us)""", sessions.replace(
+        "FROM rides", "FROM in_time"
+    ), picked
+
+
 _NEWEST = "event_us // 1000 DESC, message_id"
 _OLDEST = "event_us // 1000, message_id"
 _IS_PICKUP = "ride_status = 'pickup'"
@@ -237,7 +254,7 @@ seen AS (
          COALESCE(MAX(CASE WHEN ride_status = 'dropoff' THEN 1 ELSE 0 END)
                   OVER (PARTITION BY ride_id ORDER BY arrival_ms, message_id
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AS after_done
-  FROM (SELECT *, message_id AS point_idx FROM rides)
+  FROM rides
   WINDOW o AS (PARTITION BY ride_id ORDER BY arrival_ms, message_id))"""
 
 _SPLIT = """
@@ -335,9 +352,9 @@ FROM classed WHERE lateness <> 'DROPPED' GROUP BY window_start_us""",
     "lateness_rows": _with(_CLASSED) + "SELECT message_id, window_start_us, watermark_us, lateness FROM classed",
     "lateness_classes": _with(_CLASSED)
     + f"SELECT window_start_us, lateness, COUNT(*) AS n_points, {_money('meter_increment')} AS dollars FROM classed GROUP BY ALL",
-    "latest_points": _with(*_picked(3_600_000_000, _NEWEST)) + "SELECT * FROM picked",
-    "latest_points_minute_gap": _with(*_picked(60_000_000, _NEWEST)) + "SELECT * FROM picked",
-    "pickup_points": _with(*_picked(60_000_000, _OLDEST, _IS_PICKUP)) + "SELECT * FROM picked",
+    "latest_points": _with(*_in_time(3_600_000_000, _NEWEST)) + "SELECT * FROM picked",
+    "latest_points_minute_gap": _with(*_in_time(60_000_000, _NEWEST)) + "SELECT * FROM picked",
+    "pickup_points": _with(*_in_time(60_000_000, _OLDEST, _IS_PICKUP)) + "SELECT * FROM picked",
     "session_spans": _with(_sessions(60_000_000))
     + "SELECT ride_id, session_start_us, session_end_us, n_points FROM spans",
     "message_topic": _with(_CELLS, _CLOCKS, _RATES, _CLASSED, _PANES, _TOPIC) + "SELECT * FROM topic",

@@ -53,9 +53,11 @@ def rides_from_events(events: DataFrame) -> DataFrame:
             F.timestamp_micros("event_us").alias("timestamp"),
             (F.lit(40.60) + (event_id * 7919 % 30000) / F.lit(100000.0)).alias("latitude"),
             (F.lit(-74.10) + (event_id * 104729 % 30000) / F.lit(100000.0)).alias("longitude"),
+            (event_id * 31 % 10000 / F.lit(100.0)).alias("meter_reading"),
             F.col("value").alias("meter_increment"),
             status.alias("ride_status"),
             (event_id % 6 + 1).cast("int").alias("passenger_count"),
+            event_id.alias("point_idx"),  # message ids: the points of a ride are full of gaps
             (F.expr("event_us div 1000") + delay_ms).alias("arrival_ms"),
         )
     )

@@ -48,3 +48,11 @@ def test_trail_ranks_are_limited_before_the_shuffle(spark):
 def test_counts_are_reduced_before_the_shuffle(spark):
     plan = _plan(jobs.count_cells(R.load_rides(spark, SMALL)))
     assert plan.index("Exchange") < plan.index("partial_count")
+
+
+@pytest.mark.parametrize("name", ["flag_duplicates", "duplicates_per_batch", "feed_health"])
+def test_deliveries_are_reduced_once(spark, name):
+    # everything above the one written reduction reads that table, never the deliveries again
+    plan = _plan(QUERIES[name](spark, SMALL))
+    assert "events.parquet" not in plan
+    assert plan.count("Exchange") <= 24

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import make_rides, us
 from meterline import constants as K
 from meterline.operators.sessions import session_spans
+from meterline.operators import lateness, trails
 from meterline.plans import jobs
 
 
@@ -82,3 +83,18 @@ def test_one_latest_point_per_session(spark):
     rnd = random.Random(8)
     df = make_rides(spark, [{"ride_id": rnd.choice("abc"), "t": rnd.randint(0, 9000), "message_id": i} for i in range(400)])
     assert jobs.latest_points(df, K.MINUTE_US).count() == session_spans(df, K.MINUTE_US).count()
+
+
+def test_rows_of_closed_sessions_are_late(spark):
+    rows = [{"t": t, "message_id": i, "arrival_ms": a} for i, (t, a) in enumerate([(0, 0), (100, 100), (30, 200), (41, 201), (150, 300)])]
+    kept = lateness.in_time(make_rides(spark, rows), K.MINUTE_US)
+    # the watermark is 100 s when the late rows come: 30 + 60 is behind it, 41 + 60 is not
+    assert sorted(r.message_id for r in kept.collect()) == [0, 1, 3, 4]
+
+
+def test_slots_before_the_epoch(spark):
+    df = spark.createDataFrame([("a", -35_000_000), ("a", 35_000_000)], "ride_id string, event_us bigint")
+    spans = sorted(tuple(r) for r in session_spans(df, K.MINUTE_US).collect())
+    assert [s[1:] for s in spans] == [(-35_000_000, 25_000_000, 1), (35_000_000, 95_000_000, 1)]
+    batches = trails.with_batch(spark.createDataFrame([(-1,), (0,)], "arrival_ms bigint"))
+    assert sorted(r.batch_id for r in batches.collect()) == [-1, 0]
