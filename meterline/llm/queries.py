@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.llm import embed_dedup, html_extract, lm, minhash, mixing, packing, pii, quality_gbt, quality_rules, toxicity
 from meterline.llm.common import table
+from meterline.llm.oracles import ORACLES
 
 
 def op1_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,4 +67,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {"op8_mixing": mixing.ORACLE}
+__all__ = ["ORACLES", "QUERIES"]
