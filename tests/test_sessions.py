@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import make_rides, us
 from meterline import constants as K
 from meterline.operators.sessions import session_spans
-from meterline.operators import lateness, trails
+from meterline.operators import aggs, lateness, trails
 from meterline.plans import jobs
 
 
@@ -98,3 +98,15 @@ def test_slots_before_the_epoch(spark):
     assert [s[1:] for s in spans] == [(-35_000_000, 25_000_000, 1), (35_000_000, 95_000_000, 1)]
     batches = trails.with_batch(spark.createDataFrame([(-1,), (0,)], "arrival_ms bigint"))
     assert sorted(r.batch_id for r in batches.collect()) == [-1, 0]
+
+
+def test_latest_and_first_matching_value_per_key(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 10, "enroute"), ("a", 2, 30, "pickup"), ("a", 3, 30, "pickup"), ("b", 4, 5, "enroute")],
+        "ride_id string, message_id bigint, ts_ms bigint, ride_status string",
+    )
+    newest = aggs.latest_by(df, ["ride_id"], F.col("message_id"), aggs.newest_first())
+    assert sorted(tuple(r) for r in newest.collect()) == [("a", 2), ("b", 4)]
+    pickup = F.col("ride_status") == K.STATUS_PICKUP
+    first = aggs.first_matching_by(df, ["ride_id"], F.col("message_id"), pickup, aggs.oldest_first())
+    assert sorted(tuple(r) for r in first.collect()) == [("a", 2), ("b", None)]
