@@ -11,6 +11,8 @@ from meterline.llm.common import mixed
 
 #: Links per node and layer, candidates while building, nodes expanded per step, vectors inserted or queried at once.
 LINKS, WIDE, EXPAND, BLOCK = 24, 48, 4, 256
+#: Rounds in which nodes out of reach are linked again at most.
+REPAIRS = 8
 
 
 def levels(ids: np.ndarray) -> np.ndarray:
@@ -119,9 +121,13 @@ class Graph:
             self._reach_all(layer)
 
     def _reach_all(self, layer: int) -> None:
-        """Nodes that no path from the entry leads to any more get a link from their nearest node that one does."""
+        """Nodes that no path from the entry leads to any more get a link from their nearest node that one does.
+
+        A link that makes room may cut off others, so there are a few rounds; what is left is found by searches that
+        start at the node itself, and the audit of the callers sees the rest.
+        """
         links, member = self.layers[layer], self.level >= layer
-        while True:
+        for _ in range(REPAIRS):
             seen = np.zeros(len(links) + 1, bool)
             front = np.flatnonzero(self.level >= len(self.layers) - 1) if layer == len(self.layers) - 1 else np.flatnonzero(self.level > layer)
             front = front[:1] if layer == len(self.layers) - 1 else front
