@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ BLANKS = b" \t\n\r\x0b\x0c"
 #: Rows of a few numbers each that are broadcast at most; longer tables are joined.
 SMALL_TABLE = 100_000
 #: Rows of whole texts that a Python worker is handed at a time; it bounds its memory, results do not depend on it.
-BATCH = "1000"
+BATCH = "250"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -58,10 +59,19 @@ def remembered(name: str, make: Callable[[], object]):
     """What this worker process keeps from one task to the next; of several such things only the last one asked for."""
     if name not in _KEPT:
         _KEPT.clear()
+        give_back()
         _KEPT[name] = make()
     return _KEPT[name]
 
 
+def give_back() -> None:
+    """Return free memory of this process to the machine; a worker process outlives the operators it worked for."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # there with the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def word_hashes() -> WordHashes:
     return remembered("hashes", WordHashes)
 

@@ -37,7 +37,7 @@ HOLD_OUT, HELD = 10, 0
 LEXICON = 400_000
 SPAN, PER_REPLICA, ROUNDS, BLOCK = 128, 4000, (0.05, 0.025), 256
 #: Tokens that a worker scores in step.
-TOGETHER = 2_000_000
+TOGETHER = 5_000_000
 END = b""
 _CLOSING = b".,;:!?"
 

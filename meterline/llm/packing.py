@@ -33,13 +33,13 @@ GRID = 4
 #: Steps of the multiplicative weights, and the share of the scarcest class that a step uses.
 STEPS, STEP = 400, 0.3
 #: Words whose ids a worker remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _TOKENIZERS: dict[str, object] = {}
 
 
 #: Signs that end a word of letters and are then a part of their own; an apostrophe may begin a contraction.
-_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _lowered(text: bytes) -> bytes:
@@ -47,16 +47,13 @@ def _lowered(text: bytes) -> bytes:
     return text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
 
 
-def _letters(word: str) -> str:
-    """The letters that a word of letters and closing signs begins with, as the tokenizer's only first part; else empty."""
-    letters = word.rstrip(_SIGNS)
-    if not letters.isalpha():
-        return ""
-    low = letters.lower()
-    if low.isascii():
-        return low
+def _letters(stem: bytes) -> bytes:
+    """A word of letters beyond ASCII as the tokenizer's rules leave it; empty if it is none."""
+    word = stem.decode()
+    low = word.lower()
     # a capital sigma is the one letter whose lower case depends on its place
-    return low if low.isalpha() and "Σ" not in letters and unicodedata.is_normalized("NFC", word) else ""
+    good = low.isalpha() and word.isalpha() and "Σ" not in word and unicodedata.is_normalized("NFC", word)
+    return low.encode() if good else b""
 
 
 class WordIds(dict):
@@ -69,11 +66,16 @@ class WordIds(dict):
         super().__init__()
         self.vocabulary = vocabulary
         self.old: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
-        self.signs: dict[str, bytes] = {"": b""}
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self[word] = self.old.pop(word)
+        self.asked: set[bytes] = set()
+        self.letters: dict[bytes, bytes] = {}
+        self.signs: dict[bytes, bytes] = {b"": b""}
+
+    def __missing__(self, word: bytes) -> bytes | None:
+        ids = self.old.pop(word, None)
+        if ids is None:
+            self.asked.add(word)
+        else:
+            self[word] = ids
         return ids
 
     def tokenizer(self):
@@ -91,8 +93,7 @@ class WordIds(dict):
             for token, number in made.get_vocab().items():
                 last[number] = token.endswith("</w>")
             # for words of lower-case letters, which the rules of the vocabulary leave as they are
-            plain = Tokenizer.from_file(path)
-            plain.normalizer = None
+            plain = Tokenizer(made.model)  # the same tables
             plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
             _TOKENIZERS[self.vocabulary] = made, plain, last
         made, self.plain, self.last = _TOKENIZERS[self.vocabulary]
@@ -100,44 +101,46 @@ class WordIds(dict):
 
     def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
         """Ids of whole texts, given as words."""
-        self.learn(set().union(*texts))
-        return [b"".join(map(self.__getitem__, words)) for words in texts]
-
-    def learn(self, words: set[bytes]) -> None:
         if len(self) > REMEMBERED:
             self.old = dict(self)
             self.clear()
+        known = self.__getitem__
+        found = [list(map(known, words)) for words in texts]
+        if self.asked:
+            self.learn(list(self.asked))
+            self.asked.clear()
+            found = [
+                [known(word) if x is None else x for word, x in zip(words, ids, strict=True)] if None in ids else ids
+                for words, ids in zip(texts, found, strict=True)
+            ]
+        return [b"".join(ids) for ids in found]
+
+    def learn(self, new: list[bytes]) -> None:
         if len(self.letters) > REMEMBERED:
             self.letters.clear()
-        new = [w for w in words if w not in self and w not in self.old]
-        other, simple = [], []
-        for word in new:
-            text = word.decode()
-            letters = _letters(text)
-            if letters:
-                simple.append((word, letters, text[len(letters) :]))
-            else:
-                other.append(word)
-        self._learn_letters([x for x in {s[1] for s in simple} if x not in self.letters])
-        for signs in {s[2] for s in simple} - self.signs.keys():
-            self.signs[signs] = self._ids([signs])[0]
-        for word, letters, signs in simple:
-            self[word] = self.letters[letters] + self.signs[signs]
-        for word, ids in zip(other, self._ids([w.decode() for w in other]), strict=True):
-            self[word] = ids
         if len(self.signs) > REMEMBERED:
-            self.signs = {"": b""}
+            self.signs = {b"": b""}
+        stems = [word.rstrip(_SIGNS) for word in new]  # no byte of a longer character is among the signs
+        plain = [stem.lower() if stem.isalpha() else _letters(stem) for stem in stems]
+        self._learn_letters([x for x in set(plain) if x and x not in self.letters])
+        ends = [word[len(stem) :] for word, stem in zip(new, stems, strict=True)]
+        for signs in {e for e, x in zip(ends, plain, strict=True) if x} - self.signs.keys():
+            self.signs[signs] = self._ids([signs])[0]
+        letters, signs = self.letters, self.signs
+        self.update({word: letters[x] + signs[end] for word, x, end in zip(new, plain, ends, strict=True) if x})
+        other = [word for word, x in zip(new, plain, strict=True) if not x]
+        self.update(zip(other, self._ids(other), strict=True))
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer().encode_batch_fast(words, add_special_tokens=False)
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer().encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn_letters(self, new: list[str]) -> None:
+    def _learn_letters(self, new: list[bytes]) -> None:
         """One call for all of them: every word of letters ends with a token that ends a word."""
         if not new:
             return
         self.tokenizer()
-        ids = np.array(self.plain.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.plain.encode_batch_fast([b" ".join(new).decode()], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.last[ids]) + 1) * 4
         if len(ends) != len(new):
             self.letters.update(zip(new, self._ids(new), strict=True))
