@@ -151,10 +151,9 @@ class Trainer:
         self.theta, self.rate = theta.copy(), rate
         self.m, self.v, self.n = np.zeros_like(theta), np.zeros_like(theta), 0
 
-    def learn(self, block: np.ndarray) -> None:
-        """One pass over rows of symbols, padded with -1."""
+    def learn(self, block: np.ndarray, last: np.ndarray) -> None:
+        """One pass over rows of symbols, padded with -1; ``last`` has the symbols before them."""
         h = np.zeros((len(block), HIDDEN), np.float32)
-        last = np.zeros(len(block), np.int64)
         for at in range(0, block.shape[1], WINDOW):
             target = block[:, at : at + WINDOW]
             live = (target >= 0).any(axis=1)

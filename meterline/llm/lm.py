@@ -3,9 +3,10 @@
 1. Every word of every learning document is counted (word, count), however many there are.
 2. The most frequent words become symbols of their own, all others one of ``gru.TAIL_CLASSES`` symbols that follow from
    their ending. Within such a class a word has its smoothed share of the class's counts.
-3. Every learning document gives a span of at most ``SPAN`` tokens, at a place that follows from its text. Replicas, one
-   per ``PER_REPLICA`` documents, run truncated backpropagation over their spans, their weights are averaged by an
-   aggregation, and a second round starts from the average.
+3. Every learning document is cut into consecutive spans of ``SPAN`` tokens, each with the symbol before it, so every
+   token is learned from, the end too. Replicas, one per ``PER_REPLICA`` documents, run truncated backpropagation over
+   their spans, their weights are averaged by an aggregation, and the next round starts from the average. The rounds
+   share the spans out: together they are one pass over all tokens.
 4. Every document is scored whole, the state carried from window to window. Counts of the ``LEXICON`` most frequent words
    are broadcast (a bound on rows, not on what is counted); the counts of all other words that occur come by a join.
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm import gru
-from meterline.llm.common import REMEMBERED, remainder, remembered, small_batches
+from meterline.llm.common import REMEMBERED, mixed, remainder, remembered, small_batches
 from meterline.session import cut
 
 HOLD_OUT, HELD = 10, 0
@@ -170,7 +171,7 @@ def lexicon_of(counts: DataFrame) -> Lexicon:
 
 
 def spans(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """One span of symbols per document."""
+    """All symbols of all documents in spans: one symbol before (0 at the start of a text) and at most ``SPAN`` to learn."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,13 +179,12 @@ def spans(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         for batch in batches:
             out, place = [], []
             for text in batch.column(1).to_pylist():
-                words, mark = text.lower().split(), xxhash.xxh64_intdigest(text)
-                start = mark % max(1, len(words) + 2 - SPAN)
-                part = words[start : start + SPAN]
-                symbols = symbols_of(part, known)[1]
-                out.append(np.append(symbols, np.int16(0)) if len(part) < SPAN else symbols)
-                place.append(mark % (1 << 62))
-            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(out, pa.list_(pa.int16()))], ["mark", "symbols"])
+                symbols = np.concatenate(([0], symbols_of(text.lower().split(), known)[1], [0])).astype(np.int16)
+                starts = range(0, len(symbols) - 1, SPAN)
+                out.extend(symbols[at : at + SPAN + 1] for at in starts)
+                place.append(np.uint64(xxhash.xxh64_intdigest(text)) + np.arange(len(starts), dtype=np.uint64))
+            mark = mixed(np.concatenate([*place, np.zeros(0, np.uint64)])) >> np.uint64(2)
+            yield pa.RecordBatch.from_arrays([pa.array(mark.astype(np.int64)), pa.array(out, pa.list_(pa.int16()))], ["mark", "symbols"])
 
     return _texts(docs).mapInArrow(run, "mark bigint, symbols array<smallint>")
 
@@ -193,8 +193,8 @@ def trained(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
     """Averaged parameters after the rounds."""
     theta = gru.initial(lexicon.symbol_counts())
     replicas = max(1, -(-lexicon.ends // PER_REPLICA))
-    dealt = rows.repartition(replicas, "mark")
-    for rate in ROUNDS if lexicon.ends else ():
+    for turn, rate in enumerate(ROUNDS if lexicon.ends else ()):
+        dealt = rows.where(F.col("mark") % len(ROUNDS) == turn).repartition(replicas, "mark")
         start = rows.sparkSession.sparkContext.broadcast(theta)
 
         def run(batches: Iterator[pa.RecordBatch], start=start, rate=rate) -> Iterator[pa.RecordBatch]:
@@ -204,7 +204,7 @@ def trained(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
                 block = np.full((len(held), max(map(len, held))), -1, np.int64)
                 for i, x in enumerate(held):
                     block[i, : len(x)] = x
-                trainer.learn(block)
+                trainer.learn(block[:, 1:], block[:, 0])
                 held.clear()
 
             for batch in batches:
@@ -219,7 +219,7 @@ def trained(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
 
         each = dealt.mapInArrow(run, "theta array<float>").select(F.posexplode("theta").alias("i", "x"))
         mean = each.groupBy("i").agg(F.avg("x").alias("x")).toArrow()
-        theta = np.zeros_like(theta)
+        theta = theta.copy()  # a round without spans leaves it as it is
         theta[mean["i"].to_numpy()] = mean["x"].to_numpy()
     return theta
 

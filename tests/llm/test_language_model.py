@@ -93,3 +93,17 @@ def test_state_is_carried_over_windows():
             total += float(model.log_probability(h, np.array([symbol]))[0])
             last = np.array([symbol])
         assert abs(total - score) < 1e-3 * (1 + abs(total))
+
+
+def test_every_token_is_learned_from(spark):
+    words = [f"word{i % 50}" for i in range(1000)]
+    texts = [" ".join(words[:n]) for n in (1000, lm.SPAN, lm.SPAN - 1, 0)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    lexicon = lm.lexicon_of(lm.word_counts(docs))
+    place = {w: i + 1 for i, w in enumerate(lexicon.words.to_pylist())}
+    want = [[place[w.encode()] for w in text.split()] + [0] for text in texts]
+    rows = [r.symbols for r in lm.spans(docs, lexicon).collect()]
+    assert max(map(len, rows)) == lm.SPAN + 1
+    assert [x for r in rows for x in r[1:]] == [x for text in want for x in text]
+    before = [x for text in want for x in [0, *text][: -1 : lm.SPAN]]
+    assert [r[0] for r in rows] == before
