@@ -1,7 +1,7 @@
 """Best-fit packing of tokenized documents into sequences of a fixed length.
 
 A text becomes the ids of a public tokenizer and a closing id; only what is longer than a sequence is cut. The
-lengths of all pieces form a histogram of at most ``CAPACITY / GRID`` classes, the only thing that the driver sees. Over
+exact lengths of all pieces form a histogram of at most ``CAPACITY`` classes, the only thing that the driver sees. Over
 it the configuration linear program (patterns of classes that fit a sequence, every piece covered, as few
 patterns as possible) is solved by multiplicative weights: a knapsack by dynamic programming prices the
 best pattern for the current weights, the pattern is used, and the weights of what it covers fall. Counts are rounded
@@ -28,8 +28,6 @@ from meterline.session import cut
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, CLOSING = 4096, 1
-#: Lengths are rounded up to a multiple of this for the patterns.
-GRID = 4
 #: Steps of the multiplicative weights, and the share of the scarcest class that a step uses.
 STEPS, STEP = 400, 0.3
 #: Words whose ids a worker remembers at most.
@@ -194,42 +192,48 @@ class Plan:
     sequences: int
 
 
-def best_pattern(weight: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Counts per class (class c takes c + 1 units) of the pattern of most weight that the pieces left allow.
-
-    The knapsack is solved without limits on the number of pieces; what is not there is replaced by the
-    largest pieces that fit.
-    """
+def best_choices(weight: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For every room the class that the heaviest filling takes first, -1 for none; without limits on numbers of pieces."""
     units = len(weight)
     open_ = np.flatnonzero(left > 0)
-    size, value = open_ + 1, weight[open_]
-    most = np.zeros(units + 1)
+    size, value = open_ + 1, weight[open_].astype(np.float32)
+    dense = 4 * len(open_) > units  # then all sizes are gone through in place, without a gather
+    every = np.full(units, -np.inf, np.float32)
+    turned = np.zeros(units + 1, np.float32)  # ``most`` from the end
+    every[open_] = value
+    most = np.zeros(units + 1, np.float32)
     choice = np.full(units + 1, -1)
     fitting = np.searchsorted(size, np.arange(units + 1), side="right")
     for room in range(1, units + 1):
         n = fitting[room]
         if n == 0:
             continue
-        total = most[room - size[:n]] + value[:n]
+        total = turned[units - room + 1 :] + every[:room] if dense else most[room - size[:n]] + value[:n]
         k = int(total.argmax())
         if total[k] > most[room - 1]:
-            most[room], choice[room] = total[k], k
+            most[room], choice[room] = total[k], fitting[k + 1] - 1 if dense else k
         else:
             most[room] = most[room - 1]
+        turned[units - room] = most[room]
+    return np.where(choice < 0, -1, open_[choice]) if len(open_) else choice
+
+
+def filled(choice: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Counts per class of the filling by ``choice``; what is not there is replaced by the largest pieces that fit."""
+    units, open_ = len(left), np.flatnonzero(left > 0)
     counts = np.zeros(units, np.int64)
     room, spare = units, 0
     while room > 0:
-        k = choice[room]
-        if k < 0:
+        c = choice[room]
+        if c < 0:
             room -= 1
             spare += 1
             continue
-        c = open_[k]
         if counts[c] < left[c]:
             counts[c] += 1
         else:
-            spare += size[k]
-        room -= size[k]
+            spare += c + 1
+        room -= c + 1
     for c in open_[::-1]:
         if spare <= c:
             continue
@@ -239,6 +243,11 @@ def best_pattern(weight: np.ndarray, left: np.ndarray) -> np.ndarray:
     return counts
 
 
+def best_pattern(weight: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Counts per class (class c takes c + 1 units) of the pattern of most weight that the pieces left allow."""
+    return filled(best_choices(weight, left), left)
+
+
 def solve(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
     """Patterns and how often each is used, for a histogram of pieces per class; every piece gets a place."""
     units = len(demand)
@@ -273,8 +282,13 @@ def solve(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
         if times:
             result.append((pattern, times))
             left -= times * pattern
+    choice, size = None, np.arange(units) + 1
     while left.any():
-        pattern = best_pattern(base * (1 + 0.05 * base), left)
+        # weights stay, so choices do until what is left does not fill a sequence by them
+        pattern = filled(choice, left) if choice is not None else None
+        if pattern is None or pattern @ size < units:
+            choice = best_choices(base * (1 + 0.05 * base), left)
+            pattern = filled(choice, left)
         used = np.flatnonzero(pattern)
         times = int((left[used] // pattern[used]).min())
         result.append((pattern, times))
@@ -296,12 +310,12 @@ def plan(demand: np.ndarray) -> Plan:
 
 def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``parts`` (as from ``pieces``) with sequence_id and offset."""
-    kind = F.ceil(F.col("length") / GRID).cast("long") - 1
+    kind = F.col("length").cast("long") - 1
     order = ["__kind", "length", "ids_crc32", "__id", "piece"]
     rows = parts.withColumns({"__kind": kind, "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long"))})
     held = sorted_slices(rows, order, "pieces")
-    demand = np.zeros(-(-capacity // GRID), np.int64)
-    for c, n in held.groupBy("__kind").count().collect():  # at most capacity / GRID rows
+    demand = np.zeros(capacity, np.int64)
+    for c, n in held.groupBy("__kind").count().collect():  # at most capacity rows
         demand[c] = n
     steps = plan(demand)
     shared = parts.sparkSession.sparkContext.broadcast(steps)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from meterline.llm import mixing, packing
@@ -108,6 +109,14 @@ def test_program_covers_every_histogram():
     assert used <= 1.005 * (many * (np.arange(1024) + 1)).sum() / 1024 + 1
 
 
+def test_short_texts_fill_whole_sequences(spark):
+    docs = spark.range(4096 * 2).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    rows = packing.pack(docs).collect()
+    assert {r.length for r in rows} == {1} and len({r.sequence_id for r in rows}) == 2
+    parts = spark.range(819 * 3).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "5L AS length", "0L AS ids_crc32")
+    assert packing.place(parts).select("sequence_id").distinct().count() == 3
+
+
 def test_ids_column_is_the_tokens(spark):
     rows = packing.pieces(spark.createDataFrame([(1, "one two"), (2, None)], "doc_id bigint, text string"), with_ids=True).collect()
     assert {r.doc_id: len(r.ids) for r in rows} == {r.doc_id: r.length for r in rows}
