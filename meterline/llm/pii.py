@@ -1,8 +1,8 @@
 """Personal data: fixed patterns as seeds, and contextual patterns learned from them, with DataFrame functions only.
 
 Seeds are the matches of four fixed patterns (email, ip, card, phone). What stands around them, the two words
-before, or the word before and the word after, forms lexical patterns; tokens with a digit or ``@`` that no seed covers
-are unknown instances. Patterns and values form a graph that is scored in rounds: a pattern's confidence for a kind is
+before, or the word before and the word after, forms lexical patterns; tokens with a digit or ``@`` that no seed covers,
+without the signs around them, are unknown instances. Patterns and values form a graph that is scored in rounds: a pattern's confidence for a kind is
 the mean confidence of the distinct values it stands around, if ``SUPPORT`` seeds at least are among them;
 an unknown value's confidence is that at least one of its patterns is right. Values of ``ACCEPT`` or more
 become spans of that kind wherever they occur.
@@ -32,6 +32,8 @@ _FIXED = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "other": rf"(?<![^{_W}])[^{_W}0-9@]*+[0-9@][^{_W}]*+",
 }
+#: Signs around a token that are not part of an instance.
+_OUTER = r"[.,;:!?\"'()\[\]{}<>]"
 #: Cheap tests that every text with a match passes.
 _MAY = {
     "email": lambda t: t.contains("@"),
@@ -42,7 +44,7 @@ _MAY = {
 }
 #: Characters before and after a span in which its context words are looked for.
 REACH = 64
-ROUNDS, SUPPORT, ACCEPT, SHORTEST = 3, 3, 0.8, 5
+ROUNDS, SUPPORT, ACCEPT = 3, 3, 0.8
 _SPANS = "array<struct<s:int,e:int,v:string>>"
 
 
@@ -65,7 +67,7 @@ _VALID = {
     "ip": lambda v: v.rlike(rf"\A{_PART}(?:\.{_PART}){{3}}\z"),
     "card": lambda v: F.when(F.length(_digits(v)).between(16, 19), _luhn(v)).otherwise(False),
     "phone": lambda v: F.length(_digits(v)).between(8, 15),
-    "other": lambda v: F.length(v) >= SHORTEST,
+    "other": lambda v: F.length(v) > 0,
 }
 
 
@@ -83,9 +85,19 @@ def spans(text: Column, kind: str) -> Column:
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v")))).alias("out"))
 
     all_ = F.aggregate(F.filter(steps, lambda x: x["v"].isNotNull()), start, step, lambda acc: acc["out"])
+    if kind == "other":
+        all_ = F.transform(all_, _bare)
     return F.when(_MAY[kind](text), F.filter(all_, lambda x: _VALID[kind](x["v"]))).otherwise(none)
 
 
+def _bare(span: Column) -> Column:
+    """The span without the signs around it."""
+    right = F.regexp_replace(span["v"], rf"(?<!{_OUTER}){_OUTER}++\z", "")
+    v = F.regexp_replace(right, rf"\A{_OUTER}++", "")
+    s = span["s"] + F.length(right) - F.length(v)
+    return F.struct(s.alias("s"), (s + F.length(v)).alias("e"), v.alias("v"))
+
+
 def _around(text: Column, span: Column) -> Column:
     """Up to two words before (in lower case) and one after, within ``REACH`` characters."""
     before = F.split(F.rtrim(F.translate(F.substring(text, F.greatest(span["s"] - REACH + 1, F.lit(1)), F.least(span["s"], F.lit(REACH))), "\t\n\x0b\x0c\r", "     ")), " +")

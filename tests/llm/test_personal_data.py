@@ -79,6 +79,15 @@ def test_contexts_discover_unseen_values(spark):
     assert found[11].spans == "" and found[0].n_discovered == 0
 
 
+def test_signs_around_a_value_are_not_part_of_it(spark):
+    rows = [(i, f"please write to me at user{i}@mail.example.com soon") for i in range(6)]
+    rows += [(10, "please write to me at user[at]mail7 soon"), (12, "again (user[at]mail7), elsewhere or user[at]mail7.")]
+    rows += [(13, "please write to me at x7@y, soon"), (14, "again x7@y elsewhere")]
+    found = {r.doc_id: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found[12].spans == "email:7:20,email:36:49"
+    assert found[13].spans == "email:22:26" and found[14].spans == "email:6:10"
+
+
 def test_masked_texts(spark, odd):
     rows = [(1, "a@b.co and 10.0.0.1 x", "k"), (2, None, None), (3, "+4111 1111 1111 1111 z", "k")]
     got = {r.doc_id: r.text for r in pii.masked(spark.createDataFrame(rows, "doc_id bigint, text string, kind string")).collect()}
