@@ -123,6 +123,12 @@ def map_texts(
     return source.mapInArrow(run, f"{head}, {schema}")
 
 
+def small_table(rows: DataFrame, label: str) -> DataFrame:
+    """A reduced table, written once, that joins by broadcast if it has few rows."""
+    held = cut(rows, label)
+    return F.broadcast(held) if held.count() <= SMALL_TABLE else held
+
+
 def sorted_slices(rows: DataFrame, order: list[str], label: str) -> DataFrame:
     """``rows`` in the given order, written once; ``__slice`` and ``__inside`` say where a row stands.
 
@@ -143,7 +149,5 @@ def ranked(held: DataFrame, group: list[str]) -> DataFrame:
     counts = held.groupBy(*group, "__slice").agg(F.count("*").alias("__n"), F.min("__inside").alias("__first"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     start = (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__start")
-    starts = cut(counts.select(*group, "__slice", start), "starts")
-    if starts.count() <= SMALL_TABLE:
-        starts = F.broadcast(starts)
+    starts = small_table(counts.select(*group, "__slice", start), "starts")
     return held.join(starts, [*group, "__slice"]).withColumn("__rank", F.col("__inside") + F.col("__start")).drop("__start")

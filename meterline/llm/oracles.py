@@ -79,9 +79,78 @@ FROM f
 """
 
 
+def _merkle(levels: int = 8, top_levels: int = 4) -> str:
+    """Levels enough for 8 ** levels rows of a language and 8 ** top_levels languages; a level above the root changes nothing."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    fields = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf = f"sha256({' || '.join(fields)})"
+    claim = leaf.replace("text::VARCHAR", f"translate(text, '{upper}', '{lower}')")
+    # a byte is exclusive-ored in (items from 0), then eight bits are shifted out (items -1)
+    crc = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, len(doc_id::VARCHAR) + 1),"
+        " lambda i: list_concat([unicode((doc_id::VARCHAR)[i])::BIGINT], list_transform(range(8), lambda j: -1::BIGINT))))),"
+        " lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT)"
+    )
+    parts = [
+        f"""WITH d AS MATERIALIZED (
+  SELECT doc_id, t, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf,
+    CASE WHEN {crc} % 3 = 0 THEN claim ELSE leaf END AS claim
+  FROM (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, {leaf} AS leaf, {claim} AS claim FROM documents)
+), n0 AS MATERIALIZED (SELECT t, pos, leaf AS node, COUNT(*) OVER (PARTITION BY t) AS n FROM d),
+w0 AS MATERIALIZED (SELECT doc_id, t, pos, leaf, claim AS f, '' AS proof FROM d)"""
+    ]
+    run = "OVER (PARTITION BY t, pos // 8 ORDER BY pos ROWS BETWEEN"
+    total = levels + top_levels
+    for k in range(total):
+        again = k == levels - 1  # what is left of each language becomes a node of the last tree
+        tree = "0" if again else "t"
+        parts.append(
+            f"""p{k} AS MATERIALIZED (
+  SELECT t, pos, n, coalesce(string_agg(node, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(node, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM n{k}
+), w{k + 1} AS MATERIALIZED (
+  SELECT doc_id, {tree if again else 'w.t'} AS t, {'w.t' if again else 'w.pos // 8'} AS pos, leaf, CASE WHEN n > 1 THEN sha256(l || f || r) ELSE f END AS f,
+    CASE WHEN n > 1 THEN proof || l || r ELSE proof END AS proof{', w.t AS lang_no' if again else ', lang_no' if k >= levels else ''}
+  FROM w{k} w JOIN p{k} p ON p.t = w.t AND p.pos = w.pos
+), m{k + 1} AS MATERIALIZED (
+  SELECT t, pos // 8 AS pos, CASE WHEN MAX(n) > 1 THEN sha256(string_agg(node, '' ORDER BY pos)) ELSE MAX(node) END AS node FROM n{k} GROUP BY t, pos // 8
+), n{k + 1} AS MATERIALIZED (SELECT t, pos, node, COUNT(*) OVER (PARTITION BY t) AS n FROM (SELECT {tree} AS t, {'t' if again else 'pos'} AS pos, node FROM m{k + 1}))"""
+        )
+    return (
+        ",\n".join(parts)
+        + f"""
+SELECT doc_id, leaf, s.node AS subroot, top.node AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = top.node AS verified
+FROM w{total} JOIN n{levels} s ON s.pos = lang_no CROSS JOIN n{total} top
+"""
+    )
+
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CASE WHEN len(a.q) = 0 THEN 0 ELSE list_inner_product(a.q, b.q) END::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_embedding_duplicates": EMBEDDING_DUPLICATES,
     "op4_quality_rules": _quality_rules(),
     "op7_near_duplicates": near_duplicates(3, 85),
     "op8_mixing": mixing.ORACLE,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op13_manifest": _merkle(),
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import embed_dedup, html_extract, lm, minhash, mixing, packing, pii, quality_gbt, quality_rules, toxicity
+from meterline.llm import embed_dedup, hard_negatives, html_extract, lm, merkle, minhash, mixing, packing, pii, quality_gbt, quality_rules, sentencepieces, toxicity
 from meterline.llm.common import table
 from meterline.llm.oracles import ORACLES
 
@@ -54,6 +54,18 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_gbt.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, folder, "embeddings")))
+
+
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepieces.digests(sentencepieces.encode(table(spark, folder, "documents")))
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verify(merkle.manifest(table(spark, folder, "documents"), merkle.tampered_text()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_duplicates": op1_embedding_duplicates,
     "op2_language_model": op2_language_model,
@@ -65,6 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_manifest": op13_manifest,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
