@@ -5,10 +5,10 @@ directions. By the triangle inequality of angles two vectors' angles to one refe
 from both sides; the tightest bounds over all references, as cosines times both norms and widened by more than rounding
 can shift them, hold the score. Only pairs whose interval meets the wanted window get an integer score:
 
-* positives of an anchor are the best of its label, so a row is scored if its upper bound reaches the score of the
-  last of the best found so far;
-* negatives of a positive lie in a window of scores, so a row is scored if its interval meets one of the
-  anchor's windows, and there reaches the last of the best found so far.
+* positives of an anchor are the best of its label, so a row is scored if its upper bound reaches the least of the best
+  few among the rows of greatest bounds;
+* negatives of a positive lie in a window of scores, so a row is scored, once per anchor, if its interval meets one of the
+  anchor's windows.
 
 Anchors are compared with all rows block by block; a block of rows gives each anchor (and window) its best few, and the
 best of those are kept. References are spread directions of a bounded sample of the rows (``SAMPLE``); the results do not
@@ -39,13 +39,13 @@ SCALE = 256
 EVERY, POSITIVES, NEGATIVES = 100, 5, 10
 #: A negative's score in hundredths of the positive's.
 LOW, HIGH = 30, 90
-REFERENCES, SAMPLE = 16, 2048
+REFERENCES, SAMPLE = 8, 2048
 #: Rows and anchors of a task.
 ROWS, ANCHORS = 8192, 4096
 #: Cosines from angles are off by less than this, whatever is rounded on the way.
 SLACK = 1e-6
-#: Inner products up to here are exact in double precision.
-EXACT = 2.0**52
+#: Inner products up to here, and a hundred times them, are exact in double precision.
+EXACT = 2.0**45
 
 _ROW = "vec_id bigint, label {label}, q array<double>, dim int, norm double, angles array<double>"
 
@@ -128,63 +128,70 @@ class Block:
         self.ids, self.norm = t["vec_id"].to_numpy(), t["norm"].to_numpy()
         self.label = t["label"].to_numpy(zero_copy_only=False)
         self.q = _matrix(t["q"], dim)
-        width = len(t["angles"][0])
-        self.angles = _matrix(t["angles"], width)
+        # a row per reference, so that a bound is the greatest or least of whole rows
+        self.angles = np.ascontiguousarray(_matrix(t["angles"], len(t["angles"][0])).T)
+        self.exact = self.norm.max(initial=0)
 
     def bounds(self, angles: np.ndarray, norm: float) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest score of every row with a vector of these angles and this norm."""
         size = norm * self.norm
-        if not self.angles.shape[1]:
+        if not len(self.angles):
             return -size * (1 + SLACK) - 1, size * (1 + SLACK) + 1
-        apart = np.abs(self.angles - angles).max(axis=1)
-        both = self.angles + angles
-        together = np.minimum(both, 2 * math.pi - both).min(axis=1)
+        apart, together = np.zeros(len(size)), np.full(len(size), math.pi)
+        for own, other in zip(self.angles, angles, strict=True):
+            np.maximum(apart, np.abs(own - other), out=apart)
+            np.minimum(together, math.pi - np.abs(math.pi - other - own), out=together)
         return size * (np.cos(together) - SLACK) - 1, size * (np.cos(apart) + SLACK) + 1
 
     def scores(self, q: np.ndarray, norm: float, rows: np.ndarray) -> np.ndarray:
         """Integer inner products with ``rows``; beyond what doubles hold, in whole numbers of any size."""
-        if not len(rows):
-            return np.zeros(0)
-        if norm * self.norm[rows].max() < EXACT:
-            return self.q[rows] @ q
+        if norm * self.exact < EXACT:
+            # most rows are scored faster where they lie than picked out
+            return (self.q @ q)[rows] if 4 * len(rows) > len(self.q) else self.q[rows] @ q
+        if not self.q.shape[1] or not len(rows):
+            return np.zeros(len(rows))
         whole = lambda x: np.vectorize(int, otypes=[object])(x)
-        return whole(self.q[rows]) @ whole(q) if self.q.shape[1] else np.zeros(len(rows))
-
-    def best(self, q: np.ndarray, norm: float, rows: np.ndarray, high: np.ndarray, n: int, wanted: Callable | None = None) -> list[tuple]:
-        """(score, id) of the ``n`` best of ``rows`` with a wanted score, rows of high upper bounds scored first."""
-        rows = rows[np.argsort(-high[rows], kind="stable")]
-        found: list[tuple] = []
-        step, i = 4 * n, 0
-        while i < len(rows):
-            if len(found) == n and high[rows[i]] < found[-1][0]:
-                break
-            part = rows[i : i + step]
-            scores = self.scores(q, norm, part)
-            keep = np.ones(len(part), bool) if wanted is None else np.array(wanted(scores), bool)
-            found += [(int(s), int(v)) for s, v in zip(scores[keep], self.ids[part[keep]], strict=True)]
-            found = sorted(found, key=lambda f: (-f[0], f[1]))[:n]
-            i, step = i + step, step * 4
-        return found
+        return whole(self.q[rows]) @ whole(q)
+
+    def first(self, rows: np.ndarray, scores: np.ndarray, n: int) -> list[tuple[int, int]]:
+        """(score, id) of the ``n`` best of scored rows."""
+        if len(rows) > n:
+            last = np.sort(scores)[-n] if scores.dtype == object else np.partition(scores, -n)[-n]
+            good = np.array(scores >= last, bool)  # with all that are equal to the last
+            rows, scores = rows[good], scores[good]
+        found = [(int(v), int(i)) for v, i in zip(scores, self.ids[rows], strict=True)]
+        return sorted(found, key=lambda f: (-f[0], f[1]))[:n]
 
 
 def _positives(anchors: Block, rows: Block, n: int) -> Iterator[tuple]:
+    """The best of an anchor's label: some of greatest bounds are scored first, then what reaches the last of their best."""
     for a in range(len(anchors.ids)):
+        q, norm = anchors.q[a], anchors.norm[a]
         own = np.flatnonzero((rows.label == anchors.label[a]) & (rows.ids != anchors.ids[a]))
-        _, high = rows.bounds(anchors.angles[a], anchors.norm[a])
-        for score, other in rows.best(anchors.q[a], anchors.norm[a], own, high, n):
+        _, high = rows.bounds(anchors.angles[:, a], norm)
+        if len(own) > 8 * n:
+            some = own[np.argpartition(-high[own], 4 * n)[: 4 * n]]
+            least = np.sort(rows.scores(q, norm, some))[-n]
+            own = own[high[own] >= float(least)]
+        for score, other in rows.first(own, rows.scores(q, norm, own), n):
             yield int(anchors.ids[a]), other, score
 
 
 def _negatives(anchors: Block, rows: Block, windows: dict[int, list[tuple[int, int]]], n: int, low: int, high: int) -> Iterator[tuple]:
+    """The best of other labels in each window: a row is scored, once per anchor, if its interval meets a window."""
     for a in range(len(anchors.ids)):
-        anchor = int(anchors.ids[a])
-        least, most = rows.bounds(anchors.angles[a], anchors.norm[a])
-        others = rows.label != anchors.label[a]
+        anchor, q, norm = int(anchors.ids[a]), anchors.q[a], anchors.norm[a]
+        least, most = rows.bounds(anchors.angles[:, a], norm)
+        meets = np.zeros(len(least), bool)
+        for score in {float(p) for _, p in windows[anchor]}:
+            meets |= (100 * most >= low * score) & (100 * least <= high * score)
+        meets &= rows.label != anchors.label[a]
+        others = np.flatnonzero(meets)
+        times = 100 * rows.scores(q, norm, others)
         for positive, score in windows[anchor]:
-            meets = others & (100 * most >= low * float(score)) & (100 * least <= high * float(score))
-            inside = lambda s, p=score: (low * p <= 100 * s) & (100 * s <= high * p)
-            for value, other in rows.best(anchors.q[a], anchors.norm[a], np.flatnonzero(meets), most, n, inside):
-                yield anchor, positive, score, other, value
+            inside = np.array((low * score <= times) & (times <= high * score), bool)
+            for value, other in rows.first(others[inside], times[inside], n):
+                yield anchor, positive, score, other, value // 100
 
 
 def _blocks(rows: DataFrame, groups: list[str], size: int, name: str) -> DataFrame:

@@ -99,7 +99,7 @@ def test_bounds_hold_every_score_and_leave_rows_out():
     unit, norm = hn._unit(x)
     angles = np.arccos(np.clip(unit @ unit[:8].T, -1, 1))
     block = object.__new__(hn.Block)
-    block.q, block.norm, block.angles = x, norm, angles
+    block.q, block.norm, block.angles = x, norm, angles.T
     tight = 0
     for a in range(60):
         low, high = block.bounds(angles[a], norm[a])
