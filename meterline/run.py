@@ -23,6 +23,7 @@ from meterline.plans import jobs
 from meterline.session import prepare
 from meterline.sources import rides as R
 from meterline.sources import sinks
+from meterline.sources.fanout import FanOut
 from meterline.streaming import panes
 
 
@@ -91,15 +92,28 @@ def start(spark: SparkSession, name: str, config: sinks.JobConfig) -> list[Strea
     job = JOBS[name]
     trigger = config.trigger or {"processingTime": job.early_delay}
     judged = judge(sinks.read_messages(prepare(spark), config), job)
-    out = job.build(typed_rides(judged), config.watermark_delay_us)
-    messages = out.select("value") if job.kind is None else sinks.as_json(sinks.to_message(out, job.kind))
-    queries = [sinks.start_messages(messages, config, trigger, job.output_mode)]
-    if config.rejects:
-        bad = sinks.as_json(R.rejects(judged).select("reject_reason", "value"))
-        writer = bad.writeStream.format("text").option("path", config.rejects)
-        writer = writer.option("checkpointLocation", f"{config.checkpoint}-rejects")
-        queries.append(writer.trigger(**trigger).start())
-    return queries
+    if not config.rejects:
+        messages = _messages(job, typed_rides(judged), config)
+        return [sinks.start_messages(messages, config, trigger, job.output_mode)]
+    reject = lambda rows: sinks.as_json(R.rejects(rows).select("reject_reason", "value"))
+    places, formats = {"rejects": config.rejects, "messages": config.sink}, {"rejects": "text", "messages": config.sink_format}
+    if job.kind is None:
+        parts = {"rejects": reject, "messages": lambda rows: _messages(job, typed_rides(rows), config)}
+        writers = {"messages": sinks.batch_writer(config)} if config.sink_format == "kafka" else {}
+        return [FanOut(spark, f"{config.checkpoint}-parts", parts, writers, places, formats).start(judged, config.checkpoint, trigger)]
+    # a windowed job has a state of its own: it follows the good rows that the one reader of the source puts down
+    parts = {"rejects": reject, "rides": lambda rows: typed_rides(rows).drop("value")}
+    intake = FanOut(spark, f"{config.checkpoint}-parts", parts, {}, places, formats)
+    reading = intake.start(judged, f"{config.checkpoint}-intake", trigger)
+    if trigger.get("availableNow"):
+        reading.awaitTermination()
+    rides = intake.follow("rides", typed_rides(judged).drop("value").schema, cleanSource="delete")
+    return [reading, sinks.start_messages(_messages(job, rides, config), config, trigger, job.output_mode)]
+
+
+def _messages(job: StreamJob, rides: DataFrame, config: sinks.JobConfig) -> DataFrame:
+    out = job.build(rides, config.watermark_delay_us)
+    return out.select("value") if job.kind is None else sinks.as_json(sinks.to_message(out, job.kind))
 
 
 def arguments() -> argparse.ArgumentParser:

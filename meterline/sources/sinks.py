@@ -121,6 +121,15 @@ def start_messages(messages: DataFrame, config: JobConfig, trigger: dict, output
     return writer.outputMode(output_mode).option("checkpointLocation", config.checkpoint).trigger(**trigger).start()
 
 
+def batch_writer(config: JobConfig):
+    """Sends the ``value`` column of a micro-batch to the topic of a job; a batch that comes again is sent again."""
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        messages.write.format(config.sink_format).options(**config.sink_options).option("topic", config.sink).save()
+
+    return write
+
+
 def start_pane_log(df: DataFrame, path: str, checkpoint: str, trigger: dict, output_mode: str = "update") -> StreamingQuery:
     """Append every micro-batch of changed rows to a log, one folder per micro-batch.
 
