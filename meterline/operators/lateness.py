@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline import constants as K
 from meterline.functions import scalars as S
-from meterline.operators.joins import salted_join
+from meterline.operators.joins import salted_join, small_table
 from meterline.operators.scan import exclusive_scan
 from meterline.session import cut
 
@@ -38,13 +38,45 @@ def lateness_class(window_end_us: Column, watermark_us: Column, lateness_us: int
     )
 
 
+def _minute_marks(df: DataFrame, gap_us: int, delay_us: int) -> DataFrame:
+    """Per minute of arrival the watermark at its start (``_before``) and at its end (``_after``).
+
+    ``_mixed`` tells whether the fate of any of its rows hangs on what came earlier in the minute.
+    """
+    minutes = df.groupBy(S.floor_div(F.col("arrival_ms"), 60_000).alias("_min")).agg(
+        F.max("event_us").alias("max_us"), F.min("event_us").alias("min_us")
+    )
+    leveled = minutes.withColumn("_day", S.floor_div(F.col("_min"), 1440))
+    scanned = exclusive_scan(leveled, [], ["_day", "_min"], {"seen_us": ("max", "max_us")})
+    before = F.col("seen_us") - delay_us
+    after = F.greatest("seen_us", "max_us") - delay_us
+    mixed = (F.col("min_us") + gap_us <= after) & (before.isNull() | (F.col("max_us") + gap_us > before))
+    return scanned.select("_min", before.alias("_before"), after.alias("_after"), mixed.alias("_mixed"))
+
+
 def in_time(df: DataFrame, gap_us: int, delay_us: int = 0) -> DataFrame:
     """Rows that a session job without allowed lateness takes: those whose own session, were they alone in it, is still
-    open for the watermark that they meet."""
-    marks = watermark_by_arrival(df, delay_us)
-    rows = salted_join(df, marks, ["arrival_ms"], "message_id", salts=1)
-    open_ = F.col("watermark_us").isNull() | (F.col("event_us") + gap_us > F.col("watermark_us"))
-    return rows.filter(open_).drop("watermark_us")
+    open for the watermark that they meet.
+
+    A row that is open even for the watermark at the end of its minute of arrival is taken, one that is closed for the
+    one at the start is not; the minutes are few and are looked up without a shuffle of the rows. Only rows between the two
+    look up the watermark of their millisecond, found within the minute.
+    """
+    columns = df.columns
+    minutes = small_table(_minute_marks(df, gap_us, delay_us), "minutes")
+    placed = df.withColumn("_min", S.floor_div(F.col("arrival_ms"), 60_000)).join(minutes, "_min")
+    until = F.col("event_us") + gap_us
+    sure = placed.filter(until > F.col("_after")).select(*columns)
+    if minutes.filter("_mixed").isEmpty():
+        return sure
+    unclear = F.col("_mixed") & (until <= F.col("_after")) & (F.col("_before").isNull() | (until > F.col("_before")))
+    per_ms = placed.filter("_mixed").groupBy("_min", "_before", "arrival_ms").agg(F.max("event_us").alias("max_us"))
+    earlier = Window.partitionBy("_min").orderBy("arrival_ms").rowsBetween(Window.unboundedPreceding, -1)
+    mark = F.greatest("_before", F.max("max_us").over(earlier) - delay_us)
+    marks = per_ms.select("arrival_ms", mark.alias("_mark"))
+    rest = salted_join(placed.filter(unclear), marks, ["arrival_ms"], "message_id", salts=1)
+    open_ = F.col("_mark").isNull() | (until > F.col("_mark"))
+    return sure.unionByName(rest.filter(open_).select(*columns))
 
 
 def _window_start(width_us: int) -> Column:
