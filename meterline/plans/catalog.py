@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from meterline import constants as K
 from meterline.functions import scalars as S
-from meterline.operators import duplicates, elementwise, feed, lateness, sessions, trails
+from meterline.operators import combine, duplicates, elementwise, feed, lateness, sessions, trails
 from meterline.operators.scan import ring_statistics as ring_stats
 from meterline.operators.scan import running_count
 from meterline.plans import datasets, jobs
 from meterline.session import prepare
 from meterline.sources import rides as R
 from meterline.sources import sinks
+from meterline.sources.fanout import message_parts
+from meterline.streaming import combined, late, union, views
 from meterline.streaming import jobs as stream_jobs
 from meterline.streaming import panes as stream_panes
 
@@ -168,6 +170,31 @@ def session_spans(rides: DataFrame) -> DataFrame:
     return sessions.session_spans(rides, K.PICKUP_GAP_US)
 
 
+# --- combine functions of the user's own ------------------------------------------
+
+@_register
+def combine_latest_points(rides: DataFrame) -> DataFrame:
+    """``latest_points`` with a combine function in Python."""
+    points = lateness.in_time(elementwise.ride_points(rides), K.LATEST_GAP_US)
+    return _shown(combine.combine_sessions(points, K.LATEST_GAP_US, combine.latest_point()))
+
+
+@_register
+def combine_pickup_points(rides: DataFrame) -> DataFrame:
+    points = lateness.in_time(elementwise.ride_points(rides), K.PICKUP_GAP_US)
+    picked = combine.combine_sessions(points, K.PICKUP_GAP_US, combine.pickup_point())
+    return _shown(picked.filter(F.col("ride_status").isNotNull()))
+
+
+@_register
+def combine_ride_totals(rides: DataFrame) -> DataFrame:
+    return combine.combine(rides, ["ride_id"], combine.ride_totals())
+
+
+def _shown(points: DataFrame) -> DataFrame:
+    return _widen(points.withColumn("timestamp", S.ms_to_iso(F.col("ts_ms"))).select(*POINT))
+
+
 # --- feed views ----------------------------------------------------------------------
 
 @_register
@@ -390,3 +417,131 @@ _pane_query(
 )
 _pane_query("stream_latest_panes", lambda s: stream_panes.latest_panes(s, delay_us=DELAY_US), [*POINT, "pane_timing"])
 _pane_query("stream_pickup_panes", lambda s: stream_panes.pickup_panes(s, delay_us=DELAY_US), [*POINT, "pane_timing"])
+
+
+# --- keyed tables, several sinks, dropped rows, live views ---------------------------
+
+def _replayed(name: str, build: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame]) -> None:
+    """Register a view of the ride stream whose log of changes ``finish`` reads."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(stream_jobs.replay(build(_arriving(spark, sf_dir)), name, "update"))
+
+    QUERIES[name] = run
+
+
+def stream_turnover_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turnover board as a keyed table that every micro-batch of panes upserts."""
+    panes = stream_panes.turnover_panes(_arriving(spark, sf_dir))
+    ranks = F.when(F.col("dollar_timing") == K.LATE, 2).when(F.col("dollar_timing") == K.ON_TIME, 1).otherwise(0)
+    table = stream_jobs.replay_upsert(panes.withColumn("pane_rank", ranks), "stream_turnover_board", ["window_start_us"], ["pane_rank"])
+    board = table.read().withColumns(feed.display_state(F.col("dollar_timing")))
+    return board.select("dollar_window", "dollar_timing", "dollar_turnover", "state", "note")
+
+
+QUERIES["stream_turnover_board"] = stream_turnover_board
+
+
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which sinks a message went to: good ones, rejects, and every kind, from one read of the stream."""
+    raw = datasets.raw_messages(_arriving(spark, sf_dir))
+    judged = R.with_verdict(R.decode_json(raw))
+    out = stream_jobs.replay_fan_out(judged, "stream_fan_out", message_parts(["message_id"]))
+    reads = [out.read(n, "message_id bigint, reject_reason string").withColumn("sink", F.lit(n)) for n in out.parts]
+    both = reads[0]
+    for more in reads[1:]:
+        both = both.unionByName(more)
+    return both.select("sink", "message_id", F.coalesce("reject_reason", F.lit("")).alias("reason"))
+
+
+QUERIES["stream_fan_out"] = stream_fan_out
+
+_replayed(
+    "stream_lateness_rows",
+    late.label_rows,
+    lambda log: log.select("message_id", "window_start_us", "watermark_us", "lateness"),
+)
+_replayed("stream_lateness_classes", late.label_windows, late.class_totals)
+_replayed(
+    "stream_combine_latest",
+    lambda s: combined.combine_sessions(elementwise.ride_points(s), K.MINUTE_US, combine.latest_point(), delay_us=DELAY_US),
+    _shown,
+)
+_replayed(
+    "stream_ride_gaps",
+    views.ride_gaps,
+    views.open_gaps,
+)
+_replayed(
+    "stream_ride_trails",
+    lambda s: views.ride_trails(trails.with_batch(s)),
+    lambda log: sinks.log_state(log, ["message_id"]).filter("weight > 0").select("ride_id", "batch_id", "message_id", "weight"),
+)
+
+
+def stream_feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health of each feed after every pull batch, and the instants at which it fell silent."""
+    batches = feed.feed_batches(datasets.deliveries(R.load_rides(prepare(spark), sf_dir)), batch_ms=5000)
+    at = F.col("batch_id") * 5000
+    pulls = batches.select("feed_id", at.alias("at_ms"), "n_messages", "n_duplicates", at.alias("arrival_ms"))
+    stream = stream_jobs.arrival_ordered(pulls, f"pulls {sf_dir}")
+    live = stream.withColumn("at_ms", F.coalesce("at_ms", "arrival_ms")).fillna(0, ["n_messages", "n_duplicates"])
+    return stream_jobs.replay(views.feed_health(live, pull_size=9), "stream_feed_health", "update").drop("emit_batch")
+
+
+QUERIES["stream_feed_health"] = stream_feed_health
+
+
+def stream_ring_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch sizes over the last 15 pull batches of each kind of point, as they come."""
+    points = trails.with_batch(R.load_rides(prepare(spark), sf_dir))
+    sizes = points.groupBy(F.col("ride_status").alias("feed_id"), "batch_id").agg(F.count("*").alias("n_messages"))
+    stream = stream_jobs.arrival_ordered(sizes.withColumn("arrival_ms", F.col("batch_id") * K.TICK_MS), f"sizes {sf_dir}")
+    out = views.ring(_sized(stream), "feed_id", ["batch_id"], "n_messages", K.HEALTH_BATCHES, "batch_index")
+    return stream_jobs.replay(out, "stream_ring_statistics", "update").drop("emit_batch").withColumnRenamed("feed_id", "ride_status")
+
+
+QUERIES["stream_ring_statistics"] = stream_ring_statistics
+
+
+def _sized(stream: DataFrame) -> DataFrame:
+    return stream.filter(~F.col("feed_id").eqNullSafe(F.lit(stream_jobs.END)))
+
+
+def _stream_bundles(name: str, n: int) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cells = jobs.count_cells(R.load_rides(prepare(spark), sf_dir)).withColumns(
+            {"feed_id": F.lit("cells"), "arrival_ms": S.floor_div(F.col("window_end_us"), 1000)}
+        )
+        stream = stream_jobs.arrival_ordered(cells, f"cells {sf_dir}")
+        order = ["window_start_us", "latitude", "longitude"]
+        log = stream_jobs.replay(views.ring(_sized(stream), "feed_id", order, "ntaxis", n, "cell_index"), name, "update")
+        return log.select(*order, "ntaxis", "cell_index", F.col("ring_avg").alias("avg_ntaxis"))
+
+    QUERIES[name] = run
+
+
+_stream_bundles("stream_bundle_average", K.BUNDLE_ROWS)
+_stream_bundles("stream_bundle_average_short", 100)
+
+
+def _union_query(name: str, idle: str | None) -> None:
+    """Points per cell and window from two sources with clocks of their own."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stream = _arriving(spark, sf_dir)
+        marks, end = F.col("ride_status") != K.STATUS_ENROUTE, F.col("ride_id") == stream_jobs.END
+        sources = [(stream.filter(~marks), "0 seconds"), (stream.filter(marks | end), "90 seconds")]
+        cells = jobs.count_cells(union.union_sources(sources, idle=idle))
+        return stream_jobs.replay(cells, name).drop("emit_batch")
+
+    QUERIES[name] = run
+
+
+_union_query("stream_union_cells", None)
+_union_query("stream_union_idle", "30 seconds")
+_replayed(
+    "stream_ride_fading",
+    lambda s: views.ride_fading(trails.with_batch(s)),
+    lambda log: log.select("ride_id", "batch_ms", "at_ms", "weight"),
+)

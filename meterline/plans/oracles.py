@@ -461,3 +461,81 @@ SELECT window_start_us, dollar_timing, CAST(total AS DOUBLE) AS dollar_turnover,
     "stream_latest_panes": _session_panes(3_600_000_000, _NEWEST),
     "stream_pickup_panes": _session_panes(60_000_000, _OLDEST, _IS_PICKUP),
 }
+
+_STREAM_CLASSED = """
+judged AS (
+  SELECT n.*, event_us // 60000000 * 60000000 AS window_start_us, mark AS watermark_us,
+         CASE WHEN mark IS NULL OR event_us // 60000000 * 60000000 + 60000000 > mark THEN 'ON_TIME'
+              WHEN event_us // 60000000 * 60000000 + 360000000 > mark THEN 'LATE' ELSE 'DROPPED' END AS lateness
+  FROM numbered n JOIN seen_tops USING (k))"""
+
+# per source the greatest event time of earlier micro-batches less its delay; the least of the two counts
+_TWO_SOURCES = """
+ends AS (SELECT MIN(arrival_ms) AS lo, MAX(arrival_ms) AS hi FROM rides),
+numbered AS (SELECT r.*, (arrival_ms - lo) * 12 // (hi - lo + 1) AS k FROM rides r, ends),
+clocks AS (
+  SELECT b.k, coalesce((SELECT MAX(event_us) // 1000 * 1000 FROM numbered n WHERE n.k < b.k - 1 AND ride_status = 'enroute'), 0) AS a,
+         coalesce((SELECT MAX(event_us) // 1000 * 1000 - 90000000 FROM numbered n WHERE n.k < b.k - 1 AND ride_status <> 'enroute'), 0) AS m
+  FROM range(12) AS b(k)),
+all_rides AS (SELECT * FROM rides),
+kept AS (SELECT n.* FROM numbered n JOIN clocks USING (k) WHERE event_us // 1000000 * 1000000 + 1000000 > least(a, m))"""
+
+_SHOWN = "CASE dollar_timing WHEN 'EARLY' THEN 'incomplete' WHEN 'LATE' THEN 'corrected' ELSE '' END AS state, CASE dollar_timing WHEN 'EARLY' THEN '(processing)' WHEN 'LATE' THEN '(updated)' ELSE '' END AS note"
+
+ORACLES |= {
+    "combine_latest_points": ORACLES["latest_points"],
+    "combine_pickup_points": ORACLES["pickup_points"],
+    "combine_ride_totals": _with()
+    + f"""
+SELECT ride_id, COUNT(*) AS n_points, {_money('meter_increment')} AS dollars, MIN(passenger_count) AS least_riders,
+       MAX(passenger_count) AS most_riders FROM rides GROUP BY ride_id""",
+    "stream_turnover_board": ORACLES["stream_turnover_panes"].replace(
+        "SELECT window_start_us, dollar_timing, CAST(total AS DOUBLE)", f"SELECT dollar_timing, {_SHOWN}, CAST(total AS DOUBLE)"
+    )
+    + " QUALIFY row_number() OVER (PARTITION BY window_start_us ORDER BY dollar_timing = 'LATE' DESC, dollar_timing = 'ON_TIME' DESC, k DESC) = 1",
+    "stream_fan_out": _with()
+    + f"""
+, judged AS (SELECT message_id, verdict, ride_status = 'dropoff' AND passenger_count IN (4, 5) AS empty FROM rides
+  JOIN (SELECT message_id, verdict FROM ({ORACLES["reject_split"]})) USING (message_id))
+SELECT 'good' AS sink, message_id, '' AS reason FROM judged WHERE verdict = 'good'
+UNION ALL SELECT 'rejects', message_id, verdict FROM judged WHERE verdict <> 'good'
+UNION ALL SELECT 'ride', message_id, '' FROM judged WHERE NOT empty
+UNION ALL SELECT 'clock', message_id, '' FROM judged WHERE NOT empty""",
+    "stream_lateness_rows": _with(_REPLAYED, _STREAM_CLASSED) + "SELECT message_id, window_start_us, watermark_us, lateness FROM judged",
+    "stream_lateness_classes": _with(_REPLAYED, _STREAM_CLASSED)
+    + f"SELECT window_start_us, lateness, COUNT(*) AS n_points, {_money('meter_increment')} AS dollars FROM judged GROUP BY ALL",
+    "stream_combine_latest": ORACLES["stream_latest_points"],
+    "stream_ride_gaps": _with()
+    + """
+SELECT ride_id, before + 1 AS gap_from, point_idx - 1 AS gap_to
+FROM (SELECT ride_id, point_idx, LAG(point_idx) OVER (PARTITION BY ride_id ORDER BY point_idx) AS before FROM rides)
+WHERE point_idx - before > 1""",
+    "stream_ride_trails": ORACLES["ride_trails"],
+    "stream_feed_health": _with(_DELIVERIES, _DUPLICATES, _HEALTH, recursive=True)
+    + """
+SELECT feed_id, batch_id * 5000 AS at_ms, data_rate, status FROM health
+UNION ALL SELECT feed_id, batch_id * 5000 + 6000, 0.0, 'none'
+FROM (SELECT feed_id, batch_id, LEAD(batch_id) OVER (PARTITION BY feed_id ORDER BY batch_id) AS next FROM health)
+WHERE next IS NULL OR (next - batch_id) * 5000 > 6000""",
+    "stream_ring_statistics": ORACLES["ring_statistics"],
+    "stream_bundle_average": ORACLES["bundle_average"],
+    "stream_bundle_average_short": ORACLES["bundle_average_short"],
+    "stream_union_idle": _with(
+        _TWO_SOURCES.replace("> least(a, m)", "> greatest(least(a, m), a - 30000000, m + 60000000)"), _CELLS.replace("FROM rides", "FROM kept")
+    )
+    + "SELECT * FROM cells",
+    "stream_ride_fading": _with(_BATCHED)
+    + """
+, pairs AS (SELECT DISTINCT ride_id, batch_id * 250 AS batch_ms FROM batched),
+marks AS (
+  SELECT p.ride_id, p.batch_ms, p.batch_ms + 250 * j AS at_ms, COUNT(q.batch_ms) AS later, MIN(q.batch_ms) AS overtaken
+  FROM pairs p CROSS JOIN range(30) AS r(j)
+    LEFT JOIN pairs q ON q.ride_id = p.ride_id AND q.batch_ms > p.batch_ms AND q.batch_ms <= p.batch_ms + 250 * j
+  GROUP BY ALL),
+weighed AS (
+  SELECT *, GREATEST(0, 5 - later - GREATEST(0, (at_ms - LEAST(COALESCE(overtaken, batch_ms + 5000), batch_ms + 5000)) // 250)) AS weight
+  FROM marks)
+SELECT ride_id, batch_ms, at_ms, CAST(weight AS BIGINT) AS weight FROM weighed
+QUALIFY weight IS DISTINCT FROM LAG(weight) OVER (PARTITION BY ride_id, batch_ms ORDER BY at_ms)""",
+    "stream_union_cells": _with(_TWO_SOURCES, _CELLS.replace("FROM rides", "FROM kept")) + "SELECT * FROM cells",
+}

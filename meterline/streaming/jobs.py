@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline import constants as K
 from meterline.functions import scalars as S
 from meterline.operators import elementwise as E
 from meterline.operators.aggs import newest_first, oldest_first
 from meterline.operators.sessions import streaming_sessions
-from meterline.session import cut, fresh_dir
+from meterline.session import fresh_dir
+from meterline.sources.fanout import FanOut, Part
+from meterline.sources.keyed_table import KeyedTable
 from meterline.sources.sinks import read_log, start_pane_log
 from meterline.streaming import resent
 
@@ -76,13 +79,15 @@ def arrival_ordered(rides: DataFrame, label: str, batches: int = BATCHES) -> Dat
     key = (spark.sparkContext.applicationId, label)
     if key not in _REPLAYS:
         base = fresh_dir(spark, "replay")
-        held = cut(replay_batch(rides, batches), "numbered")
-        for k in range(batches):
+        numbered = fresh_dir(spark, "numbered")
+        replay_batch(rides, batches).write.partitionBy("replay_batch").parquet(numbered)
+        held = spark.read.schema(T.StructType([*rides.schema.fields, T.StructField("replay_batch", T.IntegerType())])).parquet(numbered)
+        for k in range(batches):  # each reads its own folder; the folders are the order
             rows = held.where(F.col("replay_batch") == k).drop("replay_batch")
             rows.repartition(files).write.parquet(f"{base}/{k:04d}")
         far = F.timestamp_seconds(F.lit(4_000_000_000))
         last = {"event_ts": far, "timestamp": far, "event_us": F.unix_micros(far), "arrival_ms": F.unix_millis(far)}
-        last |= {"ride_id": F.lit(END), "message_id": F.lit(END_ID), "ride_status": F.lit(K.STATUS_ENROUTE), "meter_increment": F.lit(0.0)}
+        last |= {"ride_id": F.lit(END), "feed_id": F.lit(END), "message_id": F.lit(END_ID), "ride_status": F.lit(K.STATUS_ENROUTE), "meter_increment": F.lit(0.0)}
         end = spark.range(1).select(*[last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rides.schema])
         end.coalesce(1).write.parquet(f"{base}/{batches:04d}")
         _REPLAYS[key] = base
@@ -108,10 +113,30 @@ def replay(stream: DataFrame, label: str, output_mode: str = "append") -> DataFr
     return _without_end(read_log(spark, f"{base}/out", _with_batch(stream)))
 
 
+def replay_upsert(stream: DataFrame, label: str, keys: list[str], order: list[str], output_mode: str = "update") -> KeyedTable:
+    """Run a stream over what its source holds now into a keyed table, without the rows of the end."""
+    spark = stream.sparkSession
+    base = fresh_dir(spark, label)
+    table = KeyedTable(spark, f"{base}/table", stream.schema, tuple(keys), tuple(order), buckets=16)
+    write = lambda batch, batch_id: table.writer()(_without_end(batch), batch_id)
+    start = stream.writeStream.outputMode(output_mode).option("checkpointLocation", f"{base}/state").foreachBatch(write)
+    start.trigger(availableNow=True).start().awaitTermination()
+    return table
+
+
+def replay_fan_out(stream: DataFrame, label: str, parts: dict[str, Part]) -> FanOut:
+    """Run a stream over what its source holds now into several sinks, without the rows of the end."""
+    spark = stream.sparkSession
+    base = fresh_dir(spark, label)
+    out = FanOut(spark, f"{base}/out", {name: lambda rows, p=part: p(_without_end(rows)) for name, part in parts.items()})
+    out.start(stream, f"{base}/state", {"availableNow": True}).awaitTermination()
+    return out
+
+
 def _without_end(log: DataFrame) -> DataFrame:
     tests = []
-    if "ride_id" in log.columns:
-        tests.append(~F.col("ride_id").eqNullSafe(F.lit(END)))
+    for name in {"ride_id", "feed_id"} & set(log.columns):
+        tests.append(~F.col(name).eqNullSafe(F.lit(END)))
     if "message_id" in log.columns:
         tests.append(~F.col("message_id").eqNullSafe(F.lit(END_ID)))
     if "window_start_us" in log.columns:
@@ -122,4 +147,4 @@ def _without_end(log: DataFrame) -> DataFrame:
 
 
 def _with_batch(stream: DataFrame):
-    return stream.schema.add("emit_batch", "long")
+    return T.StructType([*stream.schema.fields, T.StructField("emit_batch", T.LongType())])
