@@ -5,11 +5,12 @@ exact lengths of all pieces form a histogram of at most ``CAPACITY`` classes, th
 it the configuration linear program (patterns of classes that fit a sequence, every piece covered, as few
 patterns as possible) is solved by multiplicative weights: a knapsack by dynamic programming prices the
 best pattern for the current weights, the pattern is used, and the weights of what it covers fall. Counts are rounded
-down and the rest is priced again in whole patterns. Pieces then take places of their class by rank, in
-parallel, and the offsets follow from the few pieces of each sequence.
+down and the rest goes, longest first, to where it leaves least room. Pieces then take places of their class by rank,
+in parallel, and the offsets follow from the few pieces of each sequence.
 
-Null and empty texts are documents of one piece, the closing id alone. Repeated rows are packed one by one. Extra
-columns are ignored.
+Null and empty texts are documents of one piece, the closing id alone. Texts longer than a sequence are cut. Repeated rows
+are packed one by one; pieces of equal length go by their ids' checksum, then by doc_id and piece. An empty table has no
+pieces. Columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY, CLOSING = 4096, 1
 #: Steps of the multiplicative weights, and the share of the scarcest class that a step uses.
 STEPS, STEP = 400, 0.3
+#: Classes that are priced one by one at most, and the groups that more of them are priced in.
+EXACT_CLASSES, GROUPS = 48, 1024
+#: A piece's first weight is this power of its length: a little more for long ones, so that short ones are left for the rounding.
+SLOPE = 1.05
 #: Words whose ids a worker remembers at most.
 REMEMBERED = 250_000
 
@@ -248,25 +253,20 @@ def best_pattern(weight: np.ndarray, left: np.ndarray) -> np.ndarray:
     return filled(best_choices(weight, left), left)
 
 
-def solve(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
-    """Patterns and how often each is used, for a histogram of pieces per class; every piece gets a place."""
+def program(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Patterns and how often each is used, rounded down, for a histogram over classes (class c takes c + 1 units).
+
+    The configuration linear program by multiplicative weights: the pattern of most weight is used for a share of what
+    its scarcest class still needs, and the weights of what it covers fall. What it leaves uncovered is left to the rounding.
+    """
     units = len(demand)
-    result: list[tuple[np.ndarray, int]] = []
-    left = demand.astype(np.int64).copy()
-    # pieces of more than half a sequence minus nothing else fitting are the pricing's business; full ones are alone
-    if left[-1]:
-        alone = np.zeros(units, np.int64)
-        alone[-1] = 1
-        result.append((alone, int(left[-1])))
-        left[-1] = 0
-    base = (np.arange(units) + 1.0) / units
-    covered = np.zeros(units)
-    weight = np.ones(units)
+    base = ((np.arange(units) + 1.0) / units) ** SLOPE
+    covered, weight = np.zeros(units), np.ones(units)
     found: dict[bytes, list] = {}
-    goal = left.astype(float)
+    goal = demand.astype(float)
     for _ in range(STEPS):
         rest = np.maximum(np.ceil(goal - covered - 1e-9), 0).astype(np.int64)
-        if not rest.any() or rest.sum() < units // 8:
+        if not rest.any():
             break
         pattern = best_pattern(base * weight, rest)
         used = np.flatnonzero(pattern)
@@ -277,35 +277,120 @@ def solve(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
         weight[used] *= np.exp(-0.1 * amount * pattern[used] / goal[used])
         entry = found.setdefault(pattern.tobytes(), [pattern, 0.0])
         entry[1] += amount
-    for pattern, amount in found.values():
-        times = int(amount + 1e-9)
-        if times:
-            result.append((pattern, times))
-            left -= times * pattern
-    choice, size = None, np.arange(units) + 1
-    while left.any():
-        # weights stay, so choices do until what is left does not fill a sequence by them
-        pattern = filled(choice, left) if choice is not None else None
-        if pattern is None or pattern @ size < units:
-            choice = best_choices(base * (1 + 0.05 * base), left)
-            pattern = filled(choice, left)
-        used = np.flatnonzero(pattern)
-        times = int((left[used] // pattern[used]).min())
-        result.append((pattern, times))
-        left -= times * pattern
-    return result
+    return [(pattern, int(amount + 1e-9)) for pattern, amount in found.values() if amount + 1e-9 >= 1]
+
+
+class _Seats:
+    """Runs of places as they are given out, and the room that is left in the sequences, as runs of equal room."""
+
+    def __init__(self, demand: np.ndarray) -> None:
+        self.left, self.taken = demand.astype(np.int64).tolist(), [0] * len(demand)
+        self.rows: list[tuple[int, int, int, int]] = []
+        self.rooms: dict[int, list[tuple[int, int]]] = {}  # room: runs (first sequence, how many)
+        self.open = 0  # a bit for every room that there is
+        self.sequences = 0
+
+    def give(self, kind: int, per: int, base: int, times: int) -> None:
+        """``per`` pieces of a class to each of ``times`` sequences from ``base`` on."""
+        self.rows.append((kind, self.taken[kind], per, base))
+        self.taken[kind] += per * times
+        self.left[kind] -= per * times
+
+    def room(self, room: int, base: int, times: int) -> None:
+        if room > 0 and times > 0:
+            self.rooms.setdefault(room, []).append((base, times))
+            self.open |= 1 << room
+
+    def best_fit(self) -> None:
+        """All pieces that are left, the longest first, each to the sequence that it leaves least room in.
+
+        Equal pieces go to a sequence until it has no room for one more, so runs of equal room are served at once.
+        """
+        for kind in range(len(self.left) - 1, -1, -1):
+            size = kind + 1
+            while self.left[kind]:
+                fitting = self.open >> size
+                if not fitting:
+                    times = -(-self.left[kind] // (len(self.left) // size))
+                    self.room(len(self.left), self.sequences, times)
+                    self.sequences += times
+                    continue
+                room = size + (fitting & -fitting).bit_length() - 1
+                base, times = self.rooms[room].pop()
+                if not self.rooms[room]:
+                    self.open &= ~(1 << room)
+                per = room // size
+                whole = min(times, self.left[kind] // per)
+                if whole:
+                    self.give(kind, per, base, whole)
+                    self.room(room - per * size, base, whole)
+                    base, times = base + whole, times - whole
+                last = self.left[kind]
+                if times and last:  # fewer than fill one more sequence
+                    self.give(kind, last, base, 1)
+                    self.room(room - last * size, base, 1)
+                    base, times = base + 1, times - 1
+                self.room(room, base, times)
+
+    def seat(self, patterns: list[tuple[np.ndarray, int]], unit: int) -> None:
+        """Sequences by patterns of groups of ``unit`` classes; a group gives its longest pieces first."""
+        at = [min(len(self.left), (g + 1) * unit) - 1 for g in range(-(-len(self.left) // unit))]
+        for pattern, times in patterns:
+            base, cuts = self.sequences, {self.sequences: 0, self.sequences + times: 0}
+            used: list[tuple[int, int, int]] = []  # from, to, size
+            for g in np.flatnonzero(pattern):
+                for _ in range(pattern[g]):
+                    first = base
+                    while first < base + times:
+                        while not self.left[at[g]]:
+                            at[g] -= 1
+                        kind = at[g]
+                        n = min(self.left[kind], base + times - first)
+                        self.give(kind, 1, first, n)
+                        used.append((first, first + n, kind + 1))
+                        first += n
+                        cuts[first] = 0
+            edges = sorted(cuts)
+            full = np.zeros(len(edges), np.int64)
+            for a, b, size in used:
+                full[np.searchsorted(edges, a)] += size
+                full[np.searchsorted(edges, b)] -= size
+            for a, b, load in zip(edges[:-1], edges[1:], np.cumsum(full)[:-1].tolist(), strict=True):
+                self.room(len(self.left) - load, a, b - a)
+            self.sequences += times
+
+    def plan(self) -> Plan:
+        rows = np.array(sorted(self.rows), np.int64).reshape(-1, 4)
+        return Plan(*rows.T.copy(), self.sequences)
 
 
 def plan(demand: np.ndarray) -> Plan:
-    rows, taken, base = [], np.zeros(len(demand), np.int64), 0
-    for pattern, times in solve(demand):
-        for c in np.flatnonzero(pattern):
-            rows.append((c, taken[c], pattern[c], base))
-            taken[c] += times * pattern[c]
-        base += times
-    rows.sort()
-    kind, first, per, start = (np.array(x, np.int64) for x in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 4
-    return Plan(kind, first, per, start, base)
+    """Places for a histogram of pieces per class: the program's patterns, and the rest by best fit into what room they leave.
+
+    Many classes are priced in groups, by the longest of a group; the rounding goes by exact lengths again. Where plain best fit of all
+    pieces needs no more sequences, that is taken: a program of few steps can be worse on a long tail of classes.
+    """
+    units = len(demand)
+    unit = 1 if np.count_nonzero(demand) <= EXACT_CLASSES else max(1, units // GROUPS)
+    grouped = np.add.reduceat(demand.astype(np.int64), np.arange(0, units, unit))
+    both = []
+    for patterns in (program(grouped), []):
+        seats = _Seats(demand)
+        seats.seat(patterns, unit)
+        seats.best_fit()
+        both.append(seats)
+    return min(both, key=lambda seats: seats.sequences).plan()
+
+
+def solve(demand: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """The sequences of a plan as patterns (pieces per class) and how often each is there."""
+    p = plan(demand)
+    inside = np.zeros((p.sequences, len(demand)), np.int64)
+    end = np.where(np.append(p.kind[1:], -1) == p.kind, np.append(p.first[1:], 0), demand[p.kind])
+    for kind, first, per, base, to in zip(p.kind, p.first, p.per, p.base, end, strict=True):
+        inside[base : base + (to - first) // per, kind] += per
+    patterns, times = np.unique(inside, axis=0, return_counts=True)
+    return list(zip(patterns, times.tolist(), strict=True))
 
 
 def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
