@@ -4,14 +4,16 @@ Vectors are compared within a label (and a length). Equal vectors are one repres
 The representatives of a label are dealt to shards of about ``SHARD``; a graph is built per shard and written, and
 every vector queries the graph of every shard of its label. Found links are verified by cosine in double precision,
 and the sets that they connect are completed by comparing all their members, so that the numbers of links are
-whole. In each pair of shards the links of a stated sample of queries, ids divisible by ``AUDIT``, are also found by
-brute force; while one of them lies across two sets, all beams of the pair are widened, in the end to the whole shard.
+whole. In each pair of shards the links of a sample of queries, one in ``AUDIT`` by a hash of the id, are also found by
+brute force; while one of them lies across two sets, all beams of the pair are widened, in the end to the whole shard. A
+pair with fewer than ``LEAST_AUDIT`` such queries is scanned at once.
 A task returns per vector a weight of links and a member of the same set, not the pairs; the sets are united by
 distributed components.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and vectors without label, link with
-nothing: n_links 0, own component. Repeated ids are counted as vectors of their own but share a node. A null
-id keeps a null component. Only vec_id, embedding and label are read.
+nothing: n_links 0, own component. Repeated ids are vectors of their own, each with the links of its own label and
+components, but share a node. A null id keeps a null component. An empty table gives no rows. Only vec_id, embedding and label
+are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -21,15 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.llm.common import mixed
 from meterline.llm.components import components
 from meterline.llm.hnsw import Graph, levels
 from meterline.session import cut
 
-SHARD, AUDIT = 4096, 20
+#: One vector in ``AUDIT``, by a hash of its id, is audited, at least ``LEAST_AUDIT`` in a pair of shards.
+SHARD, AUDIT, LEAST_AUDIT = 4096, 20, 32
 #: First width of the beams; cosines in the graph are single precision, so the search limit is a little lower.
 BEAM, MARGIN = 24, 1e-5
 
-_BUILT = "label {kind}, dim int, shard int, shards int, rep bigint, weight bigint, vec array<double>, level int, links array<array<int>>"
+_BUILT = "label {kind}, dim int, shard int, shards int, key string, rep bigint, weight bigint, vec array<double>, level int, links array<array<int>>"
 
 
 def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -98,7 +102,7 @@ def _search(x: np.ndarray, y: np.ndarray, graph: Graph, least: float, width: int
 
 
 def _compare(t: pa.Table, least: float) -> pa.Table:
-    """Of one pair of shards: per linked vector the weight of its links and the smallest member of its set."""
+    """Of one pair of shards: per linked class the weight of its links and the smallest member of its set."""
     own, first = t["shard"].to_numpy(), t["x"][0].as_py()
     same = first == t["y"][0].as_py()
     sides = [t.filter(pa.array(own == first)).sort_by("rep")]
@@ -106,18 +110,20 @@ def _compare(t: pa.Table, least: float) -> pa.Table:
         sides.append(t.filter(pa.array(own != first)).sort_by("rep"))
     rep = np.concatenate([s["rep"].to_numpy() for s in sides])
     weight = np.concatenate([s["weight"].to_numpy() for s in sides])
+    key = pa.concat_arrays([c for s in sides for c in s["key"].chunks])
     (x, gx), (y, gy) = _load(sides[0]), _load(sides[-1])
     z, n = np.concatenate([x, y][: len(sides)]), len(x)
     side = np.arange(len(z)) >= n
     allowed = (lambda rows: rows[:, None] != np.arange(len(z))) if same else (lambda rows: side[rows][:, None] != side)
-    audit = np.flatnonzero(rep % AUDIT == 0)
+    audit = np.flatnonzero(mixed(rep.astype(np.uint64)) % np.uint64(AUDIT) == 0)
     truth = [np.zeros((0, 2), int)]
     for s in range(0, len(audit), 512):
         part = audit[s : s + 512]
         i, j = np.nonzero((z[part] @ z.T >= least) & allowed(part))
         truth.append(np.stack([part[i], j], 1))
     truth = np.concatenate(truth)
-    width, sets = BEAM, _Sets(len(z))
+    # too few of them tell nothing of what beams miss: such a pair is scanned
+    width, sets = BEAM if len(audit) >= LEAST_AUDIT else len(z), _Sets(len(z))
     while True:
         found = _search(x, y, gy, least, width, same)
         if not same:
@@ -138,7 +144,8 @@ def _compare(t: pa.Table, least: float) -> pa.Table:
             part = who[k : k + 1024]
             total[part] = ((z[part] @ z[who].T >= least) & allowed(part)[:, who]) @ weight[who]
     linked = total > 0
-    return pa.table({"rep": rep[linked], "links": total[linked], "member": rep[root[linked]]})
+    label = pa.repeat(t["label"][0], int(linked.sum()))
+    return pa.table({"label": label, "key": key.filter(pa.array(linked)), "rep": rep[linked], "links": total[linked], "member": rep[root[linked]]})
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
@@ -148,14 +155,14 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     reps = cut(reps, "classes")
     sizes = reps.groupBy("label", "dim").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     dealt = reps.join(sizes, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int"))
-    dealt = dealt.select("label", "dim", "shard", "shards", "rep", "weight", "vec")
+    dealt = dealt.select("label", "dim", "shard", "shards", "key", "rep", "weight", "vec")
     graphs = cut(dealt.groupBy("label", "dim", "shard").applyInArrow(_build, _BUILT.format(kind=label)), "graphs")
     pairs = graphs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
     pairs = pairs.withColumns({"x": F.least("shard", "other"), "y": F.greatest("shard", "other")}).drop("other")
-    found = cut(pairs.groupBy("label", "dim", "x", "y").applyInArrow(lambda t: _compare(t, least), "rep bigint, links bigint, member bigint"), "links")
+    found = cut(pairs.groupBy("label", "dim", "x", "y").applyInArrow(lambda t: _compare(t, least), f"label {label}, key string, rep bigint, links bigint, member bigint"), "links")
     roots = components(found.select(F.col("rep").alias("a"), F.col("member").alias("b")))
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    each = reps.select("label", "key", "rep", "weight").join(counts, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    counts = found.groupBy("label", "key").agg(F.sum("links").alias("links"))
+    each = reps.select("label", "key", "rep", "weight").join(counts, ["label", "key"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     links = (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")
     each = each.select(F.col("label").alias("l"), F.col("key").alias("k"), links, F.coalesce("root", "rep").alias("root"))
     out = rows.join(each, (F.col("label") == F.col("l")) & (F.col("key") == F.col("k")), "left")

@@ -12,8 +12,9 @@ bands, which joins most of a group through few documents; then, only in buckets
 component, every pair across components is estimated in blocks of bounded size, and verified if near enough, so that
 no link is lost to the choice of the first round.
 
-Empty and null texts have no set: n_shingles 0, linked with nothing. Repeated ids are one node. A row without id is
-kept as its own component (null). Only doc_id and text are read.
+Empty and null texts have no set: n_shingles 0, linked with nothing. Repeated ids are one node (but see
+``distinct_documents``). A row without id is kept as its own component (null). Very long texts are sets like others, ties in
+estimates go to the smaller id, an empty table gives no rows. Only doc_id and text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import SMALL_TABLE, WordHashes, map_texts, mixed, shingles, small_batches, word_hashes
+from meterline.llm.common import SMALL_TABLE, WordHashes, map_texts, mixed, ranked, shingles, small_batches, small_table, sorted_slices, word_hashes
 from meterline.llm.components import components
 from meterline.session import cut
 
@@ -312,21 +313,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` as __row, __node and text: the id is the node, unless one id has several texts.
+
+    Then the nodes are the places, from 0, of the pairs of id and text in their order, so that every text is a node of
+    its own and the node of a smaller id is smaller. A row without id has no node.
+    """
+    mark = F.xxhash64(F.col("text"), F.col("text").isNull())
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").cast("long").alias("__node"), mark.alias("__mark"), "text")
+    pairs = cut(rows.where("__node IS NOT NULL").select("__node", "__mark").distinct(), "ids")
+    if pairs.groupBy("__node").count().where("count > 1").isEmpty():
+        return rows.drop("__mark")
+    places = ranked(sorted_slices(pairs, ["__node", "__mark"], "pairs"), []).select("__node", "__mark", F.col("__rank").alias("__place"))
+    return rows.join(places, ["__node", "__mark"], "left").select("__row", F.col("__place").alias("__node"), "text")
+
+
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all columns, that stay: of every component the one with the smallest id.
 
-    Rows without words have no copies and stay. Of rows that repeat an id, one with the smallest text stays. The ids that go
-    are few or many: few are broadcast, many are joined with the rows.
+    Rows without words have no copies and stay, and so do rows without id. Texts that share an id are documents of
+    their own: each stays or goes for itself. Of rows with one id and one text, one stays. The nodes that go are few or
+    many: few are broadcast, many are joined with the rows.
     """
-    found = cut(near_duplicates(docs, width, percent), "components")
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    gone = cut(gone, "gone")
-    names = docs.columns
-    rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("__id"))
-    ids = gone.select(F.col("doc_id").alias("__id"))
-    stay = rows.join(F.broadcast(ids) if ids.count() <= SMALL_TABLE else ids, "__id", "left_anti")
-    twice = cut(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__id")), "twice")
+    rows = _numbered(docs)
+    found = cut(near_duplicates(rows.select(F.col("__node").alias("doc_id"), "text"), width, percent), "components")
+    gone = small_table(found.where(~F.col("kept")).select(F.col("doc_id").alias("__node")).distinct(), "gone")
+    stay = rows.drop("text").join(gone, "__node", "left_anti")
+    twice = cut(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__node")), "twice")
     if not twice.isEmpty():
-        first = stay.join(twice, "__id", "left_semi").groupBy("__id").agg(F.min("row").alias("row"))
-        stay = stay.join(twice, "__id", "left_anti").unionByName(first.select("row", "__id"))
-    return stay.select(*[F.col(f"row.`{n}`").alias(n) for n in names])
+        first = stay.join(twice, "__node", "left_semi").groupBy("__node").agg(F.min("__row").alias("__row"))
+        stay = stay.join(twice, "__node", "left_anti").unionByName(first.select("__row", "__node"))
+    return stay.select(*[F.col(f"__row.`{n}`").alias(n) for n in docs.columns])

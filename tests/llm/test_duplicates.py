@@ -184,3 +184,36 @@ def test_graph_recall():
     truth = set(zip(*np.nonzero(x @ x.T >= 0.95), strict=True))
     assert len(set(zip(i, j, strict=True)) & truth) >= 0.99 * len(truth)
     assert max(len(set(r[r >= 0])) for r in graph.layers[0]) <= hnsw.LINKS
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta iota kappa " + x for x in ("one", "lambda mu nu xi omicron pi rho sigma", "north south east west"))
+    b, c = b[40:], c[50:] + " quite another text of some words"
+    schema = "doc_id bigint, text string, sig string, __node int"
+    rows = [(1, a, "x", 1), (2, a, "y", 2), (2, b, "z", 3), (3, c, "u", 4), (5, c, "v", 5), (5, c, "v", 5), (None, a, "w", 6), (7, None, "k", 7), (7, "", "l", 8), (8, b, "m", 9)]
+    got = minhash.distinct_documents(spark.createDataFrame(rows, schema).withColumnRenamed("__node", "rep"))
+    assert sorted(tuple(r)[:2] for r in got.where("doc_id is not null").collect() if r.text) == [(1, a), (2, b), (3, c)]
+    assert sorted(map(str, (r.text for r in got.where("doc_id = 7").collect()))) == ["", "None"]
+    assert got.where("doc_id is null").count() == 1
+    assert minhash.distinct_documents(spark.createDataFrame([], schema.replace("__node", "rep"))).count() == 0
+
+
+def test_links_of_repeated_ids_stay_apart(spark):
+    rng = np.random.default_rng(4)
+    v, w = rng.normal(size=8).tolist(), rng.normal(size=8).tolist()
+    near = lambda x, k: [y + 1e-4 * k for y in x]
+    rows = [(5, v, "a"), (6, near(v, 1), "a"), (8, near(v, 2), "a"), (5, near(v, 3), "b"), (9, near(v, 4), "b"), (6, w, "a"), (11, near(w, 1), "a")]
+    frame = spark.createDataFrame([(*r, "k", 1, 2) for r in rows], "vec_id bigint, embedding array<double>, label string, key string, rep int, weight int")
+    got = Counter((r.vec_id, r.n_links) for r in embed_dedup.near_vectors(frame).collect())
+    assert got == Counter([(5, 2), (6, 2), (8, 2), (5, 1), (9, 1), (6, 1), (11, 1)])
+    assert {r.component_id for r in embed_dedup.near_vectors(frame).collect()} == {5}
+
+
+def test_ids_that_no_round_number_divides(spark, monkeypatch):
+    """Audited queries are there whatever the ids; labels smaller than the least number of them are scanned."""
+    rows = [(2 * r[0] + 1 if r[0] is not None else None, r[1], r[2] if r[2] != 2 or r[0] is None else r[0] % 40 + 2) for r in vectors(3)]
+    want = plain_links(rows)
+    monkeypatch.setattr(embed_dedup, "SHARD", 300)
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_vectors(frame).collect() if r.vec_id is not None}
+    assert got == want
