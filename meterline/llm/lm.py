@@ -5,14 +5,16 @@
    their ending. Within such a class a word has its smoothed share of the class's counts.
 3. Every learning document is cut into consecutive spans of ``SPAN`` tokens, each with the symbol before it, so every
    token is learned from, the end too. Replicas, one per ``PER_REPLICA`` documents, run truncated backpropagation over
-   their spans, their weights are averaged by an aggregation, and the next round starts from the average. The rounds
+   their spans in a fixed order, their weights are averaged, by the tokens they learned from, and the next round starts
+   from the average. The rounds
    share the spans out: together they are one pass over all tokens.
 4. Every document is scored whole, the state carried from window to window. Counts of the ``LEXICON`` most frequent words
    are broadcast (a bound on rows, not on what is counted); the counts of all other words that occur come by a join.
 
 The unigram base uses the exact counts of all words. Null and empty texts have one token, the end. Without learning
 documents the base is that of empty counts and the model is uniform over its classes. Repeated rows are scored
-one by one. Only doc_id and text are read.
+one by one. An empty table gives no rows, texts of any length are scored whole. Only doc_id and text are read, whatever other
+columns there are.
 """
 
 from __future__ import annotations
@@ -178,11 +180,12 @@ def spans(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         known = reader(shared.value)
         for batch in batches:
             out, place = [], []
-            for text in batch.column(1).to_pylist():
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 symbols = np.concatenate(([0], symbols_of(text.lower().split(), known)[1], [0])).astype(np.int16)
                 starts = range(0, len(symbols) - 1, SPAN)
                 out.extend(symbols[at : at + SPAN + 1] for at in starts)
-                place.append(np.uint64(xxhash.xxh64_intdigest(text)) + np.arange(len(starts), dtype=np.uint64))
+                own = xxhash.xxh64_intdigest(text, zlib.crc32(str(i).encode()))  # copies under other ids go elsewhere
+                place.append(np.uint64(own) + np.arange(len(starts), dtype=np.uint64))
             mark = mixed(np.concatenate([*place, np.zeros(0, np.uint64)])) >> np.uint64(2)
             yield pa.RecordBatch.from_arrays([pa.array(mark.astype(np.int64)), pa.array(out, pa.list_(pa.int16()))], ["mark", "symbols"])
 
@@ -194,11 +197,12 @@ def trained(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
     theta = gru.initial(lexicon.symbol_counts())
     replicas = max(1, -(-lexicon.ends // PER_REPLICA))
     for turn, rate in enumerate(ROUNDS if lexicon.ends else ()):
-        dealt = rows.where(F.col("mark") % len(ROUNDS) == turn).repartition(replicas, "mark")
+        # in a fixed order, so that a replica that is lost and trained again is the same
+        dealt = rows.where(F.col("mark") % len(ROUNDS) == turn).repartition(replicas, "mark").sortWithinPartitions("mark")
         start = rows.sparkSession.sparkContext.broadcast(theta)
 
         def run(batches: Iterator[pa.RecordBatch], start=start, rate=rate) -> Iterator[pa.RecordBatch]:
-            trainer, held = gru.Trainer(start.value, rate), []
+            trainer, held, learned = gru.Trainer(start.value, rate), [], 0
 
             def learn() -> None:
                 block = np.full((len(held), max(map(len, held))), -1, np.int64)
@@ -210,15 +214,17 @@ def trained(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
             for batch in batches:
                 for x in batch.column(1):
                     held.append(x.values.to_numpy())
+                    learned += len(held[-1]) - 1
                     if len(held) == BLOCK:
                         learn()
             if held:
                 learn()
             if trainer.n:
-                yield pa.RecordBatch.from_arrays([pa.array([trainer.theta.tolist()], pa.list_(pa.float32()))], ["theta"])
+                theta = pa.array([trainer.theta.tolist()], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([theta, pa.array([float(learned)])], ["theta", "tokens"])
 
-        each = dealt.mapInArrow(run, "theta array<float>").select(F.posexplode("theta").alias("i", "x"))
-        mean = each.groupBy("i").agg(F.avg("x").alias("x")).toArrow()
+        each = dealt.mapInArrow(run, "theta array<float>, tokens double").select("tokens", F.posexplode("theta").alias("i", "x"))
+        mean = each.groupBy("i").agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x")).toArrow()
         theta = theta.copy()  # a round without spans leaves it as it is
         theta[mean["i"].to_numpy()] = mean["x"].to_numpy()
     return theta

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from meterline.llm import gru, lm
 from tests.llm.conftest import odd_documents
@@ -107,3 +108,18 @@ def test_every_token_is_learned_from(spark):
     assert [x for r in rows for x in r[1:]] == [x for text in want for x in text]
     before = [x for text in want for x in [0, *text][: -1 : lm.SPAN]]
     assert [r[0] for r in rows] == before
+
+
+def test_scores_do_not_depend_on_the_partitions(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm, "PER_REPLICA", 60)  # several replicas
+    rows = [r[:2] for r in documents[:300]] + [(10_000 + i, documents[0][1]) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    first, second = ({r.doc_id: r.score for r in lm.score_documents(docs.repartition(n)).collect()} for n in (4, 7))
+    assert all(abs(first[i] - second[i]) <= 1e-6 * abs(first[i]) for i in first)
+
+
+def test_copies_are_dealt_to_all_replicas(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'the same few words again' AS text")
+    lexicon = lm.lexicon_of(lm.word_counts(docs))
+    sizes = [r["count"] for r in lm.spans(docs, lexicon).repartition(8, "mark").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 2 * 3000 / 8
