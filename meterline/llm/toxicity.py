@@ -102,9 +102,14 @@ class Ftrl:
         self.n0 += g * g
 
 
-def _sample(labels: DataFrame, admitted, most_toxic: int, most_clean: int) -> DataFrame:
+def _labelled(labels: DataFrame, admitted) -> DataFrame:
+    """doc_id, y of every admitted document with a label, each once."""
     rows = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & admitted)
-    once = rows.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+    return rows.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+
+
+def _sample(labels: DataFrame, admitted, most_toxic: int, most_clean: int) -> DataFrame:
+    once = _labelled(labels, admitted)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     return once.where("y = 1").orderBy(*order).limit(most_toxic).unionAll(once.where("y = 0").orderBy(*order).limit(most_clean))
 
@@ -113,9 +118,8 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray,
     """Places with a weight, their weights, and the intercept."""
     admitted = remainder("doc_id", HOLD_OUT) != HELD
     sample = _sample(labels, admitted, MOST_TOXIC, MOST_CLEAN)
-    share = labels.where(F.col("toxic").isNotNull() & admitted).agg(
-        F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0)).alias("p"), F.count("*").alias("n")
-    )
+    share = _labelled(labels, admitted).agg(F.coalesce(F.sum("y"), F.lit(0)).alias("p"), F.count("*").alias("n"))
+
     def work(texts: list[bytes]) -> dict[str, object]:
         words = word_table()
         return {"at": pa.array([features(t, words).astype(np.int32) for t in texts], pa.list_(pa.int32()))}

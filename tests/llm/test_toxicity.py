@@ -67,3 +67,11 @@ def test_ftrl_step_equals_plain_formula():
             n[i] = n.get(i, 0.0) + g * g
         model.learn(at, y)
         assert np.allclose([model.z[i] for i in at], [z[i] for i in at])
+
+
+def test_a_document_labelled_again_counts_once(spark):
+    docs, labels = made(400)
+    again = labels + [row for row in labels if row[2]] * 4 + [(None, 1, 1)] * 50
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    once, often = ({r.doc_id: r.score for r in toxicity.score_toxicity(frame, spark.createDataFrame(rows, LABELS)).collect()} for rows in (labels, again))
+    assert once == often
