@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import WordHashes, map_texts, remainder, shingles, small_batches, word_hashes
+from meterline.llm.common import give_back, WordHashes, map_texts, remainder, shingles, small_batches, word_hashes
 
 #: Labelled rows that the trees are fitted on at most, the smallest by a hash of their id.
 TRAIN_ROWS = 20_000
@@ -149,8 +149,12 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Forest:
     known = statistics(docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi"))
     once = known.groupBy("doc_id").agg(F.min("x").alias("x")).join(F.broadcast(sample), "doc_id")
     rows = once.orderBy("doc_id").select("x", "y").toArrow()
-    x = np.array(rows["x"].to_pylist(), np.float32).reshape(-1, len(NAMES))
-    return fit(x, np.array(rows["y"].to_pylist(), float))
+    lists = rows["x"].combine_chunks()
+    x = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, len(NAMES))
+    forest = fit(x, rows["y"].to_numpy().astype(float))
+    del rows, lists, x
+    give_back()  # the driver goes on to other work
+    return forest
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

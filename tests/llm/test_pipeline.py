@@ -41,3 +41,24 @@ def test_run_gives_the_last_stage(spark):
     columns = corpus_pipeline.run(spark, FOLDER).columns
     assert columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert rows_of("documents")
+
+
+def test_every_stage_takes_an_empty_table(spark, none, tmp_path):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, none, FOLDER)
+        assert out.count() == 0, name
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == none.columns
+
+
+def test_the_pipeline_runs_on_empty_and_on_odd_tables(spark, none, odd, tmp_path):
+    for name, docs in (("none", none), ("odd", odd)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(str(tmp_path / name / "labels.parquet"))
+        packed = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert (len(packed) == 0) == (name == "none")
+        places = {}
+        for r in packed:
+            places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for parts in places.values():
+            assert sum(n for _, n in parts) <= 4096 and sorted(parts)[0][0] == 0
