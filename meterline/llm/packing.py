@@ -69,18 +69,9 @@ class WordIds(dict):
         super().__init__()
         self.vocabulary = vocabulary
         self.old: dict[bytes, bytes] = {}
-        self.asked: set[bytes] = set()
         self.letters: dict[bytes, bytes] = {}
         self.signs: dict[bytes, bytes] = {b"": b""}
 
-    def __missing__(self, word: bytes) -> bytes | None:
-        ids = self.old.pop(word, None)
-        if ids is None:
-            self.asked.add(word)
-        else:
-            self[word] = ids
-        return ids
-
     def tokenizer(self):
         if self.vocabulary not in _TOKENIZERS:
             import os
@@ -103,20 +94,15 @@ class WordIds(dict):
         return made
 
     def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
-        """Ids of whole texts, given as words."""
+        """Ids of whole texts, given as words: the distinct unknown words first, then all by looking them up."""
         if len(self) > REMEMBERED:
             self.old = dict(self)
             self.clear()
-        known = self.__getitem__
-        found = [list(map(known, words)) for words in texts]
-        if self.asked:
-            self.learn(list(self.asked))
-            self.asked.clear()
-            found = [
-                [known(word) if x is None else x for word, x in zip(words, ids, strict=True)] if None in ids else ids
-                for words, ids in zip(texts, found, strict=True)
-            ]
-        return [b"".join(ids) for ids in found]
+        new = set().union(*texts).difference(self)
+        back = new & self.old.keys()
+        self.update({word: self.old.pop(word) for word in back})
+        self.learn(list(new - back))
+        return [b"".join(map(self.__getitem__, words)) for words in texts]
 
     def learn(self, new: list[bytes]) -> None:
         if len(self.letters) > REMEMBERED:
@@ -125,13 +111,18 @@ class WordIds(dict):
             self.signs = {b"": b""}
         stems = [word.rstrip(_SIGNS) for word in new]  # no byte of a longer character is among the signs
         plain = [stem.lower() if stem.isalpha() else _letters(stem) for stem in stems]
-        self._learn_letters([x for x in set(plain) if x and x not in self.letters])
-        ends = [word[len(stem) :] for word, stem in zip(new, stems, strict=True)]
-        for signs in {e for e, x in zip(ends, plain, strict=True) if x} - self.signs.keys():
-            self.signs[signs] = self._ids([signs])[0]
-        letters, signs = self.letters, self.signs
-        self.update({word: letters[x] + signs[end] for word, x, end in zip(new, plain, ends, strict=True) if x})
-        other = [word for word, x in zip(new, plain, strict=True) if not x]
+        self._learn_letters(list({x for x in plain if x}.difference(self.letters)))
+        letters, signs, other = self.letters, self.signs, []
+        for word, stem, x in zip(new, stems, plain, strict=True):
+            if not x:
+                other.append(word)
+            elif len(stem) == len(word):
+                self[word] = letters[x]
+            else:
+                end = word[len(stem) :]
+                if end not in signs:
+                    signs[end] = self._ids([end])[0]
+                self[word] = letters[x] + signs[end]
         self.update(zip(other, self._ids(other), strict=True))
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
