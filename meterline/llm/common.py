@@ -129,6 +129,19 @@ def small_table(rows: DataFrame, label: str) -> DataFrame:
     return F.broadcast(held) if held.count() <= SMALL_TABLE else held
 
 
+def by_size(texts: list[bytes], most: int = 2_000_000) -> Iterator[list[bytes]]:
+    """``texts`` in parts of at most ``most`` bytes, or one text each; words of a part take many times its size."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > most:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 def sorted_slices(rows: DataFrame, order: list[str], label: str) -> DataFrame:
     """``rows`` in the given order, written once; ``__slice`` and ``__inside`` say where a row stands.
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import ranked, remembered, small_batches, sorted_slices
+from meterline.llm.common import by_size, ranked, remembered, small_batches, sorted_slices
 from meterline.session import cut
 
 VOCABULARY = "word_bpe_49k.json"
@@ -158,7 +158,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
     def run(batches):
         known = word_ids(vocabulary)
         for batch in batches:
-            texts = known.encoded([_lowered(t).split() for t in batch.column(1).to_pylist()])
+            texts = [ids for part in by_size(batch.column(1).to_pylist()) for ids in known.encoded([_lowered(t).split() for t in part])]
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, ids_of in enumerate(texts):
                 data = ids_of + closing

@@ -5,7 +5,7 @@ character (checked when it is loaded), so no merge crosses from one chunk to the
 alone and their ids joined by position are the ids of the text. Spark counts the chunks of the whole table, each task its
 own distinct ones first; the ``HEAD`` most frequent of the corpus are segmented once, by the library, spread over the
 cluster, and their ids go to all tasks, which is bounded. The long tail beyond has a table of distinct chunks in
-each batch of documents, segmented once there. (A join of the tail would shuffle all texts; see the README.) Ids do not
+each batch of documents, segmented once there; a batch is bounded by its size. (A join of the tail would shuffle all texts; see the README.) Ids do not
 depend on ``HEAD`` or on the batches. A vocabulary with pieces that cross markers has whole texts for chunks.
 
 A text's ids begin with the begin id and end with the end id; null and empty texts have just those. Decoding is the
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import map_texts, small_batches
+from meterline.llm.common import by_size, map_texts, small_batches
 from meterline.session import cut
 
 MODEL = "piece_bpe_32k.model"
@@ -123,18 +123,18 @@ def encode(docs: DataFrame, model: str = MODEL, head: int = HEAD) -> DataFrame:
     name = uuid.uuid4().hex
 
     def work(texts: list[bytes]) -> dict[str, object]:
-        pieces = loaded(model)
-        table = _tables(name, shared)
-        cut_up = [pieces.chunks(text.decode()) for text in texts]
-        found = [list(map(table.get, chunks)) for chunks in cut_up]
-        rest = list({c for chunks, ids in zip(cut_up, found, strict=True) if None in ids for c, i in zip(chunks, ids, strict=True) if i is None})
-        tail = dict(zip(rest, pieces.ids(rest), strict=True))
+        pieces, table = loaded(model), _tables(name, shared)
         begin, end = (np.array([i], "<u4").tobytes() for i in (pieces.first, pieces.last))
         out = []
-        for chunks, ids in zip(cut_up, found, strict=True):
-            if tail and None in ids:
-                ids = [tail[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]
-            out.append(begin + b"".join(ids) + end)
+        for part in by_size(texts):
+            cut_up = [pieces.chunks(text.decode()) for text in part]
+            rest = list(set().union(*cut_up).difference(table))
+            tail = dict(zip(rest, pieces.ids(rest), strict=True))
+            for chunks in cut_up:
+                found = list(map(table.get, chunks))
+                if tail and None in found:
+                    found = [tail[c] if i is None else i for c, i in zip(chunks, found, strict=True)]
+                out.append(begin + b"".join(found) + end)
         return {"ids": pa.array(out, pa.binary())}
 
     return map_texts(docs, work, "ids binary")
