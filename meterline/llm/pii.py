@@ -1,24 +1,32 @@
 """Personal data: fixed patterns as seeds, and contextual patterns learned from them, with DataFrame functions only.
 
-Seeds are the matches of four fixed patterns (email, ip, card, phone). What stands around them, the two words
-before, or the word before and the word after, forms lexical patterns; tokens with a digit or ``@`` that no seed covers,
-without the signs around them, are unknown instances. Patterns and values form a graph that is scored in rounds: a pattern's confidence for a kind is
-the mean confidence of the distinct values it stands around, if ``SUPPORT`` seeds at least are among them;
-an unknown value's confidence is that at least one of its patterns is right. Values of ``ACCEPT`` or more
-become spans of that kind wherever they occur.
-
-Positions are code points. Null and empty texts have no spans. Repeated rows are treated alike. ``masked`` keeps all
-columns; the other functions read doc_id and text only.
+Seeds are the matches of four fixed patterns (email, ip, card, phone). The words around them, in lower case and without the
+signs around them, form lexical patterns: the word before (L), the word after (R), both (B), and the two words before (T).
+A pattern that stands around ``SUPPORT`` different seeds of a kind is kept. A pattern of one word must have done so in as many
+different surroundings, and its word must not be an ordinary one, with a seed beside it in less than ``FLOOR`` of its places. What else stands in the slots of kept patterns are unknown
+instances: of B all of up to ``FEW`` words between, of the others one word, or a run of up to ``FEW`` number words.
+
+Patterns and instances form a graph that is scored in rounds. The trust in a pattern for a kind is the share of its seeds
+of that kind among its seeds of all kinds and its unknown instances, which weigh ``ALPHA`` of a seed and count for the
+kind with the score that other patterns give them; so no pattern vouches for itself. An instance's score is that at
+least one of its patterns is right. Values of ``ACCEPT`` or more, unless they occur elsewhere more than ``COMMON`` times as often
+as in a slot, become spans of that kind wherever they occur, whatever their case and the signs around them.
+
+Positions are code points. Null and empty texts have no spans; very long texts and words are read whole. Repeated rows are
+treated alike; of kinds with equal scores the last by name is taken. An empty table gives no rows. ``masked`` keeps all columns; the
+other functions read doc_id and text only, whatever other columns there are. Words that hold U+E000, the
+filler that stands for seeds, are never instances.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import SMALL_TABLE
+from meterline.llm.common import small_table
 from meterline.session import cut
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -30,21 +38,19 @@ _FIXED = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "other": rf"(?<![^{_W}])[^{_W}0-9@]*+[0-9@][^{_W}]*+",
 }
-#: Signs around a token that are not part of an instance.
-_OUTER = r"[.,;:!?\"'()\[\]{}<>]"
+#: Signs around a word that are not part of it, the blanks, and the filler that stands for seeds.
+_SIGNS, _BLANKS, _FILLER = ".,;:!?\"'()[]{}<>", " \t\n\x0b\x0c\r", "\ue000"
 #: Cheap tests that every text with a match passes.
 _MAY = {
     "email": lambda t: t.contains("@"),
     "ip": lambda t: t.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"),
     "card": lambda t: t.rlike(r"[0-9](?:[ -]?[0-9]){15}"),
     "phone": lambda t: t.contains("+"),
-    "other": lambda t: t.rlike("[0-9@]"),
 }
-#: Characters before and after a span in which its context words are looked for.
-REACH = 64
-ROUNDS, SUPPORT, ACCEPT = 3, 3, 0.8
+ROUNDS, SUPPORT, FLOOR, ALPHA, ACCEPT, COMMON, FEW = 4, 3, 0.02, 0.25, 0.75, 5, 5
+#: Patterns or values that are looked for in one pass over the texts; more of them take more passes.
+AT_ONCE = 5000
 _SPANS = "array<struct<s:int,e:int,v:string>>"
 
 
@@ -67,7 +73,6 @@ _VALID = {
     "ip": lambda v: v.rlike(rf"\A{_PART}(?:\.{_PART}){{3}}\z"),
     "card": lambda v: F.when(F.length(_digits(v)).between(16, 19), _luhn(v)).otherwise(False),
     "phone": lambda v: F.length(_digits(v)).between(8, 15),
-    "other": lambda v: F.length(v) > 0,
 }
 
 
@@ -85,75 +90,252 @@ def spans(text: Column, kind: str) -> Column:
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v")))).alias("out"))
 
     all_ = F.aggregate(F.filter(steps, lambda x: x["v"].isNotNull()), start, step, lambda acc: acc["out"])
-    if kind == "other":
-        all_ = F.transform(all_, _bare)
     return F.when(_MAY[kind](text), F.filter(all_, lambda x: _VALID[kind](x["v"]))).otherwise(none)
 
 
-def _bare(span: Column) -> Column:
-    """The span without the signs around it."""
-    right = F.regexp_replace(span["v"], rf"(?<!{_OUTER}){_OUTER}++\z", "")
-    v = F.regexp_replace(right, rf"\A{_OUTER}++", "")
-    s = span["s"] + F.length(right) - F.length(v)
-    return F.struct(s.alias("s"), (s + F.length(v)).alias("e"), v.alias("v"))
+def _word(x: Column) -> Column:
+    return F.lower(F.btrim(x, F.lit(_BLANKS + _SIGNS)))
 
 
-def _around(text: Column, span: Column) -> Column:
-    """Up to two words before (in lower case) and one after, within ``REACH`` characters."""
-    before = F.split(F.rtrim(F.translate(F.substring(text, F.greatest(span["s"] - REACH + 1, F.lit(1)), F.least(span["s"], F.lit(REACH))), "\t\n\x0b\x0c\r", "     ")), " +")
-    after = F.split(F.ltrim(F.translate(F.substring(text, span["e"] + 1, F.lit(REACH)), "\t\n\x0b\x0c\r", "     ")), " +")
-    one, two = F.element_at(before, -1), F.when(F.size(before) > 1, F.element_at(before, -2)).otherwise("")
-    return F.array(F.concat(F.lit("L "), F.lower(two), F.lit(" "), F.lower(one)), F.concat(F.lit("M "), F.lower(one), F.lit(" "), F.lower(F.element_at(after, 1))))
+def _words(gap: Column) -> Column:
+    return F.filter(F.transform(F.split(gap, f"[{_W}]+"), _word), lambda w: w != "")
+
+
+def _every_span() -> Column:
+    """All spans of a row in the order of their starts: s, e, kind, v."""
+
+    def of(kind: str) -> Column:
+        return F.transform(kind, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind"), x["v"].alias("v")))
+
+    return F.array_sort(F.concat(*[of(k) for k in KINDS]))
+
+
+def _rebuilt(text: Column, every: Column, put) -> Column:
+    """The text with ``put(span, where the text before it ends)`` in place of each span; spans inside others leave no trace."""
+
+    def step(acc: Column, x: Column) -> Column:
+        gap = F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
+        inside = x["e"] <= acc["at"]
+        out = F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(gap, put(x, acc["at"]))))
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    end = lambda acc: F.concat(F.concat_ws("", acc["out"]), F.substring(text, acc["at"] + 1, F.length(text)))
+    return F.aggregate(every, start, step, end)
+
+
+def _contexts(text: Column, every: Column) -> Column:
+    """Kind, value and patterns of each span; the words lie between it and the spans next to it."""
+
+    def context(x: Column, i: Column) -> Column:
+        before, after = F.get(every, i - 1)["e"], F.get(every, i + 1)["s"]
+        start = F.when(i > 0, before).otherwise(F.lit(0))
+        left = _words(F.substring(text, start + 1, F.greatest(x["s"] - start, F.lit(0))))
+        right = _words(F.substring(text, x["e"] + 1, F.greatest(F.coalesce(after, F.length(text)) - x["e"], F.lit(0))))
+        one, two, next_ = F.get(left, F.size(left) - 1), F.get(left, F.size(left) - 2), F.get(right, F.lit(0))
+        rest = F.concat_ws(" ", F.coalesce(two, F.lit("")), F.coalesce(next_, F.lit("")))
+        named = [("L ", one, rest), ("R ", next_, F.coalesce(one, F.lit(""))), ("B ", F.concat(one, F.lit(" "), next_), F.lit("")), ("T ", F.concat(two, F.lit(" "), one), F.lit(""))]
+        patterns = F.array(*[F.when(words.isNotNull(), F.struct(F.concat(F.lit(name), words).alias("p"), around.alias("around"))) for name, words, around in named])
+        return F.struct(x["kind"].alias("kind"), x["v"].alias("v"), F.array_compact(patterns).alias("patterns"))
+
+    return F.transform(every, context)
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, th (hash of the text), the base spans per kind, and ``seen``: all instances with their contexts."""
+    """Per row: doc_id, th (hash of the text), the base spans per kind, and ``seen``: the seeds with their patterns."""
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumns({k: spans(F.col("text"), k) for k in [*KINDS, "other"]})
-    covered = lambda x: reduce(lambda a, b: a | b, [F.exists(k, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])) for k in KINDS])
-
-    def seen(kind: str) -> Column:
-        own = F.filter(kind, lambda x: ~covered(x)) if kind == "other" else F.col(kind)
-        context = lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"), _around(F.col("text"), x).alias("patterns"))
-        return F.transform(own, context)
-
-    both = F.concat(*[seen(k) for k in [*KINDS, "other"]]).alias("seen")
-    return rows.select("doc_id", F.xxhash64("text").alias("th"), *KINDS, both)
-
-
-def bootstrapped(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """value, kind, score of the unknown values that learned patterns accept."""
-    seen = found.select(F.explode("seen").alias("i")).select("i.kind", F.col("i.v").alias("value"), F.explode("i.patterns").alias("pattern"))
-    edges = cut(seen.distinct(), "edges")
-    seeds = edges.where("kind <> 'other'").select("value", F.col("kind").alias("k"), F.lit(1.0).alias("score")).distinct()
-    # patterns that stand around enough seeds of a kind; all others never count
-    strong = edges.where("kind <> 'other'").groupBy("pattern", F.col("kind").alias("k")).agg(F.countDistinct("value").alias("seeds")).where(F.col("seeds") >= SUPPORT)
-    graph = edges.join(strong.select("pattern").distinct(), "pattern", "left_semi")
-    graph = cut(graph.select("pattern", "value", (F.col("kind") == "other").alias("unknown")).distinct(), "graph")
-    sizes = graph.groupBy("pattern").agg(F.countDistinct("value").alias("n"))
-    scores = seeds
-    accepted = seeds.where(F.lit(False))
-    for _ in range(rounds):
-        sums = graph.join(scores, "value").groupBy("pattern", "k").agg(F.sum("score").alias("sum"))
-        trust = sums.join(strong, ["pattern", "k"]).join(sizes, "pattern").select("pattern", "k", F.least(F.col("sum") / F.col("n"), F.lit(0.99)).alias("trust"))
-        unknown = graph.where("unknown").join(trust, "pattern").groupBy("value", "k").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("score"))
-        accepted = cut(unknown, "scores")
-        if accepted.isEmpty():
+    rows = rows.withColumns({k: spans(F.col("text"), k) for k in KINDS}).withColumn("every", _every_span())
+    return rows.select("doc_id", F.xxhash64("text").alias("th"), *KINDS, _contexts(F.col("text"), F.col("every")).alias("seen"))
+
+
+def _tokens(docs: DataFrame) -> DataFrame:
+    """doc_id, th, the runs of blanks and a word that the text is made of, its words, and the run of each.
+
+    Seeds are replaced by as many fillers, so places stay. Texts without seeds are read as they are.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"))
+    every = F.array_sort(F.concat(*[F.transform(spans(F.col("text"), k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS]))
+    rows = rows.withColumn("every", every)
+    fill = lambda x, at: F.repeat(F.lit(_FILLER), x["e"] - F.greatest(x["s"], at))
+    filled = F.when(F.size("every") > 0, _rebuilt(F.col("text"), F.col("every"), fill)).otherwise(F.col("text"))
+    runs = F.regexp_extract_all(filled, F.lit(rf"[{_W}]*+[^{_W}]++"), F.lit(0))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), runs.alias("runs"))
+    kept = F.filter(F.transform("runs", lambda x, i: F.struct(_word(x).alias("w"), i.alias("r"))), lambda x: x["w"] != "")
+    rows = rows.withColumn("kept", kept)
+    return rows.select("doc_id", "th", "runs", F.col("kept.w").alias("words"), F.col("kept.r").alias("at"))
+
+
+def seed_patterns(found: DataFrame, tokens: DataFrame) -> DataFrame:
+    """pattern, k, s (its seeds of kind k), o (its seeds of other kinds) of the patterns that are kept."""
+    seen = found.select(F.explode("seen").alias("i")).select(F.col("i.kind").alias("k"), F.col("i.v").alias("value"), F.explode("i.patterns").alias("x"))
+    seen = cut(seen.select("k", "value", F.col("x.p").alias("pattern"), F.col("x.around").alias("around")), "seeds")
+    per_value = seen.groupBy("pattern", "k", "value").agg(F.count("*").alias("n")).groupBy("pattern", "k").agg(F.count("*").alias("s"), F.sum("n").alias("places"))
+    surroundings = seen.groupBy("pattern", "k", "around").count().groupBy("pattern", "k").agg(F.count("*").alias("ways"))
+    per_kind = cut(per_value.join(surroundings, ["pattern", "k"]), "patterns")
+    enough = F.when(F.substring("pattern", 1, 2).isin("L ", "R "), F.least("s", "ways")).otherwise(F.col("s"))
+    per_kind = per_kind.withColumn("enough", enough >= SUPPORT)
+    whole = per_kind.groupBy("pattern").agg(F.sum("s").alias("all"), F.sum("places").alias("seeded"), F.max("enough").alias("any"))
+    strong = cut(whole.where("any"), "strong")
+    if strong.isEmpty():
+        return per_kind.select("pattern", "k", "s", F.lit(0).cast("bigint").alias("o")).where(F.lit(False))
+    # how often the word of a one-word pattern is there at all
+    single = strong.where(F.substring("pattern", 1, 2).isin("L ", "R ")).withColumn("word", F.expr("substring(pattern, 3)"))
+    asked = small_table(single.select("word").distinct(), "words")
+    there = tokens.select(F.explode("words").alias("word")).join(asked, "word", "left_semi").groupBy("word").agg(F.count("*").alias("places"))
+    rare = single.join(there, "word", "left").where(F.col("seeded") >= FLOOR * F.coalesce("places", F.lit(0)))
+    kept = strong.where(~F.substring("pattern", 1, 2).isin("L ", "R ")).select("pattern", "all").unionByName(rare.select("pattern", "all"))
+    both = per_kind.where("enough").join(kept, "pattern")
+    return cut(both.select("pattern", "k", "s", (F.col("all") - F.col("s")).alias("o")), "kept")
+
+
+def _chunks(rows: DataFrame, column: str) -> Iterator[list[str]]:
+    """The distinct values of a column, some at a time."""
+    values = cut(rows.select(column).distinct().orderBy(column), "listed")
+    last = None
+    while True:
+        rest = values if last is None else values.where(F.col(column) > last)
+        some = [r[0] for r in rest.orderBy(column).limit(AT_ONCE).collect()]
+        if some:
+            yield some
+            last = some[-1]
+        if len(some) < AT_ONCE:
+            return
+
+
+def _of_words(patterns: list[str]) -> dict[str, list[str]]:
+    return {kind: [p[2:] for p in patterns if p.startswith(f"{kind} ")] for kind in "LRBT"}
+
+
+def slots(tokens: DataFrame, patterns: list[str]) -> DataFrame:
+    """pattern, value for every place where an unknown instance stands in the slot of one of the patterns."""
+    named = _of_words(patterns)
+    words, n = F.col("words"), F.size("words")
+    word = lambda i: F.get(words, i)
+    free = lambda w: w.isNotNull() & ~w.contains(_FILLER)
+    number = lambda i: F.coalesce(word(i).rlike("^[0-9][0-9()/.+-]*$"), F.lit(False))
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def run(i: Column, step: int) -> Column:
+        """How many words an instance has that starts (or, with step -1, ends) at i."""
+        out = F.lit(FEW)
+        for k in range(FEW - 1, 0, -1):
+            out = F.when(~number(i + step * k), F.lit(k)).otherwise(out)
+        return F.when(number(i), out).otherwise(F.lit(1))
+
+    def joined(i: Column, m: Column) -> Column:
+        return F.concat_ws(" ", F.slice(words, i + 1, m))
+
+    def found(kind: str, last: list[str], test, value) -> Column:
+        at = F.filter(every, lambda i: word(i).isin(last) & test(i))
+        return F.transform(at, lambda i: F.struct(_name(kind, i).alias("pattern"), value(i).alias("value")))
+
+    def _name(kind: str, i: Column) -> Column:
+        return F.concat(F.lit("T "), word(i - 1), F.lit(" "), word(i)) if kind == "T" else F.concat(F.lit(f"{kind} "), word(i))
+
+    after = lambda i: joined(i + 1, run(i + 1, 1))
+    before = lambda i: joined(i - run(i - 1, -1), run(i - 1, -1))
+    hits = []
+    if named["L"]:
+        hits.append(found("L", named["L"], lambda i: free(word(i + 1)), after))
+    if named["R"]:
+        hits.append(found("R", named["R"], lambda i: (i > 0) & free(word(i - 1)), before))
+    if named["T"]:
+        ends = sorted({p.split(" ")[1] for p in named["T"]})
+        hits.append(found("T", ends, lambda i: (i > 0) & F.coalesce(_name("T", i).isin([f"T {p}" for p in named["T"]]), F.lit(False)) & free(word(i + 1)), after))
+    if named["B"]:
+        begins, whole = sorted({p.split(" ")[0] for p in named["B"]}), [f"B {p}" for p in named["B"]]
+        name = lambda i, m: F.concat(F.lit("B "), word(i), F.lit(" "), word(i + m + 1))
+        fits = lambda i, m: F.coalesce(name(i, m).isin(whole), F.lit(False)) & ~joined(i + 1, m).contains(_FILLER)
+        lengths = F.sequence(F.lit(1), F.lit(FEW))
+        between = lambda i: F.transform(F.filter(lengths, lambda m: fits(i, m)), lambda m: F.struct(name(i, m).alias("pattern"), joined(i + 1, m).alias("value")))
+        hits.append(F.flatten(F.transform(F.filter(every, lambda i: word(i).isin(begins)), between)))
+    return tokens.select(F.explode(F.concat(*hits)).alias("h")).select("h.pattern", "h.value")
+
+
+def bootstrapped(patterns: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """value, kind, score of the unknown values that are accepted.
+
+    ``patterns`` has pattern, k, s and o, ``edges`` the distinct pairs of pattern and unknown value.
+    """
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("u"))
+    base = cut(patterns.join(sizes, "pattern"), "base")
+    weight = F.col("s") + F.col("o") + ALPHA * F.col("u")
+    trust = base.select("pattern", "k", "s", weight.alias("weight"), F.least(F.col("s") / weight, F.lit(0.99)).alias("trust"))
+    for turn in range(rounds):
+        each = edges.join(trust, "pattern").withColumn("miss", F.log(1 - F.col("trust")))
+        scores = cut(each.groupBy("value", "k").agg(F.sum("miss").alias("miss")), "scores")
+        if turn == rounds - 1 or scores.isEmpty():
             break
-        scores = seeds.unionAll(accepted.join(seeds.select("value"), "value", "left_anti"))
-    best = accepted.where(F.col("score") >= ACCEPT).groupBy("value").agg(F.max(F.struct("score", "k")).alias("m"))
-    return best.select("value", F.col("m.k").alias("kind"), F.col("m.score").alias("score"))
+        # what all other patterns of a value say of it
+        others = each.join(scores.withColumnRenamed("miss", "whole"), ["value", "k"]).withColumn("score", 1 - F.exp(F.col("whole") - F.col("miss")))
+        known = (F.first("s") + ALPHA * F.sum("score")) / F.first("weight")
+        more = others.groupBy("pattern", "k").agg(F.first("s").alias("s"), F.first("weight").alias("weight"), F.least(known, F.lit(0.99)).alias("trust"))
+        trust = cut(more, "trust")
+    best = scores.select("value", "k", (1 - F.exp("miss")).alias("score")).where(F.col("score") >= ACCEPT)
+    return best.groupBy("value").agg(F.max(F.struct("score", "k")).alias("m")).select("value", F.col("m.k").alias("kind"), F.col("m.score").alias("score"))
+
+
+def places(tokens: DataFrame, values: list[str]) -> DataFrame:
+    """doc_id, th, value, s, e of every place of the values, given as words with one blank between."""
+    by_length: dict[int, list[str]] = {}
+    for value in values:
+        by_length.setdefault(value.count(" ") + 1, []).append(value)
+    words, n = F.col("words"), F.size("words")
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def of(m: int, some: list[str]) -> Column:
+        """Places of the values of ``m`` words; most words do not begin one."""
+        first = sorted({v.split(" ")[0] for v in some})
+        value = lambda i: F.concat_ws(" ", F.slice(words, i + 1, m))
+        at = F.filter(every, lambda i: F.get(words, i).isin(first) & value(i).isin(some))
+        return F.transform(at, lambda i: F.struct(value(i).alias("value"), F.get("at", i).alias("a"), F.get("at", i + m - 1).alias("b")))
+
+    rows = tokens.withColumn("hits", F.concat(*[of(m, some) for m, some in by_length.items()])).where(F.size("hits") > 0)
+
+    def bare(r: Column, end: bool) -> Column:
+        """Where the word of a run begins, or ends, without the signs around it."""
+        upto = F.aggregate(F.slice("runs", 1, r + 1), F.lit(0), lambda a, x: a + F.length(x))
+        run, signs = F.get("runs", r), F.lit(_BLANKS + _SIGNS)
+        return upto - F.length(run) + F.length(F.rtrim(run, signs)) if end else upto - F.length(F.ltrim(run, signs))
+
+    spans_of = F.transform("hits", lambda h: F.struct(h["value"].alias("value"), bare(h["a"], False).alias("s"), bare(h["b"], True).alias("e")))
+    return rows.select("doc_id", "th", F.explode(spans_of).alias("h")).select("doc_id", "th", "h.*")
+
+
+def _unioned(parts: list[DataFrame]) -> DataFrame:
+    return cut(reduce(DataFrame.unionAll, parts), "unioned")
 
 
-def discovered(found: DataFrame) -> DataFrame:
+def discovered(docs: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, th and ``more``: the spans of accepted values in that text."""
-    values = cut(bootstrapped(found), "values")
-    if values.count() <= SMALL_TABLE:
-        values = F.broadcast(values)
-    places = found.select("doc_id", "th", F.explode("seen").alias("i")).where("i.kind = 'other'")
-    places = places.select("doc_id", "th", F.col("i.v").alias("value"), F.col("i.s").alias("s"), F.col("i.e").alias("e")).distinct()
-    hits = places.join(values, "value").select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.struct("kind", "s", "e").alias("span"))
-    return hits.groupBy("d", "t").agg(F.collect_set("span").alias("more"))
+    none = found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.array().cast("array<struct<kind:string,s:int,e:int>>").alias("more")).where(F.lit(False))
+    tokens = _tokens(docs)
+    patterns = seed_patterns(found, tokens)
+    parts = [slots(tokens, some).groupBy("pattern", "value").agg(F.count("*").alias("n")) for some in _chunks(patterns, "pattern")]
+    if not parts:
+        return none
+    edges = _unioned(parts)
+    values = cut(bootstrapped(patterns, edges.select("pattern", "value")), "values")
+    parts = [places(tokens, some) for some in _chunks(values, "value")]
+    if not parts:
+        return none
+    there = _unioned(parts)
+    inside = edges.groupBy("value").agg(F.max("n").alias("inside"))
+    often = there.groupBy("value").agg(F.count("*").alias("all"))
+    own = values.join(inside, "value").join(often, "value").where(F.col("all") <= COMMON * F.col("inside")).select("value", "kind")
+    hits = there.distinct().join(small_table(own, "own"), "value")
+    hits = hits.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.struct("s", (-F.col("e")).alias("less"), "kind", "e").alias("span"))
+    sets = hits.groupBy("d", "t").agg(F.array_sort(F.collect_set("span")).alias("sorted"))
+
+    def step(acc: Column, x: Column) -> Column:
+        """Spans by start, the longest first: one that ends no later than one before lies inside it."""
+        inside = x["e"] <= acc["at"]
+        own = F.array(F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], own)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,s:int,e:int>>").alias("out"))
+    return sets.select("d", "t", F.aggregate("sorted", start, step, lambda acc: acc["out"]).alias("more"))
 
 
 def _with_more(rows: DataFrame, more: DataFrame) -> DataFrame:
@@ -174,7 +356,7 @@ def _joined(kind: str, array: Column) -> Column:
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, the numbers of base spans, base_sha256, and ``spans``: base spans and discovered ones."""
     found = cut(found_spans(docs), "spans")
-    rows = _with_more(found, discovered(found))
+    rows = _with_more(found, discovered(docs, found))
     base = F.concat_ws(",", *[_joined(k, F.col(k)) for k in KINDS])
     return rows.select(
         "doc_id",
@@ -188,23 +370,12 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with all columns; in the texts every span is replaced by its kind in angle brackets."""
     found = cut(found_spans(docs), "spans")
-    more = cut(discovered(found), "more")
-    if more.count() <= SMALL_TABLE:
-        more = F.broadcast(more)
+    more = small_table(discovered(docs, found), "more")
     names = docs.columns
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct(*names).alias("row"), "doc_id", text.alias("text"), F.xxhash64(text).alias("th"))
     rows = _with_more(rows.withColumns({k: spans(F.col("text"), k) for k in KINDS}), more)
-    tagged = lambda k: F.transform(_of(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(f"<{k.upper()}>").alias("tag")))
-    all_ = F.array_sort(F.concat(*[tagged(k) for k in KINDS]))
-
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring("text", acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        inside = x["e"] <= acc["at"]
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(gap, x["tag"]))).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    end = lambda acc: F.concat(F.concat_ws("", acc["out"]), F.substring("text", acc["at"] + 1, F.length("text")))
-    rows = rows.withColumn("all", all_)
-    clean = F.when(F.size("all") > 0, F.aggregate("all", start, step, end)).otherwise(F.col("row.text"))
+    tagged = lambda k: F.transform(_of(k), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("less"), x["e"].alias("e"), F.lit(f"<{k.upper()}>").alias("tag")))
+    rows = rows.withColumn("all", F.array_sort(F.concat(*[tagged(k) for k in KINDS])))
+    clean = F.when(F.size("all") > 0, _rebuilt(F.col("text"), F.col("all"), lambda x, at: x["tag"])).otherwise(F.col("row.text"))
     return rows.select(*[clean.alias(n) if n == "text" else F.col(f"row.`{n}`").alias(n) for n in names])
