@@ -17,10 +17,12 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +37,8 @@ STEPS, STEP = 400, 0.3
 EXACT_CLASSES, GROUPS = 48, 1024
 #: A piece's first weight is this power of its length: a little more for long ones, so that short ones are left for the rounding.
 SLOPE = 1.05
-#: Words whose ids a worker remembers at most.
-REMEMBERED = 250_000
+#: Words whose ids a worker remembers at most, and bytes of texts that it cuts into words at a time.
+REMEMBERED, TOGETHER = 250_000, 8_000_000
 
 _TOKENIZERS: dict[str, object] = {}
 
@@ -71,6 +73,7 @@ class WordIds(dict):
         self.old: dict[bytes, bytes] = {}
         self.letters: dict[bytes, bytes] = {}
         self.signs: dict[bytes, bytes] = {b"": b""}
+        self[b""] = b""
 
     def tokenizer(self):
         if self.vocabulary not in _TOKENIZERS:
@@ -93,16 +96,31 @@ class WordIds(dict):
         made, self.plain, self.last = _TOKENIZERS[self.vocabulary]
         return made
 
-    def encoded(self, texts: list[list[bytes]]) -> list[bytes]:
-        """Ids of whole texts, given as words: the distinct unknown words first, then all by looking them up."""
+    def encoded(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of whole texts: each distinct word is looked up once, and its ids are put at all its places by Arrow.
+
+        Words are what the six ASCII blanks leave; the empty ones at the ends of a text have no ids.
+        """
         if len(self) > REMEMBERED:
             self.old = dict(self)
             self.clear()
-        new = set().union(*texts).difference(self)
+            self[b""] = b""
+        cut_up = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        table = cut_up.flatten().dictionary_encode()
+        words = table.dictionary.cast(pa.binary()).to_pylist()
+        new = set(words).difference(self)
         back = new & self.old.keys()
         self.update({word: self.old.pop(word) for word in back})
         self.learn(list(new - back))
-        return [b"".join(map(self.__getitem__, words)) for words in texts]
+        ids = list(map(self.__getitem__, words))
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        starts = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        places = table.indices
+        data = lists.take(places).flatten().to_numpy().tobytes()
+        upto = np.concatenate([[0], np.cumsum(size[places.to_numpy()], dtype=np.int64)])
+        ends = (upto[cut_up.offsets.to_numpy()] * 4).tolist()
+        return [data[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def learn(self, new: list[bytes]) -> None:
         if len(self.letters) > REMEMBERED:
@@ -149,6 +167,19 @@ def word_ids(vocabulary: str) -> WordIds:
     return remembered(f"ids {vocabulary}", lambda: WordIds(vocabulary))
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches whose texts make about ``TOGETHER`` bytes; the more there are, the fewer of their words are distinct."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(1).nbytes
+        if size >= TOGETHER:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, if wanted) of all documents."""
     small_batches(docs.sparkSession)
@@ -157,8 +188,9 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
 
     def run(batches):
         known = word_ids(vocabulary)
-        for batch in batches:
-            texts = [ids for part in by_size(batch.column(1).to_pylist()) for ids in known.encoded([_lowered(t).split() for t in part])]
+        for held in _together(batches):
+            rows = [text for batch in held for text in batch.column(1).to_pylist()]
+            texts = [ids for part in by_size(rows, TOGETHER) for ids in known.encoded([_lowered(t) for t in part])]
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, ids_of in enumerate(texts):
                 data = ids_of + closing
@@ -167,7 +199,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
                     row.append(i), piece.append(k), start.append(at // 4), length.append(len(part) // 4), crc.append(zlib.crc32(part))
                     if with_ids:
                         ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-            columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32())]
+            columns = [pa.concat_arrays([batch.column(0) for batch in held]).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32())]
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc)] + [pa.array(ids, pa.list_(pa.int32()))] * with_ids
             yield pa.RecordBatch.from_arrays(columns, names)
 
