@@ -123,6 +123,20 @@ def map_texts(
     return source.mapInArrow(run, f"{head}, {schema}")
 
 
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of greatest ``n``, at most ``most``: all above the level that a histogram of some thousand levels tells.
+
+    Levels are the numbers up to 1,024 and 64 to each doubling beyond. A level is taken whole or not at all, so no task sorts
+    the rows; where the highest level alone has too many rows, none is taken.
+    """
+    level = F.when(F.col(n) <= 1024, F.col(n)).otherwise(1024 + F.floor(64 * F.log2(F.col(n) / 1024))).cast("long")
+    for row in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        if row.rows > most:
+            return counts.where(level > row.level)
+        most -= row.rows
+    return counts
+
+
 def small_table(rows: DataFrame, label: str) -> DataFrame:
     """A reduced table, written once, that joins by broadcast if it has few rows."""
     held = cut(rows, label)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm import gru
-from meterline.llm.common import REMEMBERED, mixed, remainder, remembered, small_batches
+from meterline.llm.common import REMEMBERED, mixed, most_frequent, remainder, remembered, small_batches
 from meterline.session import cut
 
 HOLD_OUT, HELD = 10, 0
@@ -158,12 +158,14 @@ def lexicon_of(counts: DataFrame) -> Lexicon:
     """The most frequent words and the totals; the classes of rare words are summed up over all counts."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     words = counts.where(F.length("word") > 0)
-    top = words.orderBy(F.desc("c"), "word").limit(LEXICON).toArrow()
+    first = words.orderBy(F.desc("c"), "word").limit(gru.HEAD - 1).toArrow()
+    both = pa.concat_tables([first, most_frequent(words, "c", LEXICON - gru.HEAD).toArrow().cast(first.schema)])
+    top = both.group_by("word").aggregate([("c", "max")]).sort_by([("c_max", "descending"), ("word", "ascending")])
     tails = words.groupBy(_tail_column().cast("int").alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     n, v = np.zeros(gru.TAIL_CLASSES, np.int64), np.zeros(gru.TAIL_CLASSES, np.int64)
     for row in tails:
         n[row.k], v[row.k] = row.n, row.v
-    names, c = top["word"].combine_chunks(), top["c"].to_numpy()
+    names, c = top["word"].combine_chunks(), top["c_max"].to_numpy()
     for word, count in zip(names[: gru.HEAD - 1].to_pylist(), c[: gru.HEAD - 1], strict=True):
         k = tail_symbol(word) - gru.HEAD
         n[k] -= count

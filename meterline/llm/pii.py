@@ -3,7 +3,8 @@
 Seeds are the matches of four fixed patterns (email, ip, card, phone). The words around them, in lower case and without the
 signs around them, form lexical patterns: the word before (L), the word after (R), both (B), and the two words before (T).
 A pattern that stands around ``SUPPORT`` different seeds of a kind is kept. A pattern of one word must have done so in as many
-different surroundings, and its word must not be an ordinary one, with a seed beside it in less than ``FLOOR`` of its places. What else stands in the slots of kept patterns are unknown
+different surroundings, and its word must not be an ordinary one, with a seed beside it in less than ``FLOOR`` of its places;
+one of two words must do so in ``FLOOR`` of the places, at least, where chance alone would bring its words together. What else stands in the slots of kept patterns are unknown
 instances: of B all of up to ``FEW`` words between, of the others one word, or a run of up to ``FEW`` number words.
 
 Patterns and instances form a graph that is scored in rounds. The trust in a pattern for a kind is the share of its seeds
@@ -93,12 +94,13 @@ def spans(text: Column, kind: str) -> Column:
     return F.when(_MAY[kind](text), F.filter(all_, lambda x: _VALID[kind](x["v"]))).otherwise(none)
 
 
-def _word(x: Column) -> Column:
-    return F.lower(F.btrim(x, F.lit(_BLANKS + _SIGNS)))
+#: A word: what lies between blanks, without the signs around it.
+_QUOTED = "".join("\\" + c for c in _SIGNS)
+_WORD = rf"[^{_W}{_QUOTED}](?:[^{_W}]*[^{_W}{_QUOTED}])?"
 
 
-def _words(gap: Column) -> Column:
-    return F.filter(F.transform(F.split(gap, f"[{_W}]+"), _word), lambda w: w != "")
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
 def _every_span() -> Column:
@@ -149,21 +151,14 @@ def found_spans(docs: DataFrame) -> DataFrame:
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    """doc_id, th, the runs of blanks and a word that the text is made of, its words, and the run of each.
-
-    Seeds are replaced by as many fillers, so places stay. Texts without seeds are read as they are.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"))
+    """doc_id, th, the text with as many fillers in place of each seed, and its words in lower case."""
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     every = F.array_sort(F.concat(*[F.transform(spans(F.col("text"), k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS]))
     rows = rows.withColumn("every", every)
     fill = lambda x, at: F.repeat(F.lit(_FILLER), x["e"] - F.greatest(x["s"], at))
     filled = F.when(F.size("every") > 0, _rebuilt(F.col("text"), F.col("every"), fill)).otherwise(F.col("text"))
-    runs = F.regexp_extract_all(filled, F.lit(rf"[{_W}]*+[^{_W}]++"), F.lit(0))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), runs.alias("runs"))
-    kept = F.filter(F.transform("runs", lambda x, i: F.struct(_word(x).alias("w"), i.alias("r"))), lambda x: x["w"] != "")
-    rows = rows.withColumn("kept", kept)
-    return rows.select("doc_id", "th", "runs", F.col("kept.w").alias("words"), F.col("kept.r").alias("at"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), filled.alias("filled"))
+    return rows.withColumn("words", _words(F.col("filled")))
 
 
 def seed_patterns(found: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -179,12 +174,17 @@ def seed_patterns(found: DataFrame, tokens: DataFrame) -> DataFrame:
     strong = cut(whole.where("any"), "strong")
     if strong.isEmpty():
         return per_kind.select("pattern", "k", "s", F.lit(0).cast("bigint").alias("o")).where(F.lit(False))
-    # how often the word of a one-word pattern is there at all
-    single = strong.where(F.substring("pattern", 1, 2).isin("L ", "R ")).withColumn("word", F.expr("substring(pattern, 3)"))
-    asked = small_table(single.select("word").distinct(), "words")
-    there = tokens.select(F.explode("words").alias("word")).join(asked, "word", "left_semi").groupBy("word").agg(F.count("*").alias("places"))
-    rare = single.join(there, "word", "left").where(F.col("seeded") >= FLOOR * F.coalesce("places", F.lit(0)))
-    kept = strong.where(~F.substring("pattern", 1, 2).isin("L ", "R ")).select("pattern", "all").unionByName(rare.select("pattern", "all"))
+    # how often the words of the patterns are there at all
+    named = strong.withColumn("of", F.split(F.expr("substring(pattern, 3)"), " "))
+    asked = small_table(named.select(F.explode("of").alias("word")).distinct().withColumn("asked", F.lit(True)), "words")
+    every = tokens.select(F.explode("words").alias("word")).join(asked, "word", "left").groupBy(F.when(F.col("asked"), F.col("word")).alias("word"))
+    there = cut(every.agg(F.count("*").alias("places")), "there")
+    total = there.agg(F.sum("places")).first()[0] or 0
+    counts = small_table(there.where("word IS NOT NULL"), "counts")
+    each = named.select("pattern", "all", "seeded", F.size("of").alias("n"), F.explode("of").alias("word")).join(counts, "word", "left")
+    chance = F.exp(F.sum(F.log(F.coalesce("places", F.lit(1)) / F.lit(float(max(total, 1))))))
+    expected = F.when(F.col("pattern").startswith("B "), FEW).otherwise(1) * F.col("chance") * float(max(total, 1))
+    kept = each.groupBy("pattern", "all", "seeded").agg(chance.alias("chance")).where(F.col("seeded") >= FLOOR * expected).select("pattern", "all")
     both = per_kind.where("enough").join(kept, "pattern")
     return cut(both.select("pattern", "k", "s", (F.col("all") - F.col("s")).alias("o")), "kept")
 
@@ -285,21 +285,20 @@ def places(tokens: DataFrame, values: list[str]) -> DataFrame:
     every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
     def of(m: int, some: list[str]) -> Column:
-        """Places of the values of ``m`` words; most words do not begin one."""
+        """First and number of words of the places of values of ``m`` words; most words do not begin one."""
         first = sorted({v.split(" ")[0] for v in some})
         value = lambda i: F.concat_ws(" ", F.slice(words, i + 1, m))
         at = F.filter(every, lambda i: F.get(words, i).isin(first) & value(i).isin(some))
-        return F.transform(at, lambda i: F.struct(value(i).alias("value"), F.get("at", i).alias("a"), F.get("at", i + m - 1).alias("b")))
+        return F.transform(at, lambda i: F.struct(value(i).alias("value"), i.alias("i"), F.lit(m).alias("m")))
 
     rows = tokens.withColumn("hits", F.concat(*[of(m, some) for m, some in by_length.items()])).where(F.size("hits") > 0)
-
-    def bare(r: Column, end: bool) -> Column:
-        """Where the word of a run begins, or ends, without the signs around it."""
-        upto = F.aggregate(F.slice("runs", 1, r + 1), F.lit(0), lambda a, x: a + F.length(x))
-        run, signs = F.get("runs", r), F.lit(_BLANKS + _SIGNS)
-        return upto - F.length(run) + F.length(F.rtrim(run, signs)) if end else upto - F.length(F.ltrim(run, signs))
-
-    spans_of = F.transform("hits", lambda h: F.struct(h["value"].alias("value"), bare(h["a"], False).alias("s"), bare(h["b"], True).alias("e")))
+    # lower case may change lengths, so these are of the text as it is
+    lengths = lambda x: F.transform(x, F.length)
+    rows = rows.withColumns({"own": lengths(F.regexp_extract_all("filled", F.lit(_WORD), F.lit(0))), "gap": lengths(F.split("filled", _WORD, -1))})
+    total = lambda x, n: F.aggregate(F.slice(x, 1, n), F.lit(0), lambda a, y: a + y)
+    start = lambda h: total("gap", h["i"] + 1) + total("own", h["i"])
+    end = lambda h: total("gap", h["i"] + h["m"]) + total("own", h["i"] + h["m"])
+    spans_of = F.transform("hits", lambda h: F.struct(h["value"].alias("value"), start(h).alias("s"), end(h).alias("e")))
     return rows.select("doc_id", "th", F.explode(spans_of).alias("h")).select("doc_id", "th", "h.*")
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import by_size, map_texts, small_batches
+from meterline.llm.common import by_size, map_texts, most_frequent, small_batches
 from meterline.session import cut
 
 MODEL = "piece_bpe_32k.model"
@@ -105,14 +105,14 @@ def chunk_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def chunk_table(counts: DataFrame, model: str = MODEL, head: int = HEAD) -> DataFrame:
-    """chunk, ids of the ``head`` most frequent chunks (ties by chunk), each segmented once."""
+    """chunk, ids of the most frequent chunks, at most ``head`` (of one frequency all or none), each segmented once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = loaded(model).ids(batch.column(0).to_pylist())
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], ["chunk", "ids"])
 
-    frequent = cut(counts.orderBy(F.desc("n"), "chunk").limit(head).select("chunk"), "frequent")
+    frequent = cut(most_frequent(cut(counts, "counts"), "n", head).select("chunk"), "frequent")
     return frequent.repartition("chunk").mapInArrow(run, "chunk string, ids binary")
 
 

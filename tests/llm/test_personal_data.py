@@ -140,8 +140,11 @@ def plain_discovery(rows):
         own = [x for x in seeds if x[0] == p]
         per = {k: {x[2] for x in own if x[1] == k} for k in KINDS}
         ways = {k: {x[3] for x in own if x[1] == k} for k in KINDS}
-        single = p[0] in "LR"
-        if single and len(own) < pii.FLOOR * count[p[2:]]:
+        single, total = p[0] in "LR", sum(count.values())
+        expected = total * (pii.FEW if p[0] == "B" else 1)
+        for w in p[2:].split(" "):
+            expected *= max(1, count[w]) / total
+        if len(own) < pii.FLOOR * expected:
             continue
         for k in KINDS:
             if len(per[k]) >= pii.SUPPORT and (not single or len(ways[k]) >= pii.SUPPORT):

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from meterline.llm import sentencepieces
+from meterline.llm import common, sentencepieces
 from meterline.llm.queries import QUERIES
 from tests.llm.conftest import FOLDER, SCHEMA, odd_documents
 
@@ -54,8 +54,21 @@ def test_chunks_are_counted_and_segmented_once(spark):
     rows = [(1, "a b a", "en", "s", 1), (2, "a  c", "en", "s", 1), (3, None, "en", "s", 1)]
     counts = sentencepieces.chunk_counts(spark.createDataFrame(rows, SCHEMA))
     assert {r.chunk: r.n for r in counts.collect()} == {"a": 3, "b": 1, " c": 1}
-    table = sentencepieces.chunk_table(counts, head=2).collect()
-    assert {r.chunk: np.frombuffer(r.ids, "<u4").tolist() for r in table} == {"a": LIBRARY.encode("a"), " c": LIBRARY.encode(" c")}
+    ids = {x: LIBRARY.encode(x) for x in ("a", "b", " c")}
+    # of one frequency all are taken or none, and never more than asked for
+    for head, chunks in [(0, []), (1, ["a"]), (2, ["a"]), (3, ["a", "b", " c"])]:
+        table = sentencepieces.chunk_table(counts, head=head).collect()
+        assert {r.chunk: np.frombuffer(r.ids, "<u4").tolist() for r in table} == {x: ids[x] for x in chunks}
+
+
+def test_the_most_frequent_by_levels(spark):
+    rng = np.random.default_rng(1)
+    n = np.unique(np.concatenate([rng.integers(1, 2000, 500), (rng.pareto(0.3, 500) * 100).astype(np.int64).clip(1, 10**15)]))
+    counts = spark.createDataFrame([(int(x),) for x in n], "n bigint")
+    for most in (0, 1, 10, 300, len(n)):
+        got = sorted(r.n for r in common.most_frequent(counts, "n", most).collect())
+        assert len(got) <= most and got == sorted(n.tolist())[len(n) - len(got) :]
+        assert len(got) >= min(most, len(n)) - 40  # a level holds few of them
 
 
 def test_decoding_restores_texts(spark):
