@@ -545,3 +545,17 @@ _replayed(
     lambda s: views.ride_fading(trails.with_batch(s)),
     lambda log: log.select("ride_id", "batch_ms", "at_ms", "weight"),
 )
+
+
+def stream_heat_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weight up to which points are culled at each tick, from cells of a fifth of a degree and ten seconds."""
+    cells = jobs.count_cells(R.load_rides(prepare(spark), sf_dir), 10 * K.SECOND_US, 0.2)
+    arrived = cells.select("ntaxis", S.floor_div(F.col("window_end_us"), 1000).alias("arrival_ms"), F.lit("cells").alias("feed_id"))
+    stream = stream_jobs.arrival_ordered(arrived, f"heavy cells {sf_dir}")
+    # the far row that ends the replay weighs enough to move the clock
+    heavy = stream.withColumn("ntaxis", F.coalesce("ntaxis", F.lit(1_000)))
+    log = stream_jobs.replay(views.cull_limits(heavy), "stream_heat_limits", "update")
+    return log.filter(F.col("as_of_ms") < 4_000_000_000 * 1000).select("as_of_ms", "limit")
+
+
+QUERIES["stream_heat_limits"] = stream_heat_limits

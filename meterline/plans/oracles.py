@@ -537,5 +537,12 @@ weighed AS (
   FROM marks)
 SELECT ride_id, batch_ms, at_ms, CAST(weight AS BIGINT) AS weight FROM weighed
 QUALIFY weight IS DISTINCT FROM LAG(weight) OVER (PARTITION BY ride_id, batch_ms ORDER BY at_ms)""",
+    "stream_heat_limits": _with(_BUNDLES)
+    + """
+, cell_ticks AS (
+  SELECT window_end_us // 1000 + age AS tick, list_reduce(list_prepend(CAST(5 * ntaxis AS BIGINT), range(GREATEST(0, age // 250 - 20))),
+         lambda w, i: 4 * w // 5) AS weight
+  FROM cells, (SELECT UNNEST(range(0, 30000, 250)) AS age))
+SELECT tick + 250 AS as_of_ms, MAX(weight) // 20 AS "limit" FROM cell_ticks WHERE weight >= 20 GROUP BY tick""",
     "stream_union_cells": _with(_TWO_SOURCES, _CELLS.replace("FROM rides", "FROM kept")) + "SELECT * FROM cells",
 }

@@ -473,3 +473,99 @@ def ride_fading(
         outputMode="Update",
         timeMode="EventTime",
     )
+
+
+# --- the limit of the cull ---------------------------------------------------------------
+
+class _Limits(StatefulProcessor):
+    """State: per arrival tick the greatest weight that came, while it is heavy; the last tick told; one timer."""
+
+    def __init__(self, share: int, fadeout_ms: int, tick_ms: int) -> None:
+        self.share, self.fadeout_ms, self.tick_ms = share, fadeout_ms, tick_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.heavy = handle.getMapState("heavy", "at_ms bigint", "weight bigint")
+        self.told = handle.getValueState("told", "tick_ms bigint, timer_ms bigint")
+
+    def _weight(self, at: int, weight: int, now: int) -> int:
+        for _ in range((now - at) // self.tick_ms - self.fadeout_ms // self.tick_ms):
+            weight = 4 * weight // 5
+        return weight
+
+    def _tell(self, held: dict[int, int], told: int, upto: int) -> Iterator[Row]:
+        """The limits of the ticks after ``told`` up to ``upto``; a tick looks at the weights of the tick before."""
+        tick = told
+        while held and tick < upto:
+            tick = max(tick, min(held)) + self.tick_ms
+            if tick > upto:
+                break
+            weights = {at: self._weight(at, w, tick - self.tick_ms) for at, w in held.items() if at < tick}
+            for at in [at for at, w in weights.items() if w < self.share]:
+                held.pop(at), weights.pop(at)
+            if weights:
+                yield Row(as_of_ms=tick, limit=max(weights.values()) // self.share)
+
+    def _run(self, fresh: dict[int, int], upto: int) -> Iterator[Row]:
+        """Ticks go on to ``upto``, or to the newest of what came."""
+        held = {k[0]: v[0] for k, v in self.heavy.iterator()}
+        known, (told, was) = set(held), self.told.get() if self.told.exists() else (0, None)
+        for at in sorted(fresh):
+            yield from self._tell(held, told, at)
+            told = max(told, at)
+            held[at] = max(held.get(at, 0), fresh[at])
+        yield from self._tell(held, told, upto)
+        told = max(told, upto)
+        for at in known - held.keys():
+            self.heavy.removeKey((at,))
+        for at in held.keys() & fresh.keys() | held.keys() - known:
+            self.heavy.updateValue((at,), (held[at],))
+        timer = told + self.tick_ms if held else None
+        if was is not None and was != timer:
+            self.handle.deleteTimer(was)
+        if timer is not None and timer != was:
+            self.handle.registerTimer(timer)
+        self.told.update((told, timer))
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh: dict[int, int] = {}
+        for row in rows:
+            fresh[row["at_ms"]] = max(fresh.get(row["at_ms"], 0), row["weight"])
+        yield from self._run(fresh, 0)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        told, timer = self.told.get()
+        if expiredTimerInfo.getExpiryTimeInMs() == timer:
+            self.told.update((told, None))
+            yield from self._run({}, timerValues.getCurrentWatermarkInMs() // self.tick_ms * self.tick_ms)
+
+    def close(self) -> None:
+        pass
+
+
+def _heaviest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        held: dict[int, int] = {}
+        for at, weight in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held[at] = max(held.get(at, 0), weight)
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())], ["at_ms", "weight"])
+
+
+def cull_limits(
+    cells: DataFrame, share: int = K.CULL_SHARE, head: int = K.HEAD_WEIGHT, fadeout_ms: int = K.GROUP_FADEOUT_MS, tick_ms: int = K.TICK_MS
+) -> DataFrame:
+    """as_of_ms, limit: for every tick that culls anything, the weight up to which points go, on a stream of counted cells.
+
+    ``cells`` has ``ntaxis`` and ``arrival_ms`` (whole ticks), in the order of arrival. The limit is a share of the heaviest cell before
+    the tick's fade. Each task hands on the greatest weight per arrival tick, and only weights of ``share`` or more, so the
+    one key of all cells holds an entry per tick for a few seconds, however many cells there are.
+    """
+    weights = cells.select(F.col("arrival_ms").alias("at_ms"), (F.col("ntaxis") * head).alias("weight")).filter(F.col("weight") >= share)
+    parts = weights.mapInArrow(_heaviest, "at_ms bigint, weight bigint")
+    timed = parts.withColumn("event_ts", F.timestamp_millis("at_ms")).withWatermark("event_ts", "0 seconds").withColumn("all", F.lit(0))
+    return timed.groupBy("all").transformWithState(
+        statefulProcessor=_Limits(share, fadeout_ms, tick_ms),
+        outputStructType="as_of_ms bigint, limit bigint",
+        outputMode="Update",
+        timeMode="EventTime",
+    )

@@ -40,6 +40,10 @@ VIEWS = {
     "gaps": (lambda s: views.ride_gaps(points(s)), lambda log: views.open_gaps(log)),
     "trails": (lambda s: views.ride_trails(trails.with_batch(s)), lambda log: sinks.log_state(log, ["message_id"]).filter("weight > 0").drop("emit_batch")),
     "fading": (lambda s: views.ride_fading(trails.with_batch(s)), lambda log: log.drop("emit_batch")),
+    "limits": (
+        lambda s: views.cull_limits(s.select((F.col("message_id") % 90 + 1).alias("ntaxis"), F.expr("arrival_ms div 250 * 250").alias("arrival_ms"))),
+        lambda log: log.filter(F.col("as_of_ms") < us(FAR) // 1000).drop("emit_batch"),
+    ),
     "late": (late.label_rows, lambda log: log.drop("emit_batch")),
     "late_sums": (late.label_windows, late.class_totals),
     "combined": (
@@ -72,7 +76,7 @@ def test_a_view_goes_on_after_a_restart(spark, tmp_path, name):
     assert once and logged("twice", [batches[:1], batches[1:]]) == once
 
 
-@pytest.mark.parametrize("name", ["gaps", "trails", "fading", "ring", "health"])
+@pytest.mark.parametrize("name", ["gaps", "trails", "fading", "limits", "ring", "health"])
 def test_a_view_does_not_depend_on_the_cut(spark, tmp_path, name):
     build, finish = VIEWS[name]
     rows, got = arriving(6, 120), []
@@ -178,6 +182,20 @@ def test_fading_like_the_table_form(spark, tmp_path):
     assert got == want
 
 
+def test_limits_like_the_table_form(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(us(0) // 1000 + 250 * rng.randrange(200), rng.choice([1, 3, 4, 9, 40, 300])) for _ in range(50)]
+    cells = spark.createDataFrame(sorted(rows), "arrival_ms bigint, ntaxis bigint").withColumns({"latitude": F.rand(1), "longitude": F.rand(2)})
+    want = {r.as_of_ms: r.limit for r in trails.heat_limits(cells).collect() if r.limit}
+    path, far = str(tmp_path / "in"), us(FAR) // 1000
+    log = None
+    for part in (sorted(rows)[:20], sorted(rows)[20:], [(far, 1000)]):
+        spark.createDataFrame(part, "arrival_ms bigint, ntaxis bigint").coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema("arrival_ms bigint, ntaxis bigint").parquet(path)
+        log = _run(views.cull_limits(stream), str(tmp_path / "a"), str(tmp_path / "b"), "update")
+    assert {r.as_of_ms: r.limit for r in log.collect() if r.as_of_ms < far} == want
+
+
 @pytest.mark.parametrize(("policy", "idle", "kept"), [("slowest", None, 6), ("fastest", None, 5), ("slowest", "100 seconds", 5)])
 def test_sources_with_clocks_of_their_own(spark, tmp_path, policy, idle, kept):
     """b stands still at 10 s while a goes on; a row of b for second 20 comes after a has passed 500 s."""
