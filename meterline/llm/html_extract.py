@@ -9,7 +9,9 @@ The potentials are fitted by maximum likelihood, with the same messages, to labe
 rules (``layouts.py``), their words are taken from a bounded sample of the pages given (``SAMPLE`` pages).
 
 Null and empty pages, and pages without content, give empty text. Repeated rows are treated alike. Page ids and urls
-are passed on as they are; only page_id, url and html are read.
+are passed on as they are; pages of any length are read whole (those the words are sampled from have at most 100,000
+characters, which matters for the fit alone). An empty table gives no rows. Only page_id, url and html are read, whatever other columns there
+are.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ that follows from the source's name is added, and a copy is emitted for every wh
 each document gets the floor or the ceiling of its expectation, and neighbours in size make up for each other.
 
 Null and empty texts have size 0 and never count as taken words; a source without words has target 0. A null
-source is a source of its own. Repeated rows are rows like any other. Columns beyond the four that are read are left
+source is a source of its own. Repeated rows are rows like any other, equal sizes go by id and text, texts of any length are
+counted whole, an empty table gives no rows. Columns beyond the four that are read are left
 alone. The table of sources (one row each) is summed up in one task; documents never are.
 """
 

@@ -6,7 +6,9 @@ batch of documents at a time. Neither language, source nor id is an input.
 
 Null or empty texts have the statistics of no words and get a score like any other. Without labelled rows every
 score is 0.5; with one class only, it is the smoothed share of that class. A document labelled twice counts
-once, with its highest label; null labels do not count. Repeated documents are scored one by one.
+once, with its highest label; null labels do not count. Repeated documents are scored one by one, texts of any length
+whole; rows of the sample with equal hashes go by id. An empty table gives no rows. Only doc_id, text and quality are read, whatever other
+columns there are.
 """
 
 from __future__ import annotations

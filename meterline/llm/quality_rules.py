@@ -3,7 +3,9 @@
 ``ledger`` reads a text once and stores the measurements and one bit per failed rule. ``apply_policy`` and
 ``ablation`` only look at the bits, so a new policy version costs no second look at the texts.
 
-Null and empty texts have no words, fail ``few_words`` and are not kept. Repeated rows are judged one by one.
+Null and empty texts have no words, fail ``few_words`` and are not kept. Repeated rows are judged one by one,
+texts of any length whole; equal lines and windows count by number, so there are no ties. An empty table has an empty ledger. Only doc_id and
+text are read, whatever other columns there are.
 """
 
 from __future__ import annotations

@@ -4,11 +4,12 @@ Features of a text are present or absent: words, word beginnings (insults are in
 pairs of neighbouring words, and pairs with one or two words between. They are hashed to ``2 ** BITS`` places.
 Learning rates are kept per place and the L1 penalty leaves few weights, which are all that is sent to the tasks
 that score. The fit uses a bounded sample of labelled rows, ``MOST_TOXIC`` and ``MOST_CLEAN``; the intercept is
-then moved to the share of toxic rows among all labelled rows admitted for learning.
+then moved to the share of toxic documents among all labelled ones admitted for learning.
 
 Null and empty texts have no feature and score the intercept. Without rows of both classes every text scores the
 smoothed share of toxic rows. A document labelled twice counts once, with its highest label; null labels do
-not count. Repeated documents are scored one by one.
+not count. Repeated documents are scored one by one, texts of any length whole; rows of the sample with equal hashes go
+by id. An empty table gives no rows. Only doc_id, text and toxic are read, whatever other columns there are.
 """
 
 from __future__ import annotations
