@@ -3,7 +3,7 @@
 The row side gets a salt from its own id, the key side is repeated once per salt. A hot
 key is spread over ``salts`` partitions, and adaptive execution splits a partition that is
 still too large (skew join). The result is the same as without salt. A key table is broadcast
-by hint only after its rows were counted (``small_table``); otherwise adaptive execution's own
+by hint only after its rows were counted; otherwise adaptive execution's own
 size check decides.
 """
 
@@ -12,19 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.session import cut
-
 SALTS = 8
 #: Rows of a reduced key table that are broadcast at most.
 SMALL_TABLE = 100_000
 
 
-def small_table(keys: DataFrame, label: str = "keys") -> DataFrame:
-    """A reduced key table, written once and counted, that joins by broadcast if it has few rows and by shuffle otherwise."""
-    held = cut(keys, label)
-    return F.broadcast(held) if held.count() <= SMALL_TABLE else held
-
-
 def salted_join(
     rows: DataFrame, keys: DataFrame, on: list[str], salt_by: str | Column, how: str = "inner", salts: int = SALTS
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline import constants as K
 from meterline.functions import scalars as S
-from meterline.operators.joins import salted_join, small_table
+from meterline.operators.joins import SMALL_TABLE, salted_join
 from meterline.operators.scan import exclusive_scan
 from meterline.session import cut
 
@@ -63,11 +63,13 @@ def in_time(df: DataFrame, gap_us: int, delay_us: int = 0) -> DataFrame:
     look up the watermark of their millisecond, found within the minute.
     """
     columns = df.columns
-    minutes = small_table(_minute_marks(df, gap_us, delay_us), "minutes")
+    minutes = cut(_minute_marks(df, gap_us, delay_us), "minutes")
+    many, mixed = minutes.agg(F.count("*"), F.max("_mixed")).first()
+    minutes = F.broadcast(minutes) if many <= SMALL_TABLE else minutes
     placed = df.withColumn("_min", S.floor_div(F.col("arrival_ms"), 60_000)).join(minutes, "_min")
     until = F.col("event_us") + gap_us
     sure = placed.filter(until > F.col("_after")).select(*columns)
-    if minutes.filter("_mixed").isEmpty():
+    if not mixed:
         return sure
     unclear = F.col("_mixed") & (until <= F.col("_after")) & (F.col("_before").isNull() | (until > F.col("_before")))
     per_ms = placed.filter("_mixed").groupBy("_min", "_before", "arrival_ms").agg(F.max("event_us").alias("max_us"))
