@@ -447,5 +447,5 @@ def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece."""
-    # written first: the range shuffle looks at its rows twice
-    return place(cut(pieces(docs, vocabulary), "pieces"))
+    # written first: the range shuffle looks at its rows twice; a piece is a few numbers, so tasks share files
+    return place(cut(pieces(docs, vocabulary).hint("rebalance"), "pieces"))
