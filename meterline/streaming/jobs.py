@@ -17,6 +17,7 @@ from meterline.operators.aggs import newest_first, oldest_first
 from meterline.operators.sessions import streaming_sessions
 from meterline.session import fresh_dir
 from meterline.sources.fanout import FanOut, Part
+from meterline.sources.files import Store
 from meterline.sources.keyed_table import KeyedTable
 from meterline.sources.sinks import read_log, start_pane_log
 from meterline.streaming import resent
@@ -53,9 +54,11 @@ def data_clock(rides: DataFrame) -> DataFrame:
 
 #: Micro-batches of a replay, and the name and id of the row that ends it.
 BATCHES = 12
+#: Rows of a file of a replay, about; a micro-batch is read by as many tasks as it has files.
+FILE_ROWS = 25_000
 END, END_ID = "end of replay", -1
 
-_REPLAYS: dict[tuple[str, str], str] = {}
+_REPLAYS: dict[tuple[str, str], tuple[str, int]] = {}
 
 
 def replay_batch(rides: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -71,28 +74,33 @@ def arrival_ordered(rides: DataFrame, label: str, batches: int = BATCHES) -> Dat
     """A stream that delivers a table in arrival order, one micro-batch after the other, and then its end.
 
     The rows are written once per label and session, one folder per micro-batch; a folder holds as many files as
-    a trigger takes. The last file is one row far in the future, which closes every window and session; results
-    that it makes itself are dropped by ``replay``.
+    a trigger takes, which follow from the rows of the largest micro-batch. The last file is one row far in the future,
+    which closes every window and session; results that it makes itself are dropped by ``replay``.
     """
     spark = rides.sparkSession
-    files = max(1, rides.rdd.getNumPartitions() // batches)
     key = (spark.sparkContext.applicationId, label)
     if key not in _REPLAYS:
         base = fresh_dir(spark, "replay")
         numbered = fresh_dir(spark, "numbered")
         replay_batch(rides, batches).write.partitionBy("replay_batch").parquet(numbered)
         held = spark.read.schema(T.StructType([*rides.schema.fields, T.StructField("replay_batch", T.IntegerType())])).parquet(numbered)
+        most = held.groupBy("replay_batch").count().agg(F.max("count")).first()[0] or 0
+        files = max(1, rides.rdd.getNumPartitions() // batches, -(-most // FILE_ROWS))
         for k in range(batches):  # each reads its own folder; the folders are the order
             rows = held.where(F.col("replay_batch") == k).drop("replay_batch")
             rows.repartition(files).write.parquet(f"{base}/{k:04d}")
+            there = sum(name.startswith("part-") for name in Store(spark, base).names(f"{base}/{k:04d}"))
+            for _ in range(files - there):  # tasks without rows write no file, and a trigger takes so many of them
+                rows.limit(0).coalesce(1).write.mode("append").parquet(f"{base}/{k:04d}")
         far = F.timestamp_seconds(F.lit(4_000_000_000))
         last = {"event_ts": far, "timestamp": far, "event_us": F.unix_micros(far), "arrival_ms": F.unix_millis(far)}
         last |= {"ride_id": F.lit(END), "feed_id": F.lit(END), "message_id": F.lit(END_ID), "ride_status": F.lit(K.STATUS_ENROUTE), "meter_increment": F.lit(0.0)}
         end = spark.range(1).select(*[last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rides.schema])
         end.coalesce(1).write.parquet(f"{base}/{batches:04d}")
-        _REPLAYS[key] = base
+        _REPLAYS[key] = base, files
+    base, files = _REPLAYS[key]
     reader = spark.readStream.schema(rides.schema).option("maxFilesPerTrigger", str(files))
-    return reader.parquet(f"{_REPLAYS[key]}/*")
+    return reader.parquet(f"{base}/*")
 
 
 def drop_resent(deliveries: DataFrame, memory_ms: int = K.DUPLICATE_MEMORY_MS, key: str = "message_id", delay: str = "0 seconds") -> DataFrame:
