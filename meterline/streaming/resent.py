@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from meterline.streaming.buckets import each_key
+
 # the state class travels to the workers by value, see panes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -64,10 +66,5 @@ def starts(deliveries: DataFrame, memory_ms: int, key: str, delay: str) -> DataF
         .withColumn("event_ts", F.timestamp_millis("arrival_ms"))
         .withWatermark("event_ts", delay)
     )
-    out = arrivals.groupBy("id").transformWithState(
-        statefulProcessor=_Memory(memory_ms),
-        outputStructType=f"id {kind}, arrival_ms bigint",
-        outputMode="Update",
-        timeMode="EventTime",
-    )
+    out = each_key(arrivals, "id", _Memory(memory_ms), f"id {kind}, arrival_ms bigint", "EventTime")
     return out.select(F.col("id").alias(key), "arrival_ms")
