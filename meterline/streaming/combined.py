@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from meterline import constants as K
 from meterline.operators.combine import HELD, Combine, _arrow, _columns, names, spanned
 from meterline.operators.windows import micros
+from meterline.streaming.buckets import each_key
 
 # the state classes travel to the workers by value, see panes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -121,9 +122,5 @@ def combine_sessions(
     rows = rides.withColumn("event_us", event_us).select(key, slot.alias("slot_us"), *whole.reads)
     timed = rows.mapInArrow(fold, schema).withColumn("event_ts", F.timestamp_micros("slot_us"))
     timed = timed.withWatermark("event_ts", micros(delay_us + gap_us + K.SECOND_US))
-    return timed.groupBy(key).transformWithState(
-        statefulProcessor=_Sessions(gap_us, whole, key, early),
-        outputStructType=f"{key} {kind}, session_start_us bigint, session_end_us bigint, pane_timing string, {fn.out}",
-        outputMode="Update",
-        timeMode="EventTime",
-    )
+    out = f"{key} {kind}, session_start_us bigint, session_end_us bigint, pane_timing string, {fn.out}"
+    return each_key(timed, key, _Sessions(gap_us, whole, key, early), out, "EventTime")
