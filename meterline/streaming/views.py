@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from meterline import constants as K
+from meterline.streaming.buckets import each_key
 
 # the state classes travel to the workers by value, see panes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -311,12 +312,7 @@ def ride_gaps(points: DataFrame) -> DataFrame:
     kind = dict(points.dtypes)["ride_id"]
     rows = points.filter(F.col("point_idx").isNotNull()).select("ride_id", F.col("point_idx").cast("bigint").alias("point_idx"))
     parts = rows.mapInArrow(_run_rows, f"ride_id {kind}, first bigint, last bigint")
-    return parts.groupBy("ride_id").transformWithState(
-        statefulProcessor=_Gaps(),
-        outputStructType=f"ride_id {kind}, gap_from bigint, gap_to bigint, change string",
-        outputMode="Update",
-        timeMode="None",
-    )
+    return each_key(parts, "ride_id", _Gaps(), f"ride_id {kind}, gap_from bigint, gap_to bigint, change string", "None")
 
 
 def open_gaps(log: DataFrame) -> DataFrame:
@@ -368,13 +364,8 @@ def ride_trails(points: DataFrame, head: int = K.HEAD_WEIGHT) -> DataFrame:
     ``points`` has ride_id, batch_id and message_id, each point once. A point that comes for a batch that is no longer among the newest is
     never shown.
     """
-    kinds = dict(points.dtypes)
-    return points.select("ride_id", "batch_id", "message_id").groupBy("ride_id").transformWithState(
-        statefulProcessor=_Trail(head),
-        outputStructType=f"ride_id {kinds['ride_id']}, batch_id bigint, message_id bigint, weight bigint",
-        outputMode="Update",
-        timeMode="None",
-    )
+    out = f"ride_id {dict(points.dtypes)['ride_id']}, batch_id bigint, message_id bigint, weight bigint"
+    return each_key(points.select("ride_id", "batch_id", "message_id"), "ride_id", _Trail(head), out, "None")
 
 
 # --- fading without ticks ---------------------------------------------------------------
@@ -467,12 +458,8 @@ def ride_fading(
     kind = dict(points.dtypes)["ride_id"]
     batches = points.select("ride_id", (F.col("batch_id") * tick_ms).alias("batch_ms"), "arrival_ms")
     timed = batches.withColumn("event_ts", F.timestamp_millis("arrival_ms")).withWatermark("event_ts", "0 seconds")
-    return timed.select("ride_id", "batch_ms", "event_ts").groupBy("ride_id").transformWithState(
-        statefulProcessor=_Fading(head, fadeout_ms, tick_ms),
-        outputStructType=f"ride_id {kind}, batch_ms bigint, at_ms bigint, weight bigint",
-        outputMode="Update",
-        timeMode="EventTime",
-    )
+    out = f"ride_id {kind}, batch_ms bigint, at_ms bigint, weight bigint"
+    return each_key(timed.select("ride_id", "batch_ms", "event_ts"), "ride_id", _Fading(head, fadeout_ms, tick_ms), out, "EventTime")
 
 
 # --- the limit of the cull ---------------------------------------------------------------
