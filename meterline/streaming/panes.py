@@ -26,6 +26,7 @@ from meterline import constants as K
 from meterline.functions import scalars as S
 from meterline.operators import elementwise as E
 from meterline.operators.windows import micros
+from meterline.streaming.buckets import each_key
 
 # The state classes travel to the workers by value, so a cluster needs no copy of this
 # package. They may therefore use nothing of it but these plain names.
@@ -276,12 +277,7 @@ def _session_panes(rides: DataFrame, gap_us: int, delay_us: int, latest: bool) -
         .withColumn("event_ts", F.timestamp_micros("slot_us"))
         .withWatermark("event_ts", micros(delay_us + gap_us + K.SECOND_US))
     )
-    panes = slots.groupBy("ride_id").transformWithState(
-        statefulProcessor=_SessionPanes(gap_us, latest),
-        outputStructType=_SESSION_OUT,
-        outputMode="Update",
-        timeMode="EventTime",
-    )
+    panes = each_key(slots, "ride_id", _SessionPanes(gap_us, latest), _SESSION_OUT, "EventTime")
     return panes.withColumn("timestamp", S.ms_to_iso(F.col("ts_ms")))
 
 
