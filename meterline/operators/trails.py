@@ -12,6 +12,10 @@ from meterline.operators.joins import salted_join
 from meterline.session import cut
 
 
+#: A ride's batches are put in order by slices of time; a busy ride is spread over them.
+SLICE_MS = 60_000
+
+
 def with_batch(df: DataFrame, batch_ms: int = K.TICK_MS) -> DataFrame:
     """A pull batch is what arrived within one tick."""
     return df.withColumn("batch_id", S.floor_div(F.col("arrival_ms"), batch_ms))
@@ -73,21 +77,27 @@ def ride_heat(points: DataFrame, every_ms: int, only: DataFrame | None = None) -
     """Weight of every (ride, batch) at each instant it is visible, or at those of them that ``only`` (as_of_ms) has.
 
     A point loses one per later batch of its ride and, once overtaken or older than the
-    fade-out period, one per tick. It is gone after ``FADEOUT + HEAD`` ticks, so each
-    (instant, ride) sees a fixed number of batches and only those are ranked.
+    fade-out period, one per tick. It is gone after ``FADEOUT + HEAD`` ticks and with ``HEAD`` later batches, so a batch
+    needs no more than the times of its next ``HEAD`` ones: they are looked up once, per ride and slice of time, and a
+    batch meets its instants after that, where it is.
     """
-    life = F.lit(K.FADEOUT_MS + K.HEAD_WEIGHT * K.TICK_MS)
-    batch_ms = F.col("batch_id") * K.TICK_MS
-    pairs = points.select("ride_id", "batch_id").distinct()
-    seen = pairs.withColumn("as_of_ms", _instants(batch_ms, life, every_ms))
+    life = K.FADEOUT_MS + K.HEAD_WEIGHT * K.TICK_MS
+    batch_ms, at = F.col("batch_id") * K.TICK_MS, F.col("as_of_ms")
+    # a slice has the batches of the beginning of the next one too, as later ones of its own
+    slices = F.array_distinct(F.array(S.floor_div(batch_ms, SLICE_MS), S.floor_div(batch_ms - life, SLICE_MS)))
+    pairs = points.select("ride_id", "batch_id").filter(F.col("batch_id").isNotNull()).withColumn("_slice", F.explode(slices)).distinct()
+    order = Window.partitionBy("ride_id", "_slice").orderBy("batch_id")
+    later = F.collect_list(batch_ms).over(order.rowsBetween(1, K.HEAD_WEIGHT))
+    own = pairs.withColumn("_later", later).filter(S.floor_div(batch_ms, SLICE_MS) == F.col("_slice")).drop("_slice")
+    seen = own.withColumn("as_of_ms", _instants(batch_ms, F.lit(life), every_ms))
     if only is not None:
         seen = seen.join(only.select("as_of_ms"), "as_of_ms", "left_semi")
-    newest = Window.partitionBy("as_of_ms", "ride_id").orderBy(F.desc("batch_id"))
-    overtaken = F.lag(batch_ms).over(newest)
-    fading_from = F.least(overtaken, batch_ms + K.FADEOUT_MS)
-    ticks = F.greatest(F.lit(0), F.floor((F.col("as_of_ms") - fading_from) / F.lit(K.TICK_MS)))
-    weight = (F.lit(K.HEAD_WEIGHT + 1) - F.row_number().over(newest) - ticks).cast("bigint")
-    return seen.withColumn("weight", weight).filter(F.col("weight") > 0)
+    overtaken = F.get("_later", F.lit(0))
+    fading_from = F.least(F.when(overtaken <= at, overtaken), batch_ms + K.FADEOUT_MS)
+    ticks = F.greatest(F.lit(0), F.floor((at - fading_from) / F.lit(K.TICK_MS)))
+    came = F.size(F.filter("_later", lambda ms: ms <= at))
+    weight = (F.lit(K.HEAD_WEIGHT) - came - ticks).cast("bigint")
+    return seen.withColumn("weight", weight).drop("_later").filter(F.col("weight") > 0)
 
 
 def cell_heat(cells: DataFrame, every_ms: int, least: int = 1) -> DataFrame:
