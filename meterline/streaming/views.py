@@ -10,6 +10,8 @@ import math
 import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -128,7 +130,9 @@ def _suffixes(parts: list[tuple]) -> list[tuple]:
 
 
 class _Queue:
-    """The last ``size`` numbers with their sum, least and greatest: a queue of two stacks over chunks.
+    """The last ``size`` numbers with their sum, least and greatest, one number at a time: a queue of two stacks over chunks.
+
+    ``_figures`` gives the same for many numbers at once.
 
     Numbers lie in chunks. A whole chunk has its sum, least and greatest, and, once it is in the front stack, those of
     all front chunks after it. A number costs constant work on average, and a micro-batch touches the first chunk, the
@@ -193,36 +197,63 @@ class _Queue:
 _RING_OUT = "ring_sum bigint, ring_min bigint, ring_max bigint, rows_in_frame bigint"
 
 
+#: Rows of a chunk of results.
+CHUNK = 50_000
+
+
+def _sliding(numbers: np.ndarray, size: int, join: np.ufunc) -> np.ndarray:
+    """``join`` (least or greatest) of the last ``size`` numbers up to each place.
+
+    A window of ``size`` lies in two blocks of that size: what it has of the first one is joined from there to the
+    block's end, what it has of the second from the block's beginning.
+    """
+    size = min(size, max(1, len(numbers)))
+    filled = np.concatenate([numbers, np.repeat(numbers[-1:], -len(numbers) % size)]).reshape(-1, size)
+    upto = join.accumulate(filled, axis=1).ravel()[: len(numbers)]
+    since = join.accumulate(filled[:, ::-1], axis=1)[:, ::-1].ravel()
+    out = upto.copy()
+    out[size - 1 :] = join(since[: len(numbers) - size + 1], upto[size - 1 :])
+    return out
+
+
+def _figures(numbers: np.ndarray, there: np.ndarray, size: int) -> dict[str, pd.Series]:
+    """Sum, least and greatest of the last ``size`` numbers up to each place, and how many; what is not there only counts."""
+    ends = np.arange(1, len(numbers) + 1)
+    starts = np.maximum(0, ends - size)
+    sums, seen = (np.concatenate([[0], np.cumsum(x)]) for x in (np.where(there, numbers, 0), there))
+    none = seen[ends] == seen[starts]
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    least = _sliding(np.where(there, numbers, high), size, np.minimum)
+    most = _sliding(np.where(there, numbers, low), size, np.maximum)
+    shown = {"ring_min": pd.Series(pd.arrays.IntegerArray(least, none)), "ring_max": pd.Series(pd.arrays.IntegerArray(most, none))}
+    return {"ring_sum": pd.Series(sums[ends] - sums[starts]), **shown, "rows_in_frame": pd.Series(ends - starts)}
+
+
 class _Ring(StatefulProcessor):
+    """State of a key: how many rows it had, and the last of their numbers, one less than a frame has."""
+
     def __init__(self, size: int, key: str, order: list[str], value: str, index: str) -> None:
         self.size, self.key, self.order, self.value, self.index = size, key, order, value, index
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        fields = "total bigint, least bigint, most bigint"
-        self.ends = handle.getValueState("ends", f"head bigint, tail bigint, middle bigint, {fields}")
-        figures = fields.replace("total", "a_total").replace("least", "a_least").replace("most", "a_most")
-        self.chunks = handle.getMapState("chunks", "chunk bigint", f"numbers array<bigint>, {fields}, {figures}")
-
-    def _load(self, c: int) -> dict | None:
-        if not self.chunks.containsKey((c,)):
-            return None
-        row = tuple(self.chunks.getValue((c,)))
-        return {"values": list(row[0]), "whole": row[1:4], "after": row[4:7]}
+        self.last = handle.getValueState("last", "n bigint, numbers binary, there binary")
 
     def handleInputRows(self, key, rows, timerValues):
-        head, tail, middle, *back = self.ends.get() if self.ends.exists() else (0, 0, 0, *_EMPTY)
-        queue = _Queue(self.size, self._load, head, tail, middle, tuple(back))
-        for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
-            total, least, most, n = queue.push(row[self.value])
-            named = {self.key: key[0], self.value: row[self.value], self.index: queue.tail - 1, **{c: row[c] for c in self.order}}
-            yield Row(**named, ring_sum=total, ring_min=least, ring_max=most, rows_in_frame=n)
-        for c in queue.changed:
-            chunk = queue.chunk(c)
-            self.chunks.updateValue((c,), (chunk["values"], *chunk["whole"], *chunk["after"]))
-        for c in queue.dropped:
-            if self.chunks.containsKey((c,)):
-                self.chunks.removeKey((c,))
-        self.ends.update((queue.head, queue.tail, queue.middle, *queue.back))
+        fresh = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable", na_position="first", ignore_index=True)
+        n, numbers, there = self.last.get() if self.last.exists() else (0, b"", b"")
+        given = fresh[self.value].notna().to_numpy(bool)
+        numbers = np.concatenate([np.frombuffer(bytes(numbers), np.int64), fresh[self.value].fillna(0).to_numpy(np.int64)])
+        there = np.concatenate([np.frombuffer(bytes(there), bool), given])
+        old = len(numbers) - len(fresh)
+        for at in range(0, len(fresh), CHUNK):
+            rows_here = fresh.iloc[at : at + CHUNK].reset_index(drop=True)
+            # a chunk looks back on the numbers of the frame before it
+            first, end = max(0, old + at - self.size + 1), old + at + len(rows_here)
+            figures = {name: s.iloc[old + at - first :].reset_index(drop=True) for name, s in _figures(numbers[first:end], there[first:end], self.size).items()}
+            named = {c: rows_here[c] for c in [*self.order, self.value]}
+            yield pd.DataFrame({self.key: [key[0]] * len(rows_here), **named, self.index: n + at + np.arange(len(rows_here)), **figures})
+        kept = min(self.size - 1, len(numbers))
+        self.last.update((n + len(fresh), numbers[len(numbers) - kept :].tobytes(), there[len(there) - kept :].tobytes()))
 
     def close(self) -> None:
         pass
@@ -232,12 +263,12 @@ def ring(rows: DataFrame, key: str, order: list[str], value: str, size: int, ind
     """After each row of a key, in the given order, the figures of the last ``size`` values, and its index from 0.
 
     Rows of one micro-batch come before those of the next. A key is one queue, so this is for reduced rows, such as pull
-    batches or counted cells.
+    batches or counted cells: a task holds the named columns of what a micro-batch has of a key, as plain arrays.
     """
     kinds = dict(rows.dtypes)
     columns = [key, *order, value]
     fields = ", ".join(f"{c} {kinds[c]}" for c in columns)
-    out = rows.select(*columns).groupBy(key).transformWithState(
+    out = rows.select(*columns).groupBy(key).transformWithStateInPandas(
         statefulProcessor=_Ring(size, key, order, value, index),
         outputStructType=f"{fields}, {index} bigint, {_RING_OUT}",
         outputMode="Update",
