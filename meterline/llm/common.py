@@ -156,6 +156,19 @@ def by_size(texts: list[bytes], most: int = 2_000_000) -> Iterator[list[bytes]]:
         yield part
 
 
+def together(batches: Iterator[pa.RecordBatch], most: int, column: int = 1) -> Iterator[list[pa.RecordBatch]]:
+    """Batches whose texts make about ``most`` bytes; the more there are, the fewer of their words are distinct."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def sorted_slices(rows: DataFrame, order: list[str], label: str) -> DataFrame:
     """``rows`` in the given order, written once; ``__slice`` and ``__inside`` say where a row stands.
 

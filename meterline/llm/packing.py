@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import by_size, ranked, remembered, small_batches, sorted_slices
+from meterline.llm.common import by_size, ranked, remembered, small_batches, sorted_slices, together
 from meterline.session import cut
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,8 +37,8 @@ STEPS, STEP = 400, 0.3
 EXACT_CLASSES, GROUPS = 48, 1024
 #: A piece's first weight is this power of its length: a little more for long ones, so that short ones are left for the rounding.
 SLOPE = 1.05
-#: Words whose ids a worker remembers at most, and bytes of texts that it cuts into words at a time.
-REMEMBERED, TOGETHER = 250_000, 8_000_000
+#: Words whose ids a worker remembers, bytes of texts that it cuts into words at a time, words that the tokenizer is handed at once.
+REMEMBERED, TOGETHER, AT_ONCE = 250_000, 4_000_000, 20_000
 
 _TOKENIZERS: dict[str, object] = {}
 
@@ -61,19 +61,17 @@ def _letters(stem: bytes) -> bytes:
     return low.encode() if good else b""
 
 
-class WordIds(dict):
-    """Ids of a word as little-endian 32-bit bytes. Blanks are never part of a token of this vocabulary.
+class WordIds:
+    """Ids of words, remembered as Arrow arrays: an object for each word would take many times their size.
 
-    When it is full, words that are not met again while it fills once more are forgotten.
+    Blanks are never part of a token of this vocabulary. When there are too many words, those that the last texts had are kept.
     """
 
     def __init__(self, vocabulary: str) -> None:
-        super().__init__()
         self.vocabulary = vocabulary
-        self.old: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
+        self.words = pa.array([""], pa.string())
+        self.ids = pa.array([[]], pa.list_(pa.uint32()))
         self.signs: dict[bytes, bytes] = {b"": b""}
-        self[b""] = b""
 
     def tokenizer(self):
         if self.vocabulary not in _TOKENIZERS:
@@ -101,83 +99,93 @@ class WordIds(dict):
 
         Words are what the six ASCII blanks leave; the empty ones at the ends of a text have no ids.
         """
-        if len(self) > REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-            self[b""] = b""
         cut_up = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
         table = cut_up.flatten().dictionary_encode()
-        words = table.dictionary.cast(pa.binary()).to_pylist()
-        new = set(words).difference(self)
-        back = new & self.old.keys()
-        self.update({word: self.old.pop(word) for word in back})
-        self.learn(list(new - back))
-        ids = list(map(self.__getitem__, words))
-        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-        starts = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(ids), "<u4")))
-        places = table.indices
-        data = lists.take(places).flatten().to_numpy().tobytes()
-        upto = np.concatenate([[0], np.cumsum(size[places.to_numpy()], dtype=np.int64)])
+        known = self.places(table.dictionary)
+        places = known[table.indices.to_numpy()]
+        size = pc.list_value_length(self.ids).to_numpy()
+        data = self.ids.take(pa.array(places)).flatten().to_numpy().tobytes()
+        upto = np.concatenate([[0], np.cumsum(size[places], dtype=np.int64)])
         ends = (upto[cut_up.offsets.to_numpy()] * 4).tolist()
+        if len(self.words) > REMEMBERED:
+            kept = pa.array(np.unique(known))
+            self.words, self.ids = self.words.take(kept), self.ids.take(kept)
         return [data[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.letters) > REMEMBERED:
-            self.letters.clear()
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where distinct words are among those remembered; new ones are learned."""
+        found = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(found))
+        place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).copy()
+        if len(new):
+            place[place < 0] = len(self.words) + np.arange(len(new))
+            ids = self.learned(new)
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, _lists(ids)])
+        return place
+
+    def known(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of those words that are remembered."""
+        places = pc.index_in(pa.array(words, pa.binary()).cast(pa.string()), value_set=self.words)
+        there = np.flatnonzero(places.is_valid().to_numpy(zero_copy_only=False))
+        lists = self.ids.take(places.drop_null())
+        data = lists.flatten().to_numpy().tobytes()
+        at = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64) * 4]).tolist()
+        return {words[i]: data[a:b] for i, a, b in zip(there.tolist(), at[:-1], at[1:], strict=True)}
+
+    def learned(self, new: pa.Array) -> list[bytes]:
+        words = [word for part in range(0, len(new), AT_ONCE) for word in new[part : part + AT_ONCE].cast(pa.binary()).to_pylist()]
         if len(self.signs) > REMEMBERED:
             self.signs = {b"": b""}
-        stems = [word.rstrip(_SIGNS) for word in new]  # no byte of a longer character is among the signs
+        stems = [word.rstrip(_SIGNS) for word in words]  # no byte of a longer character is among the signs
         plain = [stem.lower() if stem.isalpha() else _letters(stem) for stem in stems]
-        self._learn_letters(list({x for x in plain if x}.difference(self.letters)))
-        letters, signs, other = self.letters, self.signs, []
-        for word, stem, x in zip(new, stems, plain, strict=True):
+        every = list({x for x in plain if x})
+        letters = self.known(every)
+        self._learn_letters([x for x in every if x not in letters], letters)
+        signs, out, other = self.signs, [b""] * len(words), []
+        for i, (word, stem, x) in enumerate(zip(words, stems, plain, strict=True)):
             if not x:
-                other.append(word)
+                other.append(i)
             elif len(stem) == len(word):
-                self[word] = letters[x]
+                out[i] = letters[x]
             else:
                 end = word[len(stem) :]
                 if end not in signs:
                     signs[end] = self._ids([end])[0]
-                self[word] = letters[x] + signs[end]
-        self.update(zip(other, self._ids(other), strict=True))
+                out[i] = letters[x] + signs[end]
+        for at in range(0, len(other), AT_ONCE):
+            some = other[at : at + AT_ONCE]
+            for i, ids in zip(some, self._ids([words[i] for i in some]), strict=True):
+                out[i] = ids
+        return out
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer().encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn_letters(self, new: list[bytes]) -> None:
-        """One call for all of them: every word of letters ends with a token that ends a word."""
-        if not new:
-            return
+    def _learn_letters(self, new: list[bytes], letters: dict[bytes, bytes]) -> None:
+        """One call for many of them: every word of letters ends with a token that ends a word."""
         self.tokenizer()
-        ids = np.array(self.plain.encode_batch_fast([b" ".join(new).decode()], add_special_tokens=False)[0].ids, "<u4")
-        ends = (np.flatnonzero(self.last[ids]) + 1) * 4
-        if len(ends) != len(new):
-            self.letters.update(zip(new, self._ids(new), strict=True))
-            return
-        data, at = ids.tobytes(), 0
-        for word, to in zip(new, ends.tolist(), strict=True):
-            self.letters[word] = data[at:to]
-            at = to
+        for start in range(0, len(new), AT_ONCE):
+            some = new[start : start + AT_ONCE]
+            ids = np.array(self.plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) != len(some):
+                letters.update(zip(some, self._ids(some), strict=True))
+                continue
+            data, at = ids.tobytes(), 0
+            for word, to in zip(some, ends.tolist(), strict=True):
+                letters[word] = data[at:to]
+                at = to
 
 
-def word_ids(vocabulary: str) -> WordIds:
-    return remembered(f"ids {vocabulary}", lambda: WordIds(vocabulary))
+def _lists(ids: list[bytes]) -> pa.Array:
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(ids), "<u4")))
 
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-    """Batches whose texts make about ``TOGETHER`` bytes; the more there are, the fewer of their words are distinct."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.column(1).nbytes
-        if size >= TOGETHER:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def word_ids(vocabulary: str) -> WordIds:
+    return remembered(f"ids {vocabulary}", lambda: WordIds(vocabulary))
 
 
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -188,7 +196,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
 
     def run(batches):
         known = word_ids(vocabulary)
-        for held in _together(batches):
+        for held in together(batches, TOGETHER):
             rows = [text for batch in held for text in batch.column(1).to_pylist()]
             texts = [ids for part in by_size(rows, TOGETHER) for ids in known.encoded([_lowered(t) for t in part])]
             row, piece, start, length, crc, ids = [], [], [], [], [], []

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import bisect
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -164,3 +165,33 @@ def test_ids_column_is_the_tokens(spark):
     rows = packing.pieces(spark.createDataFrame([(1, "one two"), (2, None)], "doc_id bigint, text string"), with_ids=True).collect()
     assert {r.doc_id: len(r.ids) for r in rows} == {r.doc_id: r.length for r in rows}
     assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
+
+
+def test_remembered_words_are_no_python_objects():
+    rng = np.random.default_rng(4)
+    words = ["".join(x) for x in rng.choice(list("abcdefghijklmnopqrstuvwxyzäß"), (40_000, 9))]
+    words += [w.title() + s for w, s in zip(words[:3000], [",", "...", "'s"] * 1000, strict=True)]
+    texts = [" ".join(words[i : i + 1000]).encode() for i in range(0, len(words), 1000)]
+    known = packing.WordIds(packing.VOCABULARY)
+    plain = known.tokenizer()
+    tracemalloc.start()
+    got = known.encoded(texts)
+    del got
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 2_000_000  # 43,000 pairs of bytes in a dictionary take more than 5 MB
+    for text, ids in zip(texts, known.encoded(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text.decode(), add_special_tokens=False).ids
+
+
+def test_ids_stay_right_when_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    monkeypatch.setattr(packing, "AT_ONCE", 7)
+    known = packing.WordIds(packing.VOCABULARY)
+    plain = known.tokenizer()
+    rng = np.random.default_rng(5)
+    for _ in range(6):
+        texts = [" ".join(f"Word{i}, x{i}. no{i}" if i % 3 else f"été{'abcdefgh'[i % 8]} don't" for i in rng.integers(0, 40, 20)) for _ in range(4)]
+        for text, ids in zip(texts, known.encoded([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(known.words) <= 50 + 2 * 20 * 4 * 3
