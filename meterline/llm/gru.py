@@ -16,6 +16,8 @@ HEAD_CLASSES, PER_CLASS, TAIL_CLASSES = 32, 32, 32
 HEAD = HEAD_CLASSES * PER_CLASS
 CLASSES, SYMBOLS = HEAD_CLASSES + TAIL_CLASSES, HEAD + TAIL_CLASSES
 RATE, CLIP = 0.01, 1.0
+#: Texts that are scored in step.
+IN_STEP = 2048
 
 SHAPES = {
     "embed": (SYMBOLS, EMBED), "w": (EMBED, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,),
@@ -23,8 +25,8 @@ SHAPES = {
 }
 
 
-def class_of(symbols: np.ndarray) -> np.ndarray:
-    return np.where(symbols < HEAD, symbols // PER_CLASS, symbols - HEAD + HEAD_CLASSES)
+#: Class of every symbol; the last place serves -1.
+CLASS = np.repeat(np.arange(CLASSES + 1), [PER_CLASS] * HEAD_CLASSES + [1] * TAIL_CLASSES + [1]) % CLASSES
 
 
 def initial(counts: np.ndarray) -> np.ndarray:
@@ -53,94 +55,129 @@ def shaped(theta: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+#: First symbols of the classes of frequent words, and the end.
+_BOUNDS = np.arange(HEAD_CLASSES + 1) * PER_CLASS
+#: Beyond this the greatest value is taken off before the exponential.
+_FAR = 40
+#: Tokens that the output is made for at a time, so that what is in work stays near the processor.
+AT_ONCE = 8192
 
 
-def _picked_log(x: np.ndarray, pick: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each row at its picked place; ``x`` is overwritten."""
-    x -= x.max(axis=1, keepdims=True)
-    picked = x[np.arange(len(x)), pick]
+def _exponentials(x: np.ndarray, bound: float) -> np.ndarray | float:
+    """The exponentials of each column up to a factor, in place; the logarithm of the factor. No value is beyond the bound."""
+    off = 0.0
+    if x.size and not bound < _FAR:
+        off = x.max(axis=0)
+        x -= off
     np.exp(x, out=x)
-    return picked - np.log(x.sum(axis=1))
+    return off
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Softmax of each row, in place."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+def _frequent(goal: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Places of the frequent words among the symbols, sorted by symbol; the words; where each class begins in them."""
+    order = np.argsort(goal.astype(np.uint16), kind="stable")  # by digits, which is faster; -1 comes last
+    words = goal[order]
+    at = np.searchsorted(words.astype(np.uint16), _BOUNDS.astype(np.uint16)).tolist()
+    return order[: at[-1]], words[: at[-1]], at
 
 
 @dataclass
 class Model:
+    """Parameters made ready. Inside, a token is a column, so that gates and classes are runs of memory."""
+
     p: dict[str, np.ndarray]
 
     def __post_init__(self) -> None:
-        self.gates = self.p["embed"] @ self.p["w"] + self.p["b"]
         # a sigmoid is 0.5 + 0.5 * tanh(x / 2): the halves are taken beforehand
         halves = np.repeat(np.array([0.5, 0.5, 1], np.float32), HIDDEN)
-        self.halved, self.u = self.gates * halves, self.p["u"] * halves
+        gates = (self.p["embed"] @ self.p["w"] + self.p["b"]) * halves
+        self.gates, self.u = (np.ascontiguousarray(x.T) for x in (gates, self.p["u"] * halves))
+        # biases are a last column, states have a last row of ones for them
+        self.class_w = np.vstack([self.p["class_w"], self.p["class_b"]]).T.copy()
+        self.word_w = np.concatenate([self.p["word_w"].transpose(0, 2, 1), self.p["word_b"][:, :, None]], axis=2)
+        # a state is between -1 and 1
+        self.bound, self.word_bound = (float(np.abs(w).sum(axis=-1).max()) for w in (self.class_w, self.word_w))
 
-    def advance(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """The state after one more input symbol per row."""
-        g, s = self.halved[symbols], h @ self.u
-        zr = s[:, : 2 * HIDDEN]
-        zr += g[:, : 2 * HIDDEN]
+    def step(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The states after one more input symbol per column."""
+        g, s = self.gates.take(symbols, axis=1, mode="wrap"), self.u @ h
+        zr = s[: 2 * HIDDEN]
+        zr += g[: 2 * HIDDEN]
         np.tanh(zr, out=zr)
         zr *= 0.5
         zr += 0.5
-        c = s[:, 2 * HIDDEN :] * zr[:, HIDDEN:]
-        c += g[:, 2 * HIDDEN :]
+        c = s[2 * HIDDEN :]
+        c *= zr[HIDDEN:]
+        c += g[2 * HIDDEN :]
         np.tanh(c, out=c)
         c -= h
-        c *= zr[:, :HIDDEN]
+        c *= zr[:HIDDEN]
         c += h
         return c
 
-    def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each target symbol after its state."""
-        out = np.empty(len(h), np.float32)
-        for s in range(0, len(h), 16384):
-            part, goal = h[s : s + 16384], target[s : s + 16384]
-            kind = class_of(goal).astype(np.int16)  # sorted by digits, which is faster
-            out[s : s + len(part)] = _picked_log(part @ self.p["class_w"] + self.p["class_b"], kind)
-            order = np.argsort(kind, kind="stable")
-            ends = np.searchsorted(kind[order], np.arange(HEAD_CLASSES + 1))
-            for c in range(HEAD_CLASSES):
-                rows = order[ends[c] : ends[c + 1]]
-                if len(rows):
-                    word = part[rows] @ self.p["word_w"][c] + self.p["word_b"][c]
-                    out[s + rows] += _picked_log(word, goal[rows] - c * PER_CLASS)
+    def advance(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The same with a row for each state."""
+        return self.step(h.T, symbols).T
+
+    def words(self, x: np.ndarray, at: list[int], out: np.ndarray) -> np.ndarray:
+        """For columns sorted by class what the words of the class get; in the memory of ``out``."""
+        out = out.reshape(-1)[: PER_CLASS * at[-1]].reshape(PER_CLASS, at[-1])
+        for k in range(HEAD_CLASSES):
+            if at[k] < at[k + 1]:
+                np.matmul(self.word_w[k], x[:, at[k] : at[k + 1]], out=out[:, at[k] : at[k + 1]])
         return out
 
+    def logs(self, x: np.ndarray, goal: np.ndarray) -> np.ndarray:
+        """Natural log of the probability of each symbol after its state; ``x`` has a row of ones."""
+        part = self.class_w @ x
+        found = part.reshape(-1).take(CLASS[goal] * len(goal) + np.arange(len(goal)))
+        found -= _exponentials(part, self.bound)
+        found -= np.log(part.sum(axis=0))
+        order, words, at = _frequent(goal)
+        if len(order):
+            part = self.words(x.take(order, axis=1, mode="wrap"), at, part)
+            more = part.reshape(-1).take(words % PER_CLASS * len(order) + np.arange(len(order)))
+            more -= _exponentials(part, self.word_bound)
+            more -= np.log(part.sum(axis=0))
+            found[order] += more
+        return found
+
+    def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The same with a row for each state."""
+        return self.logs(np.vstack([h.T, np.ones(len(h), h.dtype)]), np.asarray(target, np.int64))
+
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log of the probability of every whole text (symbols, the last one 0)."""
-        size = np.array([len(t) for t in texts])
-        order = np.argsort(-size, kind="stable")
         total = np.zeros(len(texts))
-        longest = int(size.max(initial=0))
-        h = np.zeros((len(texts), HIDDEN), np.float32)
-        last = np.zeros(len(texts), np.int64)
-        ordered = [texts[i] for i in order]
-        sizes = size[order]
-        for at in range(0, longest, WINDOW):
-            live = int(np.searchsorted(-sizes, -at, side="left"))
-            target = np.full((live, WINDOW), -1, np.int64)
-            for i in range(live):
-                part = ordered[i][at : at + WINDOW]
-                target[i, : len(part)] = part
-            h, last = h[:live], last[:live]
-            states = np.empty((WINDOW, live, HIDDEN), np.float32)
-            steps = min(WINDOW, longest - at)
-            for t in range(steps):
-                h = self.advance(h, last)
-                states[t] = h
-                last = np.maximum(target[:, t], 0)
-            who, col = np.nonzero(target >= 0)
-            found = self.log_probability(states[col, who], target[who, col])
-            total[order[:live]] += np.bincount(who, found, live)
+        order = np.argsort([-len(t) for t in texts], kind="stable")
+        for s in range(0, len(order), IN_STEP):
+            some = order[s : s + IN_STEP]
+            total[some] = self._in_step([texts[i] for i in some])
+        return total
+
+    def _in_step(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Scores of texts, the longest first: every step takes the next symbol of those that have one."""
+        size = np.array([len(t) for t in texts])
+        symbols, first = np.concatenate(texts).astype(np.int64), np.cumsum(size) - size
+        total, last = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        h = np.zeros((HIDDEN, len(texts)), np.float32)
+        live = np.searchsorted(-size, -np.arange(int(size.max())), side="left").tolist()
+        states, goals = np.ones((HIDDEN + 1, AT_ONCE + len(texts)), np.float32), np.empty(AT_ONCE + len(texts), np.int64)
+        held: list[int] = []
+        used = 0
+        for t, n in enumerate(live):
+            h = self.step(h[:, :n], last[:n])
+            last = symbols.take(first[:n] + t)
+            states[:-1, used : used + n], goals[used : used + n] = h, last
+            held.append(n)
+            used += n
+            if used >= AT_ONCE or t + 1 == len(live):
+                found, at = self.logs(states[:, :used], goals[:used]), 0
+                for k in held:
+                    total[:k] += found[at : at + k]
+                    at += k
+                held.clear()
+                used = 0
         return total
 
 
@@ -150,6 +187,14 @@ class Trainer:
     def __init__(self, theta: np.ndarray, rate: float = RATE) -> None:
         self.theta, self.rate = theta.copy(), rate
         self.m, self.v, self.n = np.zeros_like(theta), np.zeros_like(theta), 0
+        self.memory: dict[str, np.ndarray] = {}
+
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory for an array that a window fills, kept for the next window."""
+        size = int(np.prod(shape))
+        if name not in self.memory or self.memory[name].size < size:
+            self.memory[name] = np.empty(size, self.theta.dtype)
+        return self.memory[name][:size].reshape(shape)
 
     def learn(self, block: np.ndarray, last: np.ndarray) -> None:
         """One pass over rows of symbols, padded with -1; ``last`` has the symbols before them."""
@@ -157,79 +202,118 @@ class Trainer:
         for at in range(0, block.shape[1], WINDOW):
             target = block[:, at : at + WINDOW]
             live = (target >= 0).any(axis=1)
-            target, h, last = target[live], h[live], last[live]
-            block = block[live]
+            if not live.all():
+                target, h, last, block = target[live], h[live], last[live], block[live]
             if not len(target):
                 break
             grad, h, last = self._window(h, last, target)
             self.n += 1
-            norm = float(np.sqrt((grad * grad).sum()))
+            norm = float(np.sqrt(grad @ grad))
             grad *= min(1.0, CLIP / (norm + 1e-9))
-            self.m += 0.1 * (grad - self.m)
-            self.v += 0.01 * (grad * grad - self.v)
-            step = self.rate * (self.m / (1 - 0.9**self.n)) / (np.sqrt(self.v / (1 - 0.99**self.n)) + 1e-6)
-            self.theta -= step.astype(np.float32)
+            step = grad - self.m
+            step *= 0.1
+            self.m += step
+            grad *= grad
+            grad -= self.v
+            grad *= 0.01
+            self.v += grad
+            np.multiply(self.v, 1 / (1 - 0.99**self.n), out=grad)
+            np.sqrt(grad, out=grad)
+            grad += 1e-6
+            np.multiply(self.m, self.rate / (1 - 0.9**self.n), out=step)
+            step /= grad
+            self.theta -= step
 
     def _window(self, h: np.ndarray, last: np.ndarray, target: np.ndarray):
-        p = shaped(self.theta)
+        p, room = shaped(self.theta), self._room
         model = Model(p)
         rows, steps = target.shape
-        inputs = np.empty((steps, rows), np.int64)
-        kept = []
-        states = np.empty((steps, rows, HIDDEN), np.float32)
+        goal = target.T.ravel().astype(np.int64)
+        inputs = np.concatenate([last, np.maximum(goal, 0)])
+        inputs, last = inputs[: steps * rows], inputs[steps * rows :]
+        # states before and after each step, and ones; what the gradient of a state is multiplied by on its way back
+        states = room("states", HIDDEN + 1, steps + 1, rows)
+        states[:-1, 0], states[-1] = h.T, 1
+        keep, ways = room("keep", steps, HIDDEN, rows), room("ways", steps, 4, HIDDEN, rows)
+        g, s, h, x = room("g", 3 * HIDDEN, rows), room("s", 3 * HIDDEN, rows), room("h", HIDDEN, rows), room("x", HIDDEN, rows)
+        zr, z, r, sc = s[: 2 * HIDDEN], s[:HIDDEN], s[HIDDEN : 2 * HIDDEN], s[2 * HIDDEN :]
+        g_zr, c = g[: 2 * HIDDEN], g[2 * HIDDEN :]
+        h[:] = states[:-1, 0]
         for t in range(steps):
-            inputs[t] = last
-            g, s = model.gates[last], h @ p["u"]
-            z = _sigmoid(g[:, :HIDDEN] + s[:, :HIDDEN])
-            r = _sigmoid(g[:, HIDDEN : 2 * HIDDEN] + s[:, HIDDEN : 2 * HIDDEN])
-            c = np.tanh(g[:, 2 * HIDDEN :] + r * s[:, 2 * HIDDEN :])
-            kept.append((h, z, r, c, s[:, 2 * HIDDEN :]))
-            h = h + z * (c - h)
-            states[t] = h
-            last = np.maximum(target[:, t], 0)
-        goal = target.T.ravel()
-        flat_h = states.reshape(-1, HIDDEN)
-        used = np.flatnonzero(goal >= 0)
-        goal, x = goal[used], flat_h[used]
-        n = max(1, len(goal))
-        d = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-        kind = class_of(goal)
-        by_kind = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[by_kind], np.arange(HEAD_CLASSES + 1))
-        delta = _softmax(x @ p["class_w"] + p["class_b"])
-        delta[np.arange(len(goal)), kind] -= 1
-        delta /= n
-        d["class_w"], d["class_b"] = x.T @ delta, delta.sum(0)
-        dx = delta @ p["class_w"].T
-        for k in range(HEAD_CLASSES):
-            at = by_kind[ends[k] : ends[k + 1]]
-            if not len(at):
-                continue
-            delta = _softmax(x[at] @ p["word_w"][k] + p["word_b"][k])
-            delta[np.arange(len(at)), goal[at] - k * PER_CLASS] -= 1
-            delta /= n
-            d["word_w"][k], d["word_b"][k] = x[at].T @ delta, delta.sum(0)
-            dx[at] += delta @ p["word_w"][k].T
-        dstates = np.zeros((steps * rows, HIDDEN), np.float32)
-        dstates[used] = dx
-        dstates = dstates.reshape(steps, rows, HIDDEN)
-        dg = np.empty((steps, rows, 3 * HIDDEN), np.float32)
-        dh = np.zeros((rows, HIDDEN), np.float32)
+            by_cr, by_z, by_r, by_c = ways[t]  # the candidate's recurrent part, the gates z and r, the candidate
+            model.gates.take(inputs[t * rows : (t + 1) * rows], axis=1, out=g, mode="wrap")
+            np.matmul(model.u, h, out=s)
+            zr += g_zr
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            np.multiply(sc, r, out=x)
+            c += x
+            np.tanh(c, out=c)
+            left = np.subtract(1, z, out=keep[t])
+            np.subtract(c, h, out=x)
+            x *= z
+            h += x
+            states[:-1, t + 1] = h
+            np.multiply(x, left, out=by_z)  # the slope of a sigmoid is itself times what it lacks of 1
+            c *= c
+            np.subtract(1, c, out=c)
+            np.multiply(c, z, out=by_c)
+            np.multiply(by_c, r, out=by_cr)
+            np.subtract(1, r, out=r)
+            sc *= r
+            np.multiply(by_cr, sc, out=by_r)
+        d = {k: np.empty(shape, self.theta.dtype) for k, shape in SHAPES.items()}
+        dstates = self._output_gradient(model, states.reshape(HIDDEN + 1, -1)[:, rows:], goal, d).reshape(HIDDEN, steps, rows)
+        u = np.concatenate([p["u"][:, 2 * HIDDEN :], p["u"][:, : 2 * HIDDEN]], axis=1)
+        dh = np.zeros((HIDDEN, rows), self.theta.dtype)
         for t in range(steps - 1, -1, -1):
-            before, z, r, c, sc = kept[t]
-            dh = dh + dstates[t]
-            dc = dh * z * (1 - c * c)
-            dz = dh * (c - before) * z * (1 - z)
-            dr = dc * sc * r * (1 - r)
-            dg[t] = np.concatenate([dz, dr, dc], 1)
-            ds = np.concatenate([dz, dr, dc * r], 1)
-            d["u"] += before.T @ ds
-            dh = dh * (1 - z) + ds @ p["u"].T
-        flat_g = dg.reshape(-1, 3 * HIDDEN)
-        d["b"] = flat_g.sum(0)
-        d["w"] = p["embed"][inputs.ravel()].T @ flat_g
-        de = flat_g @ p["w"].T
-        order = np.argsort(inputs.ravel(), kind="stable")
-        ids, first = np.unique(inputs.ravel()[order], return_index=True)
-        d["embed"][ids] = np.add.reduceat(de[order], first, axis=0)
-        return flat(d), h, last
+            dh += dstates[:, t]
+            back = np.multiply(dh, ways[t], out=ways[t]).reshape(4 * HIDDEN, rows)
+            dh *= keep[t]
+            dh += np.matmul(u, back[: 3 * HIDDEN], out=x)
+        back = ways.reshape(steps, 4 * HIDDEN, rows)
+        du = np.matmul(back[:, : 3 * HIDDEN], states[:-1, :-1].transpose(1, 2, 0)).sum(axis=0)
+        d["u"][:] = np.concatenate([du[HIDDEN:], du[:HIDDEN]]).T
+        back = back[:, HIDDEN:]
+        # the ones give the sums
+        seen = room("seen", EMBED + 1, steps, rows)
+        seen[-1] = 1
+        p["embed"].T.copy().take(inputs, axis=1, out=seen[:-1].reshape(EMBED, -1), mode="wrap")
+        dw = np.matmul(back, seen.transpose(1, 2, 0)).sum(axis=0)
+        d["w"][:], d["b"][:] = dw[:, :-1].T, dw[:, -1]
+        np.matmul(p["w"], back, out=seen[:-1].transpose(1, 0, 2))
+        for i, row in enumerate(seen[:-1].reshape(EMBED, -1)):
+            d["embed"][:, i] = np.bincount(inputs, row, SYMBOLS)
+        return np.concatenate([d[k].ravel() for k in SHAPES]), h.T.copy(), last
+
+    def _output_gradient(self, model: Model, x: np.ndarray, goal: np.ndarray, d: dict[str, np.ndarray]) -> np.ndarray:
+        """Gradient of the mean loss by every state (none where the goal is -1); those by the output's weights go to ``d``."""
+        some = goal >= 0
+        n = max(1, int(some.sum()))
+        part = np.matmul(model.class_w, x, out=self._room("part", CLASSES, len(goal)))
+        _exponentials(part, model.bound)
+        part *= (some / (part.sum(axis=0) * n)).astype(x.dtype)
+        part.reshape(-1)[CLASS[goal] * len(goal) + np.arange(len(goal))] -= (some / n).astype(x.dtype)
+        dclass = part @ x.T
+        d["class_w"][:], d["class_b"][:] = dclass[:, :-1].T, dclass[:, -1]
+        dx = np.matmul(model.class_w[:, :-1].T, part, out=self._room("dx", HIDDEN, len(goal)))
+        d["word_w"][:], d["word_b"][:] = 0, 0
+        order, words, at = _frequent(goal)
+        if len(order):
+            few = x.take(order, axis=1, mode="wrap")
+            part = model.words(few, at, part)
+            _exponentials(part, model.word_bound)
+            part *= 1 / (part.sum(axis=0) * n)
+            part.reshape(-1)[words % PER_CLASS * len(order) + np.arange(len(order))] -= 1 / n
+            more = np.zeros((HIDDEN, len(order) + 1), x.dtype)
+            for k in range(HEAD_CLASSES):
+                if at[k] < at[k + 1]:
+                    own = part[:, at[k] : at[k + 1]]
+                    dword = few[:, at[k] : at[k + 1]] @ own.T
+                    d["word_w"][k], d["word_b"][k] = dword[:-1], dword[-1]
+                    np.matmul(model.word_w[k, :, :-1].T, own, out=more[:, at[k] : at[k + 1]])
+            place = np.full(len(goal), len(order))  # where there is nothing
+            place[order] = np.arange(len(order))
+            dx += more.take(place, axis=1, mode="wrap")
+        return dx

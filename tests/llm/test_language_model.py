@@ -123,3 +123,42 @@ def test_copies_are_dealt_to_all_replicas(spark):
     lexicon = lm.lexicon_of(lm.word_counts(docs))
     sizes = [r["count"] for r in lm.spans(docs, lexicon).repartition(8, "mark").groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 3000 and max(sizes) < 2 * 3000 / 8
+
+
+def test_counted_words_are_shuffled_by_the_bucket(spark, documents, odd, monkeypatch):
+    monkeypatch.setattr(lm, "TEXTS", 20_000)  # several parts in a task
+    monkeypatch.setattr(lm, "COUNTED", 3000)
+    rows = [r[:2] for r in documents[:200]] + [r[:2] for r in odd_documents()]
+    counts = lm.word_counts(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert "Aggregate" not in counts._jdf.queryExecution().toString()  # which took a row for each word and task
+    want = Counter(w for _, t in rows for w in [*(t or "").encode().lower().split(), b""])
+    got = [(bytes(r.word), r.c) for r in counts.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    assert lm.word_counts(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_words_are_looked_up_once(spark, odd):
+    """What scoring and training read of a text are its symbols."""
+    lexicon = lm.lexicon_of(lm.word_counts(odd))
+    read = lm.read_texts(odd.select("doc_id", "text"), lexicon)
+    rows = sorted(read.collect(), key=lambda r: (r.doc_id is None, r.doc_id))
+    place = {w: i + 1 for i, w in enumerate(lexicon.words.to_pylist())}
+    texts = sorted(odd_documents(), key=lambda r: (r[0] is None, r[0]))
+    for r, (i, text, *_) in zip(rows, texts, strict=True):
+        words = (text or "").encode().lower().split()
+        assert (r.doc_id, r.n_tokens, r.n_known) == (i, len(words) + 1, len(words) + 1) and not r.rare
+        assert np.frombuffer(r.symbols, "<i2").tolist() == [*map(place.get, words), 0]
+    scored = lm._scored(read, gru.initial(lexicon.symbol_counts()))
+    assert "text" not in scored.columns and scored.count() == len(texts)
+
+
+def test_large_values_do_not_overflow():
+    rng = np.random.default_rng(6)
+    p = gru.shaped(gru.initial(rng.random(gru.SYMBOLS) * 9).copy())
+    p["class_w"][:], p["word_w"][:] = (rng.normal(0, 60, p[k].shape) for k in ("class_w", "word_w"))
+    model = gru.Model(p)
+    assert model.bound > 88 and model.word_bound > 88
+    h = rng.uniform(-1, 1, (1, gru.HIDDEN)).astype(np.float32)
+    every = np.arange(gru.SYMBOLS)
+    logs = model.log_probability(np.repeat(h, len(every), 0), every).astype(float)
+    assert np.isfinite(logs).all() and abs(np.exp(logs).sum() - 1) < 1e-3
