@@ -119,6 +119,7 @@ def map_texts(
             got = work(batch.column(len(keys)).to_pylist())
             columns = [batch.column(i) for i in range(len(keys))] + [pa.array(v) for v in got.values()]
             yield pa.RecordBatch.from_arrays(columns, [*keys, *got])
+        give_back()  # the worker waits while steps without Python run
 
     return source.mapInArrow(run, f"{head}, {schema}")
 

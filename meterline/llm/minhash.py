@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import SMALL_TABLE, WordHashes, map_texts, mixed, ranked, shingles, small_batches, small_table, sorted_slices, word_hashes
+from meterline.llm.common import SMALL_TABLE, WordHashes, give_back, map_texts, mixed, ranked, shingles, small_batches, small_table, sorted_slices, word_hashes
 from meterline.llm.components import components
 from meterline.session import cut
 
@@ -154,6 +154,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
                     last, kept = (b, len(y)), shingle_set(y, width, hashes)
                 ok.append(similar(shingle_set(x, width, hashes), kept, percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        give_back()
 
     binary = [F.col(c).cast("binary").alias(c) for c in ("ta", "tb")]
     return both.select("a", "b", *binary).mapInArrow(run, "a bigint, b bigint")

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import by_size, ranked, remembered, small_batches, sorted_slices, together
+from meterline.llm.common import by_size, give_back, ranked, remembered, small_batches, sorted_slices, together
 from meterline.session import cut
 
 VOCABULARY = "word_bpe_49k.json"
@@ -38,7 +38,7 @@ EXACT_CLASSES, GROUPS = 48, 1024
 #: A piece's first weight is this power of its length: a little more for long ones, so that short ones are left for the rounding.
 SLOPE = 1.05
 #: Words whose ids a worker remembers, bytes of texts that it cuts into words at a time, words that the tokenizer is handed at once.
-REMEMBERED, TOGETHER, AT_ONCE = 250_000, 4_000_000, 20_000
+REMEMBERED, TOGETHER, AT_ONCE = 250_000, 2_000_000, 20_000
 
 _TOKENIZERS: dict[str, object] = {}
 
@@ -210,6 +210,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACI
             columns = [pa.concat_arrays([batch.column(0) for batch in held]).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32())]
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc)] + [pa.array(ids, pa.list_(pa.int32()))] * with_ids
             yield pa.RecordBatch.from_arrays(columns, names)
+        give_back()
 
     kind = dict(docs.dtypes)["doc_id"]
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
