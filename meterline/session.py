@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN: set[str] = set()
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+VECTORED = "parquet.hadoop.vectored.io.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -21,6 +22,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def plain_reads(spark: SparkSession) -> None:
+    """Read columns of Parquet files as streams, unless the session says otherwise.
+
+    A vectored read asks for the whole range of a column at once. Of a local file, each thread that ever read one then keeps a
+    buffer of that length outside the heap, so an executor's memory grows with its threads and the files' row groups.
+    """
+    if spark.conf.get(VECTORED, None) is None:
+        spark.conf.set(VECTORED, "false")
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and the local bench."""
     builder = (
@@ -68,5 +79,6 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     reads prune columns, and a lost executor costs nothing but a re-read.
     """
     path = fresh_dir(df.sparkSession, label)
+    plain_reads(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,8 +2,12 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from meterline.llm import mixing, pii, quality_gbt
+from meterline.llm.common import table
+from meterline.session import VECTORED, cut
 from tests.llm.conftest import FOLDER, rows_of
 from tests.llm.test_duplicates import plain
 from tests.llm.test_mixing_and_packing import check_packed, filled
@@ -62,3 +66,26 @@ def test_the_pipeline_runs_on_empty_and_on_odd_tables(spark, none, odd, tmp_path
             places.setdefault(r.sequence_id, []).append((r.offset, r.length))
         for parts in places.values():
             assert sum(n for _, n in parts) <= 4096 and sorted(parts)[0][0] == 0
+
+
+def test_reading_a_long_column_keeps_no_buffer_of_its_length(spark, tmp_path):
+    if spark.conf.get(VECTORED, None) is not None:
+        spark.conf.unset(VECTORED)  # what operators of other tests set
+    text = F.concat(*[F.sha2(F.concat_ws("-", "id", F.lit(i)).cast("binary"), 256) for i in range(64)])
+    spark.range(10_000).select(F.col("id").alias("doc_id"), text.alias("text")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    java = spark._jvm.java.lang
+    pools = java.management.ManagementFactory.getPlatformMXBeans(java.Class.forName("java.lang.management.BufferPoolMXBean"))
+    outside = lambda: next(p.getMemoryUsed() for p in pools if p.getName() == "direct")
+    before = outside()
+    rows = table(spark, str(tmp_path), "documents")
+    assert rows.agg(F.sum(F.length("text"))).first()[0] == 10_000 * 64 * 64
+    assert outside() - before < 20_000_000  # the column has 40 MB and does not compress
+
+
+def test_an_explicit_choice_of_reading_stays(spark, tmp_path):
+    spark.conf.set(VECTORED, "true")
+    try:
+        cut(spark.range(3)).collect()
+        assert spark.conf.get(VECTORED) == "true"
+    finally:
+        spark.conf.unset(VECTORED)
