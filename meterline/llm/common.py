@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterline.session import cut, plain_reads
+from meterline.session import cut, small_buffers
 
 #: Words are maximal runs of anything but the six ASCII blanks; ``bytes.split()`` cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,7 +31,7 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    plain_reads(spark)
+    small_buffers(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

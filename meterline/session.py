@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 _OWN: set[str] = set()
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 VECTORED = "parquet.hadoop.vectored.io.enabled"
+#: Reading columns as streams, and pages that end where they are long enough, looked at every few rows.
+SMALL_BUFFERS = {VECTORED: "false", "parquet.page.size.check.estimate": "false", "parquet.page.size.row.check.min": "20"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -22,14 +24,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def plain_reads(spark: SparkSession) -> None:
-    """Read columns of Parquet files as streams, unless the session says otherwise.
+def small_buffers(spark: SparkSession) -> None:
+    """Keep what Parquet holds outside the heap small, unless the session says otherwise.
 
-    A vectored read asks for the whole range of a column at once. Of a local file, each thread that ever read one then keeps a
-    buffer of that length outside the heap, so an executor's memory grows with its threads and the files' row groups.
+    A vectored read asks for the whole range of a column at once; of a local file, each thread that ever read one then keeps a
+    buffer of that length. The codecs keep buffers as long as the longest page, and the writer guesses from the rows so far when to look
+    at a page's length again: where rows stand by size, pages become many times as long as they should be.
     """
-    if spark.conf.get(VECTORED, None) is None:
-        spark.conf.set(VECTORED, "false")
+    for key, value in SMALL_BUFFERS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -79,6 +83,6 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     reads prune columns, and a lost executor costs nothing but a re-read.
     """
     path = fresh_dir(df.sparkSession, label)
-    plain_reads(df.sparkSession)
+    small_buffers(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from meterline.llm import mixing, pii, quality_gbt
 from meterline.llm.common import table
-from meterline.session import VECTORED, cut
+from meterline.session import SMALL_BUFFERS, VECTORED, cut
 from tests.llm.conftest import FOLDER, rows_of
 from tests.llm.test_duplicates import plain
 from tests.llm.test_mixing_and_packing import check_packed, filled
@@ -68,24 +68,50 @@ def test_the_pipeline_runs_on_empty_and_on_odd_tables(spark, none, odd, tmp_path
             assert sum(n for _, n in parts) <= 4096 and sorted(parts)[0][0] == 0
 
 
-def test_reading_a_long_column_keeps_no_buffer_of_its_length(spark, tmp_path):
-    if spark.conf.get(VECTORED, None) is not None:
-        spark.conf.unset(VECTORED)  # what operators of other tests set
-    text = F.concat(*[F.sha2(F.concat_ws("-", "id", F.lit(i)).cast("binary"), 256) for i in range(64)])
-    spark.range(10_000).select(F.col("id").alias("doc_id"), text.alias("text")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+def outside(spark) -> int:
+    """Bytes of buffers outside the heap that Java knows of."""
     java = spark._jvm.java.lang
     pools = java.management.ManagementFactory.getPlatformMXBeans(java.Class.forName("java.lang.management.BufferPoolMXBean"))
-    outside = lambda: next(p.getMemoryUsed() for p in pools if p.getName() == "direct")
-    before = outside()
-    rows = table(spark, str(tmp_path), "documents")
-    assert rows.agg(F.sum(F.length("text"))).first()[0] == 10_000 * 64 * 64
-    assert outside() - before < 20_000_000  # the column has 40 MB and does not compress
+    return next(p.getMemoryUsed() for p in pools if p.getName() == "direct")
+
+
+def unsaid(spark) -> None:
+    """The session as it is before an operator says how Parquet is read and written."""
+    for key in SMALL_BUFFERS:
+        if spark.conf.get(key, None) is not None:
+            spark.conf.unset(key)
+
+
+def hashes(n):
+    """``n`` times 64 characters that do not compress to less than half."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.sha2(F.concat_ws("-", "id", i).cast("binary"), 256)), "")
+
+
+def test_reading_a_long_column_keeps_no_buffer_of_its_length(spark, tmp_path):
+    unsaid(spark)
+    rows = spark.range(10_000).select(F.col("id").alias("doc_id"), hashes(F.lit(64)).alias("text"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    before = outside(spark)
+    read = table(spark, str(tmp_path), "documents")
+    assert read.agg(F.sum(F.length("text"))).first()[0] == 10_000 * 64 * 64
+    assert outside(spark) - before < 20_000_000  # the column has 40 MB and does not compress
+
+
+def test_pages_of_rows_by_size_stay_short(spark):
+    unsaid(spark)
+    # 3,000 short rows, from which the writer would guess how long it may go on, and 1,500 long ones
+    n = F.when(F.col("id") < 3000, 1).otherwise(256).cast("int")
+    before = outside(spark)
+    held = cut(spark.range(4500).repartition(1).sort("id").coalesce(1).select("id", hashes(n).alias("text")), "by size")
+    assert held.agg(F.sum(F.length("text"))).first()[0] == 3000 * 64 + 1500 * 64 * 256
+    assert outside(spark) - before < 10_000_000
 
 
-def test_an_explicit_choice_of_reading_stays(spark, tmp_path):
+def test_an_explicit_choice_stays(spark):
+    unsaid(spark)
     spark.conf.set(VECTORED, "true")
     try:
         cut(spark.range(3)).collect()
         assert spark.conf.get(VECTORED) == "true"
     finally:
-        spark.conf.unset(VECTORED)
+        unsaid(spark)
