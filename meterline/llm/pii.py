@@ -21,13 +21,12 @@ filler that stands for seeds, are never instances.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import small_table
+from meterline.llm.common import SMALL_TABLE, small_table
 from meterline.session import cut
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -50,8 +49,8 @@ _MAY = {
     "phone": lambda t: t.contains("+"),
 }
 ROUNDS, SUPPORT, FLOOR, ALPHA, ACCEPT, COMMON, FEW = 4, 3, 0.02, 0.25, 0.75, 5, 5
-#: Patterns or values that are looked for in one pass over the texts; more of them take more passes.
-AT_ONCE = 5000
+#: Words that are looked for in one pass over the texts (those are broadcast); more of them take more passes.
+AT_ONCE = 200_000
 _SPANS = "array<struct<s:int,e:int,v:string>>"
 
 
@@ -129,40 +128,64 @@ def _rebuilt(text: Column, every: Column, put) -> Column:
 def _contexts(text: Column, every: Column) -> Column:
     """Kind, value and patterns of each span; the words lie between it and the spans next to it."""
 
-    def context(x: Column, i: Column) -> Column:
+    def sides(x: Column, i: Column) -> Column:
         before, after = F.get(every, i - 1)["e"], F.get(every, i + 1)["s"]
         start = F.when(i > 0, before).otherwise(F.lit(0))
         left = _words(F.substring(text, start + 1, F.greatest(x["s"] - start, F.lit(0))))
         right = _words(F.substring(text, x["e"] + 1, F.greatest(F.coalesce(after, F.length(text)) - x["e"], F.lit(0))))
-        one, two, next_ = F.get(left, F.size(left) - 1), F.get(left, F.size(left) - 2), F.get(right, F.lit(0))
+        return F.struct(x["kind"].alias("kind"), x["v"].alias("v"), left.alias("left"), right.alias("right"))
+
+    def context(x: Column) -> Column:
+        one, two, next_ = F.get(x["left"], F.size(x["left"]) - 1), F.get(x["left"], F.size(x["left"]) - 2), F.get(x["right"], F.lit(0))
         rest = F.concat_ws(" ", F.coalesce(two, F.lit("")), F.coalesce(next_, F.lit("")))
         named = [("L ", one, rest), ("R ", next_, F.coalesce(one, F.lit(""))), ("B ", F.concat(one, F.lit(" "), next_), F.lit("")), ("T ", F.concat(two, F.lit(" "), one), F.lit(""))]
         patterns = F.array(*[F.when(words.isNotNull(), F.struct(F.concat(F.lit(name), words).alias("p"), around.alias("around"))) for name, words, around in named])
         return F.struct(x["kind"].alias("kind"), x["v"].alias("v"), F.array_compact(patterns).alias("patterns"))
 
-    return F.transform(every, context)
+    # in two steps: what a function is given is evaluated once, what it names is evaluated wherever it stands
+    return F.transform(F.transform(every, sides), context)
 
 
-def found_spans(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, th (hash of the text), the base spans per kind, and ``seen``: the seeds with their patterns."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+def _with_filled(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``text``) with the base spans per kind, all of them, and ``filled``: as many fillers in place of each seed."""
     rows = rows.withColumns({k: spans(F.col("text"), k) for k in KINDS}).withColumn("every", _every_span())
-    return rows.select("doc_id", F.xxhash64("text").alias("th"), *KINDS, _contexts(F.col("text"), F.col("every")).alias("seen"))
+    fill = lambda x, at: F.repeat(F.lit(_FILLER), x["e"] - F.greatest(x["s"], at))
+    return rows.withColumn("filled", F.when(F.size("every") > 0, _rebuilt(F.col("text"), F.col("every"), fill)).otherwise(F.col("text")))
 
 
-def _tokens(docs: DataFrame) -> DataFrame:
-    """doc_id, th, the text with as many fillers in place of each seed, and its words in lower case."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    every = F.array_sort(F.concat(*[F.transform(spans(F.col("text"), k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS]))
-    rows = rows.withColumn("every", every)
-    fill = lambda x, at: F.repeat(F.lit(_FILLER), x["e"] - F.greatest(x["s"], at))
-    filled = F.when(F.size("every") > 0, _rebuilt(F.col("text"), F.col("every"), fill)).otherwise(F.col("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), filled.alias("filled"))
-    return rows.withColumn("words", _words(F.col("filled")))
+def found_spans(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, th (hash of the text), the base spans per kind, ``seen``: the seeds with their patterns, and
+    ``line``: the words of the filled text in lower case with one blank between, ``n`` of them."""
+    rows = _with_filled(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))
+    words = _words(F.col("filled"))  # named twice in one projection, cut once, and never a column of its own
+    seen = _contexts(F.col("text"), F.col("every")).alias("seen")
+    return rows.select("doc_id", F.xxhash64("text").alias("th"), *KINDS, seen, F.concat_ws(" ", words).alias("line"), F.size(words).alias("n"))
+
 
+def _same() -> Column:
+    """That a row (doc_id, th) is the one that d and t name."""
+    return F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
 
-def seed_patterns(found: DataFrame, tokens: DataFrame) -> DataFrame:
-    """pattern, k, s (its seeds of kind k), o (its seeds of other kinds) of the patterns that are kept."""
+
+def _met(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` (its words, ``word``, are distinct) with each place of the word: ``doc_id``, ``th``, the words of the
+    text and ``i``, where it is in them.
+
+    One pass over the lines, however many words are wanted, up to ``AT_ONCE``. Words meet by their hash, a number, which is looked up
+    in a fraction of the time a text takes; then they must be the same (two comparisons, so that it is no key of the join).
+    """
+    held = cut(wanted.withColumnRenamed("word", "wanted").withColumn("h", F.xxhash64("wanted")), "wanted")
+    passes = -(-held.count() // AT_ONCE)
+    words = found.select("doc_id", "th", F.split("line", " ").alias("words"))
+    every = words.select("*", F.posexplode_outer("words").alias("i", "word")).withColumn("h", F.xxhash64("word"))
+    same = (F.col("word") >= F.col("wanted")) & (F.col("word") <= F.col("wanted"))
+    some = [held.where(F.pmod("h", F.lit(passes)) == k) if passes > 1 else held for k in range(max(passes, 1))]
+    return reduce(DataFrame.unionAll, [every.join(F.broadcast(part), "h").where(same).drop("h", "wanted") for part in some])
+
+
+def seed_patterns(found: DataFrame) -> DataFrame:
+    """pattern, k, s (its seeds of kind k), o (its seeds of other kinds), off (which of its words is the rarest) of the patterns
+    that are kept."""
     seen = found.select(F.explode("seen").alias("i")).select(F.col("i.kind").alias("k"), F.col("i.v").alias("value"), F.explode("i.patterns").alias("x"))
     seen = cut(seen.select("k", "value", F.col("x.p").alias("pattern"), F.col("x.around").alias("around")), "seeds")
     per_value = seen.groupBy("pattern", "k", "value").agg(F.count("*").alias("n")).groupBy("pattern", "k").agg(F.count("*").alias("s"), F.sum("n").alias("places"))
@@ -173,48 +196,36 @@ def seed_patterns(found: DataFrame, tokens: DataFrame) -> DataFrame:
     whole = per_kind.groupBy("pattern").agg(F.sum("s").alias("all"), F.sum("places").alias("seeded"), F.max("enough").alias("any"))
     strong = cut(whole.where("any"), "strong")
     if strong.isEmpty():
-        return per_kind.select("pattern", "k", "s", F.lit(0).cast("bigint").alias("o")).where(F.lit(False))
+        return per_kind.select("pattern", "k", "s", F.lit(0).cast("bigint").alias("o"), F.lit(0).alias("off")).where(F.lit(False))
     # how often the words of the patterns are there at all
     named = strong.withColumn("of", F.split(F.expr("substring(pattern, 3)"), " "))
-    asked = small_table(named.select(F.explode("of").alias("word")).distinct().withColumn("asked", F.lit(True)), "words")
-    every = tokens.select(F.explode("words").alias("word")).join(asked, "word", "left").groupBy(F.when(F.col("asked"), F.col("word")).alias("word"))
-    there = cut(every.agg(F.count("*").alias("places")), "there")
-    total = there.agg(F.sum("places")).first()[0] or 0
-    counts = small_table(there.where("word IS NOT NULL"), "counts")
-    each = named.select("pattern", "all", "seeded", F.size("of").alias("n"), F.explode("of").alias("word")).join(counts, "word", "left")
+    asked = named.select(F.explode("of").alias("word")).distinct()
+    total = found.agg(F.sum("n")).first()[0] or 0
+    counts = small_table(_met(found, asked).groupBy("word").agg(F.count("*").alias("places")), "counts")
+    each = named.select("pattern", "all", "seeded", F.size("of").alias("n"), F.posexplode("of").alias("off", "word")).join(counts, "word", "left")
     chance = F.exp(F.sum(F.log(F.coalesce("places", F.lit(1)) / F.lit(float(max(total, 1))))))
     expected = F.when(F.col("pattern").startswith("B "), FEW).otherwise(1) * F.col("chance") * float(max(total, 1))
-    kept = each.groupBy("pattern", "all", "seeded").agg(chance.alias("chance")).where(F.col("seeded") >= FLOOR * expected).select("pattern", "all")
+    rarest = F.min(F.struct(F.coalesce("places", F.lit(0)).alias("places"), "off", "word"))["off"].alias("off")
+    kept = each.groupBy("pattern", "all", "seeded").agg(chance.alias("chance"), rarest).where(F.col("seeded") >= FLOOR * expected).select("pattern", "all", "off")
     both = per_kind.where("enough").join(kept, "pattern")
-    return cut(both.select("pattern", "k", "s", (F.col("all") - F.col("s")).alias("o")), "kept")
-
-
-def _chunks(rows: DataFrame, column: str) -> Iterator[list[str]]:
-    """The distinct values of a column, some at a time."""
-    values = cut(rows.select(column).distinct().orderBy(column), "listed")
-    last = None
-    while True:
-        rest = values if last is None else values.where(F.col(column) > last)
-        some = [r[0] for r in rest.orderBy(column).limit(AT_ONCE).collect()]
-        if some:
-            yield some
-            last = some[-1]
-        if len(some) < AT_ONCE:
-            return
+    return cut(both.select("pattern", "k", "s", (F.col("all") - F.col("s")).alias("o"), "off"), "kept")
 
 
-def _of_words(patterns: list[str]) -> dict[str, list[str]]:
-    return {kind: [p[2:] for p in patterns if p.startswith(f"{kind} ")] for kind in "LRBT"}
+def slots(found: DataFrame, patterns: DataFrame) -> DataFrame:
+    """pattern, value, n: at how many places an unknown instance stands in the slot of one of the patterns.
 
-
-def slots(tokens: DataFrame, patterns: list[str]) -> DataFrame:
-    """pattern, value for every place where an unknown instance stands in the slot of one of the patterns."""
-    named = _of_words(patterns)
-    words, n = F.col("words"), F.size("words")
+    ``patterns`` has pattern and off. A place is met by that word of the pattern, the words near by then tell the patterns that may
+    be there.
+    """
+    named = cut(patterns.select("pattern", F.concat(F.substring("pattern", 1, 1), "off").alias("by")).distinct(), "named")
+    word = F.get(F.split(F.expr("substring(pattern, 3)"), " "), F.substring("by", 2, 1).cast("int"))
+    met = _met(found, named.select("by", word.alias("word")).groupBy("word").agg(F.collect_set("by").alias("ways")))
+    first = F.greatest(F.col("i") - FEW - 1, F.lit(0))
+    met = met.select("ways", F.slice("words", first + 1, F.col("i") - first + FEW + 2).alias("words"), (F.col("i") - first).alias("i"))
+    words, i = F.col("words"), F.col("i")
     word = lambda i: F.get(words, i)
     free = lambda w: w.isNotNull() & ~w.contains(_FILLER)
     number = lambda i: F.coalesce(word(i).rlike("^[0-9][0-9()/.+-]*$"), F.lit(False))
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
     def run(i: Column, step: int) -> Column:
         """How many words an instance has that starts (or, with step -1, ends) at i."""
@@ -226,31 +237,32 @@ def slots(tokens: DataFrame, patterns: list[str]) -> DataFrame:
     def joined(i: Column, m: Column) -> Column:
         return F.concat_ws(" ", F.slice(words, i + 1, m))
 
-    def found(kind: str, last: list[str], test, value) -> Column:
-        at = F.filter(every, lambda i: word(i).isin(last) & test(i))
-        return F.transform(at, lambda i: F.struct(_name(kind, i).alias("pattern"), value(i).alias("value")))
-
-    def _name(kind: str, i: Column) -> Column:
-        return F.concat(F.lit("T "), word(i - 1), F.lit(" "), word(i)) if kind == "T" else F.concat(F.lit(f"{kind} "), word(i))
-
-    after = lambda i: joined(i + 1, run(i + 1, 1))
-    before = lambda i: joined(i - run(i - 1, -1), run(i - 1, -1))
-    hits = []
-    if named["L"]:
-        hits.append(found("L", named["L"], lambda i: free(word(i + 1)), after))
-    if named["R"]:
-        hits.append(found("R", named["R"], lambda i: (i > 0) & free(word(i - 1)), before))
-    if named["T"]:
-        ends = sorted({p.split(" ")[1] for p in named["T"]})
-        hits.append(found("T", ends, lambda i: (i > 0) & F.coalesce(_name("T", i).isin([f"T {p}" for p in named["T"]]), F.lit(False)) & free(word(i + 1)), after))
-    if named["B"]:
-        begins, whole = sorted({p.split(" ")[0] for p in named["B"]}), [f"B {p}" for p in named["B"]]
-        name = lambda i, m: F.concat(F.lit("B "), word(i), F.lit(" "), word(i + m + 1))
-        fits = lambda i, m: F.coalesce(name(i, m).isin(whole), F.lit(False)) & ~joined(i + 1, m).contains(_FILLER)
-        lengths = F.sequence(F.lit(1), F.lit(FEW))
-        between = lambda i: F.transform(F.filter(lengths, lambda m: fits(i, m)), lambda m: F.struct(name(i, m).alias("pattern"), joined(i + 1, m).alias("value")))
-        hits.append(F.flatten(F.transform(F.filter(every, lambda i: word(i).isin(begins)), between)))
-    return tokens.select(F.explode(F.concat(*hits)).alias("h")).select("h.pattern", "h.value")
+    def hit(by: str, name: list[Column], value: Column) -> Column:
+        return F.struct(F.lit(by).alias("by"), F.concat_ws(" ", F.lit(by[0]), *name).alias("pattern"), value.alias("value"))
+
+    none = F.array().cast("array<struct<by:string,pattern:string,value:string>>")
+
+    def one(by: str, test: Column, name: list[Column], value: Column) -> Column:
+        return F.when(F.array_contains("ways", by) & test, F.array(hit(by, name, value))).otherwise(none)
+
+    def between(by: str, begin, end) -> Column:
+        """For each number of words between the words at ``begin`` and ``end``, if there are such."""
+        lengths = F.when(F.array_contains("ways", by), F.sequence(F.lit(1), F.lit(FEW))).otherwise(F.array().cast("array<int>"))
+        fits = F.filter(lengths, lambda m: word(begin(m)).isNotNull() & word(end(m)).isNotNull() & ~joined(begin(m) + 1, m).contains(_FILLER))
+        return F.transform(fits, lambda m: hit(by, [word(begin(m)), word(end(m))], joined(begin(m) + 1, m)))
+
+    after = lambda i: joined(i, run(i, 1))
+    before = joined(i - run(i - 1, -1), run(i - 1, -1))
+    hits = F.concat(
+        one("L0", free(word(i + 1)), [word(i)], after(i + 1)),
+        one("R0", free(word(i - 1)), [word(i)], before),
+        one("T0", free(word(i + 2)), [word(i), word(i + 1)], after(i + 2)),
+        one("T1", word(i - 1).isNotNull() & free(word(i + 1)), [word(i - 1), word(i)], after(i + 1)),
+        between("B0", lambda m: i, lambda m: i + m + 1),
+        between("B1", lambda m: i - m - 1, lambda m: i),
+    )
+    every = met.select(F.explode(hits).alias("h")).select("h.*").join(small_table(named, "names"), ["by", "pattern"])
+    return every.groupBy("pattern", "value").agg(F.count("*").alias("n"))
 
 
 def bootstrapped(patterns: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -276,56 +288,87 @@ def bootstrapped(patterns: DataFrame, edges: DataFrame, rounds: int = ROUNDS) ->
     return best.groupBy("value").agg(F.max(F.struct("score", "k")).alias("m")).select("value", F.col("m.k").alias("kind"), F.col("m.score").alias("score"))
 
 
-def places(tokens: DataFrame, values: list[str]) -> DataFrame:
-    """doc_id, th, value, s, e of every place of the values, given as words with one blank between."""
-    by_length: dict[int, list[str]] = {}
-    for value in values:
-        by_length.setdefault(value.count(" ") + 1, []).append(value)
-    words, n = F.col("words"), F.size("words")
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+def places(found: DataFrame, values: DataFrame) -> DataFrame:
+    """doc_id, th, value, i, m of every place of the values: the first of its words and how many there are.
 
-    def of(m: int, some: list[str]) -> Column:
-        """First and number of words of the places of values of ``m`` words; most words do not begin one."""
-        first = sorted({v.split(" ")[0] for v in some})
-        value = lambda i: F.concat_ws(" ", F.slice(words, i + 1, m))
-        at = F.filter(every, lambda i: F.get(words, i).isin(first) & value(i).isin(some))
-        return F.transform(at, lambda i: F.struct(value(i).alias("value"), i.alias("i"), F.lit(m).alias("m")))
-
-    rows = tokens.withColumn("hits", F.concat(*[of(m, some) for m, some in by_length.items()])).where(F.size("hits") > 0)
+    ``values`` has value, words with one blank between, and off: a place is met by that word of the value.
+    """
+    held = small_table(values.select("value", "off"), "held")
+    of = F.split("value", " ")
+    ways = held.select(F.get(of, F.col("off")).alias("word"), F.struct("off", F.size(of).alias("m")).alias("way"))
+    met = _met(found, ways.groupBy("word").agg(F.collect_set("way").alias("ways"), F.max("way.m").alias("most")))
+    first = F.greatest(F.col("i") - F.col("most") + 1, F.lit(0))
+    near = F.slice("words", first + 1, F.col("i") - first + F.col("most")).alias("words")
+    met = met.select("doc_id", "th", "i", "ways", near, (F.col("i") - first).alias("at"))
+    there = F.filter("ways", lambda w: (F.col("at") >= w["off"]) & (F.col("at") - w["off"] + w["m"] <= F.size("words")))
+    value = lambda w: F.concat_ws(" ", F.slice("words", F.col("at") - w["off"] + 1, w["m"]))
+    each = F.transform(there, lambda w: F.struct(value(w).alias("value"), (F.col("i") - w["off"]).alias("i"), w["m"].alias("m"), w["off"].alias("off")))
+    return met.select("doc_id", "th", F.explode(each).alias("h")).select("doc_id", "th", "h.*").join(held, ["value", "off"]).drop("off")
+
+
+def uncommon(found: DataFrame, values: DataFrame, edges: DataFrame) -> DataFrame:
+    """value, kind and off (which of its words is the rarest) of the values that occur at most ``COMMON`` times as often as in a slot.
+
+    Words are counted first: a value of one word is settled then, and others are looked for by their rarest word.
+    """
+    inside = edges.groupBy("value").agg(F.max("n").alias("inside"))
+    values = cut(values.join(inside, "value").withColumn("of", F.split("value", " ")), "inside")
+    counts = _met(found, values.select(F.explode("of").alias("word")).distinct()).groupBy("word").agg(F.count("*").alias("places"))
+    each = values.select("value", "kind", "inside", F.size("of").alias("m"), F.posexplode("of").alias("off", "word")).join(small_table(counts, "counts"), "word")
+    rarest = each.groupBy("value", "kind", "inside", "m").agg(F.min(F.struct("places", "off")).alias("rarest"))
+    rarest = cut(rarest.select("value", "kind", "inside", "m", "rarest.*"), "rarest")
+    rare = F.col("all") <= COMMON * F.col("inside")
+    own = rarest.where("m = 1").withColumn("all", F.col("places")).where(rare).select("value", "kind", "off")
+    longer = rarest.where("m > 1")
+    if longer.isEmpty():
+        return cut(own, "own")
+    often = places(found, longer).groupBy("value").agg(F.count("*").alias("all"))
+    return cut(own.unionAll(longer.join(often, "value").where(rare).select("value", "kind", "off")), "own")
+
+
+def located(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """d, t and ``sorted``: start, minus the end, kind and end of the places in the rows of ``docs`` that have some.
+
+    ``hits`` has doc_id, th, kind, i and m. Words are counted on from place to place. Few places are broadcast.
+    """
+    sets = hits.groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t")).agg(F.array_sort(F.collect_set(F.struct("i", "m", "kind"))).alias("hits"))
+    sets = cut(sets, "sets")
+    if (sets.agg(F.sum(F.size("hits"))).first()[0] or 0) <= SMALL_TABLE:
+        sets = F.broadcast(sets)
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    rows = _with_filled(rows.join(sets, _same()).select("d", "t", "text", "hits"))
     # lower case may change lengths, so these are of the text as it is
     lengths = lambda x: F.transform(x, F.length)
     rows = rows.withColumns({"own": lengths(F.regexp_extract_all("filled", F.lit(_WORD), F.lit(0))), "gap": lengths(F.split("filled", _WORD, -1))})
-    total = lambda x, n: F.aggregate(F.slice(x, 1, n), F.lit(0), lambda a, y: a + y)
-    start = lambda h: total("gap", h["i"] + 1) + total("own", h["i"])
-    end = lambda h: total("gap", h["i"] + h["m"]) + total("own", h["i"] + h["m"])
-    spans_of = F.transform("hits", lambda h: F.struct(h["value"].alias("value"), start(h).alias("s"), end(h).alias("e")))
-    return rows.select("doc_id", "th", F.explode(spans_of).alias("h")).select("doc_id", "th", "h.*")
+    rows = rows.withColumn("both", F.zip_with("gap", "own", lambda g, w: g + F.coalesce(w, F.lit(0))))
+    total = lambda x, at, n: F.aggregate(F.slice(x, at + 1, n), F.lit(0), lambda a, y: a + y)
+    kind = "array<struct<s:int,less:int,kind:string,e:int>>"
 
+    def step(acc: Column, h: Column) -> Column:
+        at = acc["at"] + total("both", acc["i"], h["i"] - acc["i"])
+        s, e = at + F.get("gap", h["i"]), at + total("both", h["i"], h["m"])
+        span = F.struct(s.alias("s"), (-e).alias("less"), h["kind"].alias("kind"), e.alias("e"))
+        return F.struct(h["i"].alias("i"), at.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-def _unioned(parts: list[DataFrame]) -> DataFrame:
-    return cut(reduce(DataFrame.unionAll, parts), "unioned")
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    found = rows.select("d", "t", F.array_sort(F.aggregate("hits", start, step, lambda acc: acc["out"])).alias("sorted"))
+    return found.dropDuplicates(["d", "t"])  # of repeated rows
 
 
 def discovered(docs: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, th and ``more``: the spans of accepted values in that text."""
     none = found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.array().cast("array<struct<kind:string,s:int,e:int>>").alias("more")).where(F.lit(False))
-    tokens = _tokens(docs)
-    patterns = seed_patterns(found, tokens)
-    parts = [slots(tokens, some).groupBy("pattern", "value").agg(F.count("*").alias("n")) for some in _chunks(patterns, "pattern")]
-    if not parts:
+    patterns = seed_patterns(found)
+    if patterns.isEmpty():
         return none
-    edges = _unioned(parts)
+    edges = cut(slots(found, patterns), "edges")
     values = cut(bootstrapped(patterns, edges.select("pattern", "value")), "values")
-    parts = [places(tokens, some) for some in _chunks(values, "value")]
-    if not parts:
+    if values.isEmpty():
         return none
-    there = _unioned(parts)
-    inside = edges.groupBy("value").agg(F.max("n").alias("inside"))
-    often = there.groupBy("value").agg(F.count("*").alias("all"))
-    own = values.join(inside, "value").join(often, "value").where(F.col("all") <= COMMON * F.col("inside")).select("value", "kind")
-    hits = there.distinct().join(small_table(own, "own"), "value")
-    hits = hits.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), F.struct("s", (-F.col("e")).alias("less"), "kind", "e").alias("span"))
-    sets = hits.groupBy("d", "t").agg(F.array_sort(F.collect_set("span")).alias("sorted"))
+    own = uncommon(found, values, edges)
+    if own.isEmpty():
+        return none
+    sets = located(docs, places(found, own).join(small_table(own.select("value", "kind"), "kinds"), "value"))
 
     def step(acc: Column, x: Column) -> Column:
         """Spans by start, the longest first: one that ends no later than one before lies inside it."""
@@ -338,8 +381,7 @@ def discovered(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _with_more(rows: DataFrame, more: DataFrame) -> DataFrame:
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
-    return rows.join(more, same, "left").drop("d", "t")
+    return rows.join(more, _same(), "left").drop("d", "t")
 
 
 def _of(kind: str) -> Column:

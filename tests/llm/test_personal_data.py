@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import pii
 from tests.llm.conftest import odd_documents
@@ -283,3 +284,45 @@ def test_empty_tables_and_clashing_columns(spark, none, odd):
     assert pii.masked(none).count() == 0 and pii.masked(none).columns == none.columns
     rows = spark.createDataFrame([("mail me at a@b.co", 1, "k", [1])], "text string, doc_id bigint, words string, every array<int>")
     assert tuple(pii.masked(rows).first()) == ("mail me at <EMAIL>", 1, "k", [1])
+
+
+def test_texts_are_read_once_and_once_more_for_places(spark):
+    rows = random_rows(1)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("text", told.asNondeterministic()("text"))
+    assert any(r.n_discovered for r in pii.personal_data(docs).collect())
+    assert read.value <= 2 * len(rows)
+
+
+def test_places_of_common_values_are_counted_not_kept(spark, monkeypatch):
+    rows = [(i, f"mail me at user{i}@mail.example.com today") for i in range(6)] + [(10, "mail me at home today"), (11, "mail me at sweet home today")]
+    rows += [(100 + i, f"x{i} " + "home sweet home " * 30) for i in range(60)]
+    kept, cut = [], pii.cut
+    monkeypatch.setattr(pii, "cut", lambda rows, label="cut": kept.append(cut(rows, label)) or kept[-1])
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).where("n_discovered > 0").collect()
+    assert not found and max(k.count() for k in kept) <= 2 * len(rows)
+
+
+def test_any_word_of_a_pattern_or_value_meets_its_places(spark):
+    """Also where words are there twice, in different patterns, or at the ends of a text."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["a", "b", "a", "c", "5", ""]) for _ in range(rng.randrange(0, 12)))) for i in range(80)]
+    found = pii.found_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).cache()
+    names = ["L a", "L 5", "R b", "R 5", "T a b", "T b a", "T a a", "T 5 5", "B a b", "B b a", "B a a", "B c 5"]
+    by_off, kinds = [], [(0, 0), (0, 1), (1, 0), (1, 1)]
+    for t, b in kinds:
+        offs = {"T": t, "B": b}
+        patterns = spark.createDataFrame([(p, offs.get(p[0], 0)) for p in names], "pattern string, off int")
+        by_off.append(sorted(map(tuple, pii.slots(found, patterns).collect())))
+    assert by_off[0] and all(x == by_off[0] for x in by_off)
+    texts = ["a", "a b", "b a", "a a", "a b a", "5 a 5 a", "c c c c c"]
+    plain = sorted((i, v, at, v.count(" ") + 1) for i, text in rows for v in texts for at in range(len(text.split())) if text.split()[at : at + v.count(" ") + 1] == v.split())
+    for pick in (lambda n: 0, lambda n: n - 1, lambda n: n // 2):
+        values = spark.createDataFrame([(v, pick(v.count(" ") + 1)) for v in texts], "value string, off int")
+        assert sorted(tuple(r) for r in pii.places(found, values).select("doc_id", "value", "i", "m").collect()) == plain
