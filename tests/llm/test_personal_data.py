@@ -326,3 +326,18 @@ def test_any_word_of_a_pattern_or_value_meets_its_places(spark):
     for pick in (lambda n: 0, lambda n: n - 1, lambda n: n // 2):
         values = spark.createDataFrame([(v, pick(v.count(" ") + 1)) for v in texts], "value string, off int")
         assert sorted(tuple(r) for r in pii.places(found, values).select("doc_id", "value", "i", "m").collect()) == plain
+
+
+def test_masking_reads_texts_three_times(spark):
+    """For the spans and words, for places of what was found, and to be masked."""
+    rows = random_rows(1)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("text", told.asNondeterministic()("text"))
+    assert len(pii.masked(docs).collect()) == len(rows)
+    assert read.value <= 3 * len(rows)
